@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import substring_dedup
+from newsflow.llm import line_dedup, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +23,16 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later occurrences of three-line windows removed: doc_id, n_lines, n_removed, kept_sha256."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.dedup_lines(docs)
+    return found.select("row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("row.text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup}
+    return {"op1_substring_dedup": op1_substring_dedup, "op8_line_dedup": op8_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_line_dedup": line_dedup.ORACLE}
