@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import line_dedup, substring_dedup
+from newsflow.llm import line_dedup, storage, substring_dedup, token_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,20 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer lies on this machine and, in the same place, on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids written to a content-addressed store and read back: doc_id, start, n_tokens, ids_crc32."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = token_store.build(docs, tokenizer_file("word_bpe_49k.json"), 1, storage.new_dir(spark, "tokens"))
+    return token_store.read(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line windows removed: doc_id, n_lines, n_removed, kept_sha256."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -31,7 +45,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op8_line_dedup": op8_line_dedup}
+    return {"op1_substring_dedup": op1_substring_dedup, "op6_token_store": op6_token_store, "op8_line_dedup": op8_line_dedup}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -135,8 +135,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     held = [F.col(c).alias(f"__c{i}") for i, c in enumerate(keep)]
     dealt = docs.select(*held, F.col(text_col).alias("__text"), X.shard_of(n, *keep, text_col).alias("__shard"))
     by_shard = dealt.groupBy("__shard")
-    anchors = by_shard.applyInArrow(lambda key, table: _anchors(key, table, window, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(X.recurring, X.MESSAGE)
-    windows = by_shard.cogroup(anchors.groupBy("shard")).applyInArrow(lambda key, table, replies: _windows(key, table, replies, window, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(X.recurring, X.MESSAGE)
+    anchors = by_shard.applyInArrow(lambda key, table: _anchors(key, table, window, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.recurring(table), X.MESSAGE)
+    windows = by_shard.cogroup(anchors.groupBy("shard")).applyInArrow(lambda key, table, replies: _windows(key, table, replies, window, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.recurring(table), X.MESSAGE)
     schema = T.StructType([T.StructField(f"__c{i}", docs.schema[c].dataType) for i, c in enumerate(keep)] + [T.StructField("__n_words", T.LongType()), T.StructField("__n_removed", T.LongType()), T.StructField("__kept_text", T.StringType())])
     out = by_shard.cogroup(anchors.unionByName(windows).groupBy("shard")).applyInArrow(lambda key, table, replies: _remove(key, table, replies, window, buckets), schema)
     return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(keep)], F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"), F.col("__kept_text").alias("kept_text"))
