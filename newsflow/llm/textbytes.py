@@ -16,6 +16,9 @@ BASE = 0x9E3779B97F4A7C15 | 5  # odd, so it has an inverse modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between words of letters: all ASCII that is no letter.
+NO_LETTER = np.ones(256, bool)
+NO_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -72,13 +75,13 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
 class Words:
     """The words of a batch of texts: byte spans, the text each belongs to, 64-bit hashes."""
 
-    def __init__(self, column, lower: bool = False):
+    def __init__(self, column, lower: bool = False, between: np.ndarray = SPACE):
         self.flat, self.offsets = texts_of(column)
         if lower:
             self.flat = LOWER[self.flat]
         n = len(self.flat)
         inside = np.zeros(n + 2, bool)
-        inside[1:-1] = ~SPACE[self.flat]
+        inside[1:-1] = ~between[self.flat]
         edge = np.zeros(n + 1, bool)  # a text starts here
         edge[self.offsets] = True
         first = inside[1:] & (~inside[:-1] | edge)
@@ -139,3 +142,17 @@ def sliding(x: np.ndarray, width: int, op) -> np.ndarray:
         span *= 2
     rest = width - span
     return op(out[: len(out) - rest], out[rest:]) if rest else out
+
+
+#: Bytes of text that are worked on at a time; a longer text is a piece of its own.
+PIECE_BYTES = 2_000_000
+
+
+def pieces(batches, at: int | str, limit: int = PIECE_BYTES):
+    """The record batches in slices of about ``limit`` bytes of the text column ``at``: bounded memory whatever the batch size."""
+    for batch in batches:
+        _, offsets = texts_of(batch.column(at))
+        part = offsets[:-1] // limit
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows])) if batch.num_rows else np.zeros(1, int)
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield batch.slice(a, b - a)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.llm import storage
-from newsflow.llm.textbytes import Words, mix, span_hashes
+from newsflow.llm.textbytes import Words, mix, pieces, span_hashes
 
 _U = np.uint64
 #: Ids of the rolling hash; a cut follows where its hash modulo AVERAGE is 0; bounds of a chunk.
@@ -153,7 +153,7 @@ def _encode(batches, path: str, end_id: int, id_type):
     """__id, __tie, text -> __id, __tie, n_tokens, chunks with payloads, root."""
     encoder = Encoder.of(path)
     width = np.dtype("<u2" if max(encoder.size, end_id + 1) <= 1 << 16 else "<u4")
-    for batch in batches:
+    for batch in pieces(batches, "__text"):
         ids, sums = with_end(*encoder.encode(batch.column("__text")), end_id)
         raw = memoryview(ids.astype(width).tobytes())
         flat, sizes, roots = [], [0], []
