@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import line_dedup, storage, substring_dedup, token_store
+from newsflow.llm import language_id, line_dedup, storage, substring_dedup, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,26 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def _crc_mod(col: str, n: int) -> Column:
+    return F.crc32(F.col(col).cast("string").cast("binary")) % n
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text: doc_id, held_out, score, predicted."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), _crc_mod("doc_id", 3) != 1)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(_crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text: doc_id, held_out, lang_pred, score."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit(docs, _crc_mod("doc_id", 4) != 2)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(_crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def tokenizer_file(name: str) -> str:
     """Where a public tokenizer lies on this machine and, in the same place, on every executor."""
     import public_tokenizers
@@ -45,7 +65,8 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_substring_dedup": op1_substring_dedup, "op6_token_store": op6_token_store, "op8_line_dedup": op8_line_dedup}
+    found = (op1_substring_dedup, op4_toxicity, op5_language_id, op6_token_store, op8_line_dedup)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
