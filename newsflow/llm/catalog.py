@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import language_id, line_dedup, storage, substring_dedup, token_store, toxicity
+from newsflow.llm import decontamination, language_id, line_dedup, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,11 @@ def _crc_mod(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that hold a benchmark item within a tenth of its length in edits: doc_id, item_id, distance, similarity, start, end."""
+    return decontamination.contaminated(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text: doc_id, held_out, score, predicted."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -57,6 +62,14 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, out).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the text they decode to: doc_id, n_ids, ids_hash, decoded_sha256, round_trip."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = tokenizer_file("piece_bpe_32k.model")
+    found = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(docs, path), path)
+    return found.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), F.sha2(F.coalesce("decoded", F.lit("")).cast("binary"), 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Later occurrences of three-line windows removed: doc_id, n_lines, n_removed, kept_sha256."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -65,7 +78,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_substring_dedup, op4_toxicity, op5_language_id, op6_token_store, op8_line_dedup)
+    found = (op1_substring_dedup, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup)
     return {f.__name__: f for f in found}
 
 

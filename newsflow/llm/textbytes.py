@@ -156,3 +156,14 @@ def pieces(batches, at: int | str, limit: int = PIECE_BYTES):
         edges = np.concatenate(([0], np.flatnonzero(np.diff(part)) + 1, [batch.num_rows])) if batch.num_rows else np.zeros(1, int)
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             yield batch.slice(a, b - a)
+
+
+def gather(parts: list[np.ndarray], of: np.ndarray, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """parts[of[0]], parts[of[1]], ... one after another, and where each begins (with the end as last)."""
+    size = np.array([len(x) for x in parts], np.int64)
+    flat = np.concatenate([*parts, np.zeros(0, dtype)]).astype(dtype, copy=False)
+    begin = np.cumsum(size) - size
+    lengths = size[of]
+    sums = np.concatenate(([0], np.cumsum(lengths)))
+    at = np.arange(sums[-1]) - np.repeat(sums[:-1], lengths) + np.repeat(begin[of], lengths)
+    return flat[at], sums

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.llm import storage
-from newsflow.llm.textbytes import Words, mix, pieces, span_hashes
+from newsflow.llm.textbytes import Words, gather, mix, pieces, span_hashes
 
 _U = np.uint64
 #: Ids of the rolling hash; a cut follows where its hash modulo AVERAGE is 0; bounds of a chunk.
@@ -94,15 +94,8 @@ class Encoder:
             for j, e in zip(new, self.tokenizer.encode_batch([raw[a:b].decode("utf-8", "replace") for a, b in spans], add_special_tokens=False), strict=True):
                 self.known[keys[j]] = np.array(e.ids, np.uint32)
         ids = [self.known[k] for k in keys]
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate([*ids, np.zeros(0, np.uint32)])
-        begin = np.cumsum(size) - size
-        lengths = size[of]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) - np.repeat(ends - lengths, lengths) + np.repeat(begin[of], lengths)
-        sums = np.concatenate(([0], ends))
-        return flat[at], sums[words.first[1:]] - sums[words.first[:-1]]
+        flat, sums = gather(ids, of, np.uint32)
+        return flat, sums[words.first[1:]] - sums[words.first[:-1]]
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
