@@ -284,7 +284,7 @@ def _large_groups(sets: DataFrame, rule: Rule) -> DataFrame:
     # leading sets of a group: the roots of its largest parts
     parts = inside.groupBy("comp", "root").agg(F.count(F.lit(1)).alias("n"))
     leaders = parts.groupBy("comp").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("n", "root")))), 1, LEADERS).alias("l")).select("comp", F.explode("l.root").alias("key"))
-    led = tiled.join(leaders, ["comp", "key"]).select("comp", F.col("key").alias("root"), "blob", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tile"))
+    led = tiled.join(leaders, ["comp", "key"]).select(F.col("comp").alias("comp"), F.col("key").alias("root"), F.col("blob").alias("blob"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tile"))
     with_leaders = rooted.groupBy("comp", "tile").cogroup(led.groupBy("comp", "tile")).applyInArrow(lambda left, right: _between(left, right, rule), LINKS)
     merged = _merge(inside, with_leaders)
     # what is still apart from the largest part is compared with everything, part by part
@@ -292,8 +292,9 @@ def _large_groups(sets: DataFrame, rule: Rule) -> DataFrame:
     main = sizes.groupBy("comp").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
     open_groups = main.where("most < all").withColumn("rest_tiles", F.ceil((F.col("all") - F.col("most")) / TILE).cast("long"))
     now = tiled.join(merged.select("key", "root"), "key").join(open_groups, "comp").withColumn("rest", F.pmod(F.xxhash64("key", F.lit(1)), F.col("rest_tiles")))
-    rest = now.where("root <> main").select("comp", "root", "blob", "rest", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tile"))
-    every = now.select("comp", "root", "blob", "tile", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_tiles") - 1)).alias("rest"))
+    fresh = [F.col(c).alias(c) for c in ("comp", "root", "blob")]  # both sides stem from one table
+    rest = now.where("root <> main").select(*fresh, F.col("rest").alias("rest"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tile"))
+    every = now.select(*fresh, F.col("tile").alias("tile"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("rest_tiles") - 1)).alias("rest"))
     last = rest.groupBy("comp", "tile", "rest").cogroup(every.groupBy("comp", "tile", "rest")).applyInArrow(lambda left, right: _between(left, right, rule), LINKS)
     return _merge(merged, last).select("key", "root")
 
