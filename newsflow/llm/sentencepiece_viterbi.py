@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from newsflow.llm.textbytes import BYTE_VALUES, gather, pieces, span_hashes, texts_of
+from newsflow.llm.textbytes import BYTE_VALUES, gather, join_bytes, pieces, span_hashes, texts_of
 
 MARK = "▁"
 UNKNOWN_COST = 10.0
@@ -62,7 +62,7 @@ class Model:
             raise ValueError("a piece spans words; this model can't be encoded word by word")
         self.longest = max(map(len, self.pieces), default=1)
         self.unknown = min((s for _, s in self.pieces.values()), default=0.0) - UNKNOWN_COST
-        self.known: dict[int, np.ndarray] = {}
+        self.known: dict[int, bytes] = {}
 
     @staticmethod
     def of(path: str) -> Model:
@@ -70,8 +70,8 @@ class Model:
             _STATE[path] = Model(path)
         return _STATE[path]
 
-    def encode_words(self, words: list[str]) -> dict[str, np.ndarray]:
-        """Ids of distinct marked words, by a depth-first walk of their trie."""
+    def encode_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids (32-bit) of distinct marked words, by a depth-first walk of their trie."""
         out = {}
         best, back = [0.0], [(0, 0)]  # for each prefix of the walk's path: its score; start and id of its last piece
         last = ""
@@ -93,7 +93,7 @@ class Model:
                 start, piece = back[end]
                 ids.extend([piece] if piece >= 0 else [self.of_byte[b] for b in reversed(word[start:end].encode())])
                 end = start
-            out[word] = np.array(ids[::-1], np.int32)
+            out[word] = np.array(ids[::-1], "<i4").tobytes()
             last = word
         return out
 
@@ -119,14 +119,14 @@ class Model:
         spelt = {names[j]: text[starts[at[j]] : ends[at[j]]].decode("utf-8", "replace") for j in new}
         ids = self.encode_words(list(spelt.values()))
         self.known.update((k, ids[w]) for k, w in spelt.items())
-        out, sums = gather([self.known[k] for k in names], of, np.int32)
+        out, sums = gather(*join_bytes([self.known[k] for k in names], "<i4"), of)
         return out, sums[np.searchsorted(starts, moved)]
 
     def decode(self, ids: np.ndarray, cuts: np.ndarray) -> pa.Array:
         """Texts of id lists; the one space that encoding puts before a text goes."""
         if not hasattr(self, "table"):
-            self.table = [np.frombuffer(b, np.uint8) for b in self.bytes_of]
-        flat, sums = gather(self.table, ids, np.uint8)
+            self.table = join_bytes(self.bytes_of, "u1")
+        flat, sums = gather(*self.table, ids)
         ends = sums[cuts]
         keep = np.ones(len(flat), bool)
         full = np.flatnonzero(np.diff(ends))

@@ -75,7 +75,8 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray
 class Words:
     """The words of a batch of texts: byte spans, the text each belongs to, 64-bit hashes."""
 
-    def __init__(self, column, lower: bool = False, between: np.ndarray = SPACE):
+    def __init__(self, column, lower: bool = False, between: np.ndarray = SPACE, breaks=None):
+        """breaks: from the bytes, where else a word starts."""
         self.flat, self.offsets = texts_of(column)
         if lower:
             self.flat = LOWER[self.flat]
@@ -83,6 +84,8 @@ class Words:
         inside = np.zeros(n + 2, bool)
         inside[1:-1] = ~between[self.flat]
         edge = np.zeros(n + 1, bool)  # a text starts here
+        if breaks is not None:
+            edge[:-1] = breaks(self.flat)
         edge[self.offsets] = True
         first = inside[1:] & (~inside[:-1] | edge)
         last = inside[:-1] & (~inside[1:] | edge)
@@ -158,12 +161,16 @@ def pieces(batches, at: int | str, limit: int = PIECE_BYTES):
             yield batch.slice(a, b - a)
 
 
-def gather(parts: list[np.ndarray], of: np.ndarray, dtype) -> tuple[np.ndarray, np.ndarray]:
-    """parts[of[0]], parts[of[1]], ... one after another, and where each begins (with the end as last)."""
-    size = np.array([len(x) for x in parts], np.int64)
-    flat = np.concatenate([*parts, np.zeros(0, dtype)]).astype(dtype, copy=False)
+def gather(flat: np.ndarray, size: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of parts that lie one after another in flat: parts of[0], of[1], ... and where each begins (with the end as last)."""
     begin = np.cumsum(size) - size
     lengths = size[of]
     sums = np.concatenate(([0], np.cumsum(lengths)))
-    at = np.arange(sums[-1]) - np.repeat(sums[:-1], lengths) + np.repeat(begin[of], lengths)
+    at = np.arange(sums[-1]) + np.repeat(begin[of] - sums[:-1], lengths)
     return flat[at], sums
+
+
+def join_bytes(parts: list[bytes], dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all parts and how many each has."""
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // np.dtype(dtype).itemsize
+    return np.frombuffer(b"".join(parts), dtype), size

@@ -15,9 +15,10 @@ of ids in different documents are cut alike. It writes three Parquet tables unde
 part against its Merkle root, and returns start, n_tokens and the CRC-32 of the ids per document;
 ``read_ids`` rebuilds the ids themselves.
 
-Encoding: the tokenizers file drops white space and never joins ids across it, so a text's ids are
-those of its words one after another. A batch encodes its distinct words once. ``splits_on_space``
-checks that property of a file; others are encoded text by text.
+Encoding: the tokenizers file drops white space and never joins ids across it, nor across a Latin
+letter and an ASCII sign, so a text's ids are those of such words one after another, in any case of
+A-Z. A batch encodes its distinct words once. ``splits_on_space`` checks that property of a file;
+others, and slices in which a special token may be spelt, are encoded more plainly.
 
 Defined results: null and empty texts have the end id only; documents that repeat an id follow one
 another in the order of a hash of their text; a null id comes first; an empty table gives empty
@@ -38,13 +39,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.llm import storage
-from newsflow.llm.textbytes import Words, gather, mix, pieces, span_hashes
+from newsflow.llm.textbytes import Words, gather, join_bytes, mix, pieces, span_hashes, texts_of
 
 _U = np.uint64
 #: Ids of the rolling hash; a cut follows where its hash modulo AVERAGE is 0; bounds of a chunk.
 ROLL, AVERAGE, LEAST, MOST = 8, 256, 64, 2048
 #: Distinct words whose ids a worker keeps; it starts anew beyond that.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 700_000
 _STATE: dict = {}
 
 
@@ -55,7 +56,23 @@ def splits_on_space(path: str) -> bool:
     steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or [spec.get("pre_tokenizer") or {}]
     added = [t for t in spec.get("added_tokens", []) if any(c.isspace() for c in t["content"])]
     first = steps[0]
-    return not added and first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert")) and "\\s\\p{L}\\p{N}]+" in str(first.get("pattern"))
+    return not added and first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert")) and str((first.get("pattern") or {}).get("Regex")).endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+_SIGN = np.zeros(256, bool)
+_SIGN[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27]] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+
+
+def _at_signs(flat: np.ndarray) -> np.ndarray:
+    """Where a Latin letter meets an ASCII sign other than the apostrophe: the file's pattern always splits there."""
+    out = np.zeros(len(flat), bool)
+    letter, sign = _LETTER[flat], _SIGN[flat]
+    latin = np.zeros(len(flat), bool)  # second byte of a letter U+00C0 to U+00FF
+    latin[1:] = (flat[:-1] == 0xC3) & (flat[1:] >= 0x80) & (flat[1:] < 0xC0) & (flat[1:] != 0x97) & (flat[1:] != 0xB7)
+    out[1:] = ((letter | latin)[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
+    return out
 
 
 class Encoder:
@@ -68,7 +85,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.by_word = splits_on_space(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[int, np.ndarray] = {}
+        self.lower = self.by_word and any(n.get("type") == "Lowercase" for n in (json.loads(self.tokenizer.to_str()).get("normalizer") or {}).get("normalizers", []))
+        self.known: dict[int, bytes] = {}
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -81,7 +99,8 @@ class Encoder:
         if not self.by_word:
             found = self.tokenizer.encode_batch([t or "" for t in column.to_pylist()], add_special_tokens=False)
             return np.array([i for e in found for i in e.ids], np.uint32), np.array([len(e.ids) for e in found], np.int64)
-        words = Words(column)
+        plain = b"<|" in texts_of(column)[0].tobytes()  # a special token may be spelt here
+        words = Words(column) if plain else Words(column, lower=self.lower, breaks=_at_signs)
         distinct, first, of = np.unique(words.hashes, return_index=True, return_inverse=True)
         keys = distinct.tolist()
         new = [j for j, k in enumerate(keys) if k not in self.known]
@@ -92,9 +111,8 @@ class Encoder:
             raw = words.flat.tobytes()
             spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)
             for j, e in zip(new, self.tokenizer.encode_batch([raw[a:b].decode("utf-8", "replace") for a, b in spans], add_special_tokens=False), strict=True):
-                self.known[keys[j]] = np.array(e.ids, np.uint32)
-        ids = [self.known[k] for k in keys]
-        flat, sums = gather(ids, of, np.uint32)
+                self.known[keys[j]] = np.array(e.ids, "<u4").tobytes()
+        flat, sums = gather(*join_bytes([self.known[k] for k in keys], "<u4"), of)
         return flat, sums[words.first[1:]] - sums[words.first[:-1]]
 
 
