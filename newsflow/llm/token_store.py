@@ -208,7 +208,7 @@ def build(docs: DataFrame, tokenizer_path: str, end_id: int, out_dir: str, id_co
     rows = docs.select(F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__tie"), F.col(text_col).alias("__text"))
     staged = storage.written(rows.mapInArrow(lambda batches: _encode(batches, tokenizer_path, end_id, id_type), schema), f"{out_dir}/staged")
     # the same chunk leaves a task once, however many documents hold it
-    staged.select(F.explode("chunks").alias("c")).select("c.sha", "c.n", "c.payload").dropDuplicates(["sha"]).write.parquet(f"{out_dir}/chunks")
+    staged.select(F.explode("chunks").alias("c")).select("c.sha", "c.n", "c.payload").dropDuplicates(["sha"]).write.option("compression", "zstd").parquet(f"{out_dir}/chunks")
     light = staged.select("__id", "__tie", "n_tokens", F.transform("chunks", lambda c: F.struct(c["sha"].alias("sha"), c["after"].alias("after"))).alias("chunks"), "root")
     parts = light.repartitionByRange("__id", "__tie").sortWithinPartitions("__id", "__tie", "root").withColumn("part", F.spark_partition_id().cast("long"))
     kept = T.StructType([*parts.schema.fields, T.StructField("local_start", T.LongType())])
