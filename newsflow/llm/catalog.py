@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontamination, language_id, line_dedup, ngram_join, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
+from newsflow.llm import decontamination, embedding_dedup, language_id, line_dedup, ngram_join, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +77,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("row.text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of cosine >= 0.9 and their components: vec_id, n_links, component_id, kept."""
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), 0.9)
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of Jaccard >= 0.85 on 4-word shingles: doc_id, n_shingles, component_id."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -84,7 +89,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_substring_dedup, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op10_ngram_join)
+    found = (op1_substring_dedup, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join)
     return {f.__name__: f for f in found}
 
 
