@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontamination, embedding_dedup, language_id, line_dedup, ngram_join, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
+from newsflow.llm import decontamination, embedding_dedup, language_id, line_dedup, ngram_join, pii, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,14 @@ def _crc_mod(col: str, n: int) -> Column:
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text: doc_id, counts of base spans per kind, base_sha256, spans."""
+    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"), pii.fit(spark))
+    kinds = F.transform("base_found", lambda x: x["k"])
+    counts = [(F.size("base_found") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(pii.named(F.col("base_found")).cast("binary"), 256).alias("base_sha256"), pii.named(F.col("found")).alias("spans"))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that hold a benchmark item within a tenth of its length in edits: doc_id, item_id, distance, similarity, start, end."""
     return decontamination.contaminated(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
@@ -89,7 +97,7 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_substring_dedup, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join)
+    found = (op1_substring_dedup, op2_pii, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join)
     return {f.__name__: f for f in found}
 
 

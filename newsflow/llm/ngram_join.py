@@ -32,7 +32,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -334,3 +334,12 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     found = rooted.join(named, "root").select("key", "component_id")
     out = meta.join(found, "key", "left").select("__id", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("__id")).alias("component_id"))
     return out.select(F.col("__id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, of the smallest id of each component; of rows that repeat an id the one whose text has the least hash."""
+    found = join_components(docs, k, num, den, id_col, text_col)
+    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__head")).distinct()
+    kept = docs.select(F.struct(*docs.columns).alias("__row"), F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__mark")).join(heads, F.col("__id").eqNullSafe(F.col("__head")), "left_semi")
+    order = Window.partitionBy("__id").orderBy("__mark")
+    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").select("__row.*")
