@@ -12,10 +12,13 @@ Two texts link when their sets of word shingles have Jaccard similarity of at le
 * The boundary between the two is that which costs least over the sizes of the corpus's small sets.
 
 Lists travel as packed blobs (``exchange.py``). A list yields links of its members to its first, not
-all pairs; components of these are candidate groups. Inside a candidate group similarities are exact:
-intersections come from matrix products over tiles. A group of more than TILE sets is worked on in
-tiles: links inside tiles, then of every set to the group's leading sets, and then only between sets
-that are still apart; so a group of copies of one text costs in proportion to its size.
+all pairs; components of these are candidate groups. Short texts that share a common line can chain to
+one large candidate group, so groups of more than TILE sets are cut finer first: partners share one of
+their n - ceil(n num / den) + 1 shingles that are rarest in the group, and the same star over those
+lists gives the finer groups. Inside a group similarities are exact: prefix lists by the group's own
+frequencies, or matrix products where the group is dense. A group that still has more than TILE sets
+(copies of one text) is worked on in tiles: links inside tiles, then of every set to the group's
+leading sets, and then only between sets that are still apart; so it costs in proportion to its size.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. Shingles and sets are told apart by
 64-bit hashes.
@@ -44,6 +47,8 @@ from newsflow.llm.textbytes import Words, mix, pieces, span_hashes
 _U = np.uint64
 #: Sets of one candidate group that one task compares; leading sets that larger groups are compared with.
 TILE, LEADERS = 1024, 8
+#: A group of so many sets over at most so many shared shingles is compared by matrix product.
+DENSE_SETS, DENSE_COLUMNS = 32, 8192
 #: Sizes that may count as small; what a list entry costs beside an enumerated subset.
 MOST_SMALL, LIST_COST = 24, 2.0
 RATIO = 1.5
@@ -229,6 +234,46 @@ def _linked(a: list[np.ndarray], b: list[np.ndarray], rule: Rule) -> tuple[np.nd
     return np.nonzero(rule.links(_shared(a, b).astype(np.int64), n[:, None], m[None, :]))
 
 
+def _roots(sets: list[np.ndarray], rule: Rule) -> np.ndarray:
+    """For the sets of one group, the least index that links reach."""
+    size = np.array([len(x) for x in sets])
+    if len(sets) == 2:
+        shared = len(np.intersect1d(*sets, assume_unique=True))
+        return np.zeros(2, int) if rule.links(shared, *size) else np.arange(2)
+    _, of, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    if len(sets) >= DENSE_SETS and (count > 1).sum() <= DENSE_COLUMNS:
+        return local_components(len(sets), *_linked(sets, sets, rule))
+    rank = np.empty(len(count), np.int64)
+    rank[np.argsort(count, kind="stable")] = np.arange(len(count))
+    cut = np.concatenate(([0], np.cumsum(size)))
+    ids = [np.sort(rank[of[a:b]]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    heads = [x[: n - rule.least(n) + 1] for x, n in zip(ids, size.tolist(), strict=True)]
+    token, owner = np.concatenate(heads), np.repeat(np.arange(len(sets)), [len(h) for h in heads])
+    order = np.lexsort((owner, token))
+    token, owner = token[order], owner[order]
+    parent, tried = list(range(len(sets))), set()
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    edges = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1], [True])))
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        members = owner[lo:hi].tolist()
+        for j in range(1, hi - lo):
+            x = members[j]
+            for y in members[:j]:
+                if root(x) != root(y) and (y, x) not in tried:
+                    tried.add((y, x))
+                    n, m = int(size[x]), int(size[y])
+                    if rule.links(min(n, m), n, m) and rule.links(len(np.intersect1d(ids[x], ids[y], assume_unique=True)), n, m):
+                        a, b = sorted((root(x), root(y)))
+                        parent[b] = a
+    return np.array([root(x) for x in range(len(sets))])
+
+
 def _sets_of(table: pa.Table, name: str = "blob") -> list[np.ndarray]:
     return [np.frombuffer(b, _U) for b in table[name].to_pylist()]
 
@@ -241,13 +286,8 @@ def _within(table: pa.Table, rule: Rule) -> pa.Table:
     cuts = np.flatnonzero(np.concatenate(([True], np.diff(groups[order]) != 0, [True])))
     for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         some = order[lo:hi]
-        members = [sets[i] for i in some.tolist()]
-        if len(some) == 2:
-            shared = len(np.intersect1d(*members, assume_unique=True))
-            if rule.links(shared, len(members[0]), len(members[1])):
-                roots[some] = keys[some[0]]
-        elif len(some) > 2:
-            roots[some] = keys[some[local_components(len(some), *_linked(members, members, rule))]]
+        if len(some) > 1:
+            roots[some] = keys[some[_roots([sets[i] for i in some.tolist()], rule)]]
     return pa.table({"comp": pa.array(groups, pa.int64()), "key": pa.array(keys, pa.int64()), "root": pa.array(roots, pa.int64())})
 
 
@@ -276,6 +316,29 @@ SETS = "comp long, tiles long, key long, blob binary"
 LINKS = "a long, b long"
 
 
+def _tokens(batches):
+    for batch in batches:
+        for a in range(0, batch.num_rows, 256):
+            part = batch.slice(a, 256)
+            sets = _sets_of(part)
+            size = [len(x) for x in sets]
+            comp, key = (np.repeat(part.column(c).to_numpy(), size) for c in ("comp", "key"))
+            yield pa.RecordBatch.from_arrays([pa.array(comp), pa.array(key), pa.array(np.repeat(np.array(size, np.int64), size)), pa.array(np.concatenate(sets).astype(np.int64))], names=["comp", "key", "n", "token"])
+
+
+def _finer(sets: DataFrame, rule: Rule) -> DataFrame:
+    """sets with comp and tiles of finer candidate groups; sets that are alone go."""
+    tokens = sets.select("comp", "key", "blob").mapInArrow(_tokens, "comp long, key long, n long, token long")
+    often = tokens.groupBy("comp", "token").agg(F.count(F.lit(1)).alias("df"))
+    ranked = tokens.join(often, ["comp", "token"]).withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("df", "token")))
+    least = F.ceil(F.col("n") * rule.num / F.lit(rule.den))
+    heads = ranked.where((F.col("r") <= F.col("n") - least + 1) & (F.col("df") > 1)).select("comp", "token", "key")
+    first = heads.groupBy("comp", "token").agg(F.min("key").alias("b"))
+    found = connected_components(heads.join(first, ["comp", "token"]).select(F.col("key").alias("a"), "b")).select(F.col("node").alias("key"), F.col("root").alias("new"))
+    sizes = found.groupBy("new").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("parts"))
+    return storage.materialize(sets.join(found.join(sizes, "new"), "key").select(F.col("new").alias("comp"), F.col("parts").alias("tiles"), "key", "blob"), "finer")
+
+
 def _large_groups(sets: DataFrame, rule: Rule) -> DataFrame:
     """(key, root) of candidate groups of several tiles."""
     tiled = sets.withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")))
@@ -325,9 +388,17 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     tiled = candidate.join(counts, "comp").withColumn("shard", F.shiftright("node", 32))
     sets = storage.materialize(dealt.groupBy("shard").cogroup(tiled.groupBy("shard")).applyInArrow(lambda table, groups: _candidate_sets(table, groups, k), SETS), "candidates")
     batch = F.pmod(F.xxhash64("comp"), F.lit(max(1, shards)))
-    labels = sets.where("tiles = 1").withColumn("batch", batch).groupBy("batch").applyInArrow(lambda table: _within(table, rule), "comp long, key long, root long").select("key", "root")
+
+    def whole(some: DataFrame) -> DataFrame:
+        grouped = some.where("tiles = 1").withColumn("batch", batch).groupBy("batch")
+        return grouped.applyInArrow(lambda table: _within(table, rule), "comp long, key long, root long").select("key", "root")
+
+    labels = whole(sets)
     if sets.where("tiles > 1").limit(1).count():
-        labels = labels.unionByName(_large_groups(sets.where("tiles > 1"), rule))
+        finer = _finer(sets.where("tiles > 1"), rule)
+        labels = labels.unionByName(whole(finer))
+        if finer.where("tiles > 1").limit(1).count():
+            labels = labels.unionByName(_large_groups(finer.where("tiles > 1"), rule))
     labels = storage.materialize(labels.where("key <> root"), "roots")
     rooted = nodes.join(labels, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
