@@ -24,8 +24,15 @@ def register(name: str, oracle: str | None = None):
 
 
 def queries() -> dict[str, Query]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_ORACLES)
+
+
+def _load() -> None:
+    """The modules register their queries when they are imported."""
+    from newsflow.plans import core_queries, web_queries  # noqa: F401
