@@ -11,7 +11,8 @@
 
 Defined results: null and empty texts have no words; a text shorter than a window keeps all of its
 words; repeated rows are separate documents (each word of a repeated window goes in all of them);
-extra columns are passed through under their own names; an empty table gives an empty table.
+extra columns are passed through, those named like ours are replaced; an empty table gives an empty
+table.
 A window counts as recurring by a 64-bit hash inside a bucket; with B buckets and N windows that
 share an anchor with another, about N*N / (B * 2**65) windows are taken for others by chance.
 """
@@ -128,7 +129,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     Removed is every word covered by a window of ``window`` words whose word sequence also starts
     anywhere else in the corpus, the same text included. Words that stay are joined by one space.
     """
-    keep = [c for c in docs.columns if c != text_col] if keep is None else keep
+    keep = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed", "kept_text")] if keep is None else keep
     size = X.text_bytes(docs, text_col)
     # about a tenth of the words are anchors and a quarter of the windows are candidates
     n, buckets = X.shards_for(size), X.buckets_for(size / 24)
