@@ -13,7 +13,7 @@ from html.parser import HTMLParser
 # Fixed values of HTML: elements without content, blocks that end a paragraph, siblings that end each other.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
-LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+LIKE = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 BLOCK = ENDS_P | {"li", "tr", "td", "th", "body", "title", "figcaption", "dt", "dd"}
 HIDDEN = frozenset(("script", "style", "template", "noscript"))
 
