@@ -29,8 +29,8 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
 
 
-def shards_for(size: int) -> int:
-    return max(1, math.ceil(size / SHARD_BYTES))
+def shards_for(size: int, each: int = SHARD_BYTES) -> int:
+    return max(1, math.ceil(size / each))
 
 
 def buckets_for(hashes: float) -> int:

@@ -4,7 +4,7 @@
    hash of its 16-word runs is its anchor (winnowing), so equal windows have equal anchors. Anchors
    that occur once rule their windows out; the hashes of the rest are counted over the whole corpus.
    Both counts use the packed exchange of ``exchange.py``.
-2. Compile sharded automata. The texts are dealt to shards of about 4 MB; each shard compiles one
+2. Compile sharded automata. The texts are dealt to shards of about 2 MB; each shard compiles one
    Aho-Corasick automaton (pyahocorasick) from those confirmed passages that it can meet, each laid
    out in tiles of one window. Memory follows the shard, not the corpus.
 3. Stream all documents of the shard through its automaton and mark the words of every occurrence.
@@ -34,6 +34,8 @@ WINDOW = 35
 #: Words of the runs from which a window's anchor is chosen.
 RUN = 16
 ANCHORS, WINDOWS = 0, 1
+#: Bytes of text per shard: a worker's memory is about 150 times that.
+SHARD_BYTES = 2_000_000
 
 
 class Windows:
@@ -132,7 +134,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     keep = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed", "kept_text")] if keep is None else keep
     size = X.text_bytes(docs, text_col)
     # about a tenth of the words are anchors and a quarter of the windows are candidates
-    n, buckets = X.shards_for(size), X.buckets_for(size / 24)
+    n, buckets = X.shards_for(size, SHARD_BYTES), X.buckets_for(size / 24)
     held = [F.col(c).alias(f"__c{i}") for i, c in enumerate(keep)]
     dealt = docs.select(*held, F.col(text_col).alias("__text"), X.shard_of(n, *keep, text_col).alias("__shard"))
     by_shard = dealt.groupBy("__shard")
