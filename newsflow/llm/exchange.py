@@ -46,11 +46,12 @@ def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
     return (hashes >> _U(32)) * _U(n) >> _U(32)
 
 
-def packed(shard: int, kind: int, hashes: np.ndarray, n: int, payload: np.ndarray | None = None) -> pa.Table:
-    """Messages for sorted hashes; payload: 32-bit values sent along."""
+def packed(shard: int, kind: int, hashes: np.ndarray, n: int, payload: np.ndarray | None = None, short: np.ndarray | None = None) -> pa.Table:
+    """Messages for sorted hashes; payload: 32-bit values sent along; short: 32-bit values sent in place of the hashes."""
+    told = hashes if short is None else short
     cuts = np.searchsorted(bucket_of(hashes, n), np.arange(n + 1, dtype=_U))
     full = [b for b in range(n) if cuts[b] < cuts[b + 1]]
-    blobs = [hashes[cuts[b] : cuts[b + 1]].tobytes() + (b"" if payload is None else payload[cuts[b] : cuts[b + 1]].tobytes()) for b in full]
+    blobs = [told[cuts[b] : cuts[b + 1]].tobytes() + (b"" if payload is None else payload[cuts[b] : cuts[b + 1]].tobytes()) for b in full]
     return pa.Table.from_arrays([pa.array([shard] * len(full), pa.int64()), pa.array([kind] * len(full), pa.int32()), pa.array(full, pa.int64()), pa.array(blobs, pa.binary())], schema=ARROW_MESSAGE)
 
 
@@ -60,15 +61,15 @@ def marked(values: np.ndarray) -> np.ndarray:
     return found | (counts > 1).astype(_U)
 
 
-def recurring(table: pa.Table) -> pa.Table:
+def recurring(table: pa.Table, dtype=_U) -> pa.Table:
     """For one bucket: answers each message with a bit per hash, set where the value occurs at least twice in all."""
     rows = sorted(zip(table["shard"].to_pylist(), table["kind"].to_pylist(), table["bucket"].to_pylist(), table["blob"].to_pylist(), strict=True), key=lambda r: r[:3])
-    parts = [np.frombuffer(r[3], _U) for r in rows]
-    every = np.concatenate(parts) if parts else np.zeros(0, _U)
-    values = every & ~_U(1)
+    parts = [np.frombuffer(r[3], dtype) for r in rows]
+    every = np.concatenate(parts) if parts else np.zeros(0, dtype)
+    values = every & ~dtype(1)
     found, where, counts = np.unique(values, return_inverse=True, return_counts=True)
     twice = counts > 1
-    twice[where[(every & _U(1)) > 0]] = True
+    twice[where[(every & dtype(1)) > 0]] = True
     bits, at = [], 0
     flags = twice[where]
     for p in parts:
@@ -86,3 +87,31 @@ def answers(table: pa.Table, kind: int, hashes: np.ndarray, n: int) -> np.ndarra
             lo, hi = cuts[b], cuts[b + 1]
             out[lo:hi] = np.unpackbits(np.frombuffer(blob, np.uint8), count=hi - lo).astype(bool)
     return out
+
+
+#: Counts are told up to this.
+MOST_COUNT = 255
+
+
+def totals(table: pa.Table) -> pa.Table:
+    """For one bucket of hashes with counts as payload: answers each message with a byte per hash, the total up to MOST_COUNT."""
+    rows = sorted(zip(table["shard"].to_pylist(), table["kind"].to_pylist(), table["bucket"].to_pylist(), table["blob"].to_pylist(), strict=True), key=lambda r: r[:3])
+    sizes = [len(r[3]) // 12 for r in rows]
+    every = np.concatenate([np.frombuffer(r[3], _U, n) for r, n in zip(rows, sizes, strict=True)])
+    counts = np.concatenate([np.frombuffer(r[3], np.uint32, n, 8 * n) for r, n in zip(rows, sizes, strict=True)]).astype(np.int64)
+    _, where = np.unique(every, return_inverse=True)
+    total = np.minimum(np.bincount(where, counts), MOST_COUNT).astype(np.uint8)[where]
+    blobs, at = [], 0
+    for n in sizes:
+        blobs.append(total[at : at + n].tobytes())
+        at += n
+    return pa.Table.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int64()), pa.array(blobs, pa.binary())], schema=ARROW_MESSAGE)
+
+
+def told_totals(table: pa.Table, hashes: np.ndarray, n: int) -> np.ndarray:
+    """The total of each of the sorted hashes that a shard sent."""
+    out = np.zeros(len(hashes), np.uint8)
+    cuts = np.searchsorted(bucket_of(hashes, n), np.arange(n + 1, dtype=_U))
+    for b, blob in zip(table["bucket"].to_pylist(), table["blob"].to_pylist(), strict=True):
+        out[cuts[b] : cuts[b + 1]] = np.frombuffer(blob, np.uint8)
+    return out

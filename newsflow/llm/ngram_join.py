@@ -2,23 +2,22 @@
 
 Two texts link when their sets of word shingles have Jaccard similarity of at least num / den.
 
-* Texts with equal sets are one node.
-* Light: of a small set of n shingles every subset that a partner must share is enumerated: all subsets
-  of c shingles for c from ceil(n num / den) to n. Partners have an equal subset.
-* Heavy: large sets are read from inverted lists. A list's key is not one shingle (a list of a common
-  passage's shingle would hold a third of all rows) but a group of shingles: sets of like size are cut
-  by shingle hash into one more group than a partner can differ in shingles, so partners share a group
-  unchanged. Each group is a list key; few texts share one by chance.
+* Texts with equal sets are one node. A set that links shares at least ceil(n num / den) of its n
+  shingles with one other set, so a set with fewer shingles that occur in a second set is out; one
+  count of shingles over the corpus leaves about the sets that have near copies.
+* Light: of a small set every subset that a partner must share is enumerated: all subsets of c shingles
+  for c from ceil(n num / den) to n. Partners have an equal subset.
+* Heavy: large sets are read from inverted lists, one per shingle. A set is on the lists of its
+  n - ceil(n num / den) + 1 shingles that are rarest among the sets left; partners share one of these.
+  Rarest first keeps lists short: a passage that a third of all rows share comes last.
 * The boundary between the two is that which costs least over the sizes of the corpus's small sets.
 
-Lists travel as packed blobs (``exchange.py``). A list yields links of its members to its first, not
-all pairs; components of these are candidate groups. Short texts that share a common line can chain to
-one large candidate group, so groups of more than TILE sets are cut finer first: partners share one of
-their n - ceil(n num / den) + 1 shingles that are rarest in the group, and the same star over those
-lists gives the finer groups. Inside a group similarities are exact: prefix lists by the group's own
-frequencies, or matrix products where the group is dense. A group that still has more than TILE sets
-(copies of one text) is worked on in tiles: links inside tiles, then of every set to the group's
-leading sets, and then only between sets that are still apart; so it costs in proportion to its size.
+Shingles and lists travel as packed blobs (``exchange.py``). A list yields links of its members to its
+first, not all pairs; components of these are candidate groups. Inside a group similarities are exact:
+prefix lists by the group's own frequencies, or matrix products where the group is dense. A group of
+more than TILE sets (copies of one text) is worked on in tiles: links inside tiles, then of every set
+to the group's leading sets, and then only between sets that are still apart; so it costs in proportion
+to its size.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z are lower-cased. Shingles and sets are told apart by
 64-bit hashes.
@@ -51,7 +50,6 @@ TILE, LEADERS = 1024, 8
 DENSE_SETS, DENSE_COLUMNS = 32, 8192
 #: Sizes that may count as small; what a list entry costs beside an enumerated subset.
 MOST_SMALL, LIST_COST = 24, 2.0
-RATIO = 1.5
 
 
 class Rule:
@@ -59,23 +57,11 @@ class Rule:
 
     def __init__(self, k: int, num: int, den: int):
         self.k, self.num, self.den = k, num, den
-        ratio = max(RATIO, den / num)
-        self.low = [1]
-        while self.low[-1] < 1 << 40:
-            self.low.append(max(self.low[-1] + 1, math.ceil(self.low[-1] * ratio)))
-        self.low_array = np.array(self.low)
 
     def least(self, n):
         """The fewest shingles that a set of n shares with a partner."""
         return -(-n * self.num // self.den)
 
-    def groups(self, c):
-        """Groups of size class c, and how many empty ones a set may have before it lists them too."""
-        high = self.low_array[c + 1] - 1
-        apart = 2 * high * (self.den - self.num) // (self.den + self.num)
-        spare = np.maximum(1, apart // 16)
-        return apart + 1 + spare, spare
-
     def links(self, shared, n, m):
         return self.den * shared >= self.num * (n + m - shared)
 
@@ -85,15 +71,10 @@ class Rule:
     def boundary(self, sizes: dict[int, int]) -> int:
         """The largest small size: least total of enumerated subsets and list entries."""
         def cost(x: int) -> float:
-            lists = lambda n: LIST_COST * sum(int(self.groups(c)[0]) for c in self.classes(n))
-            return sum(k * ((self.subsets(n) if n <= x else 0) + (lists(n) if n > x * self.num // self.den else 0)) for n, k in sizes.items())
+            return sum(k * ((self.subsets(n) if n <= x else 0) + (LIST_COST * (n - self.least(n) + 1) if n > x * self.num // self.den else 0)) for n, k in sizes.items())
 
         return min(range(MOST_SMALL + 1), key=lambda x: (cost(x), x))
 
-    def classes(self, n: int) -> list[int]:
-        c = int(np.searchsorted(self.low_array, n, "right")) - 1
-        return [c, c + 1] if n * self.den >= self.low[c + 1] * self.num else [c]
-
 
 def shingle_sets(column, k: int) -> tuple[list[np.ndarray], Words]:
     """For each text its distinct shingles as sorted hashes."""
@@ -117,40 +98,24 @@ def set_keys(sets: list[np.ndarray]) -> np.ndarray:
     return mix(sums + np.array([len(s) for s in sets], _U), 4).astype(np.int64)
 
 
-def signatures(sets: list[np.ndarray], rule: Rule, small: int) -> tuple[np.ndarray, np.ndarray]:
-    """(signature, index of the set) of all sets: subsets of small ones, group lists of large ones."""
-    size = np.array([len(s) for s in sets], np.int64)
-    out, owner = [], []
-    for i in np.flatnonzero((size <= small) & (size > 0)).tolist():
-        values = [int(v) for v in mix(sets[i], 5)]
-        total, n = sum(values), len(values)
-        for j in range(n - rule.least(n) + 1):
-            found = [(total - sum(c)) & 0xFFFFFFFFFFFFFFFF for c in combinations(values, j)]
-            out.append(mix(np.array(found, _U) + _U(n - j), 6))
-            owner.append(np.full(len(found), i))
-    large = np.flatnonzero(size > small * rule.num // rule.den)
-    if len(large):
-        own = np.searchsorted(rule.low_array, size[large], "right") - 1
-        upper = size[large] * rule.den >= rule.low_array[own + 1] * rule.num
-        for some, cls in ((large, own), (large[upper], own[upper] + 1)):
-            if not len(some):
-                continue
-            groups, spare = rule.groups(cls)
-            base = np.cumsum(groups) - groups
-            flat = np.concatenate([sets[i] for i in some.tolist()])
-            of = np.repeat(np.arange(len(some)), size[some])
-            cell = base[of] + (mix(flat, 7) % groups[of].astype(_U)).astype(np.int64)
-            sums, count = np.zeros(groups.sum(), _U), np.bincount(cell, minlength=groups.sum())
-            np.add.at(sums, cell, mix(flat, 8))
-            holder = np.repeat(np.arange(len(some)), groups)
-            number = np.arange(len(sums)) - base[holder]
-            empty = np.bincount(holder[count == 0], minlength=len(some))
-            told = (count > 0) | (empty > spare)[holder]
-            salt = mix(cls[holder].astype(_U) << _U(40) | number.astype(_U), 9)
-            out.append(mix(sums + salt + mix(count.astype(_U), 10), 11)[told])
-            owner.append(some[holder[told]])
-    if not out:
-        return np.zeros(0, _U), np.zeros(0, np.int64)
+def signatures(sets: list[np.ndarray], often: list[np.ndarray], rule: Rule, small: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, index of the set) of all sets: subsets of small ones, list keys of large ones. often: in how many sets each shingle is."""
+    out, owner = [np.zeros(0, _U)], [np.zeros(0, np.int64)]
+    for i, s in enumerate(sets):
+        n = len(s)
+        if 0 < n <= small:
+            values = [int(v) for v in mix(s, 5)]
+            total = sum(values)
+            for j in range(n - rule.least(n) + 1):
+                found = [(total - sum(c)) & 0xFFFFFFFFFFFFFFFF for c in combinations(values, j)]
+                out.append(mix(np.array(found, _U) + _U(n - j), 6))
+                owner.append(np.full(len(found), i))
+        if n > small * rule.num // rule.den:
+            # sets are sorted, so a stable sort breaks ties by hash, everywhere alike
+            rarest = np.argsort(often[i], kind="stable")[: n - rule.least(n) + 1]
+            keys = s[rarest[often[i][rarest] > 1]]
+            out.append(mix(keys, 7))
+            owner.append(np.full(len(keys), i))
     return np.concatenate(out), np.concatenate(owner)
 
 
@@ -181,9 +146,46 @@ def _shard_sets(table: pa.Table, k: int) -> tuple[np.ndarray, list[np.ndarray]]:
     return keys, sets
 
 
-def _sign(key, table: pa.Table, rule: Rule, small: int, buckets: int) -> pa.Table:
-    _, sets = _shard_sets(table, rule.k)
-    found, owner = signatures(sets, rule, small)
+def _held(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A shard's distinct shingles in order, in how many of its sets each is, and where each element of the sets is among them."""
+    values, of, count = np.unique(np.concatenate([*sets, np.zeros(0, _U)]), return_inverse=True, return_counts=True)
+    return values, count, of
+
+
+def _tell(key, table: pa.Table, rule: Rule, buckets: int) -> pa.Table:
+    """A shard's shingles, to be asked whether they recur: 31 bits of the hash beside those that choose the bucket."""
+    values, count, _ = _held(_shard_sets(table, rule.k)[1])
+    short = (values.astype(np.uint32) & ~np.uint32(1)) | (count > 1).astype(np.uint32)
+    return X.packed(key[0].as_py(), 0, values, buckets, short=short)
+
+
+def _survivors(table: pa.Table, replies: pa.Table, rule: Rule, buckets: int) -> pa.Table:
+    """The sets of a shard enough of whose shingles recur to have a partner."""
+    keys, sets = _shard_sets(table, rule.k)
+    values, _, of = _held(sets)
+    size = np.array([len(x) for x in sets], np.int64)
+    sums = np.concatenate(([0], np.cumsum(X.answers(replies, 0, values, buckets)[of])))
+    cut = np.concatenate(([0], np.cumsum(size)))
+    alive = np.flatnonzero((sums[cut[1:]] - sums[cut[:-1]] >= rule.least(size)) & (size > 0))
+    return pa.table({"key": pa.array(keys[alive], pa.int64()), "n": pa.array(size[alive], pa.int64()), "blob": pa.array([sets[i].tobytes() for i in alive.tolist()], pa.binary())})
+
+
+def _ordered(table: pa.Table) -> tuple[np.ndarray, list[np.ndarray]]:
+    keys, first = np.unique(table["key"].to_numpy(), return_index=True)
+    return keys, _sets_of(table.take(pa.array(first)))
+
+
+def _tell_counts(key, table: pa.Table, buckets: int) -> pa.Table:
+    values, count, _ = _held(_ordered(table)[1])
+    return X.packed(key[0].as_py(), 0, values, buckets, count.astype(np.uint32))
+
+
+def _sign(key, table: pa.Table, replies: pa.Table, rule: Rule, small: int, buckets: int) -> pa.Table:
+    _, sets = _ordered(table)
+    values, _, of = _held(sets)
+    total = X.told_totals(replies, values, buckets)[of]
+    cut = np.cumsum([0, *map(len, sets)]).tolist()
+    found, owner = signatures(sets, [total[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], rule, small)
     order = np.argsort(found, kind="stable")
     return X.packed(key[0].as_py(), 0, found[order], buckets, owner[order].astype(np.uint32))
 
@@ -301,44 +303,20 @@ def _between(left: pa.Table, right: pa.Table, rule: Rule) -> pa.Table:
     return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
 
-def _candidate_sets(table: pa.Table, groups: pa.Table, k: int) -> pa.Table:
-    """The sets of a shard's nodes that are in a candidate group."""
+def _candidate_sets(table: pa.Table, groups: pa.Table) -> pa.Table:
+    """The sets of a shard that are in a candidate group."""
     schema = pa.schema([("comp", pa.int64()), ("tiles", pa.int64()), ("key", pa.int64()), ("blob", pa.binary())])
     if not groups.num_rows or not table.num_rows:
         return schema.empty_table()
-    keys, first = np.unique(table["key"].to_numpy(), return_index=True)
-    index = groups["node"].to_numpy() & 0xFFFFFFFF
-    sets, _ = shingle_sets(table["text"].take(pa.array(first[index])), k)
-    return pa.Table.from_arrays([groups["comp"].combine_chunks(), groups["tiles"].combine_chunks(), pa.array(keys[index], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=schema)
+    keys, sets = _ordered(table)
+    index = (groups["node"].to_numpy() & 0xFFFFFFFF).tolist()
+    return pa.Table.from_arrays([groups["comp"].combine_chunks(), groups["tiles"].combine_chunks(), pa.array(keys[index], pa.int64()), pa.array([sets[i].tobytes() for i in index], pa.binary())], schema=schema)
 
 
 SETS = "comp long, tiles long, key long, blob binary"
 LINKS = "a long, b long"
 
 
-def _tokens(batches):
-    for batch in batches:
-        for a in range(0, batch.num_rows, 256):
-            part = batch.slice(a, 256)
-            sets = _sets_of(part)
-            size = [len(x) for x in sets]
-            comp, key = (np.repeat(part.column(c).to_numpy(), size) for c in ("comp", "key"))
-            yield pa.RecordBatch.from_arrays([pa.array(comp), pa.array(key), pa.array(np.repeat(np.array(size, np.int64), size)), pa.array(np.concatenate(sets).astype(np.int64))], names=["comp", "key", "n", "token"])
-
-
-def _finer(sets: DataFrame, rule: Rule) -> DataFrame:
-    """sets with comp and tiles of finer candidate groups; sets that are alone go."""
-    tokens = sets.select("comp", "key", "blob").mapInArrow(_tokens, "comp long, key long, n long, token long")
-    often = tokens.groupBy("comp", "token").agg(F.count(F.lit(1)).alias("df"))
-    ranked = tokens.join(often, ["comp", "token"]).withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("df", "token")))
-    least = F.ceil(F.col("n") * rule.num / F.lit(rule.den))
-    heads = ranked.where((F.col("r") <= F.col("n") - least + 1) & (F.col("df") > 1)).select("comp", "token", "key")
-    first = heads.groupBy("comp", "token").agg(F.min("key").alias("b"))
-    found = connected_components(heads.join(first, ["comp", "token"]).select(F.col("key").alias("a"), "b")).select(F.col("node").alias("key"), F.col("root").alias("new"))
-    sizes = found.groupBy("new").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("parts"))
-    return storage.materialize(sets.join(found.join(sizes, "new"), "key").select(F.col("new").alias("comp"), F.col("parts").alias("tiles"), "key", "blob"), "finer")
-
-
 def _large_groups(sets: DataFrame, rule: Rule) -> DataFrame:
     """(key, root) of candidate groups of several tiles."""
     tiled = sets.withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")))
@@ -380,25 +358,26 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     sizes = dict(nodes.where(F.col("n") <= MOST_SMALL).groupBy("n").count().collect())  # at most MOST_SMALL rows
     small = rule.boundary(sizes)
     dealt = rows.select("__text").mapInArrow(lambda batches: _distinct(batches, k), "key long, text string").withColumn("shard", F.pmod("key", F.lit(shards)))
-    # about a third as many signatures as words
-    buckets = X.buckets_for(size / 18)
-    signed = dealt.groupBy("shard").applyInArrow(lambda key, table: _sign(key, table, rule, small, buckets), X.MESSAGE)
+    buckets = X.buckets_for(size / 6)  # about a shingle every six bytes
+    by_shard = dealt.groupBy("shard")
+    recur = by_shard.applyInArrow(lambda key, table: _tell(key, table, rule, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.recurring(table, np.uint32), X.MESSAGE)
+    alive = by_shard.cogroup(recur.groupBy("shard")).applyInArrow(lambda table, replies: _survivors(table, replies, rule, buckets), "key long, n long, blob binary")
+    alive = storage.materialize(alive.withColumn("shard", F.pmod("key", F.lit(shards))), "alive")
+    left = alive.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    few = X.buckets_for(left)
+    by_shard = alive.select("shard", "key", "blob").groupBy("shard")
+    often = by_shard.applyInArrow(lambda key, table: _tell_counts(key, table, few), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.totals(table), X.MESSAGE)
+    signed = by_shard.cogroup(often.groupBy("shard")).applyInArrow(lambda key, table, replies: _sign(key, table, replies, rule, small, few), X.MESSAGE)
     candidate = connected_components(signed.groupBy("bucket").applyInArrow(lambda table: _list_links(table), LINKS)).withColumnRenamed("root", "comp")
     counts = candidate.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("tiles"))
     tiled = candidate.join(counts, "comp").withColumn("shard", F.shiftright("node", 32))
-    sets = storage.materialize(dealt.groupBy("shard").cogroup(tiled.groupBy("shard")).applyInArrow(lambda table, groups: _candidate_sets(table, groups, k), SETS), "candidates")
+    sets = storage.materialize(by_shard.cogroup(tiled.groupBy("shard")).applyInArrow(lambda table, groups: _candidate_sets(table, groups), SETS), "candidates")
     batch = F.pmod(F.xxhash64("comp"), F.lit(max(1, shards)))
 
-    def whole(some: DataFrame) -> DataFrame:
-        grouped = some.where("tiles = 1").withColumn("batch", batch).groupBy("batch")
-        return grouped.applyInArrow(lambda table: _within(table, rule), "comp long, key long, root long").select("key", "root")
-
-    labels = whole(sets)
+    grouped = sets.where("tiles = 1").withColumn("batch", batch).groupBy("batch")
+    labels = grouped.applyInArrow(lambda table: _within(table, rule), "comp long, key long, root long").select("key", "root")
     if sets.where("tiles > 1").limit(1).count():
-        finer = _finer(sets.where("tiles > 1"), rule)
-        labels = labels.unionByName(whole(finer))
-        if finer.where("tiles > 1").limit(1).count():
-            labels = labels.unionByName(_large_groups(finer.where("tiles > 1"), rule))
+        labels = labels.unionByName(_large_groups(sets.where("tiles > 1"), rule))
     labels = storage.materialize(labels.where("key <> root"), "roots")
     rooted = nodes.join(labels, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
     named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))

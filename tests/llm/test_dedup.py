@@ -131,7 +131,7 @@ def test_ngram_join_edges(spark, edge_docs):
     assert ngram_join.join_components(edge_docs.limit(0)).count() == 0
 
 
-def test_signatures_meet(spark):
+def test_signatures_meet():
     """Partners always share a signature, whatever their sizes."""
     rule, rng = ngram_join.Rule(4, 85, 100), np.random.default_rng(1)
     for n in (*range(1, 30), 60, 150, 400):
@@ -140,8 +140,10 @@ def test_signatures_meet(spark):
             m = int(rng.integers(0, max(1, n * 15 // 100) + 1))
             b = np.unique(np.concatenate([a[m:], rng.integers(0, 2**63, int(rng.integers(0, m + 2))).astype(np.uint64)]))
             if len(b) and rule.links(len(np.intersect1d(a, b)), len(a), len(b)):
+                often = [1 + np.isin(x, y).astype(np.uint8) for x, y in ((a, b), (b, a))]
+                assert all((o > 1).sum() >= rule.least(len(o)) for o in often)
                 for small in (0, 8, 16):
-                    found, owner = ngram_join.signatures([a, b], rule, small)
+                    found, owner = ngram_join.signatures([a, b], often, rule, small)
                     assert np.intersect1d(found[owner == 0], found[owner == 1]).size
 
 
