@@ -111,3 +111,44 @@ def snapshots(body: Column) -> Column:
     """Timestamps of an archive listing: a JSON array of rows, the first a header."""
     rows = F.from_json(body, "array<array<string>>")
     return F.flatten(F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0))))
+
+
+def child_order(children: DataFrame, parent: str, pos: str, url: str, excluded: list[str], date_from: str, date_to: str) -> DataFrame:
+    """bucket and sort_place of a sitemap index's children: in range first, then unknown; excluded ones have no place (L1)."""
+    from newsflow.functions.dates import url_date
+    from newsflow.functions.urls import has_any
+
+    dated = children.withColumn("__r", url_date(F.col(url), date_from, date_to)["reason"])
+    bucket = F.when(has_any(F.col(url), excluded, ignore_case=False), "excluded_by_string").when(F.col("__r") == "out_of_range", "excluded_by_date").when(F.col("__r") == "in_range", "in_range").otherwise("unknown")
+    marked = dated.withColumn("bucket", bucket).withColumn("__o", F.when(F.col("bucket") == "in_range", 0).when(F.col("bucket") == "unknown", 1))
+    place = F.row_number().over(Window.partitionBy(parent, F.col("__o").isNull()).orderBy("__o", pos))
+    return marked.withColumn("sort_place", F.when(F.col("__o").isNotNull(), place.cast("long"))).drop("__o", "__r")
+
+
+def validate_groups(pages: DataFrame, group: str, index: str, tag: str, day: str, tolerance: int = 2) -> DataFrame:
+    """group and pagination_group_status from its first, middle and last page (G17): urlsets only, dates monotone."""
+    from newsflow.operators.relational import monotone
+
+    w = Window.partitionBy(group)
+    n, r = F.count(F.lit(1)).over(w), F.row_number().over(w.orderBy(index))
+    probe = pages.withColumn("__n", n).withColumn("__r", r).where((F.col("__r") == 1) | (F.col("__r") == F.ceil(F.col("__n") / 2)) | (F.col("__r") == F.col("__n")))
+    kinds = probe.groupBy(group).agg(F.bool_and(F.coalesce(F.col(tag) == "urlset", F.lit(False))).alias("__all"))
+    order = monotone(probe, [group], [index], day, tolerance)
+    return kinds.join(order, group).select(group, F.when(F.col("__all"), F.col("direction")).otherwise("invalid_urlsets").alias("pagination_group_status"))
+
+
+def next_work(tree: DataFrame) -> DataFrame:
+    """The one row to fetch next (G20): rows without a group by parent and place, then grouped ones by parent, group and index."""
+    grouped = F.col("pagination_group").isNotNull().cast("int")
+    order = [grouped, "parent_id", F.coalesce("pagination_group", F.lit("")), F.coalesce("pagination_index", "sort_place"), "id"]
+    return tree.where("not processed").orderBy(*order).limit(1)
+
+
+def retry_rows(log: DataFrame) -> DataFrame:
+    """Default progression rows for the retry-flagged rows of a response log, one per URL."""
+    return log.where("retry_flag").select("root_url", "url").distinct().select("root_url", "url", F.lit(False).alias("processed"), F.lit("in_progress").alias("processing_status"), F.lit("unknown").alias("root_tag"))
+
+
+def snapshot_url(stamp: Column, url: Column, archive: str) -> Column:
+    """Address of an archived copy."""
+    return F.concat(F.lit(archive.rstrip("/") + "/"), stamp, F.lit("id_/"), url)

@@ -267,3 +267,76 @@ def q_stream_counts(spark, d):
         return response_counts(stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("analysis")), window="1 day", late="400 days")
 
     return _streamed(spark, d, build, "update").select(F.col("start").cast("timestamp_ntz").alias("start"), "analysis", "n")
+
+
+def _domains(spark, d):
+    return table(spark, d, "nation").select(F.concat(F.lit("d"), "n_nationkey", F.lit(".de")).alias("domain_url"), F.col("n_nationkey").alias("k"))
+
+
+def _discovered(spark, d):
+    from newsflow.operators import discovery
+
+    domains, k = _domains(spark, d), F.col("k")
+    body = F.when(k % 3 == 0, F.concat(F.lit("Sitemap: https://"), "domain_url", F.lit("/a.xml\nsitemap: https://"), "domain_url", F.lit("/b.xml"))).otherwise("User-agent: *")
+    answers = domains.where("k % 5 <> 0").select(F.concat(F.when(k % 2 == 0, "https://").otherwise("http://"), "domain_url", F.lit("/robots.txt")).alias("url"), F.lit(200).alias("status"), body.alias("body"))
+    late = domains.where("k % 5 <> 0").select(F.concat(F.lit("https://www."), "domain_url", F.lit("/robots.txt")).alias("url"), F.lit(200).alias("status"), F.lit("other").alias("body"))
+    usual = domains.where("k % 4 = 0").select(F.concat(F.lit("https://"), "domain_url", F.lit("/sitemap.xml")).alias("url"), F.lit(200).alias("status"), F.lit("<urlset/>").alias("body"))
+    responses_ = answers.union(late).union(usual)
+    robots = discovery.robots(domains, responses_)
+    return robots, discovery.merge(discovery.declared(robots), discovery.typical(domains, responses_))
+
+
+@register("q_robots_probe", "SELECT 'd' || n_nationkey || '.de' AS domain_url, CASE WHEN n_nationkey % 5 <> 0 THEN CASE WHEN n_nationkey % 2 = 0 THEN 'https://' ELSE 'http://' END || 'd' || n_nationkey || '.de/robots.txt' END AS robots_txt FROM nation")
+def q_robots_probe(spark, d):
+    return _discovered(spark, d)[0].select("domain_url", "robots_txt")
+
+
+_FOUND = """WITH k AS (SELECT n_nationkey AS k, 'd' || n_nationkey || '.de' AS domain_url FROM nation)
+ SELECT domain_url, 'multiple sitemaps' AS sitemap_check, 'https://' || domain_url || f AS sitemap_URL FROM k, (VALUES ('/a.xml'), ('/b.xml')) AS t(f) WHERE k % 5 <> 0 AND k % 3 = 0
+ UNION ALL SELECT domain_url, 'found typical sitemap', 'https://' || domain_url || '/sitemap.xml' FROM k WHERE (k % 5 = 0 OR k % 3 <> 0) AND k % 4 = 0
+ UNION ALL SELECT domain_url, 'no sitemap', NULL FROM k WHERE (k % 5 = 0 OR k % 3 <> 0) AND k % 4 <> 0"""
+
+
+@register("q_discovery", _FOUND)
+def q_discovery(spark, d):
+    return _discovered(spark, d)[1]
+
+
+@register("q_step_summary", f"SELECT 'robots' AS step, count(*) AS total, count(*) FILTER (WHERE n_nationkey % 5 <> 0) AS successful FROM nation UNION ALL SELECT 'sitemaps', count(*), count(sitemap_URL) FROM ({_FOUND})")
+def q_step_summary(spark, d):
+    from newsflow.operators import discovery
+
+    robots, found = _discovered(spark, d)
+    return discovery.step_summary({"robots": (robots, "robots_txt"), "sitemaps": (found, "sitemap_URL")}).select("step", "total", "successful")
+
+
+_CHILDREN = "SELECT l_orderkey AS parent, l_orderkey * 10 + l_linenumber AS pos, CASE WHEN l_linenumber % 4 = 0 THEN '/video' ELSE '' END || CASE WHEN l_orderkey % 3 = 0 THEN '/sm' ELSE strftime(l_shipdate, '/%Y-%m-%d/') END AS url, l_shipdate, l_orderkey FROM lineitem"
+
+
+@register("q_child_order", f"""WITH b AS (SELECT parent, pos, CASE WHEN contains(url, 'video') THEN 'excluded_by_string' WHEN l_orderkey % 3 = 0 THEN 'unknown' WHEN date_trunc('month', l_shipdate) <= DATE '1998-06-15' AND last_day(l_shipdate) >= DATE '1996-02-10' THEN 'in_range' ELSE 'excluded_by_date' END AS bucket FROM ({_CHILDREN})),
+ o AS (SELECT *, CASE bucket WHEN 'in_range' THEN 0 WHEN 'unknown' THEN 1 END AS o FROM b) SELECT pos, bucket, CASE WHEN o IS NOT NULL THEN row_number() OVER (PARTITION BY parent, o IS NULL ORDER BY o, pos) END AS sort_place FROM o""")
+def q_child_order(spark, d):
+    url = F.concat(F.when(F.col("l_linenumber") % 4 == 0, "/video").otherwise(""), F.when(F.col("l_orderkey") % 3 == 0, "/sm").otherwise(F.date_format("l_shipdate", "/yyyy-MM-dd/")))
+    w = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("parent"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), url.alias("url"))
+    return sitemaps.child_order(w, "parent", "pos", "url", ["video"], "1996-02-10", "1998-06-15").select("pos", "bucket", "sort_place")
+
+
+@register("q_group_validation", """WITH p AS (SELECT o_custkey AS g, o_orderkey AS i, CASE WHEN o_orderkey % 9 = 0 THEN 'sitemapindex' ELSE 'urlset' END AS tag, CAST(o_orderdate AS DATE) AS day, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS r, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders),
+ s AS (SELECT *, date_diff('day', lag(day) OVER (PARTITION BY g ORDER BY i), day) AS dd FROM p WHERE r = 1 OR r = n OR r = CAST(ceil(n / 2) AS BIGINT))
+ SELECT g, CASE WHEN NOT bool_and(tag = 'urlset') THEN 'invalid_urlsets' WHEN coalesce(bool_and(dd >= -2), true) THEN 'valid_up' WHEN coalesce(bool_and(dd <= 2), true) THEN 'valid_down' ELSE 'invalid' END AS pagination_group_status FROM s GROUP BY g""")
+def q_group_validation(spark, d):
+    pages = table(spark, d, "orders").select(F.col("o_custkey").alias("g"), F.col("o_orderkey").alias("i"), F.when(F.col("o_orderkey") % 9 == 0, "sitemapindex").otherwise("urlset").alias("tag"), F.col("o_orderdate").cast("date").alias("day"))
+    return sitemaps.validate_groups(pages, "g", "i", "tag", "day")
+
+
+@register("q_next_work", "SELECT o_orderkey AS id FROM orders WHERE o_orderkey % 3 <> 0 ORDER BY CAST(o_orderkey % 2 = 0 AS INT), o_custkey, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE '' END, CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey ELSE o_orderkey % 100 END, o_orderkey LIMIT 1")
+def q_next_work(spark, d):
+    k = F.col("o_orderkey")
+    tree = table(spark, d, "orders").select(k.alias("id"), F.col("o_custkey").alias("parent_id"), (k % 3 == 0).alias("processed"), F.when(k % 2 == 0, F.col("o_orderpriority")).alias("pagination_group"), F.when(k % 2 == 0, k).alias("pagination_index"), (k % 100).alias("sort_place"))
+    return sitemaps.next_work(tree).select("id")
+
+
+@register("q_retry_rows", f"SELECT DISTINCT user_id AS root_url, event_id AS url, false AS processed, 'in_progress' AS processing_status, 'unknown' AS root_tag FROM (SELECT *, {_CATEGORY} AS c FROM ({_EVENTS})) WHERE c IN ('hard_block_indication', 'soft_block_indication')")
+def q_retry_rows(spark, d):
+    log = responses.block_streaks(_log(spark, d), ["user_id"], ["ts", "event_id"], "status")
+    return sitemaps.retry_rows(log.select(F.col("user_id").alias("root_url"), F.col("event_id").alias("url"), "retry_flag"))
