@@ -45,7 +45,7 @@ def _axes(vectors: DataFrame) -> np.ndarray:
     """Principal axes, largest spread first, one per column."""
     found = vectors.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("v").toArrow()["v"].to_pylist()
     size = max(map(len, found), default=0)
-    x = np.array([v for v in found if len(v) == size], float).reshape(-1, size)
+    x = np.array([v for v in found if len(v) == size], float).reshape(sum(len(v) == size for v in found), size)
     _, axes = np.linalg.eigh(x.T @ x)
     return axes[:, ::-1]
 
