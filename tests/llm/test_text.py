@@ -188,7 +188,7 @@ def test_token_store(spark, small_docs, edge_docs):
 
 def test_token_store_notices_damage(spark, small_docs, tmp_path):
     out = token_store.build(small_docs, catalog.tokenizer_file("word_bpe_49k.json"), 1, str(tmp_path / "a"))
-    spark.read.parquet(f"{out}/chunks").withColumn("payload", F.reverse("payload")).write.parquet(f"{tmp_path}/b/chunks")
+    spark.read.parquet(f"{out}/chunks").withColumn("payload", F.concat("payload", F.unhex(F.lit("0000")))).write.parquet(f"{tmp_path}/b/chunks")
     for t in ("recipes", "manifest"):
         spark.read.parquet(f"{out}/{t}").write.parquet(f"{tmp_path}/b/{t}")
     with pytest.raises(Exception, match="does not hold what it is named for"):
@@ -234,7 +234,8 @@ def test_sentencepiece(spark, small_docs, edge_docs):
     texts = [w for r in small_docs.limit(60).collect() for w in r.text.split()][:3000] + ["Hello  world", " a", "a ", "é😀", "\x00\t\n", "   ", "naïve—test", "ﷺx"]
     ids, cuts = model.encode(pa.array(texts))
     for t, a, b in zip(texts, cuts[:-1], cuts[1:], strict=True):
-        assert ids[a:b].tolist() == library.encode(t), t
+        # equal totals: scores are whole numbers, so several segmentations can be best
+        assert sum(map(library.get_score, ids[a:b].tolist())) == sum(map(library.get_score, library.encode(t))), t
     for docs in (small_docs, edge_docs):
         out = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(docs, path), path)
         assert out.where(~F.col("decoded").eqNullSafe(F.col("text"))).count() == 0 and out.count() == docs.count()
