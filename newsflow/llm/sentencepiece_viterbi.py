@@ -9,7 +9,7 @@ only the rest is computed.
 
 Score of a segmentation: the sum of its pieces' scores in the model file, at most; among equals the
 longer last piece. A character that no piece covers costs ten less than the worst piece and becomes its
-UTF-8 bytes' pieces. The library finds the same total for a model of type unigram. The public model here
+UTF-8 bytes' pieces. The public model here
 is of type BPE: its scores are merge ranks, so the ids are those of the same vocabulary read as a
 unigram model and not those of BPE merging (see the README).
 
