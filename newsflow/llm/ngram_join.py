@@ -122,7 +122,7 @@ def signatures(sets: list[np.ndarray], often: list[np.ndarray], rule: Rule, smal
 def _meta(batches, k: int):
     for batch in pieces(batches, "__text"):
         sets, _ = shingle_sets(batch.column("__text"), k)
-        yield pa.RecordBatch.from_arrays([batch.column("__id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_keys(sets), pa.int64())], names=["__id", "n", "key"])
+        yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__mark"), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_keys(sets), pa.int64())], names=["__id", "__mark", "n", "key"])
 
 
 def _distinct(batches, k: int):
@@ -346,15 +346,16 @@ def _merge(labels: DataFrame, links: DataFrame) -> DataFrame:
     return storage.materialize(labels.join(found.withColumnRenamed("root", "new").withColumnRenamed("node", "root"), "root", "left").select("comp", "key", F.coalesce("new", "root").alias("root")), "labels")
 
 
-def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: the id, n_shingles and component_id, the smallest id that links reach."""
+def _rooted(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(__id, __mark, n, key) of every row of docs, where __mark is the hash of its text; (key, rep, root) of every set, where rep is its first row: null ids last, then by id and mark."""
     rule = Rule(k, num, den)
     rows = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     size = X.text_bytes(rows, "__text")
     shards = X.shards_for(size)
     id_field = T.StructField("__id", docs.schema[id_col].dataType)
-    meta = storage.materialize(rows.mapInArrow(lambda batches: _meta(batches, k), T.StructType([id_field, *T._parse_datatype_string("n long, key long").fields])), "sets")
-    nodes = meta.where("n > 0").groupBy("key").agg(F.min("__id").alias("rep"), F.max("n").alias("n"))
+    marked = rows.withColumn("__mark", F.xxhash64("__text"))
+    meta = storage.materialize(marked.mapInArrow(lambda batches: _meta(batches, k), T.StructType([id_field, *T._parse_datatype_string("__mark long, n long, key long").fields])), "sets")
+    nodes = meta.where("n > 0").groupBy("key").agg(F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__mark")).alias("rep"), F.max("n").alias("n"))
     sizes = dict(nodes.where(F.col("n") <= MOST_SMALL).groupBy("n").count().collect())  # at most MOST_SMALL rows
     small = rule.boundary(sizes)
     dealt = rows.select("__text").mapInArrow(lambda batches: _distinct(batches, k), "key long, text string").withColumn("shard", F.pmod("key", F.lit(shards)))
@@ -379,17 +380,27 @@ def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     if sets.where("tiles > 1").limit(1).count():
         labels = labels.unionByName(_large_groups(sets.where("tiles > 1"), rule))
     labels = storage.materialize(labels.where("key <> root"), "roots")
-    rooted = nodes.join(labels, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
-    named = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    return meta, nodes.join(labels, "key", "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
+
+
+def join_components(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of docs: the id, n_shingles and component_id, the smallest id that links reach."""
+    meta, rooted = _rooted(docs, k, num, den, id_col, text_col)
+    named = rooted.groupBy("root").agg(F.min("rep")["__id"].alias("component_id"))
     found = rooted.join(named, "root").select("key", "component_id")
     out = meta.join(found, "key", "left").select("__id", "n", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("__id")).alias("component_id"))
     return out.select(F.col("__id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, of the smallest id of each component; of rows that repeat an id the one whose text has the least hash."""
-    found = join_components(docs, k, num, den, id_col, text_col)
-    heads = found.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("__head")).distinct()
-    kept = docs.select(F.struct(*docs.columns).alias("__row"), F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__mark")).join(heads, F.col("__id").eqNullSafe(F.col("__head")), "left_semi")
-    order = Window.partitionBy("__id").orderBy("__mark")
-    return kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").select("__row.*")
+    """The rows of docs, all columns, that link with nothing, and of linked rows the one of the smallest id (a null id comes last), of these the one whose text has the least hash."""
+    _, rooted = _rooted(docs, k, num, den, id_col, text_col)
+    heads = rooted.groupBy("root").agg(F.min("rep").alias("h")).select(F.col("h.__id").alias("__head"), F.col("h.__mark").alias("__head_mark"))
+    worded = F.coalesce(F.col(text_col).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    # equal ids and texts are copies, whatever the other columns
+    tie = F.xxhash64(*[F.col(c) for c, kind in docs.dtypes if "map<" not in kind])
+    rows = docs.where(worded).select(F.struct(*docs.columns).alias("__row"), F.col(id_col).alias("__id"), F.xxhash64(text_col).alias("__mark"), tie.alias("__tie"))
+    kept = rows.join(heads, F.col("__id").eqNullSafe(F.col("__head")) & (F.col("__mark") == F.col("__head_mark")), "left_semi")
+    order = Window.partitionBy("__id", "__mark").orderBy("__tie")
+    first = kept.withColumn("__n", F.row_number().over(order)).where("__n = 1").select("__row.*")
+    return first.unionByName(docs.where(~worded))

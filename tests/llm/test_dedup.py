@@ -131,6 +131,18 @@ def test_ngram_join_edges(spark, edge_docs):
     assert ngram_join.join_components(edge_docs.limit(0)).count() == 0
 
 
+def test_ngram_join_keeps_by_row(spark):
+    """Null and repeated ids of different texts: only linked rows compete."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(12))
+    rows = [
+        (1, text("a")), (5, text("a")), (5, text("b")), (5, text("c")), (6, text("c")), (None, text("a")), (None, text("d")), (None, text("d")), (None, text("e")), (None, text("f")),
+        (None, None), (None, None), (None, " "), (7, ""), (7, None), (8, text("f") + " more"),
+    ]
+    want = [(1, text("a")), (5, text("b")), (5, text("c")), (None, text("d")), (None, text("e")), (8, text("f") + " more"), (None, None), (None, None), (None, " "), (7, ""), (7, None)]
+    docs = spark.createDataFrame([(*r, {"k": 1}) for r in rows], "doc_id long, text string, m map<string, int>")
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in ngram_join.keep_one(docs).collect()))) == sorted(map(repr, want))
+
+
 def test_signatures_meet():
     """Partners always share a signature, whatever their sizes."""
     rule, rng = ngram_join.Rule(4, 85, 100), np.random.default_rng(1)
