@@ -12,8 +12,8 @@ of ids in different documents are cut alike. It writes three Parquet tables unde
 * ``manifest``: per part n_docs, n_tokens, first_start and root (Merkle root of its documents).
 
 ``read`` goes back from the files: it checks every payload against its SHA-256, every document and
-part against its Merkle root, and returns start, n_tokens and the CRC-32 of the ids per document;
-``read_ids`` rebuilds the ids themselves.
+part against its Merkle root, that every document's chunks are there with all its ids, and returns start, n_tokens and the CRC-32 of the ids per document;
+``read_ids`` rebuilds the ids themselves, and raises too where some are missing.
 
 Encoding: the tokenizers file drops white space and never joins ids across it, nor across a Latin
 letter and an ASCII sign, so a text's ids are those of such words one after another, in any case of
@@ -34,7 +34,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -279,12 +279,17 @@ def _verify_parts(key, table: pa.Table, manifest: pa.Table) -> pa.Table:
     return table.drop_columns(["shas", "root"])
 
 
+def _whole(docs: DataFrame, whole: Column) -> DataFrame:
+    """docs, all of which must be whole. A filter, so that counting rows checks them too."""
+    return docs.where(F.when(whole, True).otherwise(F.raise_error(F.concat(F.lit("chunks are missing: a document of part "), F.col("part").cast("string"), F.lit(" does not have the ids its recipe counts")))))
+
+
 def read(spark: SparkSession, out_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and n_chunks of every document, from the files of a store."""
     chunks = spark.read.parquet(f"{out_dir}/chunks").mapInArrow(_checked, "sha binary, n long, crc long")
     recipes, manifest = spark.read.parquet(f"{out_dir}/recipes"), spark.read.parquet(f"{out_dir}/manifest")
     parts = spark.createDataFrame(starts_of(spark, out_dir), "part long, first_start long, part_tokens long")
-    told = recipes.select("part", "__id", "local_start", "n_tokens", "root", F.transform("chunks", lambda c: c["sha"]).alias("shas"))
+    told = recipes.select("part", "__id", "local_start", "n_tokens", F.size("chunks").cast("long").alias("told_chunks"), "root", F.transform("chunks", lambda c: c["sha"]).alias("shas"))
     schema = T.StructType([f for f in told.schema.fields if f.name not in ("shas", "root")])
     docs = told.groupBy("part").cogroup(manifest.groupBy("part")).applyInArrow(lambda key, table, manifest: _verify_parts(key, table, manifest), schema)
     used = recipes.select("part", "local_start", F.explode("chunks").alias("c")).select("part", "local_start", "c.sha", "c.after")
@@ -292,7 +297,8 @@ def read(spark: SparkSession, out_dir: str) -> DataFrame:
     moved = held.select("part", "local_start", "n", "after", "crc").mapInArrow(_shift, "part long, local_start long, n long, after long, crc long")
     sums = moved.groupBy("part", "local_start").agg(F.sum("n").alias("found"), F.bit_xor("crc").alias("crc"), F.count(F.lit(1)).alias("n_chunks"))
     # the manifest has one row per file of recipes, so its size is that of a listing
-    return docs.join(sums, ["part", "local_start"]).join(F.broadcast(parts), "part").select(F.col("__id").alias("doc_id"), (F.col("first_start") + F.col("local_start")).alias("start"), F.col("found").alias("n_tokens"), F.col("crc").alias("ids_crc32"), "n_chunks")
+    found = _whole(docs.join(sums, ["part", "local_start"], "left"), (F.col("found") == F.col("n_tokens")) & (F.col("n_chunks") == F.col("told_chunks")))
+    return found.join(F.broadcast(parts), "part").select(F.col("__id").alias("doc_id"), (F.col("first_start") + F.col("local_start")).alias("start"), F.col("found").alias("n_tokens"), F.col("crc").alias("ids_crc32"), "n_chunks")
 
 
 def _joined(key, table: pa.Table) -> pa.Table:
@@ -306,6 +312,7 @@ def read_ids(spark: SparkSession, out_dir: str) -> DataFrame:
     recipes = spark.read.parquet(f"{out_dir}/recipes")
     used = recipes.select("part", "local_start", F.explode("chunks").alias("c")).select("part", "local_start", "c.sha", "c.after")
     rebuilt = used.join(spark.read.parquet(f"{out_dir}/chunks"), "sha").drop("sha").groupBy("part", "local_start").applyInArrow(lambda key, table: _joined(key, table), "part long, local_start long, ids array<int>")
-    return recipes.select("part", "local_start", F.col("__id").alias("doc_id")).join(rebuilt, ["part", "local_start"]).select("doc_id", "ids")
+    docs = recipes.select("part", "local_start", F.col("__id").alias("doc_id"), "n_tokens").join(rebuilt, ["part", "local_start"], "left")
+    return _whole(docs, F.size("ids") == F.col("n_tokens")).select("doc_id", "ids")
 
 

@@ -195,6 +195,18 @@ def test_token_store_notices_damage(spark, small_docs, tmp_path):
         token_store.read(spark, str(tmp_path / "b")).count()
 
 
+def test_token_store_notices_missing_chunks(spark, small_docs, tmp_path):
+    out = token_store.build(small_docs, catalog.tokenizer_file("word_bpe_49k.json"), 1, str(tmp_path / "a"))
+    most = F.max_by("chunks", F.size("chunks"))
+    for name, chunk in (("one", spark.read.parquet(f"{out}/recipes").select(most).first()[0][0]), ("only", spark.read.parquet(f"{out}/recipes").where("size(chunks) = 1").first().chunks[0])):
+        spark.read.parquet(f"{out}/chunks").where(F.col("sha") != F.lit(bytes(chunk.sha))).write.parquet(f"{tmp_path}/{name}/chunks")
+        for t in ("recipes", "manifest"):
+            spark.read.parquet(f"{out}/{t}").write.parquet(f"{tmp_path}/{name}/{t}")
+        for read in (token_store.read, token_store.read_ids):
+            with pytest.raises(Exception, match="chunks are missing"):
+                read(spark, f"{tmp_path}/{name}").count()
+
+
 def best_total(model, text):
     """Score of the best segmentation of a whole text, by plain dynamic programming."""
     text = " " + text
