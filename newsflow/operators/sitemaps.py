@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,18 +41,18 @@ def links(xml: Column) -> Column:
     return F.filter(dated, lambda x: F.coalesce(x["result_link"].rlike("^https?://"), F.lit(False)))
 
 
-def walk(roots: DataFrame, responses: DataFrame, most_levels: int = 20) -> DataFrame:
+def walk(roots: DataFrame, responses: DataFrame) -> DataFrame:
     """Breadth-first traversal: url, parent_url, root_url, depth, root_tag, status of every sitemap that the roots reach.
 
     Every level is one join of the frontier with the responses; URLs that a root has seen are not taken
-    again. Levels are written tables (lineage stays short); the only thing read back is whether a
-    frontier is empty.
+    again, so it ends, however deep the tree. Levels are written tables (lineage stays short); the only
+    thing read back is whether a frontier is empty.
     """
     from newsflow.sources.tables import materialize
 
     frontier = roots.select(F.col("url"), F.lit(None).cast("string").alias("parent_url"), F.col("url").alias("root_url"), F.lit(0).cast("long").alias("depth")).distinct()
     done = None
-    for level in range(most_levels):
+    for level in count():
         fetched = frontier.join(responses.select("url", "status", "body"), "url", "left")
         tag = root_tag(F.col("body"))
         status = F.when(F.col("status").isNull() | (F.col("status") != 200), "response_error").when(tag.isNull(), "xml_error").when(tag == "urlset", "scraped").when(tag == "sitemapindex", "subsitemap_sorted").otherwise("unsupported_root_tag")

@@ -65,6 +65,13 @@ def test_xml(spark):
         assert spark.createDataFrame([(bad,)], "x string").select(sitemaps.root_tag(F.col("x"))).first()[0] is None
 
 
+def test_walk_goes_to_the_end(spark):
+    index = lambda *c: "<sitemapindex>" + "".join(f"<sitemap><loc>{x}</loc></sitemap>" for x in c) + "</sitemapindex>"
+    rows = [(f"s{i}", 200, index(f"s{i + 1}", "s0")) for i in range(23)] + [("s23", 200, "<urlset></urlset>")]
+    got = sitemaps.walk(spark.createDataFrame([("s0",)], "url string"), spark.createDataFrame(rows, "url string, status int, body string")).collect()
+    assert {(r.url, r.parent_url, r.depth) for r in got} == {("s0", None, 0)} | {(f"s{i}", f"s{i - 1}", i) for i in range(1, 24)} and len(got) == 24
+
+
 def test_master_status(spark):
     tree = spark.createDataFrame([("a", "scraped"), ("a", "excluded_by_date"), ("b", "response_error"), ("c", "in_progress"), ("c", "scraped"), ("d", "scraped"), ("e", "scraped"), ("e", "xml_error")], "root_url string, processing_status string")
     log = spark.createDataFrame([("d", True), ("a", False)], "root_url string, retry_flag boolean")
