@@ -5,9 +5,9 @@ forwards, one backwards, and a linear layer on both states labels every position
 probabilities are the mean over all its positions, so every byte of every text counts. Texts are read
 in segments of SEGMENT bytes, many at a time, each with fresh states.
 
-Training takes a bounded sample: MOST_TEXTS labelled texts (those with the least hash of their id),
-of each a span of SPAN characters at a place that the hash chooses. Languages that the sample does not
-hold can't be predicted.
+Training takes a bounded sample: MOST_TEXTS labelled texts, of each language about equally many (those
+with the least hash of id and span; all of a rare language) and one at least, of each a span of SPAN
+characters at a place that the id's hash chooses. So every language that has a labelled text is learned.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0; without a labelled text
 everything is ``und``; repeated rows get equal predictions; ties go to the first language in
@@ -172,8 +172,24 @@ def fit(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: st
     order = F.xxhash64("id")
     rows = docs.where(may_learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     span = F.substring("text", (F.pmod(F.xxhash64("id", F.lit(1)), F.greatest(F.length("text") - SPAN, F.lit(1)).cast("long")) + 1).cast("int"), F.lit(SPAN))
-    found = rows.select("id", span.alias("text"), "lang").orderBy(order, "id", "text").limit(MOST_TEXTS).collect()
-    return train([r.text.encode() for r in found], [r.lang for r in found])
+    spans = rows.select(order.alias("o"), "id", span.alias("text"), "lang").withColumn("h", F.shiftrightunsigned(F.xxhash64("id", "text"), 11))
+    # one row per language goes to the driver: its size and its first text
+    per = spans.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("h", "id", "text", "o")).alias("first")).collect()
+    if not per:
+        return train([], [])
+    sizes = spans.sparkSession.createDataFrame([(r.lang, r.n) for r in per], "lang string, n long")
+    place = F.col("h") / float(1 << 53) * F.col("n")  # about the row's place by hash within its language
+    best = spans.join(F.broadcast(sizes), "lang").orderBy(place, "id", "text", "lang").limit(MOST_TEXTS).select("o", "id", "text", "lang", "h").collect()
+    first = {r.lang: (r.first.h, r.first.id, r.first.text) for r in per}
+    sure = [(r.first.o, r.first.text, r.lang) for r in per]
+    more = []
+    for r in best:
+        if first.get(r.lang) == (r.h, r.id, r.text):
+            del first[r.lang]  # it is in already
+        else:
+            more.append((r.o, r.text, r.lang))
+    found = sorted(sure + more[: max(0, MOST_TEXTS - len(sure))])
+    return train([text.encode() for _, text, _ in found], [lang for _, _, lang in found])
 
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -139,6 +139,16 @@ def test_language_id(spark, edge_docs):
     assert language_id.fit(edge_docs.limit(0), F.lit(True)).langs == []
 
 
+def test_language_id_learns_rare_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_TEXTS", 40)
+    rows = [(i, f"the cat and the dog {i}", "en") for i in range(3000)] + [(i, f"der hund und die katze {i}", "de") for i in range(3000, 6000)]
+    rows += [(i, f"zqx wvk {i}", "rare") for i in range(6000, 6003)] + [(None, "øæå", "copies")] * 500
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda texts, langs: seen.extend(langs))
+    language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert len(seen) == 40 and seen.count("rare") == 3 and "copies" in seen and min(seen.count("en"), seen.count("de")) >= 5
+
+
 def test_gru_gradients():
     """Backpropagation through time against finite differences."""
     rng = np.random.default_rng(1)
