@@ -74,7 +74,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the text they decode to: doc_id, n_ids, ids_hash, decoded_sha256, round_trip."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     path = tokenizer_file("piece_bpe_32k.model")
-    found = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(docs, path), path)
+    found = sentencepiece_viterbi.round_trip(docs, path)
     return found.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), F.sha2(F.coalesce("decoded", F.lit("")).cast("binary"), 256).alias("decoded_sha256"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from newsflow.llm import exchange as X
 from newsflow.llm import storage
 from newsflow.llm.components import connected_components, local_components
-from newsflow.llm.textbytes import Words, mix, pieces, span_hashes
+from newsflow.llm.textbytes import Words, gram_hashes, mix, pieces
 
 _U = np.uint64
 #: Sets of one candidate group that one task compares; leading sets that larger groups are compared with.
@@ -82,13 +82,13 @@ def shingle_sets(column, k: int) -> tuple[list[np.ndarray], Words]:
     starts, text = words.gram_starts(k)
     hashes = words.gram_hashes(starts, k)
     cut = np.searchsorted(text, np.arange(len(words.counts) + 1))
-    short = np.flatnonzero((words.counts > 0) & (words.counts < k))
-    whole = dict(zip(short.tolist(), _span(words, short), strict=True))
-    return [np.unique(hashes[a:b]) if b > a else whole.get(i, hashes[:0]) for i, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True))], words
-
-
-def _span(words: Words, texts: np.ndarray) -> np.ndarray:
-    return span_hashes(words.hashes, words.first[texts], words.first[texts + 1])[:, None]
+    sets = [np.unique(hashes[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+    for n in range(1, k):  # fewer words than a shingle: the whole sequence
+        some = np.flatnonzero(words.counts == n)
+        if len(some):
+            for i, x in zip(some.tolist(), gram_hashes(words.hashes, n)[words.first[some]], strict=True):
+                sets[i] = np.array([x], _U)
+    return sets, words
 
 
 def set_keys(sets: list[np.ndarray]) -> np.ndarray:

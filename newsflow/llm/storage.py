@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; where it is unset (tests, local runs), one of our own."""
+    """The folder that the session names in spark.checkpoint.dir. Where it is unset: one of our own on a local master, an error on a cluster."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="newsflow-"))
         found = spark.sparkContext.getCheckpointDir()
     return found

@@ -1,13 +1,20 @@
 """Vectorised work on the UTF-8 bytes of whole batches of texts.
 
 Words are ``[^\\x20\\x09-\\x0D]+``. UTF-8 never uses those byte values inside a longer sequence, so
-splitting bytes and splitting characters give the same words. Hashes are 64-bit: polynomials modulo
-2**64 over random values, taken from prefix sums, so that the hash of any span costs O(1), and then
-mixed.
+splitting bytes and splitting characters give the same words.
+
+Hashes are 64-bit and built by a nonlinear mixer: words eight bytes at a time (long ones by BLAKE2b),
+runs of words by doubling. No regular pattern of bytes or words makes two of them collide, as it does
+with polynomials modulo 2**64; these (``rolling_hashes``) only place cuts, where a collision is harmless.
+Where results must not rest on hashes at all, ``distinct_spans`` tells byte strings apart by their bytes.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -34,26 +41,100 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x
 
 
-BYTE_VALUES = mix(np.arange(256), 77)
 _POWERS = {"up": np.ones(1, _U), "down": np.ones(1, _U)}
+#: Powers are kept up to so many positions; longer inputs make their own and drop them.
+MOST_POWERS = 1 << 20
 
 
 def _powers(which: str, n: int) -> np.ndarray:
     """BASE**i (up) or BASE**-i (down) for i < n, modulo 2**64."""
-    if len(_POWERS[which]) < n:
+    found = _POWERS[which]
+    if len(found) < n:
         step = np.full(1 << max(16, (n - 1).bit_length()), BASE if which == "up" else INVERSE, _U)
         step[0] = 1
-        _POWERS[which] = np.cumprod(step)
-    return _POWERS[which][:n]
+        found = np.cumprod(step)
+        if len(found) <= MOST_POWERS:
+            _POWERS[which] = found
+    return found[:n]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of values[s:e] for each span; equal sequences have equal hashes wherever they lie."""
-    if not len(starts):
-        return np.zeros(0, _U)
+def rolling_hashes(values: np.ndarray, width: int) -> np.ndarray:
+    """Polynomial hash of values[p:p + width] for every p at which it fits, from prefix sums."""
+    n = max(0, len(values) - width + 1)
     sums = np.zeros(len(values) + 1, _U)
     np.cumsum(values * _powers("up", len(values)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _powers("down", len(values) + 1)[starts] + (ends - starts).astype(_U))
+    return mix((sums[width : width + n] - sums[:n]) * _powers("down", n))
+
+
+#: Longer byte strings are hashed by BLAKE2b.
+LONG_BYTES = 256
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(8)] + [0xFFFFFFFFFFFFFFFF], _U)
+
+
+def _eights(flat: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on as one number."""
+    padded = np.concatenate([flat, np.zeros(8, np.uint8)])
+    return np.ndarray(len(flat) + 1, "<u8", padded, strides=(1,))
+
+
+def byte_hashes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of flat[s:e] for each span."""
+    size = ends - starts
+    out = mix(size)
+    eights, some, at = _eights(flat), np.flatnonzero((size > 0) & (size <= LONG_BYTES)), 0
+    while len(some):
+        part = eights[starts[some] + at] & _TAIL[np.minimum(size[some] - at, 8)]
+        out[some] = mix(out[some] ^ part, 1)
+        at += 8
+        some = some[size[some] > at]
+    for i in np.flatnonzero(size > LONG_BYTES).tolist():
+        out[i] = int.from_bytes(hashlib.blake2b(flat[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
+def distinct_spans(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first span of each distinct byte string, and which of these each span is; by the bytes, whatever their hashes."""
+    _, at, of = np.unique(byte_hashes(flat, starts, ends), return_index=True, return_inverse=True)
+    size, same = ends - starts, at[of]
+    wrong = size != size[same]
+    eights, some, k = _eights(flat), np.flatnonzero(~wrong & (size <= LONG_BYTES) & (size > 0)), 0
+    while len(some):
+        tail = _TAIL[np.minimum(size[some] - k, 8)]
+        wrong[some] |= (eights[starts[some] + k] ^ eights[starts[same[some]] + k]) & tail > 0
+        k += 8
+        some = some[size[some] > k]
+    for i in np.flatnonzero(~wrong & (size > LONG_BYTES)).tolist():
+        wrong[i] = (flat[starts[i] : ends[i]] != flat[starts[same[i]] : ends[same[i]]]).any()
+    if wrong.any():  # strings that share a hash: once in about 2**64 pairs
+        seen: dict[bytes, int] = {}
+        of = np.array([seen.setdefault(flat[a:b].tobytes(), len(seen)) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+        _, at = np.unique(of, return_index=True)
+    return at, of
+
+
+def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
+    """Hash of values[p:p + k] for every p at which it fits, from runs of 1, 2, 4, ... values."""
+    out, size, power, run = None, 0, mix(values, 8), 1
+    while True:
+        if k & run:
+            n = max(0, len(values) - size - run + 1)
+            part = power[size : size + n]
+            out = part if out is None else mix(out[:n] * _U(BASE) + part, 9)
+            size += run
+        run *= 2
+        if run > k:
+            return out
+        power = mix(power[: -run // 2] * _U(BASE) + power[run // 2 :], 10) if len(power) > run // 2 else power[:0]
+
+
+def release() -> None:
+    """Gives memory that a finished task no longer needs back to the machine: workers live on and serve other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,7 +179,7 @@ class Words:
     @property
     def hashes(self) -> np.ndarray:
         if self._hashes is None:
-            self._hashes = span_hashes(BYTE_VALUES[self.flat], self.starts, self.ends)
+            self._hashes = byte_hashes(self.flat, self.starts, self.ends)
         return self._hashes
 
     def gram_starts(self, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +190,7 @@ class Words:
         return np.arange(per.sum()) - np.repeat(before, per) + np.repeat(self.first[:-1], per), text
 
     def gram_hashes(self, starts: np.ndarray, k: int) -> np.ndarray:
-        return span_hashes(self.hashes, starts, starts + k)
+        return gram_hashes(self.hashes, k)[starts]
 
     def join(self, keep: np.ndarray) -> pa.Array:
         """Per text, its words with keep[word] joined by one space."""

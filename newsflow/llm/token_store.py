@@ -7,9 +7,9 @@ of ids in different documents are cut alike. It writes three Parquet tables unde
 * ``chunks``: sha (SHA-256 of the payload), n (ids), payload (ids as little-endian unsigned 16- or
   32-bit integers, by the size of the vocabulary). Each distinct chunk once.
 * ``recipes``: documents in ascending id order, file after file: the id, part (number of the file
-  range), local_start, n_tokens, chunks (sha and the number of ids after it in the document), root
+  range; a part has about PART_IDS ids), node (run of documents of the part), local_start, n_tokens, chunks (sha and the number of ids after it in the document), root
   (Merkle root of the document's chunk hashes).
-* ``manifest``: per part n_docs, n_tokens, first_start and root (Merkle root of its documents).
+* ``manifest``: per part n_docs, n_tokens and root (Merkle root over its nodes, and these over their documents).
 
 ``read`` goes back from the files: it checks every payload against its SHA-256, every document and
 part against its Merkle root, that every document's chunks are there with all its ids, and returns start, n_tokens and the CRC-32 of the ids per document;
@@ -39,13 +39,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.llm import storage
-from newsflow.llm.textbytes import Words, gather, join_bytes, mix, pieces, span_hashes, texts_of
+from newsflow.llm.textbytes import Words, distinct_spans, gather, join_bytes, mix, pieces, release, rolling_hashes, texts_of
 
 _U = np.uint64
 #: Ids of the rolling hash; a cut follows where its hash modulo AVERAGE is 0; bounds of a chunk.
 ROLL, AVERAGE, LEAST, MOST = 8, 256, 64, 2048
-#: Distinct words whose ids a worker keeps; it starts anew beyond that.
-CACHE_WORDS = 700_000
+#: Bytes of distinct words and their ids that a worker keeps during a task, with ENTRY_BYTES for each.
+CACHE_BYTES, ENTRY_BYTES = 40_000_000, 250
+#: Ids that a part of the store holds on average, and documents of one node of its hash tree.
+PART_IDS, NODE_DOCS = 20_000_000, 10_000
 _STATE: dict = {}
 
 
@@ -86,7 +88,12 @@ class Encoder:
         self.by_word = splits_on_space(path)
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.lower = self.by_word and any(n.get("type") == "Lowercase" for n in (json.loads(self.tokenizer.to_str()).get("normalizer") or {}).get("normalizers", []))
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.held = 0
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.held = 0
 
     @staticmethod
     def of(path: str) -> Encoder:
@@ -101,18 +108,21 @@ class Encoder:
             return np.array([i for e in found for i in e.ids], np.uint32), np.array([len(e.ids) for e in found], np.int64)
         plain = b"<|" in texts_of(column)[0].tobytes()  # a special token may be spelt here
         words = Words(column) if plain else Words(column, lower=self.lower, breaks=_at_signs)
-        distinct, first, of = np.unique(words.hashes, return_index=True, return_inverse=True)
-        keys = distinct.tolist()
-        new = [j for j, k in enumerate(keys) if k not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = list(range(len(keys)))
+        at, of = distinct_spans(words.flat, words.starts, words.ends)
+        raw = words.flat.tobytes()
+        names = [raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
+        ids = [self.known.get(w) for w in names]
+        new = [j for j, x in enumerate(ids) if x is None]
         if new:
-            raw = words.flat.tobytes()
-            spans = zip(words.starts[first[new]].tolist(), words.ends[first[new]].tolist(), strict=True)
-            for j, e in zip(new, self.tokenizer.encode_batch([raw[a:b].decode("utf-8", "replace") for a, b in spans], add_special_tokens=False), strict=True):
-                self.known[keys[j]] = np.array(e.ids, "<u4").tobytes()
-        flat, sums = gather(*join_bytes([self.known[k] for k in keys], "<u4"), of)
+            for j, e in zip(new, self.tokenizer.encode_batch([names[j].decode("utf-8", "replace") for j in new], add_special_tokens=False), strict=True):
+                ids[j] = np.array(e.ids, "<u4").tobytes()
+            if self.held > CACHE_BYTES:
+                self.forget()
+            for j in new:
+                if self.held <= CACHE_BYTES:
+                    self.known[names[j]] = ids[j]
+                    self.held += len(names[j]) + len(ids[j]) + ENTRY_BYTES
+        flat, sums = gather(*join_bytes(ids, "<u4"), of)
         return flat, sums[words.first[1:]] - sums[words.first[:-1]]
 
 
@@ -130,7 +140,7 @@ def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarr
 def cuts(ids: np.ndarray, sums: np.ndarray) -> list[list[int]]:
     """For each document, the ends of its chunks as positions in ids."""
     at = np.arange(max(0, len(ids) - ROLL + 1))
-    rolled = span_hashes(mix(ids), at, at + ROLL)
+    rolled = rolling_hashes(mix(ids), ROLL)
     marks = at[rolled % _U(AVERAGE) == 0] + ROLL
     out, near = [], np.searchsorted(marks, sums)
     for a, b, lo, hi in zip(sums[:-1].tolist(), sums[1:].tolist(), near[:-1].tolist(), near[1:].tolist(), strict=True):
@@ -164,6 +174,14 @@ def _encode(batches, path: str, end_id: int, id_type):
     """__id, __tie, text -> __id, __tie, n_tokens, chunks with payloads, root."""
     encoder = Encoder.of(path)
     width = np.dtype("<u2" if max(encoder.size, end_id + 1) <= 1 << 16 else "<u4")
+    try:
+        yield from _chunked(batches, encoder, width, end_id)
+    finally:
+        encoder.forget()
+        release()
+
+
+def _chunked(batches, encoder: Encoder, width: np.dtype, end_id: int):
     for batch in pieces(batches, "__text"):
         ids, sums = with_end(*encoder.encode(batch.column("__text")), end_id)
         raw = memoryview(ids.astype(width).tobytes())
@@ -182,18 +200,37 @@ def _encode(batches, path: str, end_id: int, id_type):
 
 
 def _starts(batches):
-    """Numbers a sorted part's documents: local_start is the ids of the part's documents before."""
-    total = 0
+    """Numbers a sorted part's documents: local_start is the ids of the part's documents before, node a run of NODE_DOCS documents."""
+    total, count = 0, 0
     for batch in batches:
         n = batch.column("n_tokens").to_numpy()
-        yield batch.append_column("local_start", pa.array(total + np.cumsum(n) - n, pa.int64()))
+        batch = batch.append_column("local_start", pa.array(total + np.cumsum(n) - n, pa.int64()))
+        yield batch.append_column("node", pa.array((count + np.arange(len(n))) // NODE_DOCS, pa.int64()))
         total += int(n.sum())
+        count += len(n)
 
 
-def _part_root(key, table: pa.Table) -> pa.Table:
+def _node_root(key, table: pa.Table) -> pa.Table:
+    """Root of the hash tree over at most NODE_DOCS documents of a part."""
     order = np.argsort(table["local_start"].to_numpy(), kind="stable")
     roots = table["root"].to_pylist()
-    return pa.table({"part": [key[0].as_py()], "n_docs": [len(roots)], "n_tokens": [int(table["n_tokens"].to_numpy().sum())], "root": [merkle([roots[i] for i in order])]})
+    return pa.table({"part": [key[0].as_py()], "node": [key[1].as_py()], "n_docs": [len(roots)], "n_tokens": [int(table["n_tokens"].to_numpy().sum())], "root": [merkle([roots[i] for i in order])]})
+
+
+NODES = "part long, node long, n_docs long, n_tokens long, root binary"
+
+
+def _part_root(key, table: pa.Table) -> pa.Table:
+    """Root over a part's nodes, in order."""
+    order = np.argsort(table["node"].to_numpy(), kind="stable")
+    roots = table["root"].to_pylist()
+    return pa.table({"part": [key[0].as_py()], "n_docs": [int(table["n_docs"].to_numpy().sum())], "n_tokens": [int(table["n_tokens"].to_numpy().sum())], "root": [merkle([roots[i] for i in order])]})
+
+
+def _manifest(recipes: DataFrame) -> DataFrame:
+    """Per part its size and root; a task holds the hashes of NODE_DOCS documents, or of one part's nodes."""
+    nodes = recipes.select("part", "node", "local_start", "n_tokens", "root").groupBy("part", "node").applyInArrow(lambda key, table: _node_root(key, table), NODES)
+    return nodes.groupBy("part").applyInArrow(lambda key, table: _part_root(key, table), MANIFEST)
 
 
 MANIFEST = "part long, n_docs long, n_tokens long, root binary"
@@ -210,11 +247,11 @@ def build(docs: DataFrame, tokenizer_path: str, end_id: int, out_dir: str, id_co
     # the same chunk leaves a task once, however many documents hold it
     staged.select(F.explode("chunks").alias("c")).select("c.sha", "c.n", "c.payload").dropDuplicates(["sha"]).write.option("compression", "zstd").parquet(f"{out_dir}/chunks")
     light = staged.select("__id", "__tie", "n_tokens", F.transform("chunks", lambda c: F.struct(c["sha"].alias("sha"), c["after"].alias("after"))).alias("chunks"), "root")
-    parts = light.repartitionByRange("__id", "__tie").sortWithinPartitions("__id", "__tie", "root").withColumn("part", F.spark_partition_id().cast("long"))
-    kept = T.StructType([*parts.schema.fields, T.StructField("local_start", T.LongType())])
+    n_parts = max(1, -(-staged.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0] // PART_IDS))
+    parts = light.repartitionByRange(n_parts, "__id", "__tie").sortWithinPartitions("__id", "__tie", "root").withColumn("part", F.spark_partition_id().cast("long"))
+    kept = T.StructType([*parts.schema.fields, T.StructField("local_start", T.LongType()), T.StructField("node", T.LongType())])
     recipes = storage.written(parts.mapInArrow(_starts, kept), f"{out_dir}/recipes")
-    roots = recipes.select("part", "local_start", "n_tokens", "root").groupBy("part").applyInArrow(lambda key, table: _part_root(key, table), MANIFEST)
-    storage.written(roots, f"{out_dir}/manifest")
+    storage.written(_manifest(recipes), f"{out_dir}/manifest")
     storage.remove(spark, f"{out_dir}/staged")
     return out_dir
 
@@ -268,15 +305,13 @@ def _shift(batches):
         yield batch.set_column(at, "crc", pa.array(shifted.astype(np.int64), pa.int64()))
 
 
-def _verify_parts(key, table: pa.Table, manifest: pa.Table) -> pa.Table:
-    """The documents of a part, after its documents' and its own Merkle roots have been checked."""
-    shas, roots = table["shas"].to_pylist(), table["root"].to_pylist()
-    for s, root in zip(shas, roots, strict=True):
-        if merkle(s) != root:
-            raise ValueError(f"a document of part {key[0]} does not match its root")
-    if _part_root(key, table)["root"][0] != manifest["root"][0]:
-        raise ValueError(f"part {key[0]} does not match the manifest")
-    return table.drop_columns(["shas", "root"])
+def _verify_docs(batches):
+    """Documents whose chunk hashes give the root that their recipe names."""
+    for batch in batches:
+        for part, shas, root in zip(batch.column("part").to_pylist(), batch.column("shas").to_pylist(), batch.column("root").to_pylist(), strict=True):
+            if merkle(shas) != root:
+                raise ValueError(f"a document of part {part} does not match its root")
+        yield batch.drop_columns(["shas", "root"])
 
 
 def _whole(docs: DataFrame, whole: Column) -> DataFrame:
@@ -288,10 +323,14 @@ def read(spark: SparkSession, out_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 and n_chunks of every document, from the files of a store."""
     chunks = spark.read.parquet(f"{out_dir}/chunks").mapInArrow(_checked, "sha binary, n long, crc long")
     recipes, manifest = spark.read.parquet(f"{out_dir}/recipes"), spark.read.parquet(f"{out_dir}/manifest")
+    found_parts = _manifest(recipes).select("part", *[F.struct("n_docs", "n_tokens", "root").alias("found_part")])
+    told_parts = manifest.select("part", F.struct("n_docs", "n_tokens", "root").alias("told_part"))
+    wrong = told_parts.join(found_parts, "part", "full").where(~F.col("told_part").eqNullSafe(F.col("found_part"))).select("part").limit(1).collect()
+    if wrong:
+        raise ValueError(f"part {wrong[0].part} does not match the manifest")
     parts = spark.createDataFrame(starts_of(spark, out_dir), "part long, first_start long, part_tokens long")
     told = recipes.select("part", "__id", "local_start", "n_tokens", F.size("chunks").cast("long").alias("told_chunks"), "root", F.transform("chunks", lambda c: c["sha"]).alias("shas"))
-    schema = T.StructType([f for f in told.schema.fields if f.name not in ("shas", "root")])
-    docs = told.groupBy("part").cogroup(manifest.groupBy("part")).applyInArrow(lambda key, table, manifest: _verify_parts(key, table, manifest), schema)
+    docs = told.mapInArrow(_verify_docs, T.StructType([f for f in told.schema.fields if f.name not in ("shas", "root")]))
     used = recipes.select("part", "local_start", F.explode("chunks").alias("c")).select("part", "local_start", "c.sha", "c.after")
     held = used.join(chunks, "sha")
     moved = held.select("part", "local_start", "n", "after", "crc").mapInArrow(_shift, "part long, local_start long, n long, after long, crc long")

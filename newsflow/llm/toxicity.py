@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.llm.textbytes import BYTE_VALUES, NO_LETTER, Words, pieces, span_hashes
+from newsflow.llm.textbytes import NO_LETTER, Words, byte_hashes, pieces
 
 MOST_POSITIVE, MOST_UNLABELLED, MOST_FEATURES = 3000, 6000, 512
 PREFIXES = (4, 5, 6)
@@ -61,7 +61,7 @@ def _features(column) -> tuple[Words, np.ndarray, np.ndarray]:
     longer = [np.flatnonzero(length > k) for k in PREFIXES]
     starts = np.concatenate([words.starts, *[words.starts[x] for x in longer]])
     ends = np.concatenate([words.ends, *[words.starts[x] + k for x, k in zip(longer, PREFIXES, strict=True)]])
-    return words, span_hashes(BYTE_VALUES[words.flat], starts, ends), np.concatenate([np.arange(len(length)), *longer])
+    return words, byte_hashes(words.flat, starts, ends), np.concatenate([np.arange(len(length)), *longer])
 
 
 def _presence(column, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -217,37 +217,46 @@ def test_token_store_notices_missing_chunks(spark, small_docs, tmp_path):
                 read(spark, f"{tmp_path}/{name}").count()
 
 
-def best_total(model, text):
-    """Score of the best segmentation of a whole text, by plain dynamic programming."""
-    text = " " + text
-    best = [0.0] + [-np.inf] * len(text)
-    for j in range(1, len(text) + 1):
-        for i in range(max(0, j - model.longest), j):
-            if text[i:j] in model.pieces:
-                best[j] = max(best[j], best[i] + model.pieces[text[i:j]][1])
-        if text[j - 1] not in model.pieces:
-            best[j] = max(best[j], best[j - 1] + model.unknown)
-    return best[-1]
-
-
 def test_sentencepiece(spark, small_docs, edge_docs):
+    """The ids are those of the library, text by text, none left out; and they decode to the text."""
+    import sentencepiece
+
     path = catalog.tokenizer_file("piece_bpe_32k.model")
-    model = sentencepiece_viterbi.Model(path)
-    score = {i: x for i, x in model.pieces.values()}
-    texts = [w for r in small_docs.limit(60).collect() for w in r.text.split()][:3000] + ["Hello  world", " a", "a ", "é😀", "\x00\t\n", "   ", "naïve—test", "ﷺx"]
-    ids, cuts = model.encode(pa.array(texts))
-    for t, a, b in zip(texts, cuts[:-1], cuts[1:], strict=True):
-        if all(i in score for i in ids[a:b].tolist()):  # without bytes for characters unknown to the model
-            assert sum(score[i] for i in ids[a:b].tolist()) == best_total(model, t), t
-    for docs in (small_docs, edge_docs):
-        out = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(docs, path), path)
-        assert out.where(~F.col("decoded").eqNullSafe(F.col("text"))).count() == 0 and out.count() == docs.count()
-    odd = spark.createDataFrame([("▁x▁ ▁▁",), ("  lead",), ("x" * 50_000,), (None,), ("",)], "text string")
-    out = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(odd, path), path)
-    assert out.where(~F.col("decoded").eqNullSafe(F.col("text"))).count() == 0
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    odd = ["Hello  world", " a", "a ", "é😀", "\x00\t\n", "   ", "naïve—test", "ﷺx", "  lead", "x" * 50_000, " " * 999, "a" + " " * 37 + "b" + " " * 5, "   世界  世", "<s> hi </s>", "the president of the united states", "\r\nx", None, ""]
+    rng = np.random.default_rng(6)
+    odd += ["".join(rng.choice(list("ab xinger  é世\n."), int(rng.integers(1, 60)))) for _ in range(3000)]
+    names = list(sentencepiece_viterbi.Model(path).pieces)
+    odd += ["".join(names[i] for i in rng.integers(0, len(names), 4)) for _ in range(3000)]
+    for docs in (small_docs, edge_docs, spark.createDataFrame([(t,) for t in odd], "text string")):
+        encoded = sentencepiece_viterbi.encode(docs, path)
+        rows = sentencepiece_viterbi.decode(encoded, path).select("text", "ids", "decoded").collect()
+        assert len(rows) == docs.count()
+        for r in rows:
+            assert r.decoded == r.text and r.ids == (None if r.text is None else library.encode(r.text)), r.text
+        both = sentencepiece_viterbi.round_trip(docs, path)
+        assert both.where(~F.col("decoded").eqNullSafe(F.col("text"))).count() == 0 and both.count() == docs.count()
+    marks = spark.createDataFrame([("▁x▁ ▁▁",), ("a▁b",)], "text string")  # the library reads U+2581 as a space
+    assert sentencepiece_viterbi.round_trip(marks, path).where(~F.col("decoded").eqNullSafe(F.col("text"))).count() == 0
     assert sentencepiece_viterbi.encode(edge_docs.limit(0), path).count() == 0
 
 
+def test_sentencepiece_cache_is_bounded(monkeypatch):
+    import sentencepiece
+
+    path = catalog.tokenizer_file("piece_bpe_32k.model")
+    monkeypatch.setattr(sentencepiece_viterbi, "CACHE_BYTES", 2000)
+    monkeypatch.setattr(sentencepiece_viterbi, "PAIRS", 50)
+    model, library = sentencepiece_viterbi.Model(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    for part in range(20):
+        texts = [f"word{part * 7 + i} of a{i}b" for i in range(9)]
+        ids, cuts = model.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == library.encode(texts)
+        assert model.held <= 2000 + 400 and len(model.pairs) <= 50
+    model.forget()
+    assert not model.known
+
+
 def test_words():
     texts = ["a b", None, "", " \t", "x y é\vz\x1cq", "b" * 5000]
     words = Words(pa.array(texts))
