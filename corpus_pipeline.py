@@ -42,7 +42,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: doc_id, lang, source, the SentencePiece ids, their number, and whether they decode to the text."""
     path = tokenizer_file("piece_bpe_32k.model")
-    found = sentencepiece_viterbi.decode(sentencepiece_viterbi.encode(docs.select("doc_id", "lang", "source", "text"), path), path)
+    found = sentencepiece_viterbi.round_trip(docs.select("doc_id", "lang", "source", "text"), path)
     return found.select("doc_id", "lang", "source", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_ids"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
