@@ -15,7 +15,7 @@ characters, each block in one pass over the texts; the texts are neither shuffle
 
 Defined results: null, empty and blank items and texts match nothing; one row per text row and item
 (the nearest occurrence, the first among equals), so repeated text rows and items give repeated rows;
-an empty table gives an empty table.
+an empty table gives an empty table; item ids have any type and may be null.
 """
 
 from __future__ import annotations
@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from newsflow.llm.textbytes import pieces
+from newsflow.llm.textbytes import pieces, release
 
 ERROR_RATE = 0.1
 BLOCK_CHARS = 1_000_000
@@ -113,11 +114,10 @@ class Matcher:
     @staticmethod
     def of(items: tuple, rate: float) -> Matcher:
         """One per worker and block."""
-        key = (hash(items), len(items), rate)
-        if key not in _STATE:
+        if _STATE.get("key") != (items, rate):
             _STATE.clear()
-            _STATE[key] = Matcher(list(items), rate)
-        return _STATE[key]
+            _STATE.update(key=(items, rate), matcher=Matcher(list(items), rate))
+        return _STATE["matcher"]
 
     def find(self, text: str | None) -> Iterator[tuple[int, int, int, int]]:
         """(index of the item, distance, start, end) in the normalised text."""
@@ -161,6 +161,18 @@ class Matcher:
         return best
 
 
+def freed(run):
+    """run, after which a worker gives back what its task took."""
+
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped
+
+
 def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[tuple[int, str], ...]]:
     block, size = [], 0
     for r in items.select(id_col, text_col).orderBy(id_col, text_col).toLocalIterator():
@@ -175,7 +187,7 @@ def _blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[tuple[tupl
         yield tuple(block)
 
 
-def _matches(docs: DataFrame, block: tuple, rate: float) -> DataFrame:
+def _matches(docs: DataFrame, block: tuple, rate: float, id_type: T.DataType) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(block)  # at most BLOCK_CHARS characters
 
     def run(batches):
@@ -188,12 +200,12 @@ def _matches(docs: DataFrame, block: tuple, rate: float) -> DataFrame:
                     item_id, item, _ = matcher.items[k]
                     out.append((item_id, distance, 1 - distance / len(item), start, end))
             columns = [list(x) for x in zip(*out, strict=True)] or [[]] * 5
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
+            types = (to_arrow_type(id_type), pa.int64(), pa.float64(), pa.int64(), pa.int64())
             ids = batch.column("__id").take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in zip(columns, types, strict=True)]], names=["__id", "item_id", "distance", "similarity", "start", "end"])
 
-    schema = T.StructType([docs.schema["__id"], *T._parse_datatype_string("item_id long, distance long, similarity double, start long, end long").fields])
-    return docs.mapInArrow(run, schema)
+    schema = T.StructType([docs.schema["__id"], T.StructField("item_id", id_type), *T._parse_datatype_string("distance long, similarity double, start long, end long").fields])
+    return docs.mapInArrow(freed(run), schema)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -201,10 +213,10 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, id
     kept = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
     found = None
     for block in _blocks(items, item_id, item_text):
-        more = _matches(kept, block, rate)
+        more = _matches(kept, block, rate, items.schema[item_id].dataType)
         found = more if found is None else found.unionByName(more)
     if found is None:
-        found = _matches(kept.limit(0), (), rate)
+        found = _matches(kept.limit(0), (), rate, items.schema[item_id].dataType)
     return found.withColumnRenamed("__id", id_col)
 
 
@@ -220,5 +232,5 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = ERROR_RATE, id_col: s
                 fine = [next(matcher.find(text), None) is None for text in batch.column(at).to_pylist()]
                 yield batch.filter(pa.array(fine, pa.bool_()))
 
-        kept = kept.mapInArrow(run, kept.schema)
+        kept = kept.mapInArrow(freed(run), kept.schema)
     return kept

@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.llm.textbytes import pieces, texts_of
+from newsflow.llm import sampling
+from newsflow.llm.textbytes import pieces, release, texts_of
 
 MOST_TEXTS, SPAN = 4000, 256
 SEGMENT, TOGETHER = 64, 2048
@@ -179,7 +180,9 @@ def fit(docs: DataFrame, may_learn: Column, id_col: str = "doc_id", text_col: st
         return train([], [])
     sizes = spans.sparkSession.createDataFrame([(r.lang, r.n) for r in per], "lang string, n long")
     place = F.col("h") / float(1 << 53) * F.col("n")  # about the row's place by hash within its language
-    best = spans.join(F.broadcast(sizes), "lang").orderBy(place, "id", "text", "lang").limit(MOST_TEXTS).select("o", "id", "text", "lang", "h").collect()
+    # of all partitions together little more than MOST_TEXTS rows pass and go to the driver
+    limit = sampling.level([r.n for r in per], MOST_TEXTS)
+    best = spans.join(F.broadcast(sizes), "lang").where(place <= limit + 6 * limit**0.5 + 40).orderBy(place, "id", "text", "lang").limit(MOST_TEXTS).select("o", "id", "text", "lang", "h").collect()
     first = {r.lang: (r.first.h, r.first.id, r.first.text) for r in per}
     sure = [(r.first.o, r.first.text, r.lang) for r in per]
     more = []
@@ -198,9 +201,12 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame
     at = kept.columns.index(text_col)
 
     def run(batches):
-        for batch in pieces(batches, at):
-            langs, scores = model.predict(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "lang_score"])
+        try:
+            for batch in pieces(batches, at):
+                langs, scores = model.predict(batch.column(at))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "lang_score"])
+        finally:
+            release()
 
     found = kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())]))
     known = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)) & (F.col("lang_pred") != UNKNOWN)

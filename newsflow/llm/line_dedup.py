@@ -5,13 +5,14 @@ found by one aggregation, and every occurrence but the first has its lines remov
 of one document are merged to intervals with a window function, so that the text is cut in one pass.
 Only DataFrame functions are used.
 
-Which occurrence is first: the least (id, hash of the text, position). Lines are split at "\\n" and
-compared without white space at their ends; windows of three blank lines don't count.
+Which occurrence is first: the least (id, hash of the text, row, position); rows equal in id and text
+are told apart by their place in the table. ``docs`` is read twice and must be a table, whose rows keep
+their places (a file scan, or a stage written before). Lines are split at "\\n" and compared without white space at their ends; windows of three blank lines don't count.
 
 Defined results: a null text has no lines and stays null; an empty text has one line; texts of fewer
 than three lines stay whole; an occurrence that overlaps the first one in the same text is a later
-one; rows that repeat in id and text share one result, in which the first occurrence stays; null ids
-are an ordinary id; other columns pass through, also when they are named like ours; an empty table
+one; of rows that repeat in id and text the first keeps its lines, the others lose them as any later
+occurrence does; null ids are an ordinary id; other columns pass through, also when they are named like ours; an empty table
 gives an empty table.
 """
 
@@ -21,26 +22,28 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW = 3
+#: White space that doesn't count at the ends of a line.
+BLANKS = " \t\n\x0b\f\r"
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """All columns with the text cut, as a struct ``row``, and n_lines and n_removed."""
     base = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    base = base.withColumn("mark", F.xxhash64("text"))
-    lines = base.where(F.contains("text", F.lit("\n"))).select("id", "mark", F.transform(F.split("text", "\n", -1), lambda x: F.trim(F.regexp_replace(x, r"^\s+|\s+$", ""))).alias("lines"))
+    base = base.withColumn("mark", F.xxhash64("text")).withColumn("at", F.monotonically_increasing_id())
+    lines = base.where(F.contains("text", F.lit("\n"))).select("id", "mark", "at", F.transform(F.split("text", "\n", -1), lambda x: F.btrim(x, F.lit(BLANKS))).alias("lines"))
     lines = lines.where(F.size("lines") >= window)
-    at = F.explode(F.sequence(F.lit(1), F.size("lines") - (window - 1)))
+    pos = F.explode(F.sequence(F.lit(1), F.size("lines") - (window - 1)))
     part = F.slice("lines", F.col("pos"), F.lit(window))
     # two independent 64-bit hashes: no false repeats at any size of corpus
-    windows = lines.select("id", "mark", "lines", at.alias("pos")).select("id", "mark", "pos", part.alias("part")).where(F.exists("part", lambda x: x != "")).select("id", "mark", "pos", F.xxhash64("part").alias("h1"), F.xxhash64(F.lit("second"), F.reverse("part")).alias("h2"))
-    place = F.struct("id", "mark", "pos")
+    windows = lines.select("id", "mark", "at", "lines", pos.alias("pos")).select("id", "mark", "at", "pos", part.alias("part")).where(F.exists("part", lambda x: x != "")).select("id", "mark", "at", "pos", F.xxhash64("part").alias("h1"), F.xxhash64(F.lit("second"), F.reverse("part")).alias("h2"))
+    place = F.struct("id", "mark", "at", "pos")
     first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = windows.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("id", "mark", "pos").distinct()
-    order = Window.partitionBy("id", "mark").orderBy("pos")
+    later = windows.join(first, ["h1", "h2"]).where(~place.eqNullSafe(F.col("first"))).select("id", "mark", "at", "pos").distinct()
+    order = Window.partitionBy("id", "mark", "at").orderBy("pos")
     runs = later.withColumn("new", (F.col("pos") > F.lag("pos", 1, -window).over(order) + window).cast("int")).withColumn("run", F.sum("new").over(order))
-    spans = runs.groupBy("id", "mark", "run").agg(F.min("pos").alias("a"), (F.max("pos") + window).alias("b"))
-    cuts = spans.groupBy(F.col("id").alias("cut_id"), F.col("mark").alias("cut_mark")).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("cuts"))
-    joined = base.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & F.col("mark").eqNullSafe(F.col("cut_mark")), "left")
+    spans = runs.groupBy("id", "mark", "at", "run").agg(F.min("pos").alias("a"), (F.max("pos") + window).alias("b"))
+    cuts = spans.groupBy(F.col("id").alias("cut_id"), F.col("mark").alias("cut_mark"), F.col("at").alias("cut_at")).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("cuts"))
+    joined = base.join(cuts, F.col("id").eqNullSafe(F.col("cut_id")) & F.col("mark").eqNullSafe(F.col("cut_mark")) & (F.col("at") == F.col("cut_at")), "left")
     split = F.split("text", "\n", -1)
     # what stays: before the first interval, between neighbours, after the last
     gaps = F.zip_with(F.concat(F.array(F.lit(1)), F.col("cuts.b")), F.concat(F.col("cuts.a"), F.array(F.col("n_lines").cast("int") + 1)), lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))

@@ -7,10 +7,12 @@ fitting the unlabelled sample. The prior is the toxic share of the labelled rows
 
 Features are lower-cased runs of letters and their beginnings of PREFIXES bytes (which carry the stem
 where endings vary), by 64-bit hash: those that confirmed texts hold significantly more often than
-unlabelled ones, at most MOST_FEATURES.
+unlabelled ones. Where more than MOST_FEATURES pass that test, the most significant are taken; that
+bounds the training matrix (9,000 by 4,096 numbers of 4 bytes).
 
 Training takes bounded samples: MOST_POSITIVE confirmed texts and MOST_UNLABELLED others, those with
-the least hash of their id, whole texts. Their distinct feature hashes go to the driver, no text does.
+the least hash of their id, one row an id, whole texts. Features are counted on the executors; the
+driver gets the chosen ones and, of each text of the sample, which of these it holds.
 Scoring reads every whole text of all rows, in one pass without a shuffle.
 
 Defined results: null and empty texts get the score of a text without any known feature; without any
@@ -28,9 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.llm.textbytes import NO_LETTER, Words, byte_hashes, pieces
+from newsflow.llm import sampling, storage
+from newsflow.llm.textbytes import NO_LETTER, Words, byte_hashes, pieces, release
 
-MOST_POSITIVE, MOST_UNLABELLED, MOST_FEATURES = 3000, 6000, 512
+MOST_POSITIVE, MOST_UNLABELLED, MOST_FEATURES = 3000, 6000, 4096
 PREFIXES = (4, 5, 6)
 #: A feature occurs in so many confirmed texts, so many standard deviations above its share elsewhere.
 LEAST_TEXTS, LEAST_DEVIATIONS = 3, 5.0
@@ -80,13 +83,26 @@ def _presence(column, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs // len(known), pairs % len(known)
 
 
-def _distinct_words(batches):
+def _counts(batches):
+    """(feature, confirmed texts, other texts that hold it) of each slice."""
     for batch in pieces(batches, "text"):
         words, hashes, word = _features(batch.column("text"))
-        order = np.argsort(word, kind="stable")
-        cut = np.searchsorted(word[order], words.first)
-        found = [np.unique(hashes[order[a:b]]).tobytes() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array(found, pa.binary())], names=["positive", "words"])
+        text = np.searchsorted(words.first, word, "right") - 1
+        order = np.lexsort((text, hashes))
+        hashes, text = hashes[order], text[order]
+        new = np.concatenate(([True], (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1])))[: len(hashes)]
+        found, of = np.unique(hashes[new], return_inverse=True)
+        positive = batch.column("positive").to_numpy(zero_copy_only=False).astype(bool)[text[new]]
+        both = [np.bincount(of, x, len(found)).astype(np.int64) for x in (positive, ~positive)]
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *map(pa.array, both)], names=["feature", "often", "seldom"])
+
+
+def _held(batches, known: np.ndarray):
+    """Of each text, the known features that it holds."""
+    for batch in pieces(batches, "text"):
+        text, at = _presence(batch.column("text"), known)
+        cut = np.searchsorted(text, np.arange(batch.num_rows + 1))
+        yield pa.RecordBatch.from_arrays([batch.column("positive"), pa.array([at[a:b].tolist() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)], pa.list_(pa.int32()))], names=["positive", "at"])
 
 
 def nnpu(pos: np.ndarray, unl: np.ndarray, prior: float) -> tuple[np.ndarray, float]:
@@ -113,40 +129,43 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, id_col: str = "do
     known = labels.where(may_learn).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("toxic")).where(F.col("toxic").isNotNull())
     n, toxic = known.agg(F.count(F.lit(1)), F.coalesce(F.sum((F.col("toxic") == 1).cast("long")), F.lit(0))).first()
     prior = min(max((toxic + 0.5) / (n + 1), 1e-4), 1 - 1e-4)
-    order = F.xxhash64("id")
-    confirmed = known.where("toxic = 1").select("id").orderBy(order, "id").limit(MOST_POSITIVE).withColumn("positive", F.lit(True))
-    others = docs.select(F.col(id_col).alias("id")).orderBy(order, "id").limit(MOST_UNLABELLED).withColumn("positive", F.lit(False))
+    confirmed = sampling.least(known.where("toxic = 1").select("id"), MOST_POSITIVE, toxic, "id").withColumn("positive", F.lit(True))
+    ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
+    others = sampling.least(ids, MOST_UNLABELLED, ids.count(), "id").withColumn("positive", F.lit(False))
     # both sides are bounded samples
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(confirmed.unionByName(others)), "id").select("positive", "text")
-    rows = sample.mapInArrow(_distinct_words, "positive boolean, words binary").toArrow()
-    sets = [np.frombuffer(x, np.uint64) for x in rows["words"].to_pylist()]
-    positive = np.array(rows["positive"].to_pylist(), bool)
-    return learn([s for s, p in zip(sets, positive, strict=True) if p], [s for s, p in zip(sets, positive, strict=True) if not p], prior)
-
-
-def learn(pos: list[np.ndarray], unl: list[np.ndarray], prior: float) -> Model:
-    """A model from the distinct word hashes of confirmed and of unlabelled texts."""
-    if not pos or not unl:
-        return Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))), prior)
-    words, often = np.unique(np.concatenate(pos), return_counts=True)
-    words, often = words[often >= LEAST_TEXTS], often[often >= LEAST_TEXTS]
-    every = np.concatenate(unl)
-    at = np.minimum(np.searchsorted(words, every), max(0, len(words) - 1))
-    seldom = np.bincount(at[words[at] == every], minlength=len(words)) if len(words) else np.zeros(0)
-    p, q = often / len(pos), (seldom + 1) / (len(unl) + 1)
-    deviations = (p - q) / np.sqrt(q * (1 - q) / len(pos) + q / len(unl))
+    chosen = F.broadcast(confirmed.unionByName(others).distinct())
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id").groupBy("id", "positive").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    path = storage.new_dir(docs.sparkSession, "toxic")
+    sample = storage.written(rows.select("positive", "text"), path)
+    try:
+        return learn(sample, prior)
+    finally:
+        storage.remove(docs.sparkSession, path)
+
+
+def learn(sample: DataFrame, prior: float) -> Model:
+    """A model from a bounded sample of confirmed and unlabelled texts (positive, text)."""
+    n_pos, n_unl = sample.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
+    nothing = Model(np.zeros(0, np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))), prior)
+    if not n_pos or not n_unl:
+        return nothing
+    counts = sample.mapInArrow(_counts, "feature long, often long, seldom long").groupBy("feature").agg(F.sum("often").alias("often"), F.sum("seldom").alias("seldom"))
+    p, q = F.col("often") / n_pos, (F.col("seldom") + 1) / (n_unl + 1)
+    deviations = (p - q) / F.sqrt(q * (1 - q) / n_pos + q / n_unl)
     # prior * p / q estimates the toxic share of the texts that hold a feature
-    best = np.flatnonzero((deviations >= LEAST_DEVIATIONS) & (prior * p >= LEAST_SHARE * q))
-    best = best[np.argsort(-deviations[best], kind="stable")][:MOST_FEATURES]
-    chosen = np.sort(words[best])
-
-    def matrix(sets: list[np.ndarray]) -> np.ndarray:
-        out = np.zeros((len(sets), len(chosen)), np.float32)
-        for row, s in zip(out, sets, strict=True):
-            row[:] = np.isin(chosen, s, assume_unique=True)
+    good = counts.where(F.col("often") >= LEAST_TEXTS).withColumn("d", deviations).where((F.col("d") >= LEAST_DEVIATIONS) & (prior * p >= LEAST_SHARE * q))
+    best = [r.feature for r in good.orderBy(F.desc("d"), "feature").limit(MOST_FEATURES).select("feature").collect()]
+    chosen = np.sort(np.array(best, np.int64).view(np.uint64))
+    rows = sample.mapInArrow(lambda batches: _held(batches, chosen), "positive boolean, at array<int>").orderBy("positive", "at").collect()  # MOST_POSITIVE + MOST_UNLABELLED short lists
+
+    def matrix(positive: bool) -> np.ndarray:
+        lists = [r.at for r in rows if r.positive == positive]
+        out = np.zeros((len(lists), len(chosen)), np.float32)
+        for row, at in zip(out, lists, strict=True):
+            row[at] = 1
         return out
 
-    weights, bias = nnpu(matrix(pos), matrix(unl), prior)
+    weights, bias = nnpu(matrix(True), matrix(False), prior)
     return Model(chosen, weights, bias, prior)
 
 
@@ -156,6 +175,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     at = docs.select(*names).columns.index(text_col)
 
     def run(batches):
+        try:
+            yield from scored(batches)
+        finally:
+            release()
+
+    def scored(batches):
         for batch in pieces(batches, at):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(batch.column(at)), pa.float64())], names=[*batch.schema.names, score_col])
 

@@ -1,6 +1,7 @@
 """Operators 1, 8, 9 and 10 against brute force."""
 
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -67,6 +68,22 @@ def test_line_dedup(spark, small_docs, edge_docs):
     assert {r.row.doc_id: r.row.text for r in line_dedup.dedup_lines(same).collect()} == {1: "A", 2: ""}
 
 
+def test_line_dedup_cuts_repeated_rows_once(spark, tmp_path):
+    """Of rows equal in id and text one keeps its lines; also in the order in which the table holds them."""
+    rows = [(1, "a\nb\nc"), (1, "a\nb\nc"), (None, "x\ny\nz\nw"), (None, "x\ny\nz\nw"), (None, "x\ny\nz\nw"), (2, "k\na\nb\nc")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    got = sorted((str(r.row.doc_id), r.row.text, r.n_removed) for r in line_dedup.dedup_lines(spark.read.parquet(f"{tmp_path}/docs")).collect())
+    assert got == sorted([("1", "a\nb\nc", 0), ("1", "", 3), ("None", "x\ny\nz\nw", 0), ("None", "", 4), ("None", "", 4), ("2", "k", 3)])
+
+
+def test_line_dedup_long_blanks(spark):
+    """White space inside a line costs in proportion to its length."""
+    text = "a" + " " * 1_000_000 + "b\nc\nd"
+    start = time.perf_counter()
+    got = line_dedup.dedup_lines(spark.createDataFrame([(1, text), (2, f"  {text}\t")], "doc_id long, text string")).collect()
+    assert {r.row.doc_id: r.n_removed for r in got} == {1: 0, 2: 3} and time.perf_counter() - start < 10
+
+
 def test_line_dedup_runs_no_python(spark, small_docs):
     plan = line_dedup.dedup_lines(small_docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
