@@ -216,31 +216,32 @@ class Model:
         return f"array({', '.join(f"CAST('{'Infinity' if t == float('inf') else repr(float(t))}' AS DOUBLE)" for t in self.thresholds)})[{k}]"
 
 
-def _tree(x: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int):
-    """A regression tree on gradients and curvatures by exact greedy splits; None of gain: a leaf."""
+def _tree(x: np.ndarray, w: np.ndarray, g: np.ndarray, h: np.ndarray, depth: int):
+    """A regression tree on gradients and curvatures by exact greedy splits, w: how often each row occurs; None of gain: a leaf."""
     gain = lambda a, b: a * a / (b + 1.0)
     best = (1e-6, None, None)
-    if depth and len(x) >= 20:
+    if depth and w.sum() >= 20:
         for j in range(x.shape[1]):
-            for limit in np.unique(x[:, j])[:-1]:
-                low = x[:, j] <= limit
-                if 5 <= low.sum() <= len(x) - 5:
-                    won = gain(g[low].sum(), h[low].sum()) + gain(g[~low].sum(), h[~low].sum()) - gain(g.sum(), h.sum())
-                    if won > best[0] + 1e-9:
-                        best = (won, j, limit)
+            limits, of = np.unique(x[:, j], return_inverse=True)
+            n, gl, hl = (np.cumsum(np.bincount(of, v))[:-1] for v in (w, g, h))
+            won = np.where((n >= 5) & (w.sum() - n >= 5), gain(gl, hl) + gain(g.sum() - gl, h.sum() - hl) - gain(g.sum(), h.sum()), -1.0)
+            if len(won) and won.max() > best[0] + 1e-9:
+                best = (won.max(), j, limits[won.argmax()])
     if best[1] is None:
         return float(-RATE * g.sum() / (h.sum() + 1.0))
     low = x[:, best[1]] <= best[2]
-    return (int(best[1]), int(best[2]), _tree(x[low], g[low], h[low], depth - 1), _tree(x[~low], g[~low], h[~low], depth - 1))
+    return (int(best[1]), int(best[2]), _tree(x[low], w[low], g[low], h[low], depth - 1), _tree(x[~low], w[~low], g[~low], h[~low], depth - 1))
 
 
 def _grown(x: np.ndarray, y: np.ndarray) -> Model:
     """Trees for logistic loss, one after another."""
     bias = float(np.log((y.sum() + 1) / (len(y) - y.sum() + 1)))
+    rows, w = np.unique(np.column_stack([x, y.astype(int)]), axis=0, return_counts=True)
+    x, y = rows[:, :-1], rows[:, -1]
     model, total = Model([], bias, [0.0] * len(KINDS)), np.full(len(y), bias)
     for _ in range(ROUNDS):
         p = 1 / (1 + np.exp(-total))
-        tree = _tree(x, p - y, p * (1 - p), DEPTH)
+        tree = _tree(x, w, w * (p - y), w * p * (1 - p), DEPTH)
         model.trees.append(tree)
         total += Model([tree], 0.0, []).sums(x)
     return model
