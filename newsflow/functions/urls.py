@@ -54,6 +54,12 @@ def pagination_number(url: Column) -> Column:
     return F.nullif(F.regexp_extract(basename(url), r"([0-9]+)\.xml", 1), F.lit("")).try_cast("long")
 
 
+def shape(url: Column) -> Column:
+    """Struct of no_html (does not end in .html), no_digit (no digit behind the site's name) and live (a live page)."""
+    rest = F.regexp_replace(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://)?[^/]*", "")
+    return F.struct((~url.rlike(r"\.html$")).alias("no_html"), (~rest.rlike("[0-9]")).alias("no_digit"), url.rlike("liveblog|live").alias("live"))
+
+
 def sanitize(text: Column) -> Column:
     """An identifier: letters, digits, underscore and hyphen."""
     return F.regexp_replace(text, "[^a-zA-Z0-9_-]", "")

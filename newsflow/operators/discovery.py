@@ -10,8 +10,6 @@ from newsflow.operators.relational import union_fill
 
 #: Where robots.txt is looked for, the first that answers wins.
 PROTOCOLS = ("http://", "https://", "https://www.")
-#: Paths that often are sitemaps.
-TYPICAL = ("/sitemap.xml", "/sitemap_index.xml", "/sitemap-index.xml", "/sitemaps.xml", "/news-sitemap.xml", "/sitemap/sitemap.xml")
 
 
 def robots(domains: DataFrame, responses: DataFrame) -> DataFrame:
@@ -30,9 +28,9 @@ def declared(found: DataFrame) -> DataFrame:
     return listed.select("domain_url", check.alias("sitemap_check"), F.explode_outer("s").alias("sitemap_URL"))
 
 
-def typical(domains: DataFrame, responses: DataFrame, paths: tuple[str, ...] = TYPICAL) -> DataFrame:
-    """domain_url, typical_URL for every usual path that answered 200."""
-    tried = domains.select("domain_url", F.explode(F.array(*[F.concat(F.lit("https://"), "domain_url", F.lit(p)) for p in paths])).alias("url"))
+def typical(domains: DataFrame, responses: DataFrame, paths: DataFrame) -> DataFrame:
+    """domain_url, typical_URL for every usual path that answered 200. paths: a short table of paths (path), the caller's."""
+    tried = domains.crossJoin(F.broadcast(paths.select("path"))).select("domain_url", F.concat(F.lit("https://"), "domain_url", "path").alias("url"))  # some dozen rows
     return tried.join(responses.where("status = 200").select("url").distinct(), "url", "left_semi").select("domain_url", F.col("url").alias("typical_URL"))
 
 

@@ -1,7 +1,7 @@
 """Field extraction from stored pages by declarative rules, paywall and bot detection, marker mining.
 
-A rule is a row (domain, field, priority, kind, selectors, attributes, raw, exclude): kind css or
-json_ld. Rules are data; code is never read from them. All rules of a run go to the workers in one
+A rule is a row (domain, field, priority, kind, selectors, attributes, raw, exclude): kind css, json_ld,
+data_layer (names of members) or next (elements of the tag in attributes that follow the selectors). Rules are data; code is never read from them. All rules of a run go to the workers in one
 closure, and one pass over the pages computes every field and flag, so no page is parsed twice.
 """
 
@@ -61,6 +61,49 @@ def json_values(objects: list[dict], name: str) -> list[str]:
     return out
 
 
+_KEY = re.compile(r"([{,]\s*)([A-Za-z_$][\w$.]*)\s*:")
+
+
+def data_layer(root, name: str = "dataLayer") -> dict:
+    """The members of the object literals that scripts push to ``name`` (K13): bare keys, single quotes and trailing commas are read; what is no data is passed over."""
+    out: dict = {}
+    for node in select(root, "script"):
+        for m in re.finditer(rf"{re.escape(name)}\.push\((\{{[\s\S]*?\}})\)", node.raw_text()):
+            text = re.sub(r"'((?:[^'\\]|\\.)*)'", lambda q: json.dumps(q[1].replace("\\'", "'")), m[1])
+            try:
+                out |= json.loads(re.sub(r",\s*([}\]])", r"\1", _KEY.sub(r'\1"\2":', text)))
+            except ValueError:
+                continue
+    return out
+
+
+def following(root, selectors: list[str], tag: str) -> list[str]:
+    """Texts of the elements ``tag`` that come after what the selectors take, under the same parent (K7)."""
+    out = []
+    for s in selectors:
+        for node in select(root, s):
+            beside = node.parent.children if node.parent is not None else []
+            at = next((i for i, c in enumerate(beside) if c is node), len(beside))
+            out += [t for c in beside[at + 1 :] if not isinstance(c, str) and c.tag == tag and (t := c.text()).strip()]
+    return out
+
+
+def bot_rules(rules: DataFrame) -> dict[str, list[str]]:
+    """Rules from a table (kind: selectors, phrases or scripts; value), a few dozen rows (K17). Phrases are compared in lower case."""
+    out: dict[str, list[str]] = {"selectors": [], "phrases": [], "scripts": []}
+    for r in rules.orderBy("kind", "value").collect():
+        out[r.kind].append(r.value.lower() if r.kind == "phrases" else r.value)
+    return out
+
+
+def paywall_rules(rules: DataFrame) -> dict[str, list[str]]:
+    """Markers from a table (domain, type: css or meta, marker), as selectors per domain (K18): a meta marker is a meta element with that content."""
+    out: dict[str, list[str]] = {}
+    for r in rules.orderBy("domain", "type", "marker").collect():
+        out.setdefault(r.domain, []).append(r.marker if r.type == "css" else f"meta[content='{r.marker}']")
+    return out
+
+
 def is_bot_page(root, rules: dict) -> bool:
     if any(select(root, s) for s in rules["selectors"]):
         return True
@@ -76,7 +119,15 @@ def fields(root, rules: list[tuple]) -> dict[str, str | None]:
     objects, out = json_ld(root), dict.fromkeys(FIELDS)
     for _, field, _, kind, what, attributes in sorted(rules, key=lambda r: (r[0] == "*", r[2])):
         if out[field] is None:
-            values = [v for w in what for v in json_values(objects, w)] if kind == "json_ld" else search(root, what, attributes, every=False)
+            if kind == "json_ld":
+                values = [v for w in what for v in json_values(objects, w)]
+            elif kind == "data_layer":
+                layer = data_layer(root)
+                values = [str(layer[w]) for w in what if layer.get(w) not in (None, "")]
+            elif kind == "next":
+                values = following(root, what, attributes[0])
+            else:
+                values = search(root, what, attributes, every=False)
             if values:
                 out[field] = "\n".join(values) if field == "text" else ", ".join(values) if field == "author" else values[0]
     return out
@@ -129,8 +180,8 @@ def agency_text(headline: Column, date_time: Column, text: Column, author: Colum
 KEYWORDS = ("paywall", "premium", "plus", "subscribe", "abo", "metered", "locked", "paid")
 
 
-def mine_markers(html: Column, keywords: tuple[str, ...] = KEYWORDS) -> Column:
-    """array<struct<type, marker>>: tag.class, tag#id, attributes and meta contents that hold a keyword."""
+def mine_markers(html: Column, keywords: tuple[str, ...] = KEYWORDS, scripts: tuple[str, ...] = ()) -> Column:
+    """array<struct<type, marker>>: tag.class, tag#id, attributes and meta contents that hold a keyword, and script patterns that match (K21). Keywords and patterns are the caller's data."""
     def one(page):
         root = parse(page)
         found = set()
@@ -145,6 +196,9 @@ def mine_markers(html: Column, keywords: tuple[str, ...] = KEYWORDS) -> Column:
                     found.add(("css", f"{n.tag}[{a}]"))
             if n.tag == "meta" and any(k in n.attrs.get("content", "").lower() for k in keywords):
                 found.add(("meta", n.attrs["content"]))
+            if n.tag == "script" and scripts:
+                text = n.raw_text()
+                found |= {("script", p) for p in scripts if re.search(p, text)}
         return [{"type": t, "marker": m} for t, m in sorted(found)]
 
     @pandas_udf("array<struct<type: string, marker: string>>")

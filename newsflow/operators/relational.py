@@ -23,7 +23,24 @@ def latest(df: DataFrame, key: str, order: Column) -> DataFrame:
 
 def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     """All rows of keys that occur more than once, with the group's size."""
-    return df.withColumn("group_size", F.count(F.lit(1)).over(Window.partitionBy(*keys))).where("group_size > 1")
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    same = [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]
+    right = sizes.select("group_size", *[F.col(k).alias(f"__{i}") for i, k in enumerate(keys)])
+    return df.join(right, same).drop(*[f"__{i}" for i in range(len(keys))])
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Numbers 1.. over all rows in the given order: ranges are sorted and numbered each on its own, and moved on by the rows of the ranges before. One number per range goes to the driver."""
+    from newsflow.sources.tables import materialize
+
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    kept = materialize(parts, "numbered").withColumn("__part", F.shiftright("__at", 33)).withColumn("__at", F.col("__at").bitwiseAND((1 << 33) - 1))
+    total, starts = 0, []
+    for part, n in sorted(tuple(r) for r in kept.groupBy("__part").agg(F.count(F.lit(1))).collect()):
+        starts.append((part, total))
+        total += n
+    before = df.sparkSession.createDataFrame(starts, "__part long, __before long")
+    return kept.join(F.broadcast(before), "__part").withColumn(name, F.col("__at") + F.col("__before") + 1).drop("__at", "__part", "__before")
 
 
 def shuffle_key(key: Column, seed: str) -> Column:
@@ -55,15 +72,21 @@ def stratified_sample(df: DataFrame, stratum: str, key: str, size: int, seed: st
     give = give.withColumn("up", F.row_number().over(order.partitionBy((room > 0).cast("int")))).withColumn("down", F.row_number().over(back.partitionBy((F.col("q") > 0).cast("int"))))
     change = F.when((F.col("rest") > 0) & (room > 0) & (F.col("up") <= F.col("rest")), 1).when((F.col("rest") < 0) & (F.col("q") > 0) & (F.col("down") <= -F.col("rest")), -1).otherwise(0)
     wanted = give.select(stratum, (F.col("q") + change).alias("quota"))
-    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy(stratum).orderBy(shuffle_key(F.col(key), seed), key)))
-    return ranked.join(wanted, stratum).where("__r <= quota").drop("__r", "quota")
+    # only rows whose hash lies near the quota are ranked; a stratum in which too few do is ranked as a whole
+    place = F.conv(F.substring(shuffle_key(F.col(key), seed), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    placed = df.withColumn("__p", place).join(wanted.join(counts, stratum), stratum)
+    limit = (F.col("quota") + 6 * F.sqrt("quota") + 40) / F.col("n")
+    enough = placed.where(F.col("__p") <= limit).groupBy(stratum).agg((F.count(F.lit(1)) >= F.any_value("quota")).alias("__enough"))
+    near = placed.join(enough, stratum, "left").where((F.col("__p") <= limit) | ~F.coalesce("__enough", F.lit(False)))
+    ranked = near.withColumn("__r", F.row_number().over(Window.partitionBy(stratum).orderBy(shuffle_key(F.col(key), seed), key)))
+    return ranked.where("__r <= quota").select(*df.columns)
 
 
 def round_robin(df: DataFrame, group: str, order: str, seed: str = "") -> DataFrame:
     """seq (place in the group) and turn (hashed order of groups): sorted by both, groups take turns."""
     seq = F.row_number().over(Window.partitionBy(group).orderBy(order))
-    turns = df.select(group).distinct().withColumn("turn", F.row_number().over(Window.orderBy(shuffle_key(F.col(group), seed), group)))
-    return df.withColumn("seq", seq.cast("long")).join(turns, group).withColumn("turn", F.col("turn").cast("long"))
+    turns = numbered(df.select(group).distinct().withColumn("__k", shuffle_key(F.col(group), seed)), ["__k", group], "turn").drop("__k")
+    return df.withColumn("seq", seq.cast("long")).join(turns, group)
 
 
 def union_fill(*tables: DataFrame) -> DataFrame:
@@ -80,9 +103,8 @@ def aligned(df: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def dense_ids(df: DataFrame, by: str, name: str) -> DataFrame:
-    """Numbers 1.. of the distinct values in order: ranks the distinct values and joins, so no row but those meets in one task."""
-    ids = df.select(by).distinct().withColumn(name, F.row_number().over(Window.orderBy(by)).cast("long"))
-    return df.join(ids, by)
+    """Numbers 1.. of the distinct values in order; ranges of them are numbered in parallel."""
+    return df.join(numbered(df.select(by).distinct(), [by], name), by)
 
 
 def runs(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.operators.relational import union_fill
+
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """Share in per cent, rounded half to even."""
@@ -29,6 +31,50 @@ def long_shares(report: DataFrame) -> DataFrame:
     return long.withColumn("ordinal", F.array_position(F.array(*[F.lit(n[2:]) for n in names]), F.col("status")))
 
 
+def labelled_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table under its label, for a comparison (H5)."""
+    return union_fill(*[t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("label"), "n") for name, t in tables.items()])
+
+
+def parse_error_overview(report: DataFrame) -> DataFrame:
+    """Domains of the progress report that have parse errors, with their share."""
+    return report.where("n_parse_error > 0").select("domain", "input_links", "n_parse_error", percent(F.col("n_parse_error"), F.col("input_links")).alias("pct_parse_error"))
+
+
+def sitemap_presence(found: DataFrame) -> DataFrame:
+    """How many domains have a sitemap and how many have none."""
+    per = found.groupBy("domain_url").agg(F.bool_or(F.col("sitemap_URL").isNotNull()).alias("has"))
+    return per.agg(F.count_if("has").alias("with_sitemap"), F.count_if(~F.col("has")).alias("without_sitemap"))
+
+
+def pattern_counts(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFrame:
+    """Per named pattern how many texts match it, and the share (H20); a text may match several."""
+    counts = df.agg(F.count(F.lit(1)).alias("__all"), *[F.count_if(F.coalesce(F.col(text).rlike(p), F.lit(False))).alias(n) for n, p in patterns.items()])
+    return counts.unpivot("__all", list(patterns), "pattern", "n").select("pattern", "n", percent(F.col("n"), F.col("__all")).alias("pct"))
+
+
+def sitemap_overview(sitemaps: DataFrame, links: DataFrame, valid: DataFrame, urlsets: DataFrame, progression: DataFrame, errors: DataFrame, log: DataFrame, retry_log: DataFrame, key: str = "layer_1_url_id") -> DataFrame:
+    """The eleven measures of each sitemap (H10). Every table is aggregated once by sitemap; no loop over sitemaps."""
+    n = F.count(F.lit(1))
+    category, status = F.col("error_category"), F.col("processing_status")
+    flagged = lambda t: t.where("retry_flag").select(key, "requested_url", "http_status_message").distinct()
+    both = flagged(log).withColumnRenamed("http_status_message", "__a").join(flagged(retry_log).withColumnRenamed("http_status_message", "__b"), [key, "requested_url"])
+    per_url = both.groupBy(key, "requested_url").agg(F.bool_or(F.col("__a") == F.col("__b")).alias("__same"), F.bool_or(F.col("__a") != F.col("__b")).alias("__other"))
+    parts = (
+        links.groupBy(key).agg(n.alias("total_links_for_domain")), valid.groupBy(key).agg(n.alias("total_valid_links")), urlsets.groupBy(key).agg(n.alias("total_urlsets")),
+        progression.groupBy(key).agg(n.alias("total_progression_entries"), F.count_if(status == "excluded_by_date").alias("__date"), F.count_if(status == "response_error").alias("__response")),
+        errors.groupBy(key).agg(F.count_if(category == "input_out_of_range").alias("__input"), F.count_if(category == "excluded_string").alias("total_links_excluded_by_string"), F.count_if(category.isin("xml_parse_error", "unsupported_root_tag")).alias("__parse")),
+        log.groupBy(key).agg(F.count_if("retry_flag").alias("total_verified_errors_before_retry")),
+        per_url.groupBy(key).agg(F.count_if("__same").alias("total_verified_errors_after_retry"), F.count_if("__other").alias("total_unsolved_errors")),
+    )
+    out = sitemaps
+    for p in parts:
+        out = out.join(p, key, "left")
+    out = out.na.fill(0, [c for p in parts for c in p.columns if c != key])
+    out = out.withColumn("total_links_excluded_by_date", F.col("__date") + F.col("__input")).withColumn("total_errors", F.col("__parse") + F.col("__response"))
+    return out.withColumn("total_links_excluded", F.col("total_links_excluded_by_date") + F.col("total_links_excluded_by_string")).drop("__date", "__response", "__input", "__parse")
+
+
 def summary(df: DataFrame, label: Column, missing: str = "unknown") -> DataFrame:
     """Rows and share of the total per label; null has a label of its own (H8)."""
     counts = df.groupBy(F.coalesce(label, F.lit(missing)).alias("label")).agg(F.count(F.lit(1)).alias("n"))

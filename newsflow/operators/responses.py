@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Aggressiveness level -> (error limit, kill limit); null kills: never blocked.
 LEVELS = {1: (3, 3), 2: (5, 5), 3: (10, 10), 4: (20, 15), 5: (30, None)}
@@ -68,31 +70,39 @@ def transition(state: tuple[int, str | None, int, int], action: str, reason: str
 def domain_health(log: DataFrame, key: str, order: list[str], action: str, reason: str, level: int = 1) -> DataFrame:
     """Final streak, last reason, kills, blocked events and decision per domain.
 
-    A kill resets the streak on which it depends, so this is a fold in order, by ``aggregate`` over the
-    sorted events of a domain inside the JVM. An event is a code of two short values.
+    A kill resets the streak on which it depends, so this is a fold in order: events are sorted inside
+    partitions by domain and streamed through ``transition``, with one state in memory at a time.
     """
     errors, most = LEVELS.get(level, DEFAULT_LEVEL)
-    event = F.struct(*[F.col(c) for c in order], F.when(F.col(action) == "retry", F.col(reason)).alias("r"))
-    events = log.groupBy(key).agg(F.array_sort(F.collect_list(event)).alias("events"), F.count(F.lit(1)).alias("n_events"))
-    zero = F.struct(F.lit(0).alias("streak"), F.lit(None).cast("string").alias("last"), F.lit(0).alias("kills"), F.lit(0).alias("blocked"))
-
-    def step(s: Column, e: Column) -> Column:
-        rotate = s["streak"] >= errors
-        kills = s["kills"] + rotate.cast("int")
-        streak, last = F.when(rotate, 0).otherwise(s["streak"]), F.when(~rotate, s["last"])
-        blocked = (s["kills"] >= most) if most is not None else F.lit(False)
-        out_of_sessions = rotate & (kills >= SESSIONS)
-        after = F.struct(
-            F.when(e["r"].isNull(), 0).when(e["r"] == last, streak + 1).otherwise(1).alias("streak"), e["r"].alias("last"), kills.alias("kills"), s["blocked"].alias("blocked"),
-        )
-        stay = F.struct(s["streak"].alias("streak"), s["last"].alias("last"), s["kills"].alias("kills"), (s["blocked"] + 1).alias("blocked"))
-        gone = F.struct(F.lit(0).alias("streak"), F.lit(None).cast("string").alias("last"), kills.alias("kills"), (s["blocked"] + 1).alias("blocked"))
-        return F.when(blocked, stay).when(out_of_sessions, gone).otherwise(after)
-
-    state = events.select(key, "n_events", F.aggregate("events", zero, step).alias("s"))
-    decision = F.when(F.col("s.kills") >= most, "block") if most is not None else F.when(F.col("s.kills") >= SESSIONS, "block")
-    decision = decision.when(F.col("s.streak") >= errors, "rotate").otherwise("proceed")
-    return state.select(key, "n_events", F.col("s.streak").cast("long").alias("streak"), F.col("s.last").alias("last_reason"), F.col("s.kills").cast("long").alias("kills"), F.col("s.blocked").cast("long").alias("blocked"), decision.alias("decision"))
+    events = log.select(F.col(key).alias("k"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.col(action).alias("a"), F.col(reason).alias("r"))
+    sorted_ = events.repartition("k").sortWithinPartitions("k", *[f"o{i}" for i in range(len(order))]).select("k", "a", "r")
+
+    def fold(batches):
+        now, n, state, begun = None, 0, (0, None, 0, 0), False
+        for batch in batches:
+            out = []
+            for k, a, r in zip(batch.column("k").to_pylist(), batch.column("a").to_pylist(), batch.column("r").to_pylist(), strict=True):
+                if not begun or k != now:
+                    if begun:
+                        out.append((now, n, *state))
+                    now, n, state, begun = k, 0, (0, None, 0, 0), True
+                n, state = n + 1, transition(state, a, r, level)
+            yield _batch(out, batch.schema.field("k").type)
+            last = batch.schema.field("k").type
+        if begun:
+            yield _batch([(now, n, *state)], last)
+
+    schema = T.StructType([T.StructField("k", log.schema[key].dataType), *T._parse_datatype_string("n long, streak long, last string, kills long, blocked long").fields])
+    state = sorted_.mapInArrow(fold, schema)
+    decision = F.when(F.col("kills") >= most, "block") if most is not None else F.when(F.col("kills") >= SESSIONS, "block")
+    decision = decision.when(F.col("streak") >= errors, "rotate").otherwise("proceed")
+    return state.select(F.col("k").alias(key), F.col("n").alias("n_events"), "streak", F.col("last").alias("last_reason"), "kills", "blocked", decision.alias("decision"))
+
+
+def _batch(rows: list[tuple], key_type: pa.DataType) -> pa.RecordBatch:
+    types = (key_type, pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+    columns = [list(c) for c in zip(*rows, strict=True)] or [[]] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["k", "n", "streak", "last", "kills", "blocked"])
 
 
 def route(html: Column, parsed: Column, bot: Column, date_time: Column, text: Column, paywall: Column) -> Column:

@@ -2,28 +2,60 @@
 
 from __future__ import annotations
 
+import re
 from itertools import count
+from xml.parsers import expat
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from newsflow.functions.dates import iso_date
 from newsflow.functions.urls import pagination_key, pagination_number
 
-#: Statuses that end a sitemap well or badly.
+#: Statuses that end a sitemap well or badly.
 DONE = ("excluded_by_string", "excluded_by_date", "scraped", "all_child_links_processed")
 FAILED = ("response_error", "xml_error", "unsupported_root_tag", "all_processed_some_errors")
 LEAST_GROUP = 5
 
 
 def root_tag(xml: Column) -> Column:
-    """Lower-case name of the first element, without prefix; null where there is none."""
+    """Lower-case name of the root element, without prefix; null where the document is not well-formed (K1, K2)."""
+    @pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(_root)
+
+    return run(xml)
+
+
+def _root(text: str | None) -> str | None:
+    if text is None:
+        return None
+    names: list[str] = []
+    parser = expat.ParserCreate(namespace_separator=" ")
+    parser.StartElementHandler = lambda name, _: names or names.append(name)
+    try:
+        parser.Parse(text.lstrip("\ufeff \t\r\n").encode("utf-8", "replace"), True)
+    except expat.ExpatError as e:
+        # prefixes that no one declares are common in sitemaps; they don't make one unreadable
+        return first_tag(text) if e.code == expat.errors.codes[expat.errors.XML_ERROR_UNBOUND_PREFIX] else None
+    return names[0].split(" ")[-1].lower()
+
+
+def first_tag(text: str) -> str | None:
+    m = re.match(r"(?:\s|<\?[^>]*\?>|<!--(?:(?!-->)[\s\S])*-->|<!DOCTYPE[^>]*>)*<(?:[\w.-]+:)?([\w.-]+)", text)
+    return m[1].lower() if m else None
+
+
+def opening_tag(xml: Column) -> Column:
+    """Lower-case name of the first element, by pattern: also of documents that are not well-formed."""
     return F.nullif(F.lower(F.regexp_extract(xml, r"^(?:\s|<\?[^>]*\?>|<!--(?:(?!-->)[\s\S])*-->|<!DOCTYPE[^>]*>)*<(?:[\w.-]+:)?([\w.-]+)", 1)), F.lit(""))
 
 
 def locations(xml: Column) -> Column:
     """All <loc> values of a sitemap, trimmed, by pattern: malformed documents give what they have."""
-    return F.transform(F.regexp_extract_all(xml, F.lit(r"<(?:[\w.-]+:)?loc>\s*(?:<!\[CDATA\[)?([^<\]]*?)\s*(?:\]\]>)?\s*</"), F.lit(1)), _unescape)
+    return F.transform(F.regexp_extract_all(xml, F.lit(r"<(?:[\w.-]+:)?loc(?:\s[^>]*)?>\s*(?:<!\[CDATA\[)?([^<\]]*?)\s*(?:\]\]>)?\s*</"), F.lit(1)), _unescape)
 
 
 def _unescape(x: Column) -> Column:
@@ -34,8 +66,8 @@ def _unescape(x: Column) -> Column:
 
 def links(xml: Column) -> Column:
     """array<struct<result_link, lastmod_date, pub_date, date>> of a urlset, aligned inside each <url>; only http(s) links."""
-    urls = F.regexp_extract_all(xml, F.lit(r"<url>([\s\S]*?)</url>"), F.lit(1))
-    of = lambda u, tag: F.nullif(_unescape(F.trim(F.regexp_extract(u, rf"<(?:[\w.-]+:)?{tag}>\s*(?:<!\[CDATA\[)?([^<\]]*)", 1))), F.lit(""))
+    urls = F.regexp_extract_all(xml, F.lit(r"<(?:[\w.-]+:)?url(?:\s[^>]*)?>([\s\S]*?)</(?:[\w.-]+:)?url\s*>"), F.lit(1))
+    of = lambda u, tag: F.nullif(_unescape(F.trim(F.regexp_extract(u, rf"<(?:[\w.-]+:)?{tag}(?:\s[^>]*)?>\s*(?:<!\[CDATA\[)?([^<\]]*)", 1))), F.lit(""))
     found = F.transform(urls, lambda u: F.struct(of(u, "loc").alias("result_link"), iso_date(of(u, "lastmod")).alias("lastmod_date"), iso_date(of(u, "publication_date")).alias("pub_date")))
     dated = F.transform(found, lambda x: F.struct(x["result_link"].alias("result_link"), x["lastmod_date"].alias("lastmod_date"), x["pub_date"].alias("pub_date"), F.coalesce(x["pub_date"], x["lastmod_date"]).alias("date")))
     return F.filter(dated, lambda x: F.coalesce(x["result_link"].rlike("^https?://"), F.lit(False)))
@@ -68,14 +100,15 @@ def walk(roots: DataFrame, responses: DataFrame) -> DataFrame:
 
 
 def roll_up(tree: DataFrame, levels: int) -> DataFrame:
-    """tree (url, parent_url, depth, processing_status) with statuses of parents from their children's, bottom up."""
-    current = tree
+    """tree (url, parent_url, depth, processing_status) with statuses of parents from their children's and subsitemap_progress ("k of n" children are over), bottom up."""
+    current = tree.withColumn("subsitemap_progress", F.lit(None).cast("string"))
     for depth in range(levels - 1, -1, -1):
         good, bad = F.col("processing_status").isin(*DONE), F.col("processing_status").isin(*FAILED)
         below = current.where(F.col("depth") == depth + 1).groupBy(F.col("parent_url").alias("url")).agg(F.count(F.lit(1)).alias("__n"), F.count_if(good).alias("__good"), F.count_if(good | bad).alias("__over"))
         joined = current.join(below, "url", "left")
         status = F.when(F.col("__n").isNull() | (F.col("depth") != depth), F.col("processing_status")).when(F.col("__good") == F.col("__n"), "all_child_links_processed").when(F.col("__over") == F.col("__n"), "all_processed_some_errors").otherwise("in_progress")
-        current = joined.withColumn("processing_status", status).drop("__n", "__good", "__over")
+        text = F.when(F.col("__n").isNotNull() & (F.col("depth") == depth), F.concat(F.col("__over").cast("string"), F.lit(" of "), F.col("__n").cast("string"))).otherwise(F.col("subsitemap_progress"))
+        current = joined.withColumns({"processing_status": status, "subsitemap_progress": text}).drop("__n", "__good", "__over")
     return current
 
 
@@ -154,3 +187,44 @@ def retry_rows(log: DataFrame) -> DataFrame:
 def snapshot_url(stamp: Column, url: Column, archive: str) -> Column:
     """Address of an archived copy."""
     return F.concat(F.lit(archive.rstrip("/") + "/"), stamp, F.lit("id_/"), url)
+
+
+def scrape_urlsets(bodies: DataFrame, date_from: str, date_to: str, body: str = "body") -> DataFrame:
+    """bodies with in_range, urlset_link_count, urlset_date_range and urlset_content (K4)."""
+    from newsflow.functions.dates import span_text, urlset_range
+
+    found = bodies.withColumn("__l", links(F.col(body)))
+    days = F.col("__l.date")
+    return found.withColumns({
+        "in_range": urlset_range(days, date_from, date_to)["reason"], "urlset_link_count": F.size("__l").cast("long"),
+        "urlset_date_range": F.nullif(span_text(F.array_min(days), F.array_max(days)), F.lit("")), "urlset_content": F.col(body),
+    }).drop("__l")
+
+
+def progression_upsert(old: DataFrame, new: DataFrame, key: str = "current_url") -> DataFrame:
+    """The progression table after an update (G16): new values where given; an old root_tag stays unless it is unknown, a group unless a new one is given."""
+    a, b = old.alias("a"), new.alias("b")
+    pick = []
+    for c in (c for c in old.columns if c != key):
+        was, now = F.col(f"a.{c}"), F.col(f"b.{c}") if c in new.columns else F.lit(None)
+        pick.append((F.when(F.coalesce(was, F.lit("unknown")) != "unknown", was).otherwise(F.coalesce(now, was)) if c == "root_tag" else F.coalesce(now, was)).alias(c))
+    return a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer").select(F.coalesce(F.col(f"a.{key}"), F.col(f"b.{key}")).alias(key), *pick)
+
+
+def dissolve_groups(tree: DataFrame, group: str = "pagination_group") -> DataFrame:
+    """Groups that hold a sitemapindex are dissolved: their members lose group and index."""
+    mixed = tree.where((F.col("root_tag") == "sitemapindex") & F.col(group).isNotNull()).select(F.col(group).alias("__g")).distinct()
+    hit = tree.join(mixed, F.col(group) == F.col("__g"), "left")
+    gone = F.col("__g").isNotNull()
+    return hit.withColumns({
+        "pagination_group_status": F.when(gone, "dissolved").otherwise(F.col("pagination_group_status")), "pagination_index": F.when(~gone, F.col("pagination_index")), group: F.when(~gone, F.col(group)),
+    }).drop("__g")
+
+
+def reset_master(master: DataFrame, retry: DataFrame, key: str = "root_url") -> DataFrame:
+    """Master rows of sitemaps that are tried again, set back to their defaults."""
+    again = retry.select(key).distinct().withColumn("__again", F.lit(True))
+    hit = F.coalesce("__again", F.lit(False))
+    joined = master.join(again, key, "left")
+    defaults = {"input_processing_status": F.lit("in_progress"), "total_request_count": F.lit(0).cast("long"), "total_urlsets_scraped": F.lit(0).cast("long"), "processing_flag": F.lit("retry")}
+    return joined.withColumns({c: F.when(hit, v).otherwise(F.col(c)) for c, v in defaults.items()}).drop("__again")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators.extract import extract, paywall_decision
-from newsflow.operators.lifecycle import priority_dedup
+from newsflow.operators.lifecycle import priority_dedup, status_flags
 
 RULE_TABLE = "version string, domain string, field string, priority int, kind string, selectors array<string>, attributes array<string>"
 
@@ -18,7 +18,8 @@ def sandbox(rules: DataFrame) -> DataFrame:
 
 
 def edit(rules: DataFrame, changes: DataFrame) -> DataFrame:
-    """rules with local rules replaced per (domain, field) by the changes."""
+    """rules with local rules replaced per (domain, field) by the changes; bot rules (field ``bot``) hold for every domain and are replaced as a whole."""
+    changes = changes.withColumn("domain", F.when(F.col("field") == "bot", "*").otherwise(F.col("domain")))
     keys = changes.select("domain", "field").distinct().withColumn("version", F.lit("local"))
     return rules.join(keys, ["version", "domain", "field"], "left_anti").unionByName(changes.withColumn("version", F.lit("local")))
 
@@ -43,8 +44,25 @@ def reparse(pages: DataFrame, rules: DataFrame, version: str = "local") -> DataF
     return found.withColumn("paywall", paywall_decision(F.lit(None).cast("boolean"), known, F.coalesce("x.paywall_marker", F.lit(False))))
 
 
+def load(parse_error: DataFrame, domain: str) -> DataFrame:
+    """The parse errors of a domain."""
+    return parse_error.where(F.col("domain") == domain)
+
+
+def show(rules: DataFrame, domain: str, version: str = "local") -> DataFrame:
+    """The rules that a version has for a domain, with those for all, in the order in which they are tried."""
+    return rules.where((F.col("version") == version) & F.col("domain").isin(domain, "*")).orderBy(F.col("domain") == "*", "field", "priority")
+
+
 def promote(final: DataFrame, parse_error: DataFrame, parsed: DataFrame) -> dict[str, DataFrame]:
     """Re-parsed rows with a date and a text join final_data and leave parse_error; failures stay."""
-    good = parsed.where("x.date_time is not null and nullif(trim(x.text), '') is not null").select("id", "url", "x.date_time", "x.author", "x.headline", "x.text", "paywall")
+    given = [c for c in ("id", "domain", "url", "timestamp_scraped") if c in parsed.columns]
+    good = parsed.where("x.date_time is not null and nullif(trim(x.text), '') is not null").select(*given, "x.date_time", "x.author", "x.headline", "x.text", "paywall")
     every = priority_dedup({"final_data": final.unionByName(good, allowMissingColumns=True), "parse_error": parse_error})
     return {s: every.where(F.col("status") == s).drop("status") for s in ("final_data", "parse_error")}
+
+
+def fill_results(links: DataFrame, stores: dict[str, DataFrame], parsed: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The stores after promotion and the links with flags by them."""
+    after = stores | promote(stores["final_data"], stores["parse_error"], parsed)
+    return after, status_flags(links, after)

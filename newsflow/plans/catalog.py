@@ -35,4 +35,4 @@ def oracle_sql() -> dict[str, str]:
 
 def _load() -> None:
     """The modules register their queries when they are imported."""
-    from newsflow.plans import core_queries, web_queries  # noqa: F401
+    from newsflow.plans import core_queries, run_queries, web_queries  # noqa: F401

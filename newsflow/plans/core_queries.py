@@ -105,10 +105,9 @@ def _nations(spark, d):
     return table(spark, d, "customer").select(F.col("c_nationkey").alias("k")), table(spark, d, "supplier").select(F.col("s_nationkey").alias("k"))
 
 
-@register("q_except", "SELECT c_nationkey AS k FROM customer WHERE c_custkey <= 40 EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey <= 30")
+@register("q_except", "SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 300000")
 def q_except(spark, d):
-    a, b = table(spark, d, "customer").where("c_custkey <= 40"), table(spark, d, "supplier").where("s_suppkey <= 30")
-    return a.select(F.col("c_nationkey").alias("k")).subtract(b.select("s_nationkey"))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, d, "orders").where("o_totalprice > 300000").select("o_custkey"))
 
 
 @register("q_intersect", "SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
@@ -171,46 +170,47 @@ def q_anti_path_rule(spark, d):
     return pages.alias("p").join(paths.alias("r"), (F.col("p.domain") == F.col("r.domain")) & F.regexp_like("p.url", F.col("r.pattern")), "left_anti").select("page_id")
 
 
-@register("q_archive", "WITH old AS (SELECT o_orderkey % 50 AS k, o_orderkey, 0 AS age FROM orders WHERE o_orderkey <= 200), new AS (SELECT o_orderkey % 70, o_orderkey, 1 FROM orders WHERE o_orderkey > 200 AND o_orderkey <= 500), u AS (SELECT * FROM old UNION ALL SELECT * FROM new) SELECT 'u/' || k AS url, CAST(age AS INT) AS run FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY age, o_orderkey) AS n FROM u) WHERE n = 1")
+@register("q_archive", "WITH old AS (SELECT o_custkey AS k, o_orderkey, 0 AS age FROM orders WHERE o_orderstatus = 'F'), new AS (SELECT o_custkey, o_orderkey, 1 FROM orders WHERE o_orderstatus <> 'F'), u AS (SELECT * FROM old UNION ALL SELECT * FROM new) SELECT 'u/' || k AS url, CAST(age AS INT) AS run FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY age, o_orderkey) AS n FROM u) WHERE n = 1")
 def q_archive(spark, d):
     orders = table(spark, d, "orders")
-    old = orders.where("o_orderkey <= 200").select(F.concat(F.lit("u/"), F.col("o_orderkey") % 50).alias("url"), F.lit(0).alias("run"), F.lit("2025-01-01").cast("timestamp").alias("deleted_at"))
-    new = orders.where("o_orderkey > 200 and o_orderkey <= 500").select(F.concat(F.lit("u/"), F.col("o_orderkey") % 70).alias("url"), F.lit(1).alias("run"))
+    old = orders.where("o_orderstatus = 'F'").select(F.concat(F.lit("u/"), "o_custkey").alias("url"), F.lit(0).alias("run"), F.lit("2025-01-01").cast("timestamp").alias("deleted_at"))
+    new = orders.where("o_orderstatus <> 'F'").select(F.concat(F.lit("u/"), "o_custkey").alias("url"), F.lit(1).alias("run"))
     return cleaning.archive(old, new, F.lit("2025-02-01").cast("timestamp")).select("url", "run")
 
 
-_STATUS = {"final_data": 2, "parse_error": 3, "error": 5, "retry": 7}
+#: Every order is in one of the tables or in several.
+_STATUS = {"final_data": "o_orderstatus = 'F'", "parse_error": "o_orderpriority like '1%' or o_orderstatus = 'P'", "error": "o_orderpriority like '2%' or o_totalprice > 200000", "retry": "o_orderstatus <> 'F'"}
 
 
 def _status_tables(spark, d):
-    orders = table(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("u/"), "o_orderkey", F.when(F.col("o_orderkey") % 4 < 2, "/").otherwise("")).alias("url"))
-    return {name: orders.where(F.col("id") % n == 0) for name, n in _STATUS.items()}
+    url = F.concat(F.lit("u/"), "o_orderkey", F.when(F.col("o_orderkey") % 4 < 2, "/").otherwise("")).alias("url")
+    return {name: table(spark, d, "orders").where(rule).select(F.col("o_orderkey").alias("id"), url) for name, rule in _STATUS.items()}
 
 
-@register("q_priority_dedup", "SELECT o_orderkey AS id, 'u/' || o_orderkey AS url, CASE WHEN o_orderkey % 2 = 0 THEN 'final_data' WHEN o_orderkey % 3 = 0 THEN 'parse_error' WHEN o_orderkey % 5 = 0 THEN 'error' ELSE 'retry' END AS status FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0 OR o_orderkey % 5 = 0 OR o_orderkey % 7 = 0")
+@register("q_priority_dedup", f"SELECT o_orderkey AS id, 'u/' || o_orderkey AS url, CASE {' '.join(f"WHEN {rule} THEN '{name}'" for name, rule in _STATUS.items())} END AS status FROM orders")
 def q_priority_dedup(spark, d):
     return lifecycle.priority_dedup(_status_tables(spark, d)).select("id", "url", "status")
 
 
-@register("q_status_flags", "SELECT o_orderkey, o_orderkey % 2 = 0 AS processed, o_orderkey % 3 = 0 AS parse_error, o_orderkey % 5 = 0 AS error, o_orderkey % 7 = 0 AS retry FROM orders")
+@register("q_status_flags", f"SELECT o_orderkey, {_STATUS['final_data']} AS processed, {_STATUS['parse_error']} AS parse_error, {_STATUS['error']} AS error, {_STATUS['retry']} AS retry FROM orders")
 def q_status_flags(spark, d):
     tables = {n: t.withColumn("url", urls.trim_slash(F.col("url"))) for n, t in _status_tables(spark, d).items()}
     links = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("u/"), "o_orderkey").alias("url"), F.lit(True).alias("processed"))
     return lifecycle.status_flags(links, tables).drop("url")
 
 
-@register("q_append_new", "SELECT 'u/' || o_orderkey AS url, o_orderkey % 2 = 0 AS old FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
+@register("q_append_new", "SELECT 'u/' || o_orderkey AS url, o_orderstatus <> 'O' AS old FROM orders")
 def q_append_new(spark, d):
-    t = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("u/"), "o_orderkey").alias("url"))
-    a, b = t.where("o_orderkey % 2 = 0").select("url", F.lit(True).alias("old")), t.where("o_orderkey % 3 = 0").select("url", F.lit(False).alias("old"))
+    t = table(spark, d, "orders").select("o_orderstatus", F.concat(F.lit("u/"), "o_orderkey").alias("url"))
+    a, b = t.where("o_orderstatus <> 'O'").select("url", F.lit(True).alias("old")), t.where("o_orderstatus <> 'F'").select("url", F.lit(False).alias("old"))
     return lifecycle.append_new(a, b)
 
 
-@register("q_upsert", "SELECT coalesce(a.k, b.k) AS k, coalesce(b.v, a.v) AS v, coalesce(a.first_seen, b.first_seen) AS first_seen FROM (SELECT o_orderkey AS k, o_orderstatus AS v, 1 AS first_seen FROM orders WHERE o_orderkey % 2 = 0) a FULL JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS v, 2 AS first_seen FROM orders WHERE o_orderkey % 3 = 0) b ON a.k = b.k")
+@register("q_upsert", "SELECT coalesce(a.k, b.k) AS k, coalesce(b.v, a.v) AS v, coalesce(a.first_seen, b.first_seen) AS first_seen FROM (SELECT o_orderkey AS k, o_orderstatus AS v, 1 AS first_seen FROM orders WHERE o_orderstatus <> 'O') a FULL JOIN (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS v, 2 AS first_seen FROM orders WHERE o_orderstatus <> 'F') b ON a.k = b.k")
 def q_upsert(spark, d):
     o = table(spark, d, "orders")
-    old = o.where("o_orderkey % 2 = 0").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), F.lit(1).alias("first_seen"))
-    new = o.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("v"), F.lit(2).alias("first_seen"))
+    old = o.where("o_orderstatus <> 'O'").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("v"), F.lit(1).alias("first_seen"))
+    new = o.where("o_orderstatus <> 'F'").select(F.col("o_orderkey").alias("k"), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).alias("v"), F.lit(2).alias("first_seen"))
     return lifecycle.upsert(old, new, "k", ("first_seen",))
 
 

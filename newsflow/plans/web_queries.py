@@ -9,7 +9,7 @@ from newsflow.functions import urls
 from newsflow.operators import extract, relational, reports, responses, sitemaps
 from newsflow.plans.catalog import register
 from newsflow.session import table
-from newsflow.sources.tables import materialize
+from newsflow.sources.tables import materialize, new_path
 
 _EVENTS = "SELECT event_id, user_id, ts, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 200 WHEN event_id % 13 = 0 THEN NULL ELSE [403, 404, 429, 500, 503][event_id % 5 + 1] END AS status, event_id % 29 = 0 AS failed, CASE WHEN event_id % 7 = 0 THEN 'bot_detected' WHEN event_id % 3 = 0 THEN 'parsing_failed_no_paywall' ELSE 'valid' END AS parsed FROM events"
 _ANALYZED = f"SELECT *, CASE WHEN failed OR status IS NULL THEN 'retry' WHEN status = 200 AND parsed = 'bot_detected' THEN 'retry' WHEN status = 200 THEN 'parse' WHEN status IN (404, 410) THEN 'error' ELSE 'retry' END AS action, CASE WHEN failed THEN 'network_error' WHEN status IS NULL THEN 'invalid_response' WHEN status = 200 THEN parsed ELSE 'http_error_' || status END AS analysis FROM ({_EVENTS})"
@@ -108,7 +108,7 @@ def _responses(spark, d):
     base = "https://s/"
     loc = lambda c: F.concat(F.lit("<sitemap><loc>"), c, F.lit("</loc></sitemap>"))
     index = lambda c: F.concat(F.lit("<sitemapindex>"), F.array_join(F.array_sort(F.collect_list(loc(c))), ""), F.lit("</sitemapindex>"))
-    nation, customer = table(spark, d, "nation"), table(spark, d, "customer").where("c_custkey <= 400")
+    nation, customer = table(spark, d, "nation"), table(spark, d, "customer")
     regions = nation.groupBy("n_regionkey").agg(index(F.concat(F.lit(base + "n"), "n_nationkey")).alias("body")).select(F.concat(F.lit(base + "r"), "n_regionkey").alias("url"), F.lit(200).alias("status"), "body")
     nations = customer.groupBy("c_nationkey").agg(index(F.concat(F.lit(base + "c"), "c_custkey")).alias("body")).select(F.concat(F.lit(base + "n"), "c_nationkey").alias("url"), F.lit(200).alias("status"), "body")
     sets = customer.select(F.concat(F.lit(base + "c"), "c_custkey").alias("url"), F.when(F.col("c_custkey") % 7 == 0, 500).otherwise(200).alias("status"), F.lit("<urlset><url><loc>https://x/a</loc></url></urlset>").alias("body"))
@@ -116,8 +116,8 @@ def _responses(spark, d):
 
 
 _TREE = """tree AS (SELECT 'https://s/r' || r_regionkey AS url, NULL AS parent_url, 'https://s/r' || r_regionkey AS root_url, 0::BIGINT AS depth, 'sitemapindex' AS root_tag, 'subsitemap_sorted' AS processing_status FROM region
- UNION ALL SELECT 'https://s/n' || n_nationkey, 'https://s/r' || n_regionkey, 'https://s/r' || n_regionkey, 1, CASE WHEN n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_custkey <= 400) THEN 'sitemapindex' END, CASE WHEN n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_custkey <= 400) THEN 'subsitemap_sorted' ELSE 'response_error' END FROM nation
- UNION ALL SELECT 'https://s/c' || c_custkey, 'https://s/n' || c_nationkey, 'https://s/r' || n_regionkey, 2, 'urlset', CASE WHEN c_custkey % 7 = 0 THEN 'response_error' ELSE 'scraped' END FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey <= 400)"""
+ UNION ALL SELECT 'https://s/n' || n_nationkey, 'https://s/r' || n_regionkey, 'https://s/r' || n_regionkey, 1, CASE WHEN n_nationkey IN (SELECT c_nationkey FROM customer) THEN 'sitemapindex' END, CASE WHEN n_nationkey IN (SELECT c_nationkey FROM customer) THEN 'subsitemap_sorted' ELSE 'response_error' END FROM nation
+ UNION ALL SELECT 'https://s/c' || c_custkey, 'https://s/n' || c_nationkey, 'https://s/r' || n_regionkey, 2, 'urlset', CASE WHEN c_custkey % 7 = 0 THEN 'response_error' ELSE 'scraped' END FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
 
 def _tree(spark, d):
@@ -185,7 +185,7 @@ def q_html_title(spark, d):
 
 @register("q_html_fields")
 def q_html_fields(spark, d):
-    """Title, headline, text and their lengths of every page; compared with a plain parser in the tests."""
+    """Title, headline, text and their lengths of every page; a test compares with a plain parser."""
     return _pages(spark, d).select("page_id", "x.headline", "x.author", "x.date_time", F.length("x.text").cast("long").alias("text_length"))
 
 
@@ -220,7 +220,7 @@ def q_pages_report(spark, d):
     return reports.progress(flags)
 
 
-def _streamed(spark, d, build, mode: str):
+def _streamed(spark, d, build, mode: str, keys: list[str]):
     """Runs a streaming query over the events as a file stream to its end; the result as a written table."""
     source = spark.read.parquet(f"{d}/events.parquet")
     path = f"{d}/events.parquet"
@@ -235,12 +235,14 @@ def _streamed(spark, d, build, mode: str):
     def keep(batch, epoch):
         found.append(materialize(batch, f"stream-{epoch}"))
 
-    query = build(stream).writeStream.outputMode(mode).foreachBatch(keep).trigger(availableNow=True).start()
+    query = build(stream).writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", new_path(spark, "stream")).trigger(availableNow=True).start()
     query.awaitTermination()
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    out = found[0].withColumn("__epoch", F.lit(0))
+    for epoch, more in enumerate(found[1:], 1):
+        out = out.unionByName(more.withColumn("__epoch", F.lit(epoch)))
+    # an update replaces what an earlier batch said of its key
+    rest = [c for c in found[0].columns if c not in keys]
+    return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "__epoch").alias("__r")).select(*keys, "__r.*")
 
 
 @register("q_stream_health", f"""WITH RECURSIVE e AS (SELECT user_id, r, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM ({_HARSH})),
@@ -256,7 +258,7 @@ def q_stream_health(spark, d):
         log = stream.select(F.col("user_id").cast("string").alias("domain"), "ts", "event_id", F.when(hit, "retry").otherwise("parse").alias("action"), F.lit("http_error_500").alias("reason"))
         return domain_health(log, level=1)
 
-    return _streamed(spark, d, build, "update").select("domain", "streak", "kills", "blocked")
+    return _streamed(spark, d, build, "update", ["domain"]).select("domain", "streak", "kills", "blocked")
 
 
 @register("q_stream_counts", "SELECT date_trunc('day', ts) AS start, event_type AS analysis, count(*) AS n FROM events GROUP BY 1, 2")
@@ -266,7 +268,7 @@ def q_stream_counts(spark, d):
     def build(stream):
         return response_counts(stream.select(F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("analysis")), window="1 day", late="400 days")
 
-    return _streamed(spark, d, build, "update").select(F.col("start").cast("timestamp_ntz").alias("start"), "analysis", "n")
+    return _streamed(spark, d, build, "update", ["start", "analysis"]).select(F.col("start").cast("timestamp_ntz").alias("start"), "analysis", "n")
 
 
 def _domains(spark, d):
@@ -283,7 +285,7 @@ def _discovered(spark, d):
     usual = domains.where("k % 4 = 0").select(F.concat(F.lit("https://"), "domain_url", F.lit("/sitemap.xml")).alias("url"), F.lit(200).alias("status"), F.lit("<urlset/>").alias("body"))
     responses_ = answers.union(late).union(usual)
     robots = discovery.robots(domains, responses_)
-    return robots, discovery.merge(discovery.declared(robots), discovery.typical(domains, responses_))
+    return robots, discovery.merge(discovery.declared(robots), discovery.typical(domains, responses_, spark.createDataFrame([("/sitemap.xml",), ("/sitemap_index.xml",)], "path string")))
 
 
 @register("q_robots_probe", "SELECT 'd' || n_nationkey || '.de' AS domain_url, CASE WHEN n_nationkey % 5 <> 0 THEN CASE WHEN n_nationkey % 2 = 0 THEN 'https://' ELSE 'http://' END || 'd' || n_nationkey || '.de/robots.txt' END AS robots_txt FROM nation")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from newsflow.operators.relational import aligned
+from newsflow.operators.relational import aligned, first_per_key
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
@@ -51,7 +51,7 @@ def append_aligned(df: DataFrame, path: str) -> None:
     aligned(df, df.sparkSession.read.parquet(path)).write.mode("append").parquet(path)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def ensure_table(spark: SparkSession, path: str, schema) -> DataFrame:
     """The table at path; an empty one is written if there is none."""
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -65,19 +65,67 @@ def write_by_domain(df: DataFrame, path: str, domain: str = "domain") -> None:
     df.repartition(domain).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(domain).parquet(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV files with a header; quotes are doubled, so that any text reads back."""
+    df.write.mode("overwrite").option("escape", '"').csv(path, header=True)
+
+
+def write_pages(df: DataFrame, path: str, html: str = "html", name: str = "name") -> None:
+    """Samples of pages as text files, a folder per name."""
+    df.select(F.col(html).alias("value"), name).write.mode("overwrite").option("lineSep", "\n").partitionBy(name).text(path)
+
+
+def domain_of_file(df: DataFrame, domain: str = "domain", source_file: str = "source_file") -> DataFrame:
+    """domain from the name of the file (name_<domain>.ext) where the column is missing or null."""
+    named = F.nullif(F.regexp_extract(F.col(source_file), r"_([^_/]+?)\.[A-Za-z]+$", 1), F.lit(""))
+    return df.withColumn(domain, F.coalesce(F.col(domain), named) if domain in df.columns else named)
+
+
+def transpose(df: DataFrame, key: str, names: list[str]) -> DataFrame:
+    """A small table turned: one row per former column, one column per key (A4); ``names`` are the keys."""
+    cells = df.unpivot(key, [c for c in df.columns if c != key], "name", "value")
+    return cells.groupBy("name").pivot(key, names).agg(F.first("value"))
+
+
+def merge_by_domain(spark: SparkSession, new: DataFrame, path: str, done: DataFrame, key: str = "url", domain: str = "domain") -> None:
+    """A table by domain with new rows merged in (B5, B6): one row per key, the older one; keys of ``done`` go; a domain without rows has no folder."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    every = new.withColumn("__age", F.lit(1))
+    before: set[str] = set()
+    if fs.exists(root):
+        old = spark.read.parquet(path).select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in new.columns])
+        before = {s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()}
+        every = old.withColumn("__age", F.lit(0)).unionByName(every)
+    kept = first_per_key(every, [key], ["__age", *[c for c in new.columns if c != key]]).drop("__age").join(done.select(key), key, "left_anti")
+    kept = materialize(kept.select(*new.columns), "by-domain")
+    write_by_domain(kept, path, domain)
+    wanted = {r[0] for r in kept.select(F.col(domain).cast("string")).distinct().collect()}  # names of folders
+    for folder in before:
+        if folder.split("=", 1)[-1] not in wanted:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(root, folder), True)
+
+
 def next_chunk(names: Column) -> Column:
     """Aggregate: the next free name chunk_NNN."""
     number = F.regexp_extract(names, r"^chunk_(\d+)$", 1).try_cast("int")
     return F.concat(F.lit("chunk_"), F.lpad((F.coalesce(F.max(number), F.lit(0)) + 1).cast("string"), 3, "0"))
 
 
-def materialize(df: DataFrame, what: str) -> DataFrame:
-    """df as a written table in the folder of spark.checkpoint.dir: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, what: str) -> str:
+    """A new name in the folder of spark.checkpoint.dir; where that is unset, in one of our own on a local master and an error on a cluster."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="newsflow-"))
         folder = spark.sparkContext.getCheckpointDir()
-    path = f"{folder}/newsflow-{what}-{uuid.uuid4().hex}"
+    return f"{folder}/newsflow-{what}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, what: str) -> DataFrame:
+    """df as a written table in the folder of spark.checkpoint.dir: cuts lineage and survives lost executors."""
+    path = new_path(df.sparkSession, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
