@@ -1,6 +1,6 @@
 """Shards of whole texts, and packed exchange of hashes between them.
 
-Rows are dealt to shards of a few MB of text by a hash of the row. A shard sends the hashes that it
+Rows are dealt to shards of a few MB of text by a hash of the row (rows equal in all columns share one). A shard sends the hashes that it
 wants counted as a few binary blobs, one per bucket of the hash space, each hash once, so a value that
 a third of all rows hold costs a bucket at most one entry per shard. 8 bytes a hash cross the
 network instead of a row each, and the answer is one bit a hash.
@@ -33,8 +33,13 @@ def shards_for(size: int, each: int = SHARD_BYTES) -> int:
     return max(1, math.ceil(size / each))
 
 
-def buckets_for(hashes: float) -> int:
-    return max(8, math.ceil(hashes / BUCKET_HASHES))
+def buckets_for(hashes: float, least: int = 8) -> int:
+    return max(least, math.ceil(hashes / BUCKET_HASHES))
+
+
+def least_buckets(spark) -> int:
+    """As many buckets as a shuffle has tasks, within reason, so that small inputs use the cluster too."""
+    return min(256, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def shard_of(n: int, *cols: str | Column) -> Column:
@@ -46,13 +51,69 @@ def bucket_of(hashes: np.ndarray, n: int) -> np.ndarray:
     return (hashes >> _U(32)) * _U(n) >> _U(32)
 
 
+def _cuts(hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that sorted hashes fall into, and where each begins (with the end as last): work in proportion to the hashes, whatever n."""
+    full, first = np.unique(bucket_of(hashes, n), return_index=True)
+    return full.astype(np.int64), np.append(first, len(hashes))
+
+
+def messages(shards, kinds, buckets, blobs: list[bytes]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(shards, pa.int64()), pa.array(kinds, pa.int32()), pa.array(buckets, pa.int64()), pa.array(blobs, pa.binary())], schema=ARROW_MESSAGE)
+
+
 def packed(shard: int, kind: int, hashes: np.ndarray, n: int, payload: np.ndarray | None = None, short: np.ndarray | None = None) -> pa.Table:
     """Messages for sorted hashes; payload: 32-bit values sent along; short: 32-bit values sent in place of the hashes."""
     told = hashes if short is None else short
-    cuts = np.searchsorted(bucket_of(hashes, n), np.arange(n + 1, dtype=_U))
-    full = [b for b in range(n) if cuts[b] < cuts[b + 1]]
-    blobs = [told[cuts[b] : cuts[b + 1]].tobytes() + (b"" if payload is None else payload[cuts[b] : cuts[b + 1]].tobytes()) for b in full]
-    return pa.Table.from_arrays([pa.array([shard] * len(full), pa.int64()), pa.array([kind] * len(full), pa.int32()), pa.array(full, pa.int64()), pa.array(blobs, pa.binary())], schema=ARROW_MESSAGE)
+    full, cuts = _cuts(hashes, n)
+    blobs = [told[a:b].tobytes() + (b"" if payload is None else payload[a:b].tobytes()) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    return messages([shard] * len(full), [kind] * len(full), full, blobs)
+
+
+def _replies(table: pa.Table, kind: int, hashes: np.ndarray, n: int):
+    """(from, to, blob) of each reply to what a shard sent as ``kind``: the range of its sorted hashes, and the answer."""
+    full, cuts = _cuts(hashes, n)
+    for k, b, blob in zip(table["kind"].to_pylist(), table["bucket"].to_pylist(), table["blob"].to_pylist(), strict=True):
+        if k == kind:
+            at = int(np.searchsorted(full, b))
+            yield int(cuts[at]), int(cuts[at + 1]), blob
+
+
+def partners(table: pa.Table) -> pa.Table:
+    """For one bucket of hashes as ``marked`` makes them: answers each message with a bit per hash (it recurs) and, for those that do, the shard that holds it next.
+
+    The holders of a hash form a ring, so each has one partner to tell of it, however many they are; a
+    hash that only one shard holds, repeatedly, has that shard itself.
+    """
+    rows = sorted(zip(table["shard"].to_pylist(), table["kind"].to_pylist(), table["bucket"].to_pylist(), table["blob"].to_pylist(), strict=True), key=lambda r: r[:3])
+    parts = [np.frombuffer(r[3], _U) for r in rows]
+    every = np.concatenate(parts)
+    owner = np.repeat(np.array([r[0] for r in rows], np.int64), [len(p) for p in parts])
+    order = np.lexsort((owner, every & ~_U(1)))
+    values, held = (every & ~_U(1))[order], owner[order]
+    first = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1])))[: len(values)]
+    size = np.diff(np.append(first, len(values)))
+    after = np.arange(1, len(values) + 1)
+    after[first + size - 1] = first
+    nearest, alone = np.empty(len(values), np.int64), np.empty(len(values), bool)
+    nearest[order], alone[order] = held[after], np.repeat(size == 1, size)
+    recurs = ~alone | ((every & _U(1)) > 0)
+    blobs, at = [], 0
+    for p in parts:
+        some = recurs[at : at + len(p)]
+        blobs.append(np.packbits(some).tobytes() + nearest[at : at + len(p)][some].astype(np.uint32).tobytes())
+        at += len(p)
+    return messages([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], blobs)
+
+
+def told_partners(table: pa.Table, kind: int, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each of the sorted hashes that a shard sent recurs, and its partner shard (-1: it does not)."""
+    recurs, partner = np.zeros(len(hashes), bool), np.full(len(hashes), -1, np.int64)
+    for lo, hi, blob in _replies(table, kind, hashes, n):
+        width = -(-(hi - lo) // 8)
+        some = np.unpackbits(np.frombuffer(blob, np.uint8, width), count=hi - lo).astype(bool)
+        recurs[lo:hi] = some
+        partner[lo:hi][some] = np.frombuffer(blob[width:], np.uint32)
+    return recurs, partner
 
 
 def marked(values: np.ndarray) -> np.ndarray:
@@ -81,11 +142,8 @@ def recurring(table: pa.Table, dtype=_U) -> pa.Table:
 def answers(table: pa.Table, kind: int, hashes: np.ndarray, n: int) -> np.ndarray:
     """The bit of each of the sorted hashes that a shard sent as ``kind``."""
     out = np.zeros(len(hashes), bool)
-    cuts = np.searchsorted(bucket_of(hashes, n), np.arange(n + 1, dtype=_U))
-    for k, b, blob in zip(table["kind"].to_pylist(), table["bucket"].to_pylist(), table["blob"].to_pylist(), strict=True):
-        if k == kind:
-            lo, hi = cuts[b], cuts[b + 1]
-            out[lo:hi] = np.unpackbits(np.frombuffer(blob, np.uint8), count=hi - lo).astype(bool)
+    for lo, hi, blob in _replies(table, kind, hashes, n):
+        out[lo:hi] = np.unpackbits(np.frombuffer(blob, np.uint8), count=hi - lo).astype(bool)
     return out
 
 
@@ -111,7 +169,6 @@ def totals(table: pa.Table) -> pa.Table:
 def told_totals(table: pa.Table, hashes: np.ndarray, n: int) -> np.ndarray:
     """The total of each of the sorted hashes that a shard sent."""
     out = np.zeros(len(hashes), np.uint8)
-    cuts = np.searchsorted(bucket_of(hashes, n), np.arange(n + 1, dtype=_U))
-    for b, blob in zip(table["bucket"].to_pylist(), table["blob"].to_pylist(), strict=True):
-        out[cuts[b] : cuts[b + 1]] = np.frombuffer(blob, np.uint8)
+    for lo, hi, blob in _replies(table, 0, hashes, n):
+        out[lo:hi] = np.frombuffer(blob, np.uint8)
     return out

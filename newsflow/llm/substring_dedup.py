@@ -3,18 +3,22 @@
 1. Confirm recurring passages. Every text is cut into words; of every window of words the smallest
    hash of its 16-word runs is its anchor (winnowing), so equal windows have equal anchors. Anchors
    that occur once rule their windows out; the hashes of the rest are counted over the whole corpus.
-   Both counts use the packed exchange of ``exchange.py``.
-2. Compile sharded automata. The texts are dealt to shards of about 2 MB; each shard compiles one
-   Aho-Corasick automaton (pyahocorasick) from those confirmed passages that it can meet, each laid
-   out in tiles of one window. Memory follows the shard, not the corpus.
-3. Stream all documents of the shard through its automaton and mark the words of every occurrence.
+   Both counts use the packed exchange of ``exchange.py``, which also tells the shards that hold a
+   recurring window, as a ring: each learns which one comes next.
+2. Supply passages. A shard of about 2 MB of text sends the words of its recurring passages to the next
+   shard of the ring, one copy of each, so that every shard gets from elsewhere the passages that its
+   documents can meet. A passage that a third of all texts hold is sent once by each shard.
+3. Compile sharded automata. Each shard compiles one Aho-Corasick automaton (pyahocorasick) from the
+   passages that it was sent, in tiles of one window; passages that only its own texts repeat it takes
+   from these. Memory follows the shard, not the corpus.
+4. Stream all documents of the shard through its automaton and mark the words of every occurrence. An
+   occurrence of a passage from elsewhere proves the repeat word by word; one of an own passage needs a
+   second. So hashes only choose what is looked for: texts that share a hash but not the words stay.
 
 Defined results: null and empty texts have no words; a text shorter than a window keeps all of its
 words; repeated rows are separate documents (each word of a repeated window goes in all of them);
 extra columns are passed through, those named like ours are replaced; an empty table gives an empty
 table.
-A window counts as recurring by a 64-bit hash inside a bucket; with B buckets and N windows that
-share an anchor with another, about N*N / (B * 2**65) windows are taken for others by chance.
 """
 
 from __future__ import annotations
@@ -27,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.llm import exchange as X
-from newsflow.llm.textbytes import Words, sliding
+from newsflow.llm.textbytes import Words, distinct_spans, release, sliding
 
 _U = np.uint64
 WINDOW = 35
 #: Words of the runs from which a window's anchor is chosen.
 RUN = 16
-ANCHORS, WINDOWS = 0, 1
+ANCHORS, WINDOWS, PASSAGES = 0, 1, 2
 #: Bytes of text per shard: a worker's memory is about 150 times that.
 SHARD_BYTES = 2_000_000
 
@@ -84,44 +88,112 @@ def _letters(ids: np.ndarray, digits: int) -> str:
     return out.tobytes().decode("utf-32-le")
 
 
-def covered_words(words: Words, passages: np.ndarray, window: int) -> np.ndarray:
-    """Which words lie in an occurrence of a confirmed passage. passages: sorted word positions of the recurring windows."""
-    covered = np.zeros(len(words.starts), bool)
-    if not len(passages):
+def _runs(at: np.ndarray, *same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last of each run of neighbouring positions (sorted) with equal values. Windows of two texts are never neighbours."""
+    new = np.concatenate(([True], np.diff(at) > 1))[: len(at)]
+    for x in same:
+        new[1:] |= x[1:] != x[:-1]
+    first = np.flatnonzero(new)
+    return at[first], at[np.append(first[1:], len(at))[: len(first)] - 1] if len(first) else at[:0]
+
+
+def _wrapped(parts: list[bytes]) -> bytes:
+    return np.array([len(parts), *map(len, parts)], "<u4").tobytes() + b"".join(parts)
+
+
+def _unwrapped(blob: bytes) -> list[str]:
+    n = int(np.frombuffer(blob, "<u4", 1)[0])
+    ends = 4 * (n + 1) + np.cumsum(np.frombuffer(blob, "<u4", n, 4).astype(np.int64))
+    return [blob[a:b].decode() for a, b in zip([4 * (n + 1), *ends[:-1].tolist()], ends.tolist(), strict=True)]
+
+
+def _supply(key, table: pa.Table, replies: pa.Table, window: int, buckets: int) -> pa.Table:
+    """The words of a shard's recurring passages, for the shards that hold them next."""
+    shard, own = Windows(table["__text"], window), key[0].as_py()
+    at, hashes = shard.candidates(replies, buckets)
+    sent = X.marked(hashes)
+    recurs, partner = X.told_partners(replies, WINDOWS, sent, buckets)
+    _, first = np.unique(hashes, return_index=True)
+    some = recurs & (partner != own)
+    place, to = at[first[some]], partner[some]
+    order = np.argsort(place)
+    place, to = place[order], to[order]
+    begin, end = _runs(place, to)
+    raw, parts = shard.words.flat.tobytes(), {}
+    for a, b, shard_to in zip(begin.tolist(), end.tolist(), to[np.searchsorted(place, begin)].tolist(), strict=True):
+        parts.setdefault(shard_to, []).append(raw[shard.words.starts[a] : shard.words.ends[b + window - 1]])
+    release()
+    return X.messages(list(parts), [PASSAGES] * len(parts), [own] * len(parts), [_wrapped(p) for p in parts.values()])
+
+
+def patterns(tiles: np.ndarray, hashes: np.ndarray, given: np.ndarray, given_hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each tile (a word position) where the words of its pattern are taken from: the given passage with its hash if there is one, else the tile itself; and whether they were given."""
+    order = np.argsort(given_hashes, kind="stable")
+    at = np.minimum(np.searchsorted(given_hashes[order], hashes), max(0, len(given) - 1))
+    found = given_hashes[order][at] == hashes if len(given) else np.zeros(len(tiles), bool)
+    return np.where(found, given[order][at] if len(given) else tiles, tiles), found
+
+
+def covered_words(words: Words, texts: int, recurring: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarray:
+    """Which words of the first ``texts`` texts lie in an occurrence of a confirmed passage.
+
+    The texts after those are the passages that other shards supplied. recurring: sorted word positions
+    of the recurring windows of the first texts; hashes: of the windows at all positions.
+    """
+    n = int(words.first[texts])
+    covered = np.zeros(n, bool)
+    if not len(recurring):
         return covered
-    text = np.searchsorted(words.first, passages, "right")
-    new = np.concatenate(([True], (np.diff(passages) > 1) | (np.diff(text) > 0)))
-    begin, end = passages[new], passages[np.concatenate((np.flatnonzero(new)[1:] - 1, [len(passages) - 1]))]
-    tiles = np.concatenate([np.append(np.arange(b, e, window), e) for b, e in zip(begin, end, strict=True)])
-    _, ids = np.unique(words.hashes, return_inverse=True)
+    begin, end = _runs(recurring)
+    tiles = np.concatenate([np.append(np.arange(b, e, window), e) for b, e in zip(begin.tolist(), end.tolist(), strict=True)])
+    starts, _ = words.gram_starts(window)
+    given = starts[starts >= n]
+    source, supplied = patterns(tiles, hashes[tiles], given, hashes[given])
+    _, ids = distinct_spans(words.flat, words.starts, words.ends)
     digits = max(1, -(-int(ids.max()).bit_length() // 6))
     line = _letters(ids, digits)
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    for t in tiles.tolist():
-        automaton.add_word(line[t * digits : (t + window) * digits])
+    needed: dict[str, int] = {}
+    for t, other in zip(source.tolist(), supplied.tolist(), strict=True):
+        word = line[t * digits : (t + window) * digits]
+        needed[word] = min(needed.get(word, 2), 1 if other else 2)
+    automaton = ahocorasick.Automaton()
+    for i, word in enumerate(needed):
+        automaton.add_word(word, i)
     automaton.make_automaton()
-    depth = np.zeros(len(words.starts) + 1, np.int64)
-    for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True):
+    least, ends, which = np.array(list(needed.values())), [], []
+    for a, b in zip(words.first[:texts].tolist(), words.first[1 : texts + 1].tolist(), strict=True):
         if b - a >= window:
-            ends = [e for e, _ in automaton.iter(line[a * digits : b * digits])]
-            for e in ends:
-                stop = a + (e + 1) // digits
-                depth[stop - window] += 1
-                depth[stop] -= 1
+            for e, i in automaton.iter(line[a * digits : b * digits]):
+                ends.append(a + (e + 1) // digits)
+                which.append(i)
+    ends, which = np.array(ends, np.int64), np.array(which, np.int64)
+    ends = ends[np.bincount(which, minlength=len(least))[which] >= least[which]] if len(ends) else ends
+    depth = np.zeros(n + 1, np.int64)
+    np.add.at(depth, ends - window, 1)
+    np.add.at(depth, ends, -1)
     return np.cumsum(depth)[:-1] > 0
 
 
 def _remove(key, table: pa.Table, replies: pa.Table, window: int, buckets: int) -> pa.Table:
-    shard = Windows(table["__text"], window)
+    texts = table["__text"].cast(pa.string())
+    mail = sorted((b, x) for k, b, x in zip(replies["kind"].to_pylist(), replies["bucket"].to_pylist(), replies["blob"].to_pylist(), strict=True) if k == PASSAGES)
+    shard = Windows(texts, window)
     at, hashes = shard.candidates(replies, buckets)
     sent = X.marked(hashes)
-    good = sent[X.answers(replies, WINDOWS, sent, buckets)] & ~_U(1)
-    covered = covered_words(shard.words, at[np.isin(hashes, good)], window)
+    good = sent[X.told_partners(replies, WINDOWS, sent, buckets)[0]] & ~_U(1)
+    recurring = at[np.isin(hashes, good)]
+    words = shard.words
+    if len(recurring):
+        both = Words(pa.chunked_array([*texts.chunks, pa.array([p for _, blob in mail for p in _unwrapped(blob)], pa.string())]))
+        covered = covered_words(both, len(texts), recurring, both.all_grams(window) & ~_U(1), window)
+    else:
+        covered = np.zeros(len(words.starts), bool)
     sums = np.concatenate(([0], np.cumsum(covered)))
-    removed = sums[shard.words.first[1:]] - sums[shard.words.first[:-1]]
+    removed = sums[words.first[1:]] - sums[words.first[:-1]]
     out = table.drop_columns(["__shard", "__text"])
-    for name, value in (("n_words", pa.array(shard.words.counts, pa.int64())), ("n_removed", pa.array(removed, pa.int64())), ("kept_text", shard.words.join(~covered).cast(pa.string()))):
+    for name, value in (("n_words", pa.array(words.counts, pa.int64())), ("n_removed", pa.array(removed, pa.int64())), ("kept_text", words.join(~covered).cast(pa.string()))):
         out = out.append_column(f"__{name}", value)
+    release()
     return out
 
 
@@ -134,12 +206,15 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", window: int = WINDOW
     keep = [c for c in docs.columns if c not in (text_col, "n_words", "n_removed", "kept_text")] if keep is None else keep
     size = X.text_bytes(docs, text_col)
     # about a tenth of the words are anchors and a quarter of the windows are candidates
-    n, buckets = X.shards_for(size, SHARD_BYTES), X.buckets_for(size / 24)
+    n, buckets = X.shards_for(size, SHARD_BYTES), X.buckets_for(size / 24, X.least_buckets(docs.sparkSession))
     held = [F.col(c).alias(f"__c{i}") for i, c in enumerate(keep)]
-    dealt = docs.select(*held, F.col(text_col).alias("__text"), X.shard_of(n, *keep, text_col).alias("__shard"))
+    chosen_by = [F.col(c) for c, kind in docs.select(*keep, text_col).dtypes if "map<" not in kind and "variant" not in kind]
+    dealt = docs.select(*held, F.col(text_col).alias("__text"), X.shard_of(n, *chosen_by).alias("__shard"))
     by_shard = dealt.groupBy("__shard")
     anchors = by_shard.applyInArrow(lambda key, table: _anchors(key, table, window, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.recurring(table), X.MESSAGE)
-    windows = by_shard.cogroup(anchors.groupBy("shard")).applyInArrow(lambda key, table, replies: _windows(key, table, replies, window, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.recurring(table), X.MESSAGE)
+    windows = by_shard.cogroup(anchors.groupBy("shard")).applyInArrow(lambda key, table, replies: _windows(key, table, replies, window, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.partners(table), X.MESSAGE)
+    told = anchors.unionByName(windows)
+    passages = by_shard.cogroup(told.groupBy("shard")).applyInArrow(lambda key, table, replies: _supply(key, table, replies, window, buckets), X.MESSAGE)
     schema = T.StructType([T.StructField(f"__c{i}", docs.schema[c].dataType) for i, c in enumerate(keep)] + [T.StructField("__n_words", T.LongType()), T.StructField("__n_removed", T.LongType()), T.StructField("__kept_text", T.StringType())])
-    out = by_shard.cogroup(anchors.unionByName(windows).groupBy("shard")).applyInArrow(lambda key, table, replies: _remove(key, table, replies, window, buckets), schema)
+    out = by_shard.cogroup(told.unionByName(passages).groupBy("shard")).applyInArrow(lambda key, table, replies: _remove(key, table, replies, window, buckets), schema)
     return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(keep)], F.col("__n_words").alias("n_words"), F.col("__n_removed").alias("n_removed"), F.col("__kept_text").alias("kept_text"))

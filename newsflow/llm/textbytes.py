@@ -189,8 +189,12 @@ class Words:
         before = np.concatenate(([0], np.cumsum(per)[:-1])) if len(per) else np.zeros(0, np.int64)
         return np.arange(per.sum()) - np.repeat(before, per) + np.repeat(self.first[:-1], per), text
 
+    def all_grams(self, k: int) -> np.ndarray:
+        """Hashes of the k words from each position on, also across texts."""
+        return gram_hashes(self.hashes, k)
+
     def gram_hashes(self, starts: np.ndarray, k: int) -> np.ndarray:
-        return gram_hashes(self.hashes, k)[starts]
+        return self.all_grams(k)[starts]
 
     def join(self, keep: np.ndarray) -> pa.Array:
         """Per text, its words with keep[word] joined by one space."""

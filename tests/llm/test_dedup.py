@@ -5,9 +5,11 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from newsflow.llm import embedding_dedup, line_dedup, ngram_join, substring_dedup
 from newsflow.llm.components import connected_components, local_components
+from newsflow.llm.textbytes import Words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -43,6 +45,34 @@ def test_substring_dedup_overlaps_and_columns(spark, edge_docs):
     assert substring_dedup.remove_repeats(edge_docs.limit(0)).count() == 0
 
 
+def test_substring_dedup_automata_hold_foreign_passages(spark, small_docs, monkeypatch):
+    """With many shards every passage comes from another one, and the words decide: results are those of brute force."""
+    monkeypatch.setattr(substring_dedup, "SHARD_BYTES", 20_000)
+    rows = small_docs.collect()
+    want = sorted(zip([r.doc_id for r in rows], brute_repeats([r.text for r in rows], 35), strict=True))
+    got = substring_dedup.remove_repeats(small_docs.select("doc_id", "text")).collect()
+    assert sorted((r.doc_id, (r.n_words, r.n_removed, r.kept_text)) for r in got) == want
+
+
+def test_substring_dedup_takes_patterns_from_given_passages():
+    one, two = "a b c d e f", "b c d"
+    words = Words(pa.array([one, "x y z x y z", two, "p q r"]))  # two texts of a shard and passages from elsewhere
+    hashes = words.all_grams(3)
+    tiles = np.array([1, 6])  # b c d; x y z
+    given = words.gram_starts(3)[0]
+    given = given[given >= 12]
+    source, supplied = substring_dedup.patterns(tiles, hashes[tiles], given, hashes[given])
+    assert supplied.tolist() == [True, False] and source.tolist() == [12, 6]
+    covered = substring_dedup.covered_words(words, 2, np.array([1, 6, 9]), hashes, 3)
+    assert covered.tolist() == [False, True, True, True, False, False] + [True] * 6
+    # a hash that lies: the words given are others, so nothing is found
+    lying = hashes.copy()
+    lying[15] = lying[2]
+    assert substring_dedup.covered_words(words, 2, np.array([2]), lying, 3).sum() == 0
+    # a passage of the shard's own needs a second occurrence
+    assert substring_dedup.covered_words(words, 2, np.array([0]), hashes, 3).sum() == 0
+
+
 def brute_lines(rows, window=3):
     first, gone = {}, {}
     for i, text in sorted(rows):
