@@ -43,12 +43,14 @@ SHARD_BYTES = 2_000_000
 
 
 class Windows:
-    """The windows of a shard's texts with their anchors."""
+    """The windows of a shard's texts with their anchors. texts: how many of the column's; the rest are passages from elsewhere."""
 
-    def __init__(self, column, window: int):
+    def __init__(self, column, window: int, texts: int | None = None):
         self.words = Words(column)
         self.window, run = window, min(RUN, window)
         starts, _ = self.words.gram_starts(window)
+        if texts is not None:
+            starts = starts[: np.searchsorted(starts, self.words.first[texts])]
         runs = np.zeros(len(self.words.starts) + 1, _U)
         at = np.arange(max(0, len(self.words.starts) - run + 1))
         runs[at] = self.words.gram_hashes(at, run) & ~_U(1)
@@ -68,7 +70,8 @@ class Windows:
         sent = X.marked(self.anchor_values)
         good = sent[X.answers(table, ANCHORS, sent, buckets)] & ~_U(1)
         at = self.starts[np.isin(self.anchors, good)]
-        return at, self.words.gram_hashes(at, self.window) & ~_U(1)
+        self.hashes = self.words.all_grams(self.window) & ~_U(1)
+        return at, self.hashes[at]
 
 
 def _anchors(key, table: pa.Table, window: int, buckets: int) -> pa.Table:
@@ -177,21 +180,19 @@ def covered_words(words: Words, texts: int, recurring: np.ndarray, hashes: np.nd
 def _remove(key, table: pa.Table, replies: pa.Table, window: int, buckets: int) -> pa.Table:
     texts = table["__text"].cast(pa.string())
     mail = sorted((b, x) for k, b, x in zip(replies["kind"].to_pylist(), replies["bucket"].to_pylist(), replies["blob"].to_pylist(), strict=True) if k == PASSAGES)
-    shard = Windows(texts, window)
+    passages = pa.array([p for _, blob in mail for p in _unwrapped(blob)], pa.string())
+    shard = Windows(pa.chunked_array([*texts.chunks, passages]), window, len(texts))
     at, hashes = shard.candidates(replies, buckets)
     sent = X.marked(hashes)
     good = sent[X.told_partners(replies, WINDOWS, sent, buckets)[0]] & ~_U(1)
     recurring = at[np.isin(hashes, good)]
-    words = shard.words
-    if len(recurring):
-        both = Words(pa.chunked_array([*texts.chunks, pa.array([p for _, blob in mail for p in _unwrapped(blob)], pa.string())]))
-        covered = covered_words(both, len(texts), recurring, both.all_grams(window) & ~_U(1), window)
-    else:
-        covered = np.zeros(len(words.starts), bool)
+    words, n = shard.words, len(texts)
+    covered = covered_words(words, n, recurring, shard.hashes, window)
     sums = np.concatenate(([0], np.cumsum(covered)))
-    removed = sums[words.first[1:]] - sums[words.first[:-1]]
+    removed = sums[words.first[1 : n + 1]] - sums[words.first[:n]]
+    keep = np.concatenate([~covered, np.zeros(len(words.starts) - len(covered), bool)])
     out = table.drop_columns(["__shard", "__text"])
-    for name, value in (("n_words", pa.array(words.counts, pa.int64())), ("n_removed", pa.array(removed, pa.int64())), ("kept_text", words.join(~covered).cast(pa.string()))):
+    for name, value in (("n_words", pa.array(words.counts[:n], pa.int64())), ("n_removed", pa.array(removed, pa.int64())), ("kept_text", words.join(keep)[:n].cast(pa.string()))):
         out = out.append_column(f"__{name}", value)
     release()
     return out
