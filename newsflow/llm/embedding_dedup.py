@@ -1,8 +1,10 @@
 """Operator 9, embedding near-dedup: PCA-ordered tiled comparison.
 
 Vectors are scaled to length 1 in double precision and turned to principal axes, so that the leading
-dimensions hold most of every product. Equal vectors are compared once. Vectors are dealt to blocks;
-every pair of blocks is one task, which compares tile with tile:
+dimensions hold most of every product. Equal vectors are compared once. Vectors are dealt to blocks of
+BLOCK_BYTES, ranges of the first axis. Vectors whose cosine reaches the threshold t differ by at most
+sqrt(2 - 2t) along any axis, so pairs of blocks further apart than that are left out before a vector is
+copied; every other pair of blocks is one task, which compares tile with tile:
 
 1. The products over the LEADING axes and the suffix norms of what is left bound the cosine from above
    (by Cauchy-Schwarz). With the suffix norm as one more coordinate the bound of all pairs of a tile is
@@ -15,7 +17,9 @@ connected (at most one per vector), never all pairs. Components come from ``comp
 
 The axes are fitted on the SAMPLE vectors with the least hash; they decide how early pairs stop, never
 which pairs link. The work is quadratic in the number of distinct vectors, as an exact comparison in
-many dimensions is; blocks bound the memory of a task and tasks are independent.
+many dimensions is: a vector is copied once for each block in reach, so the shuffle is
+rows * bytes of a vector * blocks in reach. Large blocks keep these few; how few the ranges leave depends
+on the spread along the first axis (clustered vectors: few; evenly spread ones: nearly all).
 
 Defined results: a vector that is null, empty or zero or holds null or non-finite components has no
 links and is its own component; vectors of different length don't link; rows that repeat an id are
@@ -31,39 +35,84 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm import storage
+from newsflow.llm import sampling, storage
 from newsflow.llm.components import connected_components, local_components
 
 SAMPLE, LEADING, STRETCH = 4096, 16, 16
-#: Distinct vectors of a block (one task compares two blocks) and of a tile.
-BLOCK, TILE = 4096, 1024
+#: Bytes of the distinct vectors of a block (one task compares two blocks), and vectors of a tile.
+BLOCK_BYTES, TILE = 6_000_000, 1024
 #: The bound is computed in single precision; pairs this far below the threshold are still looked at.
 SLACK = 1e-4
 
 
 def _axes(vectors: DataFrame) -> np.ndarray:
     """Principal axes, largest spread first, one per column."""
-    found = vectors.orderBy(F.xxhash64("key"), "key").limit(SAMPLE).select("v").toArrow()["v"].to_pylist()
-    size = max(map(len, found), default=0)
-    x = np.array([v for v in found if len(v) == size], float).reshape(sum(len(v) == size for v in found), size)
+    found = sampling.least(vectors, SAMPLE, vectors.count(), "key").select("v").toArrow()["v"].combine_chunks()
+    size, flat, sizes = _flat(found)
+    x = flat[np.repeat(sizes == size, sizes)].reshape(int((sizes == size).sum()), size)
     _, axes = np.linalg.eigh(x.T @ x)
     return axes[:, ::-1]
 
 
+def _flat(lists: pa.Array) -> tuple[int, np.ndarray, np.ndarray]:
+    """Largest size, all numbers one after another, and the size of each list."""
+    import pyarrow.compute as pc
+
+    if isinstance(lists, pa.ChunkedArray):
+        lists = lists.combine_chunks()
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return int(sizes.max(initial=0)), lists.flatten().to_numpy(zero_copy_only=False).astype(float), sizes
+
+
 def _stack(blobs: list[bytes], size: int) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), "<f8").reshape(len(blobs), size)
 
 
 def _turned(batches, axes: np.ndarray):
-    """Unit vectors as bytes, turned to the axes where they have their length."""
+    """Unit vectors as bytes, turned to the axes where they have their length, and their first coordinate."""
     for batch in batches:
-        out = []
-        for v in batch.column("v").to_pylist():
-            x = np.array(v, float)
-            x = x / np.abs(x).max()
-            x = x / np.sqrt(x @ x)
-            out.append((x @ axes if len(x) == len(axes) else x).astype("<f8").tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), pa.array(out, pa.binary())], names=["key", "n", "blob"])
+        _, flat, sizes = _flat(batch.column("v"))
+        begin, out, lead = np.cumsum(sizes) - sizes, [b""] * len(sizes), np.zeros(len(sizes))
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            x = flat[begin[rows][:, None] + np.arange(size)]
+            x = x / np.abs(x).max(1, keepdims=True)
+            x = x / np.sqrt((x * x).sum(1, keepdims=True))
+            x = np.ascontiguousarray(x @ axes if size == len(axes) else x, "<f8")
+            lead[rows] = x[:, 0]
+            for i, row in zip(rows.tolist(), x, strict=True):
+                out[i] = row.tobytes()
+        yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), pa.array(out, pa.binary()), pa.array(lead)], names=["key", "n", "blob", "lead"])
+
+
+def blocks_of(lead: np.ndarray, keys: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The block of each vector: the range between two cuts. Where many vectors share a coordinate cuts are equal; their keys deal them to the blocks between."""
+    low, high = np.searchsorted(cuts, lead, "left"), np.searchsorted(cuts, lead, "right")
+    return low + keys.astype(np.uint64) % (high - low + 1).astype(np.uint64)
+
+
+def in_reach(cuts: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each block, the first and the last block (itself at least) that holds vectors within ``reach`` of its range."""
+    low, high = np.append(-np.inf, cuts), np.append(cuts, np.inf)
+    first, last = np.searchsorted(high, low - reach, "left"), np.searchsorted(low, high + reach, "right") - 1
+    own = np.arange(len(low))
+    return np.minimum(first, own), np.maximum(last, own)
+
+
+def _dealt(batches, cuts: np.ndarray, reach: float):
+    """A copy of each vector for each pair of blocks it takes part in, a <= b; side: 0 as one of a, 1 as one of b."""
+    first, last = in_reach(cuts, reach)
+    for batch in batches:
+        keys = batch.column("key").to_numpy()
+        block = blocks_of(batch.column("lead").to_numpy(), keys, cuts).astype(np.int64)
+        for lo in range(0, batch.num_rows, 512):
+            own = block[lo : lo + 512]
+            n = last[own] - first[own] + 1
+            row = np.repeat(np.arange(len(own)), n)
+            other = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + first[own][row]
+            a, b = np.minimum(own[row], other), np.maximum(own[row], other)
+            part = batch.slice(lo, 512).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("n"), part.column("blob"), pa.array(a), pa.array(b), pa.array((own[row] > other).astype(np.int32))], names=["key", "n", "blob", "a", "b", "side"])
 
 
 def _tile_links(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -129,6 +178,12 @@ def _compare(left: pa.Table, right: pa.Table, same: bool, threshold: float) -> p
     return pa.table({n: pa.array(x, t) for n, x, t in zip(names, out, types, strict=True)})
 
 
+def _pair(key, table: pa.Table, threshold: float) -> pa.Table:
+    right = table["side"].to_numpy() == 1
+    sides = [table.filter(pa.array(x)) for x in (~right, right)]
+    return _compare(*sides, key[0].as_py() == key[1].as_py(), threshold)
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per row: the id, n_links, component_id (smallest linked id) and kept (it is that id)."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
@@ -137,16 +192,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     # adding 0.0 makes -0.0 and 0.0 one
     marked = storage.materialize(rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).withColumn("key", F.when(F.col("v").isNotNull(), F.xxhash64("v"))), "vectors")
     valid = marked.where("key is not null")
-    distinct = valid.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("rep"), F.any_value("v").alias("v"))
+    same = valid.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("rep"), F.min("v").alias("v"), F.max("v").alias("w"))
+    distinct = same.where(F.when(F.col("v") == F.col("w"), True).otherwise(F.raise_error(F.lit("two vectors share a 64-bit hash")))).drop("w")
     axes = _axes(valid.select("key", "v"))
-    turned = storage.materialize(distinct.select("key", "n", "v").mapInArrow(lambda batches: _turned(batches, axes), "key long, n long, blob binary"), "turned")
-    blocks = max(1, math.ceil(turned.count() / BLOCK))
-    dealt = turned.withColumn("block", F.pmod("key", F.lit(blocks)))
-    others = F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))
-    left = dealt.select("key", "n", "blob", F.col("block").alias("a"), F.explode(F.filter(others, lambda b: b >= F.col("block"))).alias("b"))
-    right = dealt.select(F.col("key").alias("key"), F.col("n").alias("n"), F.col("blob").alias("blob"), F.explode(F.filter(others, lambda a: a < F.col("block"))).alias("a"), F.col("block").alias("b"))
-
-    found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(lambda key, x, y: _compare(x, y, key[0].as_py() == key[1].as_py(), threshold), "key long, links long, other long")
+    turned = storage.materialize(distinct.select("key", "n", "v").mapInArrow(lambda batches: _turned(batches, axes), "key long, n long, blob binary, lead double"), "turned")
+    size = turned.agg(F.coalesce(F.sum(F.octet_length("blob")), F.lit(0))).first()[0]
+    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    places = [i / blocks for i in range(1, blocks)]
+    cuts = np.array(turned.approxQuantile("lead", places, 0.1 / blocks) if places else [], float)
+    reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
+    dealt = turned.mapInArrow(lambda batches: _dealt(batches, cuts, reach), "key long, n long, blob binary, a long, b long, side int")
+    found = dealt.groupBy("a", "b").applyInArrow(lambda key, table: _pair(key, table, threshold), "key long, links long, other long")
     found = storage.materialize(found, "found")
     counts = found.where("links is not null").groupBy("key").agg(F.sum("links").alias("links"))
     roots = connected_components(found.where("other is not null").select(F.col("key").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "key")

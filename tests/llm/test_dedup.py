@@ -190,6 +190,28 @@ def test_ngram_join_keeps_by_row(spark):
     assert sorted(map(repr, ((r.doc_id, r.text) for r in ngram_join.keep_one(docs).collect()))) == sorted(map(repr, want))
 
 
+def test_ngram_join_light_side(spark, monkeypatch):
+    """Short sets of words that many texts share: measured lists are long, so their links come from subsets."""
+    rng = np.random.default_rng(9)
+    rows, i = [], 0
+    for _ in range(40):
+        base = rng.choice(60, int(rng.integers(8, 13)), replace=False).tolist()
+        for _ in range(3):
+            w = [*base, int(rng.integers(60, 90))] if rng.random() < 0.6 else base
+            rows.append((i, " ".join(f"w{x}" for x in w)))
+            i += 1
+    seen, plain = [], ngram_join.Rule.boundary
+    monkeypatch.setattr(ngram_join.Rule, "boundary", lambda self, sizes: seen.append(plain(self, sizes)) or seen[-1])
+    got = {r.doc_id: r.component_id for r in ngram_join.join_components(spark.createDataFrame(rows, "doc_id long, text string"), 1, 85, 100).collect()}
+    sets = {i: shingles(t, 1) for i, t in rows}
+    assert got == brute_components(sets, 85, 100) and seen[0] >= 8
+    # sets of up to small * num // den shingles are on no list: what links them is a subset
+    rule = ngram_join.Rule(1, 85, 100)
+    only = [s for s in sets.values() if len(s) <= seen[0] * 85 // 100]
+    pairs = sum(a < b and len(x & y) * 100 >= 85 * len(x | y) and x != y for a, x in enumerate(only) for b, y in enumerate(only))
+    assert pairs > 0 and rule.subsets(8) == 9
+
+
 def test_signatures_meet():
     """Partners always share a signature, whatever their sizes."""
     rule, rng = ngram_join.Rule(4, 85, 100), np.random.default_rng(1)
@@ -214,7 +236,7 @@ def test_embedding_dedup(spark, monkeypatch):
     n = len(rows)
     rows += [(n, None), (n + 1, []), (n + 2, [0.0] * 24), (n + 3, [float("nan")] * 24), (n + 4, [None] * 24), (n + 5, [1.0, 2.0]), (n + 6, [2.0, 4.0]), (0, x[0].tolist())]
     unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows if v and None not in v and np.isfinite(v).all() and any(v)}
-    monkeypatch.setattr(embedding_dedup, "BLOCK", 16)
+    monkeypatch.setattr(embedding_dedup, "BLOCK_BYTES", 16 * 24 * 8)
     monkeypatch.setattr(embedding_dedup, "TILE", 5)
     links = {i: [j for j in unit if j != i and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.9] for i in unit}
     got = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
@@ -230,6 +252,19 @@ def test_embedding_dedup(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
+def test_embedding_blocks_hold_together():
+    """Every pair within reach along the first axis meets in a pair of blocks; vectors that share a coordinate are spread."""
+    rng = np.random.default_rng(8)
+    lead = np.concatenate([rng.normal(0, 0.4, 400), np.full(300, 0.25)])
+    cuts = np.quantile(lead, np.arange(1, 14) / 14)
+    keys = rng.integers(-(2**63), 2**63, len(lead))
+    block, (first, last) = embedding_dedup.blocks_of(lead, keys, cuts).astype(int), embedding_dedup.in_reach(cuts, 0.447)
+    near = np.abs(lead[:, None] - lead[None, :]) <= 0.447
+    met = (first[block][:, None] <= block[None, :]) & (block[None, :] <= last[block][:, None])
+    assert (met | ~near).all() and (met == met.T).all() and not met.all()
+    assert np.bincount(block, minlength=14).max() < 150
+
+
 def test_components(spark):
     rng = np.random.default_rng(3)
     a, b = rng.integers(0, 80, 60), rng.integers(0, 80, 60)
