@@ -10,7 +10,8 @@ Two texts link when their sets of word shingles have Jaccard similarity of at le
 * Heavy: large sets are read from inverted lists, one per shingle. A set is on the lists of its
   n - ceil(n num / den) + 1 shingles that are rarest among the sets left; partners share one of these.
   Rarest first keeps lists short: a passage that a third of all rows share comes last.
-* The boundary between the two is that which costs least over the sizes of the corpus's small sets.
+* The boundary between the two is that which costs least over the corpus's small sets: subsets to be
+  enumerated against the measured entries on the lists that these sets would scan.
 
 Shingles and lists travel as packed blobs (``exchange.py``). A list yields links of its members to its
 first, not all pairs; components of these are candidate groups. Inside a group similarities are exact:
@@ -41,15 +42,15 @@ from pyspark.sql import types as T
 from newsflow.llm import exchange as X
 from newsflow.llm import storage
 from newsflow.llm.components import connected_components, local_components
-from newsflow.llm.textbytes import Words, gram_hashes, mix, pieces
+from newsflow.llm.textbytes import Words, gram_hashes, mix, pieces, release
 
 _U = np.uint64
 #: Sets of one candidate group that one task compares; leading sets that larger groups are compared with.
 TILE, LEADERS = 1024, 8
 #: A group of so many sets over at most so many shared shingles is compared by matrix product.
 DENSE_SETS, DENSE_COLUMNS = 32, 8192
-#: Sizes that may count as small; what a list entry costs beside an enumerated subset.
-MOST_SMALL, LIST_COST = 24, 2.0
+#: Sizes that may count as small.
+MOST_SMALL = 24
 
 
 class Rule:
@@ -68,10 +69,10 @@ class Rule:
     def subsets(self, n: int) -> int:
         return sum(math.comb(n, j) for j in range(n - self.least(n) + 1))
 
-    def boundary(self, sizes: dict[int, int]) -> int:
-        """The largest small size: least total of enumerated subsets and list entries."""
+    def boundary(self, sizes: dict[int, tuple[int, int]]) -> int:
+        """The largest small size: least total of enumerated subsets and entries of scanned lists. sizes: of each size how many sets there are, and the entries on all lists that they would scan."""
         def cost(x: int) -> float:
-            return sum(k * ((self.subsets(n) if n <= x else 0) + (LIST_COST * (n - self.least(n) + 1) if n > x * self.num // self.den else 0)) for n, k in sizes.items())
+            return sum((k * self.subsets(n) if n <= x else 0) + (entries if n > x * self.num // self.den else 0) for n, (k, entries) in sizes.items())
 
         return min(range(MOST_SMALL + 1), key=lambda x: (cost(x), x))
 
@@ -119,8 +120,15 @@ def signatures(sets: list[np.ndarray], often: list[np.ndarray], rule: Rule, smal
     return np.concatenate(out), np.concatenate(owner)
 
 
+def _freed(batches):
+    try:
+        yield from batches
+    finally:
+        release()
+
+
 def _meta(batches, k: int):
-    for batch in pieces(batches, "__text"):
+    for batch in _freed(pieces(batches, "__text")):
         sets, _ = shingle_sets(batch.column("__text"), k)
         yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__mark"), pa.array([len(s) for s in sets], pa.int64()), pa.array(set_keys(sets), pa.int64())], names=["__id", "__mark", "n", "key"])
 
@@ -128,7 +136,7 @@ def _meta(batches, k: int):
 def _distinct(batches, k: int):
     """Texts with shingles, one per set and task: copies of a text leave a task once."""
     seen: set[int] = set()
-    for batch in pieces(batches, "__text"):
+    for batch in _freed(pieces(batches, "__text")):
         sets, _ = shingle_sets(batch.column("__text"), k)
         keys = set_keys(sets)
         new = []
@@ -180,6 +188,23 @@ def _tell_counts(key, table: pa.Table, buckets: int) -> pa.Table:
     return X.packed(key[0].as_py(), 0, values, buckets, count.astype(np.uint32))
 
 
+def _list_costs(table: pa.Table, replies: pa.Table, rule: Rule, buckets: int) -> pa.Table:
+    """Per size of small sets, how many there are and the entries on the lists that they would scan."""
+    _, sets = _ordered(table)
+    values, _, of = _held(sets)
+    total = X.told_totals(replies, values, buckets)[of].astype(np.int64)
+    found: dict[int, list[int]] = {}
+    at = 0
+    for s in sets:
+        n = len(s)
+        if n <= MOST_SMALL:
+            entry = found.setdefault(n, [0, 0])
+            entry[0] += 1
+            entry[1] += int(np.sort(total[at : at + n])[: n - rule.least(n) + 1].sum())
+        at += n
+    return pa.table({"n": pa.array(list(found), pa.int64()), "sets": pa.array([x[0] for x in found.values()], pa.int64()), "entries": pa.array([x[1] for x in found.values()], pa.int64())})
+
+
 def _sign(key, table: pa.Table, replies: pa.Table, rule: Rule, small: int, buckets: int) -> pa.Table:
     _, sets = _ordered(table)
     values, _, of = _held(sets)
@@ -356,18 +381,19 @@ def _rooted(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col:
     marked = rows.withColumn("__mark", F.xxhash64("__text"))
     meta = storage.materialize(marked.mapInArrow(lambda batches: _meta(batches, k), T.StructType([id_field, *T._parse_datatype_string("__mark long, n long, key long").fields])), "sets")
     nodes = meta.where("n > 0").groupBy("key").agg(F.min(F.struct(F.col("__id").isNull().alias("no_id"), "__id", "__mark")).alias("rep"), F.max("n").alias("n"))
-    sizes = dict(nodes.where(F.col("n") <= MOST_SMALL).groupBy("n").count().collect())  # at most MOST_SMALL rows
-    small = rule.boundary(sizes)
     dealt = rows.select("__text").mapInArrow(lambda batches: _distinct(batches, k), "key long, text string").withColumn("shard", F.pmod("key", F.lit(shards)))
-    buckets = X.buckets_for(size / 6)  # about a shingle every six bytes
+    fewest = X.least_buckets(docs.sparkSession)
+    buckets = X.buckets_for(size / 6, fewest)  # about a shingle every six bytes
     by_shard = dealt.groupBy("shard")
     recur = by_shard.applyInArrow(lambda key, table: _tell(key, table, rule, buckets), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.recurring(table, np.uint32), X.MESSAGE)
     alive = by_shard.cogroup(recur.groupBy("shard")).applyInArrow(lambda table, replies: _survivors(table, replies, rule, buckets), "key long, n long, blob binary")
     alive = storage.materialize(alive.withColumn("shard", F.pmod("key", F.lit(shards))), "alive")
     left = alive.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    few = X.buckets_for(left)
+    few = X.buckets_for(left, fewest)
     by_shard = alive.select("shard", "key", "blob").groupBy("shard")
-    often = by_shard.applyInArrow(lambda key, table: _tell_counts(key, table, few), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.totals(table), X.MESSAGE)
+    often = storage.materialize(by_shard.applyInArrow(lambda key, table: _tell_counts(key, table, few), X.MESSAGE).groupBy("bucket").applyInArrow(lambda table: X.totals(table), X.MESSAGE), "often")
+    costs = by_shard.cogroup(often.groupBy("shard")).applyInArrow(lambda table, replies: _list_costs(table, replies, rule, few), "n long, sets long, entries long")
+    small = rule.boundary({r[0]: (r[1], r[2]) for r in costs.groupBy("n").agg(F.sum("sets"), F.sum("entries")).collect()})  # at most MOST_SMALL rows
     signed = by_shard.cogroup(often.groupBy("shard")).applyInArrow(lambda key, table, replies: _sign(key, table, replies, rule, small, few), X.MESSAGE)
     candidate = connected_components(signed.groupBy("bucket").applyInArrow(lambda table: _list_links(table), LINKS)).withColumnRenamed("root", "comp")
     counts = candidate.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("long").alias("tiles"))
