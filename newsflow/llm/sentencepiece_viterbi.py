@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import heapq
 import math
-import os
 
 import numpy as np
 import pyarrow as pa
@@ -72,8 +71,9 @@ class Model:
         ending: dict[str, set[int]] = {}
         for p in self.pieces:
             ending.setdefault(p[-3:], set()).add(len(p))
-        #: by the last three characters of a prefix, the lengths of pieces that may end there, longest first
         self.lengths = {k: tuple(sorted(v, reverse=True)) for k, v in ending.items()}
+        #: the same for any last three characters that texts had
+        self.tails: dict[str, tuple[int, ...]] = {}
         runs = {p for p in self.pieces if len(p) > 1 and p.startswith("  ")}
         #: extra spaces are merged after everything else and with each other only
         self.spaces_last = all(not p.strip(" ") for p in runs) and max((self.pieces[p][1] for p in runs), default=-math.inf) < min(s for p, (_, s) in self.pieces.items() if len(p) > 1 and p not in runs)
@@ -151,6 +151,14 @@ class Model:
             self.edges[i] = found
         return self.edges[i]
 
+    def _tail(self, tail: str) -> tuple[int, ...]:
+        """By the last three characters of a prefix (or all of a shorter one), the lengths of pieces that may end there, longest first; none: its last character is no piece."""
+        found = tuple(n for k in (3, 2, 1) if k <= len(tail) for n in self.lengths.get(tail[-k:], ()) if len(tail) == 3 or n <= len(tail))
+        if len(self.tails) >= PAIRS:
+            self.tails.clear()
+        self.tails[tail] = found if tail[-1] in self.pieces else ()
+        return self.tails[tail]
+
     def compatible(self, a: int, b: int) -> bool:
         """Whether piece b may follow piece a; a < 0: nothing that could be merged is before."""
         after = self._edges(b)
@@ -170,24 +178,29 @@ class Model:
         out: dict[str, list[int]] = {}
         begin, state = [0], [-2]  # for each prefix of the walk's path: where its last piece begins, and the piece (-1: a character without one)
         last = ""
-        find, lengths, pairs = self.pieces.get, self.lengths.get, self.pairs
+        find, pairs, tails = self.pieces.get, self.pairs, self.tails
         for word in sorted(words):
-            shared = min(len(os.path.commonprefix((last, word))), len(state) - 1)
+            shared, most = 0, min(len(last), len(word), len(state) - 1)
+            while shared < most and last[shared] == word[shared]:
+                shared += 1
             del begin[shared + 1 :], state[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                if word[end - 1] not in self.pieces:
+                tail = word[max(0, end - 3) : end]
+                if (sizes := tails.get(tail)) is None:
+                    sizes = self._tail(tail)
+                if not sizes:
                     begin.append(end - 1)
                     state.append(-1)
                     continue
-                for start in [end - n for k in (3, 2, 1) if k <= end for n in lengths(word[end - k : end], ()) if n <= end]:
-                    if (piece := find(word[start:end])) is not None:
-                        key = (state[start] << 32) + piece[0]
+                for n in sizes:
+                    if n <= end and (piece := find(word[end - n : end])) is not None:
+                        key = (state[end - n] << 32) + piece[0]
                         if (fits := pairs.get(key)) is None:
                             if len(pairs) >= PAIRS:
                                 pairs.clear()
-                            fits = pairs[key] = self.compatible(state[start], piece[0])
+                            fits = pairs[key] = self.compatible(state[end - n], piece[0])
                         if fits:
-                            begin.append(start)
+                            begin.append(end - n)
                             state.append(piece[0])
                             break
                 else:
