@@ -44,8 +44,9 @@ from newsflow.llm.textbytes import Words, distinct_spans, gather, join_bytes, mi
 _U = np.uint64
 #: Ids of the rolling hash; a cut follows where its hash modulo AVERAGE is 0; bounds of a chunk.
 ROLL, AVERAGE, LEAST, MOST = 8, 256, 64, 2048
-#: Bytes of distinct words and their ids that a worker keeps during a task, with ENTRY_BYTES for each.
-CACHE_BYTES, ENTRY_BYTES = 40_000_000, 250
+#: Bytes of distinct words and their ids that a worker keeps, from task to task, with ENTRY_BYTES for each;
+#: it starts anew beyond that.
+CACHE_BYTES, ENTRY_BYTES = 150_000_000, 250
 #: Ids that a part of the store holds on average, and documents of one node of its hash tree.
 PART_IDS, NODE_DOCS = 20_000_000, 10_000
 _STATE: dict = {}
@@ -177,7 +178,6 @@ def _encode(batches, path: str, end_id: int, id_type):
     try:
         yield from _chunked(batches, encoder, width, end_id)
     finally:
-        encoder.forget()
         release()
 
 
