@@ -47,6 +47,8 @@ ROLL, AVERAGE, LEAST, MOST = 8, 256, 64, 2048
 #: Bytes of distinct words and their ids that a worker keeps, from task to task, with ENTRY_BYTES for each;
 #: it starts anew beyond that.
 CACHE_BYTES, ENTRY_BYTES = 150_000_000, 250
+#: Words that are encoded in one call.
+TOGETHER = 1000
 #: Ids that a part of the store holds on average, and documents of one node of its hash tree.
 PART_IDS, NODE_DOCS = 20_000_000, 10_000
 _STATE: dict = {}
@@ -91,6 +93,25 @@ class Encoder:
         self.lower = self.by_word and any(n.get("type") == "Lowercase" for n in (json.loads(self.tokenizer.to_str()).get("normalizer") or {}).get("normalizers", []))
         self.known: dict[bytes, bytes] = {}
         self.held = 0
+        # a special token parts the words of one call; without a fit one every word is a call of its own
+        special = [(i, x.content) for i, x in self.tokenizer.get_added_tokens_decoder().items() if x.special]
+        tried = [(i, s) for i, s in special if self._call([f"ab{s}c1{s}d"])[0].ids == sum((self._call([x])[0].ids for x in ("ab", s, "c1", s, "d")), [])]
+        self.fence = tried[0] if tried else None
+
+    def _call(self, texts: list[str]):
+        return self.tokenizer.encode_batch(texts, add_special_tokens=False)
+
+    def words(self, names: list[str], apart: bool) -> list[bytes]:
+        """Ids of each word. apart: words in which a special token may be spelt, each a call of its own."""
+        if apart or self.fence is None:
+            return [np.array(e.ids, "<u4").tobytes() for e in self._call(names)]
+        out, (fence, sign) = [], self.fence
+        for e in self._call([sign.join(names[i : i + TOGETHER]) for i in range(0, len(names), TOGETHER)]):
+            ids = np.array(e.ids, "<u4")
+            at = np.flatnonzero(ids == fence)
+            raw = ids.tobytes()
+            out += [raw[4 * a : 4 * b] for a, b in zip([0, *(at + 1).tolist()], [*at.tolist(), len(ids)], strict=True)]
+        return out
 
     def forget(self) -> None:
         self.known.clear()
@@ -115,8 +136,8 @@ class Encoder:
         ids = [self.known.get(w) for w in names]
         new = [j for j, x in enumerate(ids) if x is None]
         if new:
-            for j, e in zip(new, self.tokenizer.encode_batch([names[j].decode("utf-8", "replace") for j in new], add_special_tokens=False), strict=True):
-                ids[j] = np.array(e.ids, "<u4").tobytes()
+            for j, x in zip(new, self.words([names[j].decode("utf-8", "replace") for j in new], plain), strict=True):
+                ids[j] = x
             if self.held > CACHE_BYTES:
                 self.forget()
             for j in new:
