@@ -156,10 +156,10 @@ def learn(sample: DataFrame, prior: float) -> Model:
     good = counts.where(F.col("often") >= LEAST_TEXTS).withColumn("d", deviations).where((F.col("d") >= LEAST_DEVIATIONS) & (prior * p >= LEAST_SHARE * q))
     best = [r.feature for r in good.orderBy(F.desc("d"), "feature").limit(MOST_FEATURES).select("feature").collect()]
     chosen = np.sort(np.array(best, np.int64).view(np.uint64))
-    rows = sample.mapInArrow(lambda batches: _held(batches, chosen), "positive boolean, at array<int>").orderBy("positive", "at").collect()  # MOST_POSITIVE + MOST_UNLABELLED short lists
+    rows = sample.mapInArrow(lambda batches: _held(batches, chosen), "positive boolean, at array<int>").collect()  # MOST_POSITIVE + MOST_UNLABELLED short lists
 
     def matrix(positive: bool) -> np.ndarray:
-        lists = [r.at for r in rows if r.positive == positive]
+        lists = sorted(r.at for r in rows if r.positive == positive)
         out = np.zeros((len(lists), len(chosen)), np.float32)
         for row, at in zip(out, lists, strict=True):
             row[at] = 1
