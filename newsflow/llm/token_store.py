@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.llm import storage
-from newsflow.llm.textbytes import Words, distinct_spans, gather, join_bytes, mix, pieces, release, rolling_hashes, texts_of
+from newsflow.llm.textbytes import LOWER, Words, distinct_spans, gather, join_bytes, mix, pieces, release, rolling_hashes, texts_of
 
 _U = np.uint64
 #: Ids of the rolling hash; a cut follows where its hash modulo AVERAGE is 0; bounds of a chunk.
@@ -80,6 +80,14 @@ def _at_signs(flat: np.ndarray) -> np.ndarray:
     return out
 
 
+def _lowered(flat: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, but before a character from U+0100 on: the file composes first, and a capital and its mark may be composed where the small letter isn't, or the other way round."""
+    out = LOWER[flat]
+    keep = np.flatnonzero(flat[1:] >= 0xC4)
+    out[keep] = flat[keep]
+    return out
+
+
 class Encoder:
     """Encodes batches of texts to ids; one per worker and file."""
 
@@ -129,7 +137,9 @@ class Encoder:
             found = self.tokenizer.encode_batch([t or "" for t in column.to_pylist()], add_special_tokens=False)
             return np.array([i for e in found for i in e.ids], np.uint32), np.array([len(e.ids) for e in found], np.int64)
         plain = b"<|" in texts_of(column)[0].tobytes()  # a special token may be spelt here
-        words = Words(column) if plain else Words(column, lower=self.lower, breaks=_at_signs)
+        words = Words(column) if plain else Words(column, breaks=_at_signs)
+        if self.lower and not plain:
+            words.flat = _lowered(words.flat)
         at, of = distinct_spans(words.flat, words.starts, words.ends)
         raw = words.flat.tobytes()
         names = [raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]

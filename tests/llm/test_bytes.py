@@ -1,5 +1,7 @@
 """Hashes and byte strings that regular patterns must not confuse."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -67,3 +69,17 @@ def test_operators_tell_regular_sequences_apart(spark):
     assert all(got[i].component_id == i for i in (1, 2))
     assert all(r.n_removed == 0 for r in substring_dedup.remove_repeats(docs, window=1024).collect())
     assert docs.where(F.length("text") > 0).count() == 2
+
+
+def test_encoder_gives_the_ids_of_the_library():
+    """Also of letters that only one case composes with a mark, and of words of letters that lower case breaks up."""
+    path = catalog.tokenizer_file("word_bpe_49k.json")
+    pool = [chr(c) for c in [*range(0x20, 0x250), *range(0x300, 0x320), *range(0x370, 0x400), 0x1E9E, 0xE33, 0x1100, 0x1161, 0x3042, 0x10400, 0x1F600, 0xFB01]]
+    rng = random.Random(6)
+    texts = ["İstanbul İİ İabc", "Y̊ T̈ H̱ W̊", "a ́ b", "x|y | z", "½ ² Ⅷ ١٢", "don't we'll 'S", "", "\x85 a​"]
+    texts += ["".join(rng.choices(pool + [" "] * 60, k=rng.randint(1, 60))).replace("<|", "") for _ in range(5000)]
+    encoder = token_store.Encoder(path)
+    flat, counts = encoder.encode(pa.array(texts))
+    ends = np.cumsum(counts).tolist()
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [flat[b - n : b].tolist() for b, n in zip(ends, counts.tolist(), strict=True)] == want
