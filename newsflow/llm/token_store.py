@@ -47,8 +47,10 @@ ROLL, AVERAGE, LEAST, MOST = 8, 256, 64, 2048
 #: Bytes of distinct words and their ids that a worker keeps, from task to task, with ENTRY_BYTES for each;
 #: it starts anew beyond that.
 CACHE_BYTES, ENTRY_BYTES = 150_000_000, 250
-#: Words that are encoded in one call.
-TOGETHER = 1000
+#: Words that are encoded in one text.
+TOGETHER = 100
+#: Bytes of text whose words are told apart at a time.
+BATCH_BYTES = 4_000_000
 #: Ids that a part of the store holds on average, and documents of one node of its hash tree.
 PART_IDS, NODE_DOCS = 20_000_000, 10_000
 _STATE: dict = {}
@@ -101,24 +103,57 @@ class Encoder:
         self.lower = self.by_word and any(n.get("type") == "Lowercase" for n in (json.loads(self.tokenizer.to_str()).get("normalizer") or {}).get("normalizers", []))
         self.known: dict[bytes, bytes] = {}
         self.held = 0
-        # a special token parts the words of one call; without a fit one every word is a call of its own
+        # marks the ids that end a word, where the file has such; a run of letters is one word of it
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") if self.by_word else None
+        self.last = np.zeros(self.size, bool)
+        if suffix:
+            self.last[[i for x, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if x.endswith(suffix)]] = True
+        # a special token parts other words of one text; without a fit one every word is a text of its own
         special = [(i, x.content) for i, x in self.tokenizer.get_added_tokens_decoder().items() if x.special]
         tried = [(i, s) for i, s in special if self._call([f"ab{s}c1{s}d"])[0].ids == sum((self._call([x])[0].ids for x in ("ab", s, "c1", s, "d")), [])]
         self.fence = tried[0] if tried else None
 
     def _call(self, texts: list[str]):
-        return self.tokenizer.encode_batch(texts, add_special_tokens=False)
-
-    def words(self, names: list[str], apart: bool) -> list[bytes]:
-        """Ids of each word. apart: words in which a special token may be spelt, each a call of its own."""
-        if apart or self.fence is None:
-            return [np.array(e.ids, "<u4").tobytes() for e in self._call(names)]
-        out, (fence, sign) = [], self.fence
-        for e in self._call([sign.join(names[i : i + TOGETHER]) for i in range(0, len(names), TOGETHER)]):
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _parted(self, names: list[str], sign: str, ends) -> list[bytes]:
+        """Ids of each word, TOGETHER words in one text: of its ids, ends gives where the words begin and end.
+        Words of a text that does not come out as so many are encoded one by one."""
+        out = []
+        groups = [names[i : i + TOGETHER] for i in range(0, len(names), TOGETHER)]
+        for group, e in zip(groups, self._call([sign.join(g) for g in groups]), strict=True):
             ids = np.array(e.ids, "<u4")
-            at = np.flatnonzero(ids == fence)
+            first, end = ends(ids)
             raw = ids.tobytes()
-            out += [raw[4 * a : 4 * b] for a, b in zip([0, *(at + 1).tolist()], [*at.tolist(), len(ids)], strict=True)]
+            out += [raw[4 * a : 4 * b] for a, b in zip(first, end, strict=True)] if len(first) == len(group) else self._alone(group)
+        return out
+
+    def _alone(self, names: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self._call(names)]
+
+    def _at_ends(self, ids: np.ndarray) -> tuple[list[int], list[int]]:
+        at = (np.flatnonzero(self.last[ids]) + 1).tolist()
+        return [0, *at[:-1]], at
+
+    def _at_fences(self, ids: np.ndarray) -> tuple[list[int], list[int]]:
+        at = np.flatnonzero(ids == self.fence[0])
+        return [0, *(at + 1).tolist()], [*at.tolist(), len(ids)]
+
+    def words(self, names: list[str], apart: bool) -> list[bytes]:
+        """Ids of each word. apart: words in which a special token may be spelt, each a text of its own.
+
+        Each word has an id at least, and a word of letters ends in one id that ends a word, unless lower
+        case breaks it up. So if a text has as many ends as words, each word has just one of them.
+        """
+        if apart:
+            return self._alone(names)
+        letters = np.fromiter(map(str.isalpha, names), bool, len(names)) & self.last.any()
+        out = [b""] * len(names)
+        for some, sign, ends in ((letters, " ", self._at_ends), (~letters, self.fence and self.fence[1], self._at_fences)):
+            at = np.flatnonzero(some).tolist()
+            part = [names[i] for i in at]
+            for i, x in zip(at, self._alone(part) if sign is None else self._parted(part, sign, ends), strict=True):
+                out[i] = x
         return out
 
     def forget(self) -> None:
@@ -142,8 +177,8 @@ class Encoder:
             words.flat = _lowered(words.flat)
         at, of = distinct_spans(words.flat, words.starts, words.ends)
         raw = words.flat.tobytes()
-        names = [raw[a:b] for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist(), strict=True)]
-        ids = [self.known.get(w) for w in names]
+        names = list(map(raw.__getitem__, map(slice, words.starts[at].tolist(), words.ends[at].tolist())))
+        ids = list(map(self.known.get, names))
         new = [j for j, x in enumerate(ids) if x is None]
         if new:
             for j, x in zip(new, self.words([names[j].decode("utf-8", "replace") for j in new], plain), strict=True):
@@ -213,7 +248,7 @@ def _encode(batches, path: str, end_id: int, id_type):
 
 
 def _chunked(batches, encoder: Encoder, width: np.dtype, end_id: int):
-    for batch in pieces(batches, "__text"):
+    for batch in pieces(batches, "__text", BATCH_BYTES):
         ids, sums = with_end(*encoder.encode(batch.column("__text")), end_id)
         raw = memoryview(ids.astype(width).tobytes())
         flat, sizes, roots = [], [0], []
