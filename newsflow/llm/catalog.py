@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import decontamination, embedding_dedup, language_id, line_dedup, ngram_join, pii, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
+from newsflow.llm import collocations, decontamination, embedding_dedup, language_id, line_dedup, ngram_join, pii, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,10 +96,15 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_components(docs, k=4, num=85, den=100)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first 2000 phrases of two to four words: lang, rank, phrase, a, l, r, n, score."""
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_substring_dedup, op2_pii, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join)
+    found = (op1_substring_dedup, op2_pii, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join, op11_collocations)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": line_dedup.ORACLE}
+    return {"op8_line_dedup": line_dedup.ORACLE, "op11_collocations": collocations.ORACLE}
