@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import collocations, decontamination, embedding_dedup, language_id, line_dedup, ngram_join, pii, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
+from newsflow.llm import collocations, decontamination, embedding_dedup, filter_audit, language_id, line_dedup, ngram_join, pii, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,10 +101,15 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(_table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in all 120 orders, per source: part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
+    return filter_audit.audit(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Query]:
-    found = (op1_substring_dedup, op2_pii, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join, op11_collocations)
+    found = (op1_substring_dedup, op2_pii, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join, op11_collocations, op13_filter_audit)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": line_dedup.ORACLE, "op11_collocations": collocations.ORACLE}
+    return {"op8_line_dedup": line_dedup.ORACLE, "op11_collocations": collocations.ORACLE, "op13_filter_audit": filter_audit.ORACLE}
