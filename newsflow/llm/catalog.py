@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import collocations, decontamination, embedding_dedup, filter_audit, language_id, line_dedup, ngram_join, pii, sentencepiece_viterbi, storage, substring_dedup, token_store, toxicity
+from newsflow.llm import collocations, decontamination, embedding_dedup, filter_audit, language_id, line_dedup, ngram_join, pii, sentencepiece_viterbi, storage, substring_dedup, token_counts, token_store, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -101,13 +101,19 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mine(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text: doc_id, n_bytes, n_tokens, over_limit, n_chars and cut_chars (code points of the longest prefix of at most 2048 ids)."""
+    found = token_counts.prefix_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file("word_bpe_49k.json"), limits=(2048,), stored=False)
+    return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"), "n_chars", F.col("cut_2048").alias("cut_chars"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five filters in all 120 orders, per source: part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
     return filter_audit.audit(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), _table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_substring_dedup, op2_pii, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join, op11_collocations, op13_filter_audit)
+    found = (op1_substring_dedup, op2_pii, op3_decontamination, op4_toxicity, op5_language_id, op6_token_store, op7_sentencepiece, op8_line_dedup, op9_embedding_dedup, op10_ngram_join, op11_collocations, op12_token_counts, op13_filter_audit)
     return {f.__name__: f for f in found}
 
 
