@@ -102,7 +102,7 @@ def _phrases(table: pa.Table, told: pa.Table, buckets: int, most: int) -> pa.Tab
     out, here = [], np.ones(len(words.starts), bool)
     for size in range(1, most + 1):
         if size > 1:  # the phrase of one word less starts here, and the pair of its last word and the next passed
-            n = max(0, len(here) - size + 1)
+            n = max(0, len(here) - 1)
             here = here[:n] & passed[size - 2 : size - 2 + n]
         at = np.flatnonzero(here)
         if not len(at):
