@@ -6,6 +6,8 @@ with the request and the response log these are the six stores of a run.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,13 +74,28 @@ def sinks(routed: DataFrame, response_log: DataFrame, chunk_col: str = "from_chu
     }
 
 
-def flush(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> None:
-    """The tables of a chunk appended to their stores under root, which are made where they are missing."""
-    from newsflow.sources.tables import append_aligned, ensure_table
+def flush(spark: SparkSession, tables: dict[str, DataFrame], root: str, batch: str | None = None) -> bool:
+    """The tables of a chunk appended to their stores under root, all or none.
+
+    ``batch`` names the chunk: a flush that failed can be run again, and one that is committed is not
+    repeated (False). Without a name every call is a batch of its own. ``commits.read`` reads the stores.
+    """
+    from newsflow.sources import commits
+
+    return commits.commit(spark, tables, root, batch or uuid.uuid4().hex)
+
+
+def flush_chunk(spark: SparkSession, routed: DataFrame, log: DataFrame, root: str, batch: str, chunk_col: str = "from_chunk") -> bool:
+    """A chunk's log rows and sinks flushed as one batch. ``routed`` and ``log`` (request_id, response_id, domain, url, the chunk, status_code) are computed once each, however many stores get rows of them."""
+    from newsflow.sources import commits
+    from newsflow.sources.tables import materialize
 
-    for name, df in tables.items():
-        ensure_table(spark, f"{root}/{name}", df.schema)
-        append_aligned(df, f"{root}/{name}")
+    if commits.committed(spark, root, batch):
+        return False
+    routed, log = materialize(routed, "routed"), materialize(log, "log")
+    requests = log.select(F.col("request_id").alias("id"), "url")
+    responses = log.select(F.col("request_id").alias("id"), "response_id", "url")
+    return flush(spark, sinks(routed, log, chunk_col) | {"request_log": requests, "response_log": responses}, root, batch)
 
 
 def gone_links(response_log: DataFrame) -> DataFrame:
@@ -119,9 +136,11 @@ def merge_extractions(ours: DataFrame, theirs: DataFrame, key: str = "url", colu
     return joined.withColumns({c: F.coalesce(filled(c), filled(f"__{c}")) for c in columns}).drop(*[f"__{c}" for c in columns])
 
 
-def retry_run(links: DataFrame, extracted: DataFrame, stores: dict[str, DataFrame], most: int = 300, seed: str = "") -> tuple[dict[str, DataFrame], DataFrame]:
-    """The retry workflow (J7): ``most`` retry-flagged links at random are extracted a second time; what has a text and a date joins final_data and leaves the other stores. Returns the stores and the failures (url, reason)."""
-    chosen = sample(links.where(_flag("retry")).select("id", "domain", "url"), "url", most, seed)
+def retry_run(links: DataFrame, extracted: DataFrame, stores: dict[str, DataFrame], most: int | None = 300, seed: str = "", candidates: Column | str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The retry workflow (J7): of the links that are candidates (by any predicate over their columns; else those flagged for retry), ``most`` at random (None: all) are extracted a second time; what has a text and a date joins final_data and leaves the other stores. Returns the stores and the failures (url, reason)."""
+    wanted = _flag("retry") if candidates is None else F.expr(candidates) if isinstance(candidates, str) else candidates
+    chosen = links.where(wanted).select("id", "domain", "url")
+    chosen = chosen if most is None else sample(chosen, "url", most, seed)
     tried = chosen.join(extracted, "url", "left")
     valid = F.coalesce((F.trim("text") != "") & F.col("date_time").isNotNull(), F.lit(False))
     good = tried.where(valid)

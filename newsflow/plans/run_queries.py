@@ -12,7 +12,7 @@ from newsflow.functions import dates, urls
 from newsflow.operators import discovery, extract, relational, reports, responses, runlog, sitemaps, workbench
 from newsflow.plans.catalog import register
 from newsflow.session import table
-from newsflow.sources import tables
+from newsflow.sources import commits, tables
 
 # A response log from events: every event is a request; its type decides what came of it.
 _ROUTE = "CASE event_type WHEN 'purchase' THEN 'output' WHEN 'signup' THEN 'output' WHEN 'error' THEN 'error' WHEN 'click' THEN 'retry' ELSE 'parse_error' END"
@@ -69,13 +69,11 @@ def q_response_log(spark, d):
 @register("q_flush", f"""WITH e AS ({_EVENTS}) SELECT CASE route WHEN 'output' THEN 'final_data' ELSE route END AS store, 2 * count(*) AS n, CAST(2 * sum(event_id) AS BIGINT) AS ids FROM e GROUP BY 1
  UNION ALL SELECT 'request_log', 2 * count(*), CAST(2 * sum(event_id) AS BIGINT) FROM e UNION ALL SELECT 'response_log', 2 * count(*), CAST(2 * sum(event_id) AS BIGINT) FROM e""")
 def q_flush(spark, d):
-    """The six tables of a chunk flushed twice and read back."""
-    root = tables.new_path(spark, "stores")
-    log = _log(spark, d)
-    chunk = runlog.sinks(_routed(spark, d), log) | {"request_log": log.select(F.col("request_id").alias("id"), "url"), "response_log": log.select(F.col("request_id").alias("id"), "response_id", "url")}
-    for _ in range(2):
-        runlog.flush(spark, chunk, root)
-    return relational.union_fill(*[spark.read.parquet(f"{root}/{name}").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids")).withColumn("store", F.lit(name)) for name in runlog.STORES])
+    """Two chunks flushed as batches, the second one again after it is committed, and the stores read back."""
+    root, log = tables.new_path(spark, "stores"), _log(spark, d)
+    for batch in ("chunk_001", "chunk_002", "chunk_002"):
+        runlog.flush_chunk(spark, _routed(spark, d), log, root, batch)
+    return relational.union_fill(*[commits.read(spark, root, name).agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids")).withColumn("store", F.lit(name)) for name in runlog.STORES])
 
 
 _FLAGGED = "SELECT o_orderkey AS id, 'd' || (o_custkey % 7) AS domain, 'u/' || o_orderkey AS url, o_orderstatus = 'F' AS processed, CASE WHEN o_totalprice > 300000 THEN true END AS error, o_orderpriority LIKE '1%' AS retry, o_orderpriority LIKE '2%' AS parse_error FROM orders"
@@ -204,16 +202,21 @@ def q_load_parse_errors(spark, d):
     return workbench.load(errors, f"d{first}").select("id")
 
 
-@register("q_by_domain", """WITH k AS (SELECT c_mktsegment AS domain, c_nationkey AS url, min(CASE WHEN c_acctbal < 5000 THEN 0 ELSE 1 END) AS run FROM customer GROUP BY 1, 2), f AS (SELECT url, min_by(domain, struct_pack(run, domain)) AS domain, min(run) AS run FROM k GROUP BY 1)
- SELECT domain, count(*) AS n, CAST(sum(run) AS BIGINT) AS n_new FROM f WHERE domain <> 'BUILDING' GROUP BY 1""")
+_DOMAIN = "CASE c_mktsegment WHEN 'BUILDING' THEN 'host:8080' WHEN 'FURNITURE' THEN NULL WHEN 'MACHINERY' THEN '00' || (c_custkey % 3) WHEN 'HOUSEHOLD' THEN 'a/b=c%' ELSE '' END"
+
+
+@register("q_by_domain", f"""WITH c AS (SELECT {_DOMAIN} AS domain, c_nationkey AS url, CASE WHEN c_acctbal < 2000 THEN 0 WHEN c_acctbal < 5000 THEN 1 ELSE 2 END AS run FROM customer),
+ k AS (SELECT domain, url, min(run) AS run FROM c GROUP BY 1, 2)
+ SELECT domain, count(*) AS n, CAST(sum(run) AS BIGINT) AS runs, CAST(sum(url) AS BIGINT) AS urls FROM k WHERE domain IS DISTINCT FROM '' AND url <> 7 GROUP BY 1""")
 def q_by_domain(spark, d):
-    """A table by domain, merged with new rows, without those that are done; an emptied domain has no folder."""
-    c = table(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("url"), F.when(F.col("c_acctbal") < 5000, 0).otherwise(1).alias("run"), F.col("c_mktsegment").alias("domain"))
+    """A table by domain, merged with new rows twice, without an emptied domain and without a URL that is done everywhere; domains with signs, digits and none."""
+    c = table(spark, d, "customer").select(F.col("c_nationkey").alias("url"), F.when(F.col("c_acctbal") < 2000, 0).when(F.col("c_acctbal") < 5000, 1).otherwise(2).alias("run"), F.expr(_DOMAIN).alias("domain"))
     path, nobody = tables.new_path(spark, "domains"), c.limit(0)
-    tables.merge_by_domain(spark, c.where("run = 0"), path, nobody)
-    tables.merge_by_domain(spark, c.where("run = 1"), path, nobody)
-    tables.merge_by_domain(spark, c.limit(0), path, spark.read.parquet(path).where("domain = 'BUILDING'"))
-    return spark.read.parquet(path).groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.sum("run").alias("n_new"))
+    for run in range(3):
+        tables.merge_by_domain(spark, c.where(F.col("run") == run), path, nobody)
+    tables.merge_by_domain(spark, nobody, path, tables.read_by_domain(spark, path, [""]))
+    tables.merge_by_domain(spark, nobody, path, c.where("url = 7").select("url"))
+    return tables.read_by_domain(spark, path).groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.sum("run").alias("runs"), F.sum("url").alias("urls"))
 
 
 @register("q_files", "SELECT c_custkey, 'a, \"b\"' || chr(10) || c_name AS name, lower(c_mktsegment) AS domain FROM customer")

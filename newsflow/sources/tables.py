@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 import zlib
@@ -9,6 +10,7 @@ import zlib
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from newsflow.operators.relational import aligned, first_per_key
@@ -60,9 +62,81 @@ def ensure_table(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_by_domain(df: DataFrame, path: str, domain: str = "domain") -> None:
-    """One partition per domain; only the partitions that df holds are replaced."""
-    df.repartition(domain).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(domain).parquet(path)
+#: The folder column of tables by domain.
+PART = "store_part"
+#: Rows of a file of such a table.
+FILE_ROWS = 1_000_000
+
+
+def part_of(domain: Column) -> Column:
+    """Name of a domain's folder: never null, empty or like a number, so that it reads back as it is."""
+    return F.coalesce(F.concat(F.lit("d_"), domain.cast("string")), F.lit("null"))
+
+
+def _file_system(spark: SparkSession, path: str):
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def _folder_of(spark: SparkSession, name: str) -> str:
+    """Name of the folder of a value of PART, as Spark escapes it."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(PART, name)
+
+
+def _write_parts(df: DataFrame, path: str, domain: str, key: str | None) -> None:
+    """One folder per domain. Ranges of (domain, key), not domains, are dealt to tasks, so a large domain becomes several tasks and files; files are sorted by key and have a filter of its values, by which readers skip them."""
+    plain = [c for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    order = [PART, *([key] if key else [c for c in plain if c != domain])]
+    rows = df.withColumn(PART, part_of(F.col(domain))).repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_ROWS)
+    (writer.option(f"parquet.bloom.filter.enabled#{key}", "true") if key else writer).partitionBy(PART).parquet(path)
+
+
+def _keep_columns(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """The table's columns in a file that readers of its rows skip."""
+    fs, make = _file_system(spark, path)
+    out = fs.create(make(f"{path}/_columns"), True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+
+
+def _columns(spark: SparkSession, path: str) -> T.StructType | None:
+    """Columns of a table by domain; None: there is no table."""
+    fs, make = _file_system(spark, path)
+    if not fs.exists(make(f"{path}/_columns")):
+        return None
+    file = fs.open(make(f"{path}/_columns"))
+    try:
+        return T.StructType.fromJson(json.loads(bytes(file.readAllBytes()).decode()))
+    finally:
+        file.close()
+
+
+def write_by_domain(df: DataFrame, path: str, domain: str = "domain", key: str | None = None) -> None:
+    """One folder per domain; only the folders of domains that df holds are replaced. The domain stays a column, with its type."""
+    _write_parts(df, path, domain, key)
+    _keep_columns(df.sparkSession, path, df.schema)
+
+
+def _parts(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table by domain with the folder each lies in."""
+    schema = _columns(spark, path)
+    if schema is None:
+        raise ValueError(f"no table by domain at {path}")
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    fs, make = _file_system(spark, path)
+    if not fs.globStatus(make(f"{path}/{PART}=*")):
+        return spark.createDataFrame([], schema).withColumn(PART, F.lit(""))
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(PART, T.StringType())])).parquet(path)
+
+
+def read_by_domain(spark: SparkSession, path: str, domains: list | None = None) -> DataFrame:
+    """A table by domain, or the folders of some domains only (None among them: the null domain). A merge that was cut off is finished first."""
+    finish_merge(spark, path)
+    rows = _parts(spark, path)
+    if domains is not None:
+        rows = rows.where(F.col(PART).isin(["null" if x is None else f"d_{x}" for x in domains]))
+    return rows.drop(PART)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -87,24 +161,67 @@ def transpose(df: DataFrame, key: str, names: list[str]) -> DataFrame:
     return cells.groupBy("name").pivot(key, names).agg(F.first("value"))
 
 
+def _merge_folder(path: str) -> str:
+    return f"{path.rstrip('/')}.merge"
+
+
 def merge_by_domain(spark: SparkSession, new: DataFrame, path: str, done: DataFrame, key: str = "url", domain: str = "domain") -> None:
-    """A table by domain with new rows merged in (B5, B6): one row per key, the older one; keys of ``done`` go; a domain without rows has no folder."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    every = new.withColumn("__age", F.lit(1))
-    before: set[str] = set()
-    if fs.exists(root):
-        old = spark.read.parquet(path).select(*[F.col(c).cast(new.schema[c].dataType).alias(c) for c in new.columns])
-        before = {s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()}
-        every = old.withColumn("__age", F.lit(0)).unionByName(every)
-    kept = first_per_key(every, [key], ["__age", *[c for c in new.columns if c != key]]).drop("__age").join(done.select(key), key, "left_anti")
-    kept = materialize(kept.select(*new.columns), "by-domain")
-    write_by_domain(kept, path, domain)
-    wanted = {r[0] for r in kept.select(F.col(domain).cast("string")).distinct().collect()}  # names of folders
-    for folder in before:
-        if folder.split("=", 1)[-1] not in wanted:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(root, folder), True)
+    """A table by domain with new rows merged in (B5, B6): inside a domain one row per key, the older one; keys of ``done`` go; a domain without rows has no folder.
+
+    ``done`` has the key, and the domain if its keys are those of one domain only. Folders of domains
+    that neither ``new`` nor ``done`` touches are not read (but for their keys, where ``done`` has no
+    domain) and keep their files. What the touched folders shall hold is written beside the table first;
+    a merge that is cut off after that is finished by the next reader or merge, one that is cut off before
+    leaves the table as it was. One writer at a time. Null is a domain and a key of its own. The table
+    keeps its columns and types and gains those that are new.
+    """
+    finish_merge(spark, path)
+    held = _columns(spark, path)
+    columns = [*(held.fields if held else []), *[f for f in new.schema.fields if held is None or f.name not in held.names]]
+    fit = lambda df: df.select(PART, *[(F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name) for f in columns])
+    keyed = fit(new.withColumn(PART, part_of(F.col(domain))))
+    by = [PART, key] if domain in done.columns else [key]
+    gone = (done.withColumn(PART, part_of(F.col(domain))) if domain in done.columns else done).select(*by).distinct().alias("g")
+    every, touched = keyed.withColumn("__age", F.lit(1)), keyed.select(PART)
+    if held:
+        old = _parts(spark, path)
+        hit = gone.select(PART) if domain in done.columns else old.select(PART, key).alias("k").join(gone, F.col(f"k.{key}").eqNullSafe(F.col(f"g.{key}")), "left_semi").select(PART)
+        touched = materialize(touched.union(hit).distinct(), "touched")
+        every = fit(old).join(touched, PART, "left_semi").withColumn("__age", F.lit(0)).unionByName(every)
+    same = [F.col(f"k.{c}").eqNullSafe(F.col(f"g.{c}")) for c in by]
+    first = first_per_key(every, [PART, key], ["__age", *[f.name for f in columns if f.name != key and not f.dataType.simpleString().startswith(("map", "variant"))]]).drop("__age")
+    kept = materialize(first.alias("k").join(gone, same, "left_anti"), "kept")
+    aside = _merge_folder(path)
+    fs, make = _file_system(spark, path)
+    fs.delete(make(aside), True)
+    _write_parts(kept.select(*[f.name for f in columns]), f"{aside}/rows", domain, key)
+    emptied = touched.distinct().join(kept.select(PART).distinct(), PART, "left_anti")
+    emptied.coalesce(1).write.parquet(f"{aside}/emptied")
+    _keep_columns(spark, f"{aside}/rows", T.StructType(columns))
+    fs.create(make(f"{aside}/ready"), True).close()
+    finish_merge(spark, path)
+
+
+def finish_merge(spark: SparkSession, path: str) -> bool:
+    """Takes over the folders that a merge has made ready, and removes those it has emptied; every step can be repeated. False: there was nothing to finish."""
+    aside = _merge_folder(path)
+    fs, make = _file_system(spark, path)
+    if not fs.exists(make(f"{aside}/ready")):
+        return False
+    fs.mkdirs(make(path))
+    # folders that a cut-off call has moved are not here any more; names only, as in any listing
+    for status in fs.listStatus(make(f"{aside}/rows")):
+        name = status.getPath().getName()
+        if name.startswith(f"{PART}=") or name == "_columns":
+            target = make(make(path), name)
+            fs.delete(target, True)
+            if not fs.rename(status.getPath(), target):
+                raise OSError(f"{name} could not be moved into {path}")
+    for row in spark.read.schema(f"{PART} string").parquet(f"{aside}/emptied").toLocalIterator():
+        fs.delete(make(make(path), _folder_of(spark, row[0])), True)
+    fs.delete(make(f"{aside}/ready"), False)
+    fs.delete(make(aside), True)
+    return True
 
 
 def next_chunk(names: Column) -> Column:
