@@ -110,7 +110,8 @@ def copies(docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, part_co
     """id, part, mask of every row of ``docs`` whose text a smaller id has."""
     found = refine(rows)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part")).withColumn("tie", F.xxhash64("text"))
-    members = storage.materialize(texts.join(found, ["id", "tie"]).drop("tie"), "members")
+    # one plan at every size: the rows that survive are never broadcast
+    members = storage.materialize(texts.join(found.hint("merge"), ["id", "tie"]).drop("tie"), "members")
     leaders = members.groupBy("key").agg(F.min_by(F.struct("id", "text"), "id").alias("least"))
     same = F.col("text") == F.col("least.text")
     compared = storage.materialize(members.join(leaders, "key").select("id", "part", "mask", "key", F.col("least.id").alias("least"), F.when(~same, F.col("text")).alias("other")), "compared")
