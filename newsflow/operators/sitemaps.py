@@ -73,62 +73,117 @@ def links(xml: Column) -> Column:
     return F.filter(dated, lambda x: F.coalesce(x["result_link"].rlike("^https?://"), F.lit(False)))
 
 
-def walk(roots: DataFrame, responses: DataFrame) -> DataFrame:
-    """Breadth-first traversal: url, parent_url, root_url, depth, root_tag, status of every sitemap that the roots reach.
+WALKED = "url string, parent_url string, root_url string, depth long, root_tag string, processing_status string, children array<string>"
 
-    Every level is one join of the frontier with the responses; URLs that a root has seen are not taken
-    again, so it ends, however deep the tree. Levels are written tables (lineage stays short); the only
-    thing read back is whether a frontier is empty.
-    """
-    from newsflow.sources.tables import materialize
 
-    frontier = roots.select(F.col("url"), F.lit(None).cast("string").alias("parent_url"), F.col("url").alias("root_url"), F.lit(0).cast("long").alias("depth")).distinct()
-    done = None
-    for level in count():
+def walk(roots: DataFrame, responses: DataFrame, path: str | None = None, most_levels: int | None = None) -> DataFrame:
+    """Breadth-first traversal: url, parent_url, root_url, depth, root_tag, processing_status of every sitemap that the roots reach.
+
+    Every level is one join of the frontier with the responses; (root, url) pairs that are seen are not
+    taken again, so it ends, however deep the tree. A level is a written generation under ``path``
+    (a new folder if None); it counts when its job is committed. A walk over a path goes on after the
+    last committed generation, with the roots that it began with; ``most_levels`` stops it for now after
+    so many levels of this call. The only thing read back is whether a frontier is empty.
+    """
+    from newsflow.sources.tables import new_path
+
+    spark = roots.sparkSession
+    path = path or new_path(spark, "walk")
+    fs = (make := spark.sparkContext._jvm.org.apache.hadoop.fs.Path)(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done_levels = next(n for n in count() if not fs.exists(make(f"{path}/level-{n}/_SUCCESS")))
+    for level in count(done_levels):
+        if level:
+            done = _generations(spark, path, level)
+            last = _generations(spark, path, level, level - 1)
+            children = last.select(F.explode("children").alias("url"), F.col("url").alias("parent"), "root_url", (F.col("depth") + 1).alias("depth")).groupBy("url", "root_url", "depth").agg(F.min("parent").alias("parent_url"))
+            frontier = children.join(done.select("url", "root_url"), ["url", "root_url"], "left_anti").select("url", "parent_url", "root_url", "depth")
+            if frontier.limit(1).count() == 0:
+                break
+        else:
+            frontier = roots.select(F.col("url"), F.lit(None).cast("string").alias("parent_url"), F.col("url").alias("root_url"), F.lit(0).cast("long").alias("depth")).distinct()
+        if most_levels is not None and level - done_levels >= most_levels:
+            break
         fetched = frontier.join(responses.select("url", "status", "body"), "url", "left")
         tag = root_tag(F.col("body"))
         status = F.when(F.col("status").isNull() | (F.col("status") != 200), "response_error").when(tag.isNull(), "xml_error").when(tag == "urlset", "scraped").when(tag == "sitemapindex", "subsitemap_sorted").otherwise("unsupported_root_tag")
         parsed = fetched.select("url", "parent_url", "root_url", "depth", tag.alias("root_tag"), status.alias("processing_status"), F.when(status == "subsitemap_sorted", locations(F.col("body"))).alias("children"))
-        parsed = materialize(parsed, f"level-{level}")
-        done = parsed if done is None else done.unionByName(parsed)
-        children = parsed.select(F.explode("children").alias("child"), F.col("url").alias("parent"), "root_url", (F.col("depth") + 1).alias("next")).groupBy("child", "root_url", "next").agg(F.min("parent").alias("parent_url"))
-        seen = done.select(F.col("url").alias("child"), F.col("root_url").alias("root_url")).distinct()
-        frontier = children.join(seen, ["child", "root_url"], "left_anti").select(F.col("child").alias("url"), "parent_url", "root_url", F.col("next").alias("depth"))
-        if frontier.limit(1).count() == 0:
-            break
-    return done.drop("children")
+        parsed.write.mode("overwrite").parquet(f"{path}/level-{level}")  # what an attempt left without commit goes
+    return _generations(spark, path, next(n for n in count() if not fs.exists(make(f"{path}/level-{n}/_SUCCESS")))).drop("children")
 
 
-def roll_up(tree: DataFrame, levels: int) -> DataFrame:
-    """tree (url, parent_url, depth, processing_status) with statuses of parents from their children's and subsitemap_progress ("k of n" children are over), bottom up."""
-    current = tree.withColumn("subsitemap_progress", F.lit(None).cast("string"))
-    for depth in range(levels - 1, -1, -1):
-        good, bad = F.col("processing_status").isin(*DONE), F.col("processing_status").isin(*FAILED)
-        below = current.where(F.col("depth") == depth + 1).groupBy(F.col("parent_url").alias("url")).agg(F.count(F.lit(1)).alias("__n"), F.count_if(good).alias("__good"), F.count_if(good | bad).alias("__over"))
-        joined = current.join(below, "url", "left")
-        status = F.when(F.col("__n").isNull() | (F.col("depth") != depth), F.col("processing_status")).when(F.col("__good") == F.col("__n"), "all_child_links_processed").when(F.col("__over") == F.col("__n"), "all_processed_some_errors").otherwise("in_progress")
-        text = F.when(F.col("__n").isNotNull() & (F.col("depth") == depth), F.concat(F.col("__over").cast("string"), F.lit(" of "), F.col("__n").cast("string"))).otherwise(F.col("subsitemap_progress"))
-        current = joined.withColumns({"processing_status": status, "subsitemap_progress": text}).drop("__n", "__good", "__over")
-    return current
+def _generations(spark, path: str, end: int, start: int = 0) -> DataFrame:
+    """The committed generations of a walk from ``start`` up to ``end``."""
+    found = [f"{path}/level-{n}" for n in range(start, end)]
+    return spark.read.schema(WALKED).parquet(*found) if found else spark.createDataFrame([], WALKED)
 
 
-def pagination_groups(df: DataFrame, url: str, least: int = LEAST_GROUP) -> DataFrame:
-    """pagination_group and pagination_index of files name-<n>.xml of which there are at least ``least`` (L2)."""
+def roll_up(tree: DataFrame, root: str = "root_url") -> DataFrame:
+    """tree (url, parent_url, processing_status, and root_url and root_tag where it has them) with the statuses of parents from what is below them, at any depth.
+
+    A parent is done if all its children are, over with errors if all are over, else in progress; its
+    own status is then its children's affair no more. So a parent has the least state of the leaves below it, and
+    that is found by doubling: after k rounds each row knows the least of the leaves less than 2**k
+    levels below, and its ancestor 2**k levels up. Rounds are the logarithm of the depth; each is two
+    joins over the tree and a written table. Adds subsitemap_status and subsitemap_progress ("k of n"
+    children are over), null where a row has no children. An index without children is in progress,
+    "0 of 0". Rows whose parent is not there are roots; a tree that is not one raises.
+    """
+    from newsflow.sources.tables import materialize
+
+    same = [root] if root in tree.columns else []
+    index = F.coalesce(F.col("root_tag") == "sitemapindex", F.lit(False)) if "root_tag" in tree.columns else F.lit(False)
+    good, bad = F.col("processing_status").isin(*DONE), F.col("processing_status").isin(*FAILED)
+    # 2 done, 1 failed, 0 open
+    own = F.when(good, 2).when(bad, 1).otherwise(0)
+    children = tree.select(*same, F.col("parent_url").alias("url")).where("url is not null").groupBy(*same, "url").agg(F.count(F.lit(1)).alias("n"))
+    nodes = tree.select(*same, "url", "parent_url", own.alias("own"), index.alias("index")).join(children, [*same, "url"], "left")
+    # a parent's own state says nothing; that of an index without children is open
+    state = F.when(F.col("n").isNotNull(), 2).when(F.col("index"), 0).otherwise(F.col("own"))
+    current = materialize(nodes.select(*same, "url", F.col("parent_url").alias("up"), state.alias("least")), "roll-up")
+    rounds, most = 0, max(1, current.count()).bit_length() + 1
+    while current.where("up is not null").limit(1).count():
+        rounds += 1
+        if rounds > most:
+            raise ValueError("the parents of some rows lead back to them")
+        below = current.where("up is not null").groupBy(*same, F.col("up").alias("url")).agg(F.min("least").alias("__below"))
+        above = current.select(*same, F.col("url").alias("up"), F.col("up").alias("__next"))
+        moved = current.join(below, [*same, "url"], "left").join(above, [*same, "up"], "left")
+        current = materialize(moved.select(*same, "url", F.col("__next").alias("up"), F.least("least", F.coalesce("__below", F.col("least"))).alias("least")), "roll-up")
+    over = current.join(tree.select(*same, "url", "parent_url"), [*same, "url"]).where("parent_url is not null").groupBy(*same, F.col("parent_url").alias("url")).agg(F.count(F.lit(1)).alias("__n"), F.count_if(F.col("least") > 0).alias("__over"))
+    told = tree.join(current.select(*same, "url", "least"), [*same, "url"]).join(over, [*same, "url"], "left")
+    parent = F.col("__n").isNotNull() | index
+    pick = lambda two, one, none: F.when(F.col("__n").isNull() | (F.col("least") == 0), none).when(F.col("least") == 2, two).otherwise(one)
+    return told.withColumns({
+        "processing_status": F.when(parent, pick("all_child_links_processed", "all_processed_some_errors", "in_progress")).otherwise(F.col("processing_status")),
+        "subsitemap_status": F.when(parent, pick("fully_processed", "partially_failed", "in_progress")),
+        "subsitemap_progress": F.when(parent, F.concat(F.coalesce("__over", F.lit(0)).cast("string"), F.lit(" of "), F.coalesce("__n", F.lit(0)).cast("string"))),
+    }).select(*tree.columns, "subsitemap_status", "subsitemap_progress")
+
+
+def pagination_groups(df: DataFrame, url: str, parent: str | list[str], least: int = LEAST_GROUP) -> DataFrame:
+    """pagination_group and pagination_index of files name-<n>.xml of which one parent has at least ``least`` (L2). ``parent``: the columns that tell parents apart (the parent, and the root where it is given); a group's name is unique inside its parent only."""
+    by = [parent] if isinstance(parent, str) else parent
     keyed = df.withColumn("__k", pagination_key(F.col(url))).withColumn("__n", pagination_number(F.col(url)))
-    size = F.count("__n").over(Window.partitionBy("__k"))
-    index = F.row_number().over(Window.partitionBy("__k").orderBy(F.col("__n").asc_nulls_last(), url))
+    size = F.count("__n").over(Window.partitionBy(*by, "__k"))
+    index = F.row_number().over(Window.partitionBy(*by, "__k").orderBy(F.col("__n").asc_nulls_last(), url))
     grouped = F.col("__n").isNotNull() & (size >= least)
     return keyed.withColumn("pagination_group", F.when(grouped, F.col("__k"))).withColumn("pagination_index", F.when(grouped, index.cast("long"))).drop("__k", "__n")
 
 
-def run_abort(df: DataFrame, group: str, order: str, status: str, before: str = "date_before_range", least: int = 3) -> DataFrame:
-    """pagination_group_status: pending members of a group with ``least`` consecutive pages before the range become aborted."""
-    w = Window.partitionBy(group).orderBy(order)
+#: Members of a group that an abort spares.
+SPARED = ("response_error", "xml_error", "unsupported_root_tag")
+
+
+def run_abort(df: DataFrame, group: str | list[str], order: str, status: str = "pagination_group_status", before: str = "date_before_range", least: int = 3) -> DataFrame:
+    """A group with ``least`` consecutive pages before the range is given up (G18): its members that are not processed and have not failed become processed, excluded_by_date and aborted (columns processed, processing_status and ``status``). ``group``: the columns that tell groups apart; rows without a group stay."""
+    by = [group] if isinstance(group, str) else group
+    w = Window.partitionBy(*by).orderBy(order)
     hit = F.coalesce(F.col(status) == before, F.lit(False))
     marked = df.withColumn("__h", hit.cast("int")).withColumn("__run", F.sum(1 - F.col("__h")).over(w))
-    length = F.sum("__h").over(Window.partitionBy(group, "__run"))
-    longest = marked.withColumn("__len", length).withColumn("__most", F.max("__len").over(Window.partitionBy(group)))
-    return longest.withColumn("pagination_group_status", F.when((F.col("__most") >= least) & F.col(status).isNull(), "aborted").otherwise(F.col(status))).drop("__h", "__run", "__len", "__most")
+    longest = marked.withColumn("__len", F.sum("__h").over(Window.partitionBy(*by, "__run"))).withColumn("__most", F.max("__len").over(Window.partitionBy(*by)))
+    gone = (F.col("__most") >= least) & ~F.coalesce(F.col("processed"), F.lit(False)) & ~F.coalesce(F.col("processing_status").isin(*SPARED), F.lit(False)) & F.col(by[-1]).isNotNull()
+    out = longest.withColumn("__gone", F.coalesce(gone, F.lit(False)))
+    return out.withColumns({"processed": F.col("processed") | F.col("__gone"), "processing_status": F.when(F.col("__gone"), "excluded_by_date").otherwise(F.col("processing_status")), status: F.when(F.col("__gone"), "aborted").otherwise(F.col(status))}).drop("__h", "__run", "__len", "__most", "__gone")
 
 
 def master_status(tree: DataFrame, log: DataFrame, key: str = "root_url") -> DataFrame:
@@ -160,16 +215,17 @@ def child_order(children: DataFrame, parent: str, pos: str, url: str, excluded:
     return marked.withColumn("sort_place", F.when(F.col("__o").isNotNull(), place.cast("long"))).drop("__o", "__r")
 
 
-def validate_groups(pages: DataFrame, group: str, index: str, tag: str, day: str, tolerance: int = 2) -> DataFrame:
-    """group and pagination_group_status from its first, middle and last page (G17): urlsets only, dates monotone."""
+def validate_groups(pages: DataFrame, group: str | list[str], index: str, tag: str, day: str, tolerance: int = 2) -> DataFrame:
+    """group and pagination_group_status from its first, middle and last page (G17): urlsets only, dates monotone. ``group``: the columns that tell groups apart."""
     from newsflow.operators.relational import monotone
 
-    w = Window.partitionBy(group)
+    by = [group] if isinstance(group, str) else group
+    w = Window.partitionBy(*by)
     n, r = F.count(F.lit(1)).over(w), F.row_number().over(w.orderBy(index))
     probe = pages.withColumn("__n", n).withColumn("__r", r).where((F.col("__r") == 1) | (F.col("__r") == F.ceil(F.col("__n") / 2)) | (F.col("__r") == F.col("__n")))
-    kinds = probe.groupBy(group).agg(F.bool_and(F.coalesce(F.col(tag) == "urlset", F.lit(False))).alias("__all"))
-    order = monotone(probe, [group], [index], day, tolerance)
-    return kinds.join(order, group).select(group, F.when(F.col("__all"), F.col("direction")).otherwise("invalid_urlsets").alias("pagination_group_status"))
+    kinds = probe.groupBy(*by).agg(F.bool_and(F.coalesce(F.col(tag) == "urlset", F.lit(False))).alias("__all"))
+    order = monotone(probe, by, [index], day, tolerance)
+    return kinds.join(order, by).select(*by, F.when(F.col("__all"), F.col("direction")).otherwise("invalid_urlsets").alias("pagination_group_status"))
 
 
 def next_work(tree: DataFrame) -> DataFrame:
@@ -211,14 +267,15 @@ def progression_upsert(old: DataFrame, new: DataFrame, key: str = "current_url")
     return a.join(b, F.col(f"a.{key}") == F.col(f"b.{key}"), "full_outer").select(F.coalesce(F.col(f"a.{key}"), F.col(f"b.{key}")).alias(key), *pick)
 
 
-def dissolve_groups(tree: DataFrame, group: str = "pagination_group") -> DataFrame:
-    """Groups that hold a sitemapindex are dissolved: their members lose group and index."""
-    mixed = tree.where((F.col("root_tag") == "sitemapindex") & F.col(group).isNotNull()).select(F.col(group).alias("__g")).distinct()
-    hit = tree.join(mixed, F.col(group) == F.col("__g"), "left")
-    gone = F.col("__g").isNotNull()
+def dissolve_groups(tree: DataFrame, group: str = "pagination_group", parent: list[str] | None = None) -> DataFrame:
+    """Groups that hold a sitemapindex are dissolved: their members lose group and index (G19). ``parent``: the columns inside which a group's name is unique."""
+    by = [*(parent or []), group]
+    mixed = tree.where((F.col("root_tag") == "sitemapindex") & F.col(group).isNotNull()).select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(by)]).distinct().withColumn("__hit", F.lit(True))
+    hit = tree.join(mixed, [F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(by)], "left")
+    gone = F.col("__hit").isNotNull()
     return hit.withColumns({
         "pagination_group_status": F.when(gone, "dissolved").otherwise(F.col("pagination_group_status")), "pagination_index": F.when(~gone, F.col("pagination_index")), group: F.when(~gone, F.col(group)),
-    }).drop("__g")
+    }).drop("__hit", *[f"__g{i}" for i in range(len(by))])
 
 
 def reset_master(master: DataFrame, retry: DataFrame, key: str = "root_url") -> DataFrame:

@@ -74,14 +74,19 @@ def q_route(spark, d):
     return j.select("doc_id", r.alias("r")).select("doc_id", "r.reason", "r.route")
 
 
-@register("q_pagination_groups", """WITH f AS (SELECT p_partkey, 'https://x/' || replace(p_type, ' ', '_') || '-' || p_partkey || '.xml' AS url FROM part UNION ALL SELECT 1000000 + p_partkey, 'https://x/solo' || p_partkey || '.xml.gz' FROM part WHERE p_partkey % 50 = 0),
- k AS (SELECT *, regexp_replace(split_part(url, '/', -1), '-?[0-9]+(\\.xml)', '\\1') AS key, try_cast(nullif(regexp_extract(split_part(url, '/', -1), '([0-9]+)\\.xml', 1), '') AS BIGINT) AS num FROM f)
- SELECT p_partkey, CASE WHEN count(num) OVER (PARTITION BY key) >= 40 AND num IS NOT NULL THEN key END AS pagination_group, CASE WHEN count(num) OVER (PARTITION BY key) >= 40 AND num IS NOT NULL THEN row_number() OVER (PARTITION BY key ORDER BY num NULLS LAST, url) END AS pagination_index FROM k""".replace("\\\\", "\\"))
+@register("q_pagination_groups", """WITH f AS (SELECT l_orderkey, l_linenumber, 'https://s' || (l_orderkey % 40) || '/' AS parent, 'https://s' || (l_orderkey % 40) || '/n_' || l_linenumber || '-' || l_orderkey || '.xml' AS url FROM lineitem
+   UNION ALL SELECT 1000000000 + p_partkey, 0, 'https://s' || (p_partkey % 40) || '/', 'https://s' || (p_partkey % 40) || '/solo' || p_partkey || '.xml.gz' FROM part),
+ k AS (SELECT *, regexp_replace(split_part(url, '/', -1), '-?[0-9]+(\\.xml)', '\\1') AS key, try_cast(nullif(regexp_extract(split_part(url, '/', -1), '([0-9]+)\\.xml', 1), '') AS BIGINT) AS num FROM f),
+ g AS (SELECT *, count(num) OVER (PARTITION BY parent, key) >= 5 AND num IS NOT NULL AS grouped, row_number() OVER (PARTITION BY parent, key ORDER BY num NULLS LAST, url) AS i FROM k)
+ SELECT parent, url, count(*) AS n, min(CASE WHEN grouped THEN key END) AS pagination_group, CAST(min(CASE WHEN grouped THEN i END) AS BIGINT) AS pagination_index FROM g GROUP BY 1, 2""".replace("\\\\", "\\"))
 def q_pagination_groups(spark, d):
-    p = table(spark, d, "part")
-    files = p.select("p_partkey", F.concat(F.lit("https://x/"), F.replace("p_type", F.lit(" "), F.lit("_")), F.lit("-"), "p_partkey", F.lit(".xml")).alias("url"))
-    solo = p.where("p_partkey % 50 = 0").select((F.col("p_partkey") + 1_000_000).alias("p_partkey"), F.concat(F.lit("https://x/solo"), "p_partkey", F.lit(".xml.gz")).alias("url"))
-    return sitemaps.pagination_groups(files.union(solo), "url", least=40).select("p_partkey", "pagination_group", "pagination_index")
+    """Many sites whose files have the same names; a group is one parent's."""
+    site = lambda k: F.concat(F.lit("https://s"), F.col(k) % 40, F.lit("/"))
+    lines, part = table(spark, d, "lineitem"), table(spark, d, "part")
+    files = lines.select(site("l_orderkey").alias("parent"), F.concat(site("l_orderkey"), F.lit("n_"), "l_linenumber", F.lit("-"), "l_orderkey", F.lit(".xml")).alias("url"))
+    solo = part.select(site("p_partkey").alias("parent"), F.concat(site("p_partkey"), F.lit("solo"), "p_partkey", F.lit(".xml.gz")).alias("url"))
+    found = sitemaps.pagination_groups(files.union(solo), "url", "parent")
+    return found.groupBy("parent", "url").agg(F.count(F.lit(1)).alias("n"), F.min("pagination_group").alias("pagination_group"), F.min("pagination_index").alias("pagination_index"))
 
 
 @register("q_monotone_groups", """WITH s AS (SELECT l_orderkey, date_diff('day', lag(CAST(l_shipdate AS DATE)) OVER w, CAST(l_shipdate AS DATE)) AS dd FROM lineitem WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey))
@@ -91,16 +96,21 @@ def q_monotone_groups(spark, d):
     return relational.monotone(rows, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], "day")
 
 
-_PAGES_OF = "SELECT l_orderkey, l_orderkey * 100 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos, CASE WHEN l_returnflag IN ('A', 'R') THEN 'date_before_range' WHEN l_linenumber < 3 THEN 'scraped' END AS st FROM lineitem"
+_PAGES_OF = """SELECT l_orderkey % 5 AS site, l_orderkey // 5 AS grp, l_orderkey * 100 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS pos, CASE WHEN l_returnflag IN ('A', 'R') THEN 'date_before_range' WHEN l_linenumber < 3 THEN 'scraped' END AS st,
+ l_linenumber % 3 = 0 AS processed, CASE l_linenumber WHEN 4 THEN 'response_error' WHEN 5 THEN 'xml_error' WHEN 6 THEN 'in_progress' END AS ps FROM lineitem"""
 
 
-@register("q_run_abort", f"""WITH p AS ({_PAGES_OF}), m AS (SELECT *, CAST(coalesce(st = 'date_before_range', false) AS INT) AS h FROM p), r AS (SELECT *, sum(1 - h) OVER (PARTITION BY l_orderkey ORDER BY pos) AS run FROM m), s AS (SELECT *, sum(h) OVER (PARTITION BY l_orderkey, run) AS len FROM r)
- SELECT pos, CASE WHEN max(len) OVER (PARTITION BY l_orderkey) >= 3 AND st IS NULL THEN 'aborted' ELSE st END AS pagination_group_status FROM s""")
+@register("q_run_abort", f"""WITH p AS ({_PAGES_OF}), m AS (SELECT *, CAST(coalesce(st = 'date_before_range', false) AS INT) AS h FROM p), r AS (SELECT *, sum(1 - h) OVER (PARTITION BY site, grp ORDER BY pos) AS run FROM m), s AS (SELECT *, sum(h) OVER (PARTITION BY site, grp, run) AS len FROM r),
+ g AS (SELECT *, max(len) OVER (PARTITION BY site, grp) >= 3 AND NOT processed AND coalesce(ps NOT IN ('response_error', 'xml_error', 'unsupported_root_tag'), true) AS gone FROM s)
+ SELECT pos, processed OR gone AS processed, CASE WHEN gone THEN 'excluded_by_date' ELSE ps END AS processing_status, CASE WHEN gone THEN 'aborted' ELSE st END AS pagination_group_status FROM g""")
 def q_run_abort(spark, d):
+    """Groups of several sites under the same names; processed and failed members are spared."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     st = F.when(F.col("l_returnflag").isin("A", "R"), "date_before_range").when(F.col("l_linenumber") < 3, "scraped")
-    rows = table(spark, d, "lineitem").select("l_orderkey", (F.col("l_orderkey") * 100 + F.row_number().over(w)).alias("pos"), st.alias("st"))
-    return sitemaps.run_abort(rows, "l_orderkey", "pos", "st").select("pos", "pagination_group_status")
+    n, k = F.col("l_linenumber"), F.col("l_orderkey")
+    failed = F.when(n == 4, "response_error").when(n == 5, "xml_error").when(n == 6, "in_progress")
+    rows = table(spark, d, "lineitem").select((k % 5).alias("site"), F.floor(k / 5).alias("grp"), (k * 100 + F.row_number().over(w)).alias("pos"), st.alias("pagination_group_status"), (n % 3 == 0).alias("processed"), failed.alias("processing_status"))
+    return sitemaps.run_abort(rows, ["site", "grp"], "pos").select("pos", "processed", "processing_status", "pagination_group_status")
 
 
 def _responses(spark, d):
@@ -130,12 +140,24 @@ def q_tree_walk(spark, d):
     return _tree(spark, d)
 
 
-@register("q_tree_rollup", f"""WITH {_TREE}, n AS (SELECT parent_url AS url, bool_and(processing_status = 'scraped') AS good FROM tree WHERE depth = 2 GROUP BY 1),
- t1 AS (SELECT t.url, parent_url, depth, CASE WHEN depth = 1 AND n.url IS NOT NULL THEN CASE WHEN good THEN 'all_child_links_processed' ELSE 'all_processed_some_errors' END ELSE processing_status END AS s FROM tree t LEFT JOIN n ON n.url = t.url),
- r AS (SELECT parent_url AS url, bool_and(s = 'all_child_links_processed') AS good FROM t1 WHERE depth = 1 GROUP BY 1)
- SELECT t1.url, CASE WHEN depth = 0 AND r.url IS NOT NULL THEN CASE WHEN good THEN 'all_child_links_processed' ELSE 'all_processed_some_errors' END ELSE s END AS processing_status FROM t1 LEFT JOIN r ON r.url = t1.url""")
+@register("q_tree_rollup", f"""WITH RECURSIVE {_TREE}, v AS (SELECT *, CASE processing_status WHEN 'scraped' THEN 2 WHEN 'response_error' THEN 1 ELSE 0 END AS own, url NOT IN (SELECT parent_url FROM tree WHERE parent_url IS NOT NULL) AS leaf FROM tree),
+ up AS (SELECT url AS leaf, url, parent_url, own FROM v WHERE leaf UNION ALL SELECT up.leaf, v.url, v.parent_url, up.own FROM up JOIN v ON v.url = up.parent_url),
+ least AS (SELECT url, min(own) AS s FROM up GROUP BY 1), kids AS (SELECT parent_url AS url, count(*) AS n, count(*) FILTER (WHERE s > 0) AS o FROM tree JOIN least USING (url) WHERE parent_url IS NOT NULL GROUP BY 1)
+ SELECT v.url, CASE WHEN n IS NULL THEN processing_status WHEN s = 2 THEN 'all_child_links_processed' WHEN s = 1 THEN 'all_processed_some_errors' ELSE 'in_progress' END AS processing_status,
+ CASE WHEN n IS NULL THEN NULL WHEN s = 2 THEN 'fully_processed' WHEN s = 1 THEN 'partially_failed' ELSE 'in_progress' END AS subsitemap_status, o || ' of ' || n AS subsitemap_progress FROM v JOIN least USING (url) LEFT JOIN kids USING (url)""")
 def q_tree_rollup(spark, d):
-    return sitemaps.roll_up(_tree(spark, d), 2).select("url", "processing_status")
+    """Statuses and progress of parents."""
+    return sitemaps.roll_up(_tree(spark, d)).select("url", "processing_status", "subsitemap_status", "subsitemap_progress")
+
+
+@register("q_tree_resume", f"WITH {_TREE} SELECT * FROM tree")
+def q_tree_resume(spark, d):
+    """A walk that is stopped after each level and goes on from what is committed gives the rows of one run."""
+    roots = table(spark, d, "region").select(F.concat(F.lit("https://s/r"), "r_regionkey").alias("url"))
+    path, responses = new_path(spark, "walk"), materialize(_responses(spark, d), "responses")
+    for _ in range(2):
+        sitemaps.walk(roots, responses, path, most_levels=1)
+    return sitemaps.walk(roots, responses, path)
 
 
 @register("q_robots_extract", "SELECT n_nationkey, unnest(CASE WHEN n_nationkey % 4 = 0 THEN [NULL] WHEN n_nationkey % 4 = 1 THEN ['https://x' || n_nationkey || '.de/a.xml'] ELSE ['https://x' || n_nationkey || '.de/a.xml', 'https://x' || n_nationkey || '.de/b~1.xml'] END) AS sitemap_url, CASE n_nationkey % 4 WHEN 0 THEN 'no sitemap' WHEN 1 THEN 'one sitemap' ELSE 'multiple sitemaps' END AS sitemap_check FROM nation")

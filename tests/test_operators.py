@@ -2,6 +2,7 @@
 
 import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
 from newsflow.operators import extract, lifecycle, reports, responses, sitemaps, workbench
@@ -52,9 +53,80 @@ def test_paywall_length(spark):
 
 def test_run_abort(spark):
     b, x = "date_before_range", "scraped"
-    df = spark.createDataFrame([("g", i, s) for i, s in enumerate([b, b, x, b, b, b, None])], "g string, i int, s string")
-    got = sitemaps.run_abort(df, "g", "i", "s").orderBy("i").collect()
-    assert [r.pagination_group_status for r in got] == [b, b, x, b, b, b, "aborted"]
+    rows = [("g", i, s, False, None) for i, s in enumerate([b, b, x, b, b, b])] + [("g", 6, None, False, None), ("g", 7, None, True, "scraped"), ("g", 8, None, False, "xml_error"), ("h", 0, None, False, None), (None, 0, b, False, None), (None, 1, b, False, None), (None, 2, b, None, None)]
+    df = spark.createDataFrame(rows, "g string, i int, pagination_group_status string, processed boolean, processing_status string")
+    got = {(r.g, r.i): (r.processed, r.processing_status, r.pagination_group_status) for r in sitemaps.run_abort(df, "g", "i").collect()}
+    assert all(got["g", i] == (True, "excluded_by_date", "aborted") for i in range(7))
+    assert got["g", 7] == (True, "scraped", None) and got["g", 8] == (False, "xml_error", None) and got["h", 0] == (False, None, None) and got[None, 0] == (False, None, b)
+
+
+def test_groups_are_one_parents(spark):
+    rows = [(f"https://{s}.de/sitemap-{i}.xml", s, s) for s in "abcdef" for i in (1,)] + [(f"https://g.de/sitemap-{i}.xml", "g", "p") for i in range(9, 3, -1)] + [("https://g.de/sitemap.xml", "g", "p"), ("https://g.de/sitemap-1.xml", "g", "q")]
+    df = spark.createDataFrame(rows, "url string, root string, parent string")
+    got = {(r.url, r.parent): (r.pagination_group, r.pagination_index) for r in sitemaps.pagination_groups(df, "url", ["root", "parent"]).collect()}
+    assert {k for k, v in got.items() if v[0]} == {(f"https://g.de/sitemap-{i}.xml", "p") for i in range(4, 10)}
+    assert [got[f"https://g.de/sitemap-{i}.xml", "p"][1] for i in range(4, 10)] == [1, 2, 3, 4, 5, 6]
+    tree = spark.createDataFrame([("a", "p", "g", 1, "sitemapindex", "valid_up"), ("b", "p", "g", 2, "urlset", "valid_up"), ("c", "q", "g", 1, "urlset", "valid_up"), ("d", "q", None, None, "sitemapindex", None)], "url string, parent string, pagination_group string, pagination_index int, root_tag string, pagination_group_status string")
+    got = {r.url: (r.pagination_group, r.pagination_group_status) for r in sitemaps.dissolve_groups(tree, parent=["parent"]).collect()}
+    assert got == {"a": (None, "dissolved"), "b": (None, "dissolved"), "c": ("g", "valid_up"), "d": (None, None)}
+
+
+def plain_roll_up(rows):
+    """url, parent, status, tag -> status, progress of each, from the leaves up."""
+    kids = {}
+    for u, p, *_ in rows:
+        kids.setdefault(p, []).append(u)
+    of, found = {r[0]: r for r in rows}, {}
+
+    def over(s):
+        return 2 if s in sitemaps.DONE else 1 if s in sitemaps.FAILED else 0
+
+    for u in reversed(sorted(of, key=lambda u: depth(of, u))):
+        below = [over(found[k][0]) for k in kids.get(u, ())]
+        if below or of[u][3] == "sitemapindex":
+            s = "in_progress" if not below or min(below) == 0 else "all_child_links_processed" if min(below) == 2 else "all_processed_some_errors"
+            found[u] = (s, f"{sum(b > 0 for b in below)} of {len(below)}")
+        else:
+            found[u] = (of[u][2], None)
+    return found
+
+
+def depth(of, u):
+    return 0 if of[u][1] not in of else 1 + depth(of, of[u][1])
+
+
+def test_roll_up_at_any_depth(spark):
+    import random
+
+    rng = random.Random(5)
+    chain = [(f"c{i}", f"c{i - 1}" if i else None, "subsitemap_sorted", "sitemapindex") for i in range(60)] + [("leaf", "c59", "scraped", "urlset"), ("bad", "c30", "xml_error", None)]
+    bush = [("b0", None, "subsitemap_sorted", "sitemapindex")] + [(f"b{i}", f"b{rng.randint(max(0, i - 9), i - 1)}", rng.choice(["scraped", "scraped", "excluded_by_date", "response_error", "in_progress"]), rng.choice(["urlset", "urlset", None, "sitemapindex"])) for i in range(1, 150)]
+    rows = chain + bush
+    df = spark.createDataFrame([(*r, "one") for r in rows] + [(u, p, "scraped", None, "two") for u, p, _, _ in chain], "url string, parent_url string, processing_status string, root_tag string, root_url string")
+    got = {(r.root_url, r.url): (r.processing_status, r.subsitemap_progress) for r in sitemaps.roll_up(df).collect()}
+    assert {u: v for (root, u), v in got.items() if root == "one"} == plain_roll_up(rows)
+    assert got["two", "c0"] == ("all_child_links_processed", "1 of 1") and len(got) == len(rows) + len(chain)
+    for bad in ([("a", "b"), ("b", "a")], [("a", "a")]):
+        with pytest.raises(ValueError):
+            sitemaps.roll_up(spark.createDataFrame([(*r, "scraped") for r in bad], "url string, parent_url string, processing_status string"))
+    orphan = sitemaps.roll_up(spark.createDataFrame([("a", "gone", "scraped")], "url string, parent_url string, processing_status string")).first()
+    assert orphan.processing_status == "scraped" and orphan.subsitemap_progress is None
+    assert sitemaps.roll_up(df.limit(0)).count() == 0
+
+
+def test_walk_goes_on_where_it_stopped(spark, tmp_path):
+    index = lambda *c: "<sitemapindex>" + "".join(f"<sitemap><loc>{x}</loc></sitemap>" for x in c) + "</sitemapindex>"
+    rows = [("r", 200, index("a", "b")), ("q", 200, index("b", "r")), ("a", 200, index("c", "r")), ("b", 404, None), ("c", 200, "<urlset/>")]
+    responses = spark.createDataFrame(rows, "url string, status int, body string")
+    roots = spark.createDataFrame([("r",), ("q",)], "url string")
+    want = sorted(map(tuple, sitemaps.walk(roots, responses).collect()), key=str)
+    path = str(tmp_path / "walk")
+    assert sitemaps.walk(roots, responses, path, most_levels=1).count() == 2
+    (tmp_path / "walk" / "level-1").mkdir()  # an attempt that was not committed
+    (tmp_path / "walk" / "level-1" / "part-0.parquet").write_bytes(b"broken")
+    assert sitemaps.walk(roots, responses, path, most_levels=1).count() == 6
+    assert sorted(map(tuple, sitemaps.walk(roots, responses, path).collect()), key=str) == want
+    assert sorted(map(tuple, sitemaps.walk(roots, responses.limit(0), path).collect()), key=str) == want  # nothing is fetched again
 
 
 def test_xml(spark):
