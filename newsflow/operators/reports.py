@@ -53,26 +53,39 @@ def pattern_counts(df: DataFrame, text: str, patterns: dict[str, str]) -> DataFr
     return counts.unpivot("__all", list(patterns), "pattern", "n").select("pattern", "n", percent(F.col("n"), F.col("__all")).alias("pct"))
 
 
+#: The measures of a sitemap's overview.
+MEASURES = (
+    "total_links_for_domain", "total_valid_links", "total_urlsets", "total_progression_entries", "total_links_excluded_by_date", "total_links_excluded_by_string",
+    "total_errors", "total_verified_errors_before_retry", "total_verified_errors_after_retry", "total_unsolved_errors",
+)
+
+
 def sitemap_overview(sitemaps: DataFrame, links: DataFrame, valid: DataFrame, urlsets: DataFrame, progression: DataFrame, errors: DataFrame, log: DataFrame, retry_log: DataFrame, key: str = "layer_1_url_id") -> DataFrame:
-    """The eleven measures of each sitemap (H10). Every table is aggregated once by sitemap; no loop over sitemaps."""
-    n = F.count(F.lit(1))
+    """The eleven measures of each sitemap.
+
+    Every table becomes rows of (key, counts), all of them one union with one aggregation, which is
+    combined before its only shuffle, however many tables there are and however large one sitemap is.
+    What compares the two logs is aggregated by sitemap and URL first. No table is joined but the list of sitemaps.
+    """
+    from newsflow.operators.relational import union_fill
+
     category, status = F.col("error_category"), F.col("processing_status")
-    flagged = lambda t: t.where("retry_flag").select(key, "requested_url", "http_status_message").distinct()
-    both = flagged(log).withColumnRenamed("http_status_message", "__a").join(flagged(retry_log).withColumnRenamed("http_status_message", "__b"), [key, "requested_url"])
-    per_url = both.groupBy(key, "requested_url").agg(F.bool_or(F.col("__a") == F.col("__b")).alias("__same"), F.bool_or(F.col("__a") != F.col("__b")).alias("__other"))
-    parts = (
-        links.groupBy(key).agg(n.alias("total_links_for_domain")), valid.groupBy(key).agg(n.alias("total_valid_links")), urlsets.groupBy(key).agg(n.alias("total_urlsets")),
-        progression.groupBy(key).agg(n.alias("total_progression_entries"), F.count_if(status == "excluded_by_date").alias("__date"), F.count_if(status == "response_error").alias("__response")),
-        errors.groupBy(key).agg(F.count_if(category == "input_out_of_range").alias("__input"), F.count_if(category == "excluded_string").alias("total_links_excluded_by_string"), F.count_if(category.isin("xml_parse_error", "unsupported_root_tag")).alias("__parse")),
-        log.groupBy(key).agg(F.count_if("retry_flag").alias("total_verified_errors_before_retry")),
-        per_url.groupBy(key).agg(F.count_if("__same").alias("total_verified_errors_after_retry"), F.count_if("__other").alias("total_unsolved_errors")),
+    one = F.lit(1).cast("long")
+    rows = lambda df, **counts: df.select(key, *[F.when(c, one).alias(n) for n, c in counts.items()])
+    every = F.lit(True)
+    # the messages of a URL that both logs flag: some agree, some differ
+    tried = union_fill(*[t.where("retry_flag").select(key, "requested_url", F.col("http_status_message").alias(name)) for t, name in ((log, "a"), (retry_log, "b"))])
+    messages = tried.groupBy(key, "requested_url").agg(F.collect_set("a").alias("a"), F.collect_set("b").alias("b")).where((F.size("a") > 0) & (F.size("b") > 0))
+    measured = union_fill(
+        rows(links, total_links_for_domain=every), rows(valid, total_valid_links=every), rows(urlsets, total_urlsets=every),
+        rows(progression, total_progression_entries=every, total_links_excluded_by_date=status == "excluded_by_date", total_errors=status == "response_error"),
+        rows(errors, total_links_excluded_by_date=category == "input_out_of_range", total_links_excluded_by_string=category == "excluded_string", total_errors=category.isin("xml_parse_error", "unsupported_root_tag")),
+        rows(log, total_verified_errors_before_retry=F.col("retry_flag")),
+        rows(messages, total_verified_errors_after_retry=F.arrays_overlap("a", "b"), total_unsolved_errors=F.size(F.array_union("a", "b")) > 1),
     )
-    out = sitemaps
-    for p in parts:
-        out = out.join(p, key, "left")
-    out = out.na.fill(0, [c for p in parts for c in p.columns if c != key])
-    out = out.withColumn("total_links_excluded_by_date", F.col("__date") + F.col("__input")).withColumn("total_errors", F.col("__parse") + F.col("__response"))
-    return out.withColumn("total_links_excluded", F.col("total_links_excluded_by_date") + F.col("total_links_excluded_by_string")).drop("__date", "__response", "__input", "__parse")
+    sums = measured.groupBy(key).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    out = sitemaps.join(sums, key, "left").na.fill(0, list(MEASURES))
+    return out.withColumn("total_links_excluded", F.col("total_links_excluded_by_date") + F.col("total_links_excluded_by_string"))
 
 
 def summary(df: DataFrame, label: Column, missing: str = "unknown") -> DataFrame:

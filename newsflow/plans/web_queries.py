@@ -9,6 +9,7 @@ from newsflow.functions import urls
 from newsflow.operators import extract, relational, reports, responses, sitemaps
 from newsflow.plans.catalog import register
 from newsflow.session import table
+from newsflow.sources import feeds
 from newsflow.sources.tables import materialize, new_path
 
 _EVENTS = "SELECT event_id, user_id, ts, CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 200 WHEN event_id % 13 = 0 THEN NULL ELSE [403, 404, 429, 500, 503][event_id % 5 + 1] END AS status, event_id % 29 = 0 AS failed, CASE WHEN event_id % 7 = 0 THEN 'bot_detected' WHEN event_id % 3 = 0 THEN 'parsing_failed_no_paywall' ELSE 'valid' END AS parsed FROM events"
@@ -181,6 +182,22 @@ def q_xml_links(spark, d):
     return sets.select("c_nationkey", F.explode(sitemaps.links(F.col("xml"))).alias("l")).select("c_nationkey", "l.*")
 
 
+@register("q_sitemap_stream", """WITH c AS (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS place FROM customer)
+ SELECT c_nationkey, place, 'https://x/?a=' || c_custkey || '&b=ä' AS result_link, CASE WHEN c_custkey % 3 <> 0 THEN DATE '2025-01-02' END AS lastmod_date, CASE WHEN c_custkey % 4 = 0 THEN DATE '2025-01-05' END AS pub_date, CASE WHEN c_custkey % 4 = 0 THEN DATE '2025-01-05' WHEN c_custkey % 3 <> 0 THEN DATE '2025-01-02' END AS date FROM c WHERE c_custkey % 10 <> 0""")
+def q_sitemap_stream(spark, d):
+    """M3, K1, K5: the links of a urlset per nation, read as streams: declared and undeclared prefixes, CDATA, and for every other nation a document that breaks off."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey") % 3
+    tag = lambda name: F.when(n == 0, name).when(n == 1, f"sm:{name}").otherwise(f"no:{name}")
+    element = lambda name, text: F.concat(F.lit("<"), tag(name), F.lit(">"), text, F.lit("</"), tag(name), F.lit(">"))
+    link = F.concat(F.when(k % 10 == 0, "ftp://").otherwise("https://"), F.lit("x/?a="), k)
+    loc = F.when(k % 2 == 0, F.concat(F.lit(" "), link, F.lit("&amp;b=&#228; "))).otherwise(F.concat(F.lit("<![CDATA["), link, F.lit("&b=ä]]>")))
+    entry = element("url", F.concat(element("loc", loc), F.when(k % 3 != 0, element("lastmod", F.lit("2025-01-02T10:00:00Z"))).otherwise(""), F.when(k % 4 == 0, "<news:news><news:publication_date>2025-01-05</news:publication_date></news:news>").otherwise("")))
+    sets = table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", entry.alias("e")))), lambda x: x["e"]), "\n").alias("all"))
+    head, tail = F.concat(F.lit('<?xml version="1.0" encoding="ISO-8859-1"?><'), tag("urlset"), F.lit(' xmlns:sm="http://www.sitemaps.org/schemas/sitemap/0.9">')), F.concat(F.lit("</"), tag("urlset"), F.lit(">"))
+    bodies = sets.select("c_nationkey", F.concat(head, "all", F.when(F.col("c_nationkey") % 2 == 0, tail).otherwise("<url><loc>https://lost/")).alias("body"))
+    return feeds.read_links(bodies).select("c_nationkey", "place", "result_link", "lastmod_date", "pub_date", "date")
+
+
 @register("q_json_fields", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, CASE WHEN event_id % 5 = 0 THEN '2024-01-01T00:00:00' END AS published, ['a' || event_id, 'b'] AS snapshots FROM events")
 def q_json_fields(spark, d):
     k = F.col("event_id")

@@ -8,6 +8,7 @@ Broken markup gives the tree that implicit end tags make of it; nothing raises.
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 # Fixed values of HTML: elements without content, blocks that end a paragraph, siblings that end each other.
@@ -19,11 +20,12 @@ HIDDEN = frozenset(("script", "style", "template", "noscript"))
 
 
 class Node:
-    __slots__ = ("attrs", "children", "parent", "tag")
+    __slots__ = ("attrs", "children", "index", "parent", "tag")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Node | str] = []
+        self.index: dict | None = None
 
     def walk(self):
         """All elements below, in document order, without recursion."""
@@ -181,10 +183,43 @@ def _reaches(node: Node, steps: list[tuple[str, list[tuple]]]) -> bool:
     return False
 
 
+#: Selectors that a worker keeps compiled.
+_compiled = lru_cache(maxsize=4096)(compile_selector)
+
+
+def _index(root: Node) -> dict:
+    """The elements below by tag, id, class and attribute name, each with its place in the document: one walk, kept with the root."""
+    if root.index is None:
+        found = root.index = {"*": []}
+        for place, node in enumerate(root.walk()):
+            here = (place, node)
+            found["*"].append(here)
+            found.setdefault(("tag", node.tag), []).append(here)
+            for name, value in node.attrs.items():
+                found.setdefault(("attr", name), []).append(here)
+                if name == "id":
+                    found.setdefault(("id", value), []).append(here)
+                elif name == "class":
+                    for c in set(value.split()):
+                        found.setdefault(("class", c), []).append(here)
+    return root.index
+
+
+def _key(test: tuple):
+    """Where the index has what a test takes, and perhaps more."""
+    if test[0] == "tag":
+        return "*" if test[1] == "*" else test
+    name, how, value = test[1:]
+    return ("id", value) if (name, how) == ("id", "=") else ("class", value) if (name, how) == ("class", "~=") else ("attr", name)
+
+
 def select(root: Node, selector: str | list) -> list[Node]:
-    """Elements that a selector (text or compiled) takes, in document order."""
-    alternatives = compile_selector(selector) if isinstance(selector, str) else selector
-    return [n for n in root.walk() if any(_reaches(n, steps) for steps in alternatives)]
+    """Elements that a selector (text or compiled) takes, in document order. Only those are tried that have the rarest tag, id, class or attribute that the selector asks of them."""
+    index, found = _index(root), {}
+    for steps in _compiled(selector) if isinstance(selector, str) else selector:
+        some = min((index.get(_key(t), ()) for t in steps[-1][1]), key=len)
+        found.update((place, node) for place, node in some if place not in found and _reaches(node, steps))
+    return [found[place] for place in sorted(found)]
 
 
 def search(root: Node, selectors: list[str], attributes: list[str] = (), every: bool = True, most: int | None = None, raw: bool = False, exclude: list[str] = ()) -> list[str]:
