@@ -6,12 +6,15 @@ the same expressions.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from newsflow.functions import dates, urls
-from newsflow.operators import cleaning, lifecycle, relational, reports
+from newsflow.operators import buckets, cleaning, lifecycle, relational, reports
 from newsflow.plans.catalog import register
 from newsflow.session import table
+from newsflow.sources.tables import new_path
 
 HOST_SQL = r"lower(regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/@]*@)?([^/:?#]*)', 1), '(?i)^www\.', ''))"
 
@@ -199,6 +202,33 @@ def q_status_flags(spark, d):
     return lifecycle.status_flags(links, tables).drop("url")
 
 
+def _laid_out(spark, d):
+    """The four status tables in buckets of their URL."""
+    names = {n: f"store_{n}_{uuid.uuid4().hex}" for n in _STATUS}
+    return {n: buckets.lay_out(t, names[n], new_path(spark, n), 8) for n, t in _status_tables(spark, d).items()}
+
+
+@register("q_bucketed_priority", f"SELECT o_orderkey AS id, 'u/' || o_orderkey AS url, CASE {' '.join(f"WHEN {rule} THEN '{name}'" for name, rule in _STATUS.items())} END AS status FROM orders")
+def q_bucketed_priority(spark, d):
+    """G11, I3 over stores that are laid out by URL."""
+    return buckets.priority(_laid_out(spark, d)).select("id", "url", "status")
+
+
+@register("q_bucketed_flags", f"SELECT o_orderkey, {_STATUS['final_data']} AS processed, {_STATUS['parse_error']} AS parse_error, {_STATUS['error']} AS error, {_STATUS['retry']} AS retry FROM orders")
+def q_bucketed_flags(spark, d):
+    """G12, D8 over stores that are laid out by URL, the links too."""
+    links = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("u/"), "o_orderkey").alias("url"), F.lit(True).alias("processed"))
+    laid = buckets.lay_out(links, f"links_{uuid.uuid4().hex}", new_path(spark, "links"), 8)
+    return buckets.flags(laid, _laid_out(spark, d)).drop("url")
+
+
+@register("q_bucketed_unseen", f"SELECT o_orderkey FROM orders WHERE NOT ({' OR '.join(f"coalesce({rule}, false)" for n, rule in _STATUS.items() if n != 'retry')})")
+def q_bucketed_unseen(spark, d):
+    """Rows of a run that three stores don't have; only the run is shuffled."""
+    run = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("u/"), "o_orderkey", F.lit("/")).alias("url"))
+    return buckets.unseen(run, [s for n, s in _laid_out(spark, d).items() if n != "retry"]).select("o_orderkey")
+
+
 @register("q_append_new", "SELECT 'u/' || o_orderkey AS url, o_orderstatus <> 'O' AS old FROM orders")
 def q_append_new(spark, d):
     t = table(spark, d, "orders").select("o_orderstatus", F.concat(F.lit("u/"), "o_orderkey").alias("url"))
