@@ -10,7 +10,9 @@ copied; every other pair of blocks is one task, which compares tile with tile:
    (by Cauchy-Schwarz). With the suffix norm as one more coordinate the bound of all pairs of a tile is
    one matrix product. Pairs below the threshold stop here.
 2. The others add further axes, a stretch at a time, with the bound renewed after each.
-3. What is left has its whole product in double precision.
+3. What is left has its whole product in double precision, of the components as they were given and not
+   as they were turned. Where that lies within CLOSE of the threshold, rounding must not decide: there the
+   cosine is sum(ab) / sqrt(sum(aa) sum(bb)) with exactly rounded sums (``math.fsum``), whatever the axes.
 
 A task returns, per vector, the number of its links, and links that connect what it has found to be
 connected (at most one per vector), never all pairs. Components come from ``components.py``.
@@ -43,13 +45,16 @@ SAMPLE, LEADING, STRETCH = 4096, 16, 16
 BLOCK_BYTES, TILE = 6_000_000, 1024
 #: The bound is computed in single precision; pairs this far below the threshold are still looked at.
 SLACK = 1e-4
+#: Pairs this near the threshold are told by exactly rounded sums.
+CLOSE = 1e-12
 
 
 def _axes(vectors: DataFrame) -> np.ndarray:
     """Principal axes, largest spread first, one per column."""
     found = sampling.least(vectors, SAMPLE, vectors.count(), "key").select("v").toArrow()["v"].combine_chunks()
     size, flat, sizes = _flat(found)
-    x = flat[np.repeat(sizes == size, sizes)].reshape(int((sizes == size).sum()), size)
+    x = _power_scaled(flat[np.repeat(sizes == size, sizes)].reshape(int((sizes == size).sum()), size))
+    x = _unit(x) if len(x) else x
     _, axes = np.linalg.eigh(x.T @ x)
     return axes[:, ::-1]
 
@@ -68,18 +73,30 @@ def _stack(blobs: list[bytes], size: int) -> np.ndarray:
     return np.frombuffer(b"".join(blobs), "<f8").reshape(len(blobs), size)
 
 
-def _turned(batches, axes: np.ndarray):
-    """Unit vectors as bytes, turned to the axes where they have their length, and their first coordinate."""
+def _unit(x: np.ndarray) -> np.ndarray:
+    return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+
+def _power_scaled(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by powers of two to numbers below 1: no sum over- or underflows."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True, initial=0))[1])
+
+
+def _on_axes(unit: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Unit vectors turned to the axes where they have their length."""
+    return np.ascontiguousarray(unit @ axes if unit.shape[1] == len(axes) else unit)
+
+
+def _scaled(batches, axes: np.ndarray):
+    """Vectors as bytes, scaled by a power of two (which changes no cosine, not even by rounding), and their first coordinate on the axes."""
     for batch in batches:
         _, flat, sizes = _flat(batch.column("v"))
         begin, out, lead = np.cumsum(sizes) - sizes, [b""] * len(sizes), np.zeros(len(sizes))
         for size in np.unique(sizes).tolist():
             rows = np.flatnonzero(sizes == size)
             x = flat[begin[rows][:, None] + np.arange(size)]
-            x = x / np.abs(x).max(1, keepdims=True)
-            x = x / np.sqrt((x * x).sum(1, keepdims=True))
-            x = np.ascontiguousarray(x @ axes if size == len(axes) else x, "<f8")
-            lead[rows] = x[:, 0]
+            x = np.ascontiguousarray(_power_scaled(x), "<f8")
+            lead[rows] = _on_axes(_unit(x), axes)[:, 0]
             for i, row in zip(rows.tolist(), x, strict=True):
                 out[i] = row.tobytes()
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), pa.array(out, pa.binary()), pa.array(lead)], names=["key", "n", "blob", "lead"])
@@ -115,8 +132,27 @@ def _dealt(batches, cuts: np.ndarray, reach: float):
             yield pa.RecordBatch.from_arrays([part.column("key"), part.column("n"), part.column("blob"), pa.array(a), pa.array(b), pa.array((own[row] > other).astype(np.int32))], names=["key", "n", "blob", "a", "b", "side"])
 
 
-def _tile_links(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rows i of a and j of b with cosine >= threshold."""
+def cosine(a: np.ndarray, b: np.ndarray) -> float:
+    """The cosine with exactly rounded sums: the same in any order of the components."""
+    return math.fsum((a * b).tolist()) / math.sqrt(math.fsum((a * a).tolist()) * math.fsum((b * b).tolist()))
+
+
+class _Block:
+    """Vectors of one length as they are, as units, and turned to the axes."""
+
+    def __init__(self, x: np.ndarray, axes: np.ndarray):
+        self.x, self.unit = x, _unit(x)
+        self.turned = _on_axes(self.unit, axes)
+
+    def tile(self, at: int) -> _Block:
+        part = _Block.__new__(_Block)
+        part.x, part.unit, part.turned = self.x[at : at + TILE], self.unit[at : at + TILE], self.turned[at : at + TILE]
+        return part
+
+
+def _tile_links(one: _Block, other: _Block, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows i of one and j of the other with cosine >= threshold."""
+    a, b = one.turned, other.turned
     size = a.shape[1]
     stops = [*range(LEADING, size, STRETCH), size]
     if stops[0] >= size:
@@ -132,11 +168,14 @@ def _tile_links(a: np.ndarray, b: np.ndarray, threshold: float) -> tuple[np.ndar
                 rest = np.sqrt((a[:, hi:] ** 2).sum(1))[i] * np.sqrt((b[:, hi:] ** 2).sum(1))[j]
                 keep = total + rest >= threshold - SLACK
                 i, j, total = i[keep], j[keep], total[keep]
-    keep = np.einsum("ij,ij->i", a[i], b[j]) >= threshold
+    above = np.einsum("ij,ij->i", one.unit[i], other.unit[j]) - threshold
+    keep = above > 0
+    for k in np.flatnonzero(np.abs(above) <= CLOSE).tolist():
+        keep[k] = cosine(one.x[i[k]], other.x[j[k]]) >= threshold
     return i[keep], j[keep]
 
 
-def _compare(left: pa.Table, right: pa.Table, same: bool, threshold: float) -> pa.Table:
+def _compare(left: pa.Table, right: pa.Table, same: bool, threshold: float, axes: np.ndarray) -> pa.Table:
     """Of two blocks: (key, n links, null) and connecting links (key, null, other)."""
     names = ("key", "links", "other")
     types = (pa.int64(), pa.int64(), pa.int64())
@@ -154,10 +193,11 @@ def _compare(left: pa.Table, right: pa.Table, same: bool, threshold: float) -> p
     links, pairs = np.zeros(len(keys), np.int64), []
     for size in sorted({len(x) for x in blobs_a} & {len(x) for x in blobs_b}):
         at_a, at_b = (np.array([i for i, x in enumerate(blobs) if len(x) == size]) for blobs in (blobs_a, blobs_b))
-        a, b = (_stack([blobs[i] for i in at], size // 8) for blobs, at in ((blobs_a, at_a), (blobs_b, at_b)))
-        for p in range(0, len(a), TILE):
-            for q in range(p if same else 0, len(b), TILE):
-                i, j = _tile_links(a[p : p + TILE], b[q : q + TILE], threshold)
+        a = _Block(_stack([blobs_a[i] for i in at_a], size // 8), axes)
+        b = a if same else _Block(_stack([blobs_b[i] for i in at_b], size // 8), axes)
+        for p in range(0, len(at_a), TILE):
+            for q in range(p if same else 0, len(at_b), TILE):
+                i, j = _tile_links(a.tile(p), b.tile(q), threshold)
                 i, j = at_a[i + p], at_b[j + q]
                 if same:
                     once = i < j
@@ -178,10 +218,10 @@ def _compare(left: pa.Table, right: pa.Table, same: bool, threshold: float) -> p
     return pa.table({n: pa.array(x, t) for n, x, t in zip(names, out, types, strict=True)})
 
 
-def _pair(key, table: pa.Table, threshold: float) -> pa.Table:
+def _pair(key, table: pa.Table, threshold: float, axes: np.ndarray) -> pa.Table:
     right = table["side"].to_numpy() == 1
     sides = [table.filter(pa.array(x)) for x in (~right, right)]
-    return _compare(*sides, key[0].as_py() == key[1].as_py(), threshold)
+    return _compare(*sides, key[0].as_py() == key[1].as_py(), threshold, axes)
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -195,14 +235,14 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     same = valid.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("rep"), F.min("v").alias("v"), F.max("v").alias("w"))
     distinct = same.where(F.when(F.col("v") == F.col("w"), True).otherwise(F.raise_error(F.lit("two vectors share a 64-bit hash")))).drop("w")
     axes = _axes(valid.select("key", "v"))
-    turned = storage.materialize(distinct.select("key", "n", "v").mapInArrow(lambda batches: _turned(batches, axes), "key long, n long, blob binary, lead double"), "turned")
+    turned = storage.materialize(distinct.select("key", "n", "v").mapInArrow(lambda batches: _scaled(batches, axes), "key long, n long, blob binary, lead double"), "turned")
     size = turned.agg(F.coalesce(F.sum(F.octet_length("blob")), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     places = [i / blocks for i in range(1, blocks)]
     cuts = np.array(turned.approxQuantile("lead", places, 0.1 / blocks) if places else [], float)
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
     dealt = turned.mapInArrow(lambda batches: _dealt(batches, cuts, reach), "key long, n long, blob binary, a long, b long, side int")
-    found = dealt.groupBy("a", "b").applyInArrow(lambda key, table: _pair(key, table, threshold), "key long, links long, other long")
+    found = dealt.groupBy("a", "b").applyInArrow(lambda key, table: _pair(key, table, threshold, axes), "key long, links long, other long")
     found = storage.materialize(found, "found")
     counts = found.where("links is not null").groupBy("key").agg(F.sum("links").alias("links"))
     roots = connected_components(found.where("other is not null").select(F.col("key").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "key")

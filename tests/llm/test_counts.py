@@ -225,3 +225,30 @@ def test_long_texts_are_walked(monkeypatch):
 
 def test_audit_of_nothing(spark):
     assert audited(spark, [], []) == []
+
+
+# embeddings at the threshold
+
+
+def test_links_at_the_threshold_do_not_hang_on_the_axes(spark):
+    from newsflow.llm import embedding_dedup as E
+
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(40):  # pairs of signs that differ in one of 20: a cosine of exactly 0.9
+        x = rng.choice([-1.0, 1.0], 20)
+        y = x.copy()
+        y[rng.integers(20)] *= -1
+        rows += [(2 * i, x.tolist()), (2 * i + 1, (y * 3).tolist())]
+    more = [(1000 + i, rng.normal(size=20).tolist()) for i in range(30)]
+    found = E.near_duplicates(spark.createDataFrame(rows + more, "vec_id long, embedding array<double>"), 0.9).collect()
+    x = {i: np.array(v) for i, v in rows + more}
+    want = {i: sum(j != i and E.cosine(x[i], x[j]) >= 0.9 for j in x) for i in x}
+    assert {r.vec_id: r.n_links for r in found} == want and all(want[i] >= 1 for i, _ in rows)
+    for _ in range(20):  # any axes give the same links
+        axes = np.linalg.qr(rng.normal(size=(20, 20)))[0]
+        a, b = (E._Block(np.array([v for _, v in rows[s::2]]), axes) for s in (0, 1))
+        i, j = E._tile_links(a, b, 0.9)
+        assert {(p, p) for p in range(40)} <= set(zip(i.tolist(), j.tolist(), strict=True))
+    huge = [(0, [1e308, 0.0]), (1, [1e308, 1e300]), (2, [1e-300, 1e-305])]
+    assert [r.n_links for r in E.near_duplicates(spark.createDataFrame(huge, "vec_id long, embedding array<double>"), 0.9).orderBy("vec_id").collect()] == [2, 2, 2]
