@@ -349,7 +349,8 @@ def _large_groups(sets: DataFrame, rule: Rule) -> DataFrame:
     rooted = tiled.join(inside.select("key", "root"), "key")
     # leading sets of a group: the roots of its largest parts
     parts = inside.groupBy("comp", "root").agg(F.count(F.lit(1)).alias("n"))
-    leaders = parts.groupBy("comp").agg(F.slice(F.reverse(F.array_sort(F.collect_list(F.struct("n", "root")))), 1, LEADERS).alias("l")).select("comp", F.explode("l.root").alias("key"))
+    place = F.row_number().over(Window.partitionBy("comp").orderBy(F.desc("n"), F.desc("root")))  # cut to so many in each task before the shuffle
+    leaders = parts.withColumn("__n", place).where(F.col("__n") <= LEADERS).select("comp", F.col("root").alias("key"))
     led = tiled.join(leaders, ["comp", "key"]).select(F.col("comp").alias("comp"), F.col("key").alias("root"), F.col("blob").alias("blob"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)).alias("tile"))
     with_leaders = rooted.groupBy("comp", "tile").cogroup(led.groupBy("comp", "tile")).applyInArrow(lambda left, right: _between(left, right, rule), LINKS)
     merged = _merge(inside, with_leaders)
