@@ -222,6 +222,15 @@ def resolve_paywall_rules(domains: DataFrame, mined: DataFrame, fixed: DataFrame
     return joined.select("domain", rule.alias("rule"), F.when(rule == "hardcoded", F.col("fixed")).when(rule == "mined", F.col("mined")).alias("markers"))
 
 
+def first_values(html: Column, selectors: list[str], most: int) -> Column:
+    """array<string>: the texts of the first ``most`` elements that the selectors take."""
+    @pandas_udf("array<string>")
+    def run(pages: pd.Series) -> pd.Series:
+        return pages.map(lambda p: search(root, selectors, most=most) if (root := parse(p)) is not None else [])
+
+    return run(html)
+
+
 def html_tables(html: Column) -> Column:
     """array<array<array<string>>>: tables, rows, cells of a page (A5)."""
     @pandas_udf("array<array<array<string>>>")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from newsflow.functions.urls import host
 from newsflow.operators.extract import extract, paywall_decision
 from newsflow.operators.lifecycle import priority_dedup, status_flags
 
@@ -44,6 +45,38 @@ def reparse(pages: DataFrame, rules: DataFrame, version: str = "local") -> DataF
     return found.withColumn("paywall", paywall_decision(F.lit(None).cast("boolean"), known, F.coalesce("x.paywall_marker", F.lit(False))))
 
 
+def fingerprints(rules: DataFrame, version: str = "local") -> DataFrame:
+    """domain and fingerprint of the rules in force for it, its own and those for all; ``*`` has that of domains without rules of their own."""
+    mine = rules.where(F.col("version") == version).select("domain", F.sha2(F.to_json(F.struct("domain", "field", "priority", "kind", "selectors", "attributes")), 256).alias("h"))
+    # the rules of one domain, some dozens
+    each = mine.groupBy("domain").agg(F.concat_ws(",", F.sort_array(F.collect_list("h"))).alias("own"))
+    common = each.where("domain = '*'").agg(F.coalesce(F.max("own"), F.lit("")).alias("common"))  # one row
+    named = each.where("domain <> '*'").unionByName(rules.sparkSession.createDataFrame([("*", "")], "domain string, own string"))
+    return named.crossJoin(F.broadcast(common)).select("domain", F.sha2(F.concat("own", F.lit("|"), "common"), 256).alias("rules_fingerprint"))
+
+
+def _in_force(pages: DataFrame, rules: DataFrame, version: str, url: str) -> DataFrame:
+    """pages with the fingerprint of the rules that hold for each."""
+    told = fingerprints(rules, version)
+    common = told.where("domain = '*'").select(F.col("rules_fingerprint").alias("__common"))  # one row
+    own = told.where("domain <> '*'").select(F.col("domain").alias("__domain"), F.col("rules_fingerprint").alias("__own"))
+    found = pages.withColumn("__domain", host(F.col(url))).join(own, "__domain", "left").crossJoin(F.broadcast(common))
+    return found.withColumn("rules_fingerprint", F.coalesce("__own", "__common")).drop("__domain", "__own", "__common")
+
+
+def changed(pages: DataFrame, rules: DataFrame, parsed: DataFrame, key: str = "url", version: str = "local", url: str = "url") -> DataFrame:
+    """The pages that ``parsed`` lacks or has by other rules than those in force; pages whose key is null are always among them."""
+    return _in_force(pages, rules, version, url).join(parsed.select(key, "rules_fingerprint"), [key, "rules_fingerprint"], "left_anti")
+
+
+def reparse_changed(pages: DataFrame, rules: DataFrame, parsed: DataFrame | None = None, key: str = "url", version: str = "local", url: str = "url") -> DataFrame:
+    """What ``reparse`` gives for all pages, with the fingerprint of the rules beside each; only pages whose rules have changed since ``parsed`` (an earlier result) are parsed (J3, J6). A page is one that has a key of its own and does not change under it."""
+    if parsed is None:
+        return reparse(_in_force(pages, rules, version, url), rules, version)
+    kept = parsed.join(_in_force(pages, rules, version, url).select(key, "rules_fingerprint"), [key, "rules_fingerprint"], "left_semi")
+    return kept.unionByName(reparse(changed(pages, rules, parsed, key, version, url), rules, version))
+
+
 def load(parse_error: DataFrame, domain: str) -> DataFrame:
     """The parse errors of a domain."""
     return parse_error.where(F.col("domain") == domain)

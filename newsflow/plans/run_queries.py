@@ -12,7 +12,7 @@ from newsflow.functions import dates, urls
 from newsflow.operators import discovery, extract, relational, reports, responses, runlog, sitemaps, workbench
 from newsflow.plans.catalog import register
 from newsflow.session import table
-from newsflow.sources import commits, tables
+from newsflow.sources import commits, page_files, tables
 
 # A response log from events: every event is a request; its type decides what came of it.
 _ROUTE = "CASE event_type WHEN 'purchase' THEN 'output' WHEN 'signup' THEN 'output' WHEN 'error' THEN 'error' WHEN 'click' THEN 'retry' ELSE 'parse_error' END"
@@ -180,19 +180,97 @@ def q_promote(spark, d):
     return links.join(every, "url").select("id", "url", "processed", "parse_error", "store")
 
 
-@register("q_rule_edits", "SELECT * FROM (VALUES ('prod', 'a.de', 'text', 'b'), ('prod', 'b.de', 'text', 'p'), ('prod', '*', 'bot', 'x'), ('local', 'a.de', 'text', 'a'), ('local', 'a.de', 'text', 'b'), ('local', 'b.de', 'text', 'p'), ('local', '*', 'bot', 'y')) AS t(version, domain, field, selector) WHERE NOT (version = 'local' AND selector = 'a')")
+_RULES = "SELECT 'prod' AS version, 'n' || n_nationkey || '.de' AS domain, 'text' AS field, 'p' || n_nationkey AS selector FROM nation UNION ALL SELECT 'prod', '*', 'bot', 'b' || r_regionkey FROM region"
+
+
+def _rules(spark, d):
+    """A text rule per nation, and a rule for bots per region that holds for all domains."""
+    row = lambda df, domain, field, selector: df.select(F.lit("prod").alias("version"), domain.alias("domain"), F.lit(field).alias("field"), F.lit(1).alias("priority"), F.lit("css").alias("kind"), F.array(selector).alias("selectors"), F.array().cast("array<string>").alias("attributes"))
+    nation = row(table(spark, d, "nation"), F.concat(F.lit("n"), "n_nationkey", F.lit(".de")), "text", F.concat(F.lit("p"), "n_nationkey"))
+    return nation.unionByName(row(table(spark, d, "region"), F.lit("*"), "bot", F.concat(F.lit("b"), "r_regionkey")))
+
+
+@register("q_rule_edits", f"""WITH p AS ({_RULES}), l AS (SELECT 'local' AS version, domain, field, CASE WHEN field = 'bot' THEN 'all' WHEN domain IN (SELECT 'n' || n_nationkey || '.de' FROM nation WHERE n_regionkey = 1) THEN 'new' ELSE selector END AS selector FROM p)
+ SELECT DISTINCT version, domain, field, selector FROM l UNION ALL SELECT * FROM p WHERE domain <> 'n1.de' UNION ALL SELECT 'prod', domain, field, selector FROM l WHERE domain = 'n1.de'""")
 def q_rule_edits(spark, d):
-    """Local rules edited (bot rules for all domains), one domain's taken over into production."""
-    rules = spark.createDataFrame([("prod", n, f, 1, "css", [s], []) for n, f, s in (("a.de", "text", "a"), ("b.de", "text", "p"), ("*", "bot", "x"))], workbench.RULE_TABLE)
-    changes = spark.createDataFrame([("local", n, f, 1, "css", [s], []) for n, f, s in (("a.de", "text", "b"), ("c.de", "bot", "y"))], workbench.RULE_TABLE)
-    edited = workbench.apply(workbench.edit(workbench.sandbox(rules), changes), "a.de")
+    """Local rules of a region's domains edited, bot rules replaced for all, one domain's taken over into production."""
+    rules, some = _rules(spark, d), table(spark, d, "nation").where("n_regionkey = 1")
+    text = some.select(F.lit("local").alias("version"), F.concat(F.lit("n"), "n_nationkey", F.lit(".de")).alias("domain"), F.lit("text").alias("field"), F.lit(1).alias("priority"), F.lit("css").alias("kind"), F.array(F.lit("new")).alias("selectors"), F.array().cast("array<string>").alias("attributes"))
+    bot = table(spark, d, "region").where("r_regionkey = 0").select(F.lit("local").alias("version"), F.lit("any.de").alias("domain"), F.lit("bot").alias("field"), F.lit(1).alias("priority"), F.lit("css").alias("kind"), F.array(F.lit("all")).alias("selectors"), F.array().cast("array<string>").alias("attributes"))
+    edited = workbench.apply(workbench.edit(workbench.sandbox(rules), text.unionByName(bot)), "n1.de")
     return edited.select("version", "domain", "field", F.col("selectors")[0].alias("selector"))
 
 
-@register("q_show_rules", "SELECT * FROM (VALUES ('a.de', 'text', 'a'), ('*', 'bot', 'x')) AS t(domain, field, selector)")
+@register("q_show_rules", f"SELECT domain, field, selector FROM ({_RULES}) WHERE domain IN ('n3.de', '*')")
 def q_show_rules(spark, d):
-    rules = spark.createDataFrame([("prod", n, f, 1, "css", [s], []) for n, f, s in (("a.de", "text", "a"), ("b.de", "text", "p"), ("*", "bot", "x"))], workbench.RULE_TABLE)
-    return workbench.show(workbench.sandbox(rules), "a.de").select("domain", "field", F.col("selectors")[0].alias("selector"))
+    """What a domain's page is parsed by."""
+    return workbench.show(workbench.sandbox(_rules(spark, d)), "n3.de").select("domain", "field", F.col("selectors")[0].alias("selector"))
+
+
+_PAGE_HOST = r"lower(regexp_replace(regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.-]*://)?(?:[^/@]*@)?([^/:?#]*)', 1), '(?i)^www\.', ''))"
+
+
+@register("q_reparse_changed", f"SELECT page_id, {_PAGE_HOST} = (SELECT min({_PAGE_HOST}) FROM pages) AS parsed_again FROM pages")
+def q_reparse_changed(spark, d):
+    """After an edit of one domain's rules only its pages are parsed again."""
+    pages = table(spark, d, "pages")
+    first = pages.select(urls.host(F.col("url")).alias("domain")).agg(F.min("domain").alias("domain"))
+    rule = lambda df, selector: df.select(F.lit("local").alias("version"), "domain", F.lit("headline").alias("field"), F.lit(1).alias("priority"), F.lit("css").alias("kind"), F.array(F.lit(selector)).alias("selectors"), F.array().cast("array<string>").alias("attributes"))
+    common = rule(first.select(F.lit("*").alias("domain")), "h1")
+    before = tables.materialize(workbench.reparse_changed(pages, common, key="page_id"), "parsed")
+    rules = common.unionByName(rule(first, "h2"))
+    again = tables.materialize(workbench.changed(pages, rules, before, "page_id"), "changed")
+    after = workbench.reparse_changed(pages, rules, before, "page_id")
+    return after.select("page_id").join(again.select("page_id", F.lit(True).alias("again")), "page_id", "left").select("page_id", F.coalesce("again", F.lit(False)).alias("parsed_again"))
+
+
+@register("q_page_files", "SELECT 'a/' || (page_id % 7) || CASE WHEN row_number() OVER (PARTITION BY page_id % 7 ORDER BY page_id) > 1 THEN '-' || row_number() OVER (PARTITION BY page_id % 7 ORDER BY page_id) ELSE '' END AS name, coalesce(html, '') || chr(10) || chr(13) || ' end' || chr(10) AS html FROM pages")
+def q_page_files(spark, d):
+    """Every page written to a file of its own and read back with its name, line breaks kept."""
+    pages = table(spark, d, "pages").select("page_id", F.concat(F.lit("a/"), F.col("page_id") % 7).alias("name"), F.concat(F.coalesce("html", F.lit("")), F.lit("\n\r end\n")).alias("html"))
+    path = tables.new_path(spark, "pages")
+    page_files.export(page_files.unique_names(pages, "name", ["page_id"]), path)
+    return page_files.load(spark, path)
+
+
+@register("q_agency_text", "SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'h' || event_id WHEN event_id % 3 = 0 THEN 'text' END AS text, CASE WHEN event_id % 4 = 0 THEN 'dpa' WHEN event_id % 5 = 0 THEN 'a' END AS author FROM events WHERE event_id % 4 <> 0 OR (event_id % 3 <> 0 AND event_id % 5 <> 0)")
+def q_agency_text(spark, d):
+    """Agency reports without text and author get the headline and the agency."""
+    k = F.col("event_id")
+    found = extract.agency_text(F.when(k % 4 == 0, F.concat(F.lit("h"), k)), F.when(k % 4 == 0, "2024-01-01"), F.when(k % 3 == 0, "text"), F.when(k % 5 == 0, "a"))
+    return table(spark, d, "events").where("event_id % 4 <> 0 or (event_id % 3 <> 0 and event_id % 5 <> 0)").select("event_id", found.alias("x")).select("event_id", "x.text", "x.author")
+
+
+@register("q_paywall_rules", """WITH m AS (SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS l FROM orders WHERE o_orderstatus = 'P' GROUP BY 1), f AS (SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS l FROM orders WHERE o_totalprice > 250000 GROUP BY 1)
+ SELECT 'd' || c_custkey AS domain, CASE WHEN c_custkey % 11 = 0 THEN 'no_paywall' WHEN c_custkey % 13 = 0 THEN 'all_paywall' WHEN f.l IS NOT NULL THEN 'hardcoded' WHEN m.l IS NOT NULL THEN 'mined' ELSE 'no_samples' END AS rule,
+ CASE WHEN c_custkey % 11 = 0 OR c_custkey % 13 = 0 THEN NULL ELSE array_to_string(coalesce(f.l, m.l), ',') END AS markers FROM customer LEFT JOIN m ON m.o_custkey = c_custkey LEFT JOIN f ON f.o_custkey = c_custkey""")
+def q_paywall_rules(spark, d):
+    """The paywall rule of each domain by priority, with its markers."""
+    domain, k = F.concat(F.lit("d"), "c_custkey").alias("domain"), F.col("c_custkey")
+    domains = table(spark, d, "customer").select(domain, F.when(k % 11 == 0, "no_paywall").when(k % 13 == 0, "all_paywall").otherwise("some").alias("paywall_url"))
+    o = table(spark, d, "orders").select(F.concat(F.lit("d"), "o_custkey").alias("domain"), F.col("o_orderpriority").alias("marker"), "o_orderstatus", "o_totalprice")
+    found = extract.resolve_paywall_rules(domains, o.where("o_orderstatus = 'P'"), o.where("o_totalprice > 250000"))
+    return found.select("domain", "rule", F.array_join("markers", ",").alias("markers"))
+
+
+def _tables_of(spark, d):
+    """A page per nation whose second table lists its customers; cells and rows are left open."""
+    rows = F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", "c_name"))), lambda x: F.concat(F.lit("<tr><td> "), x["c_custkey"].cast("string"), F.lit(" <td><b>"), x["c_name"], F.lit("</b>")))
+    pages = table(spark, d, "customer").groupBy("c_nationkey").agg(F.array_join(rows, "\n").alias("rows"))
+    return pages.select("c_nationkey", F.concat(F.lit("<table><tr><th>x</table><p>t</p><table><tr><th>id<th>name"), "rows", F.lit("</table>")).alias("html"))
+
+
+@register("q_html_tables", "SELECT c_nationkey, n, CASE WHEN n = 0 THEN 'id' ELSE id END AS id, CASE WHEN n = 0 THEN 'name' ELSE name END AS name FROM (SELECT c_nationkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS INTEGER) AS n, CAST(c_custkey AS VARCHAR) AS id, c_name AS name FROM customer UNION ALL SELECT DISTINCT c_nationkey, 0, '', '' FROM customer)")
+def q_html_tables(spark, d):
+    """A5: the rows of the second table of each page."""
+    cells = _tables_of(spark, d).select("c_nationkey", F.posexplode(extract.html_tables(F.col("html"))[1]).alias("n", "row"))
+    return cells.select("c_nationkey", "n", F.col("row")[0].alias("id"), F.col("row")[1].alias("name"))
+
+
+@register("q_first_elements", "SELECT c_nationkey, string_agg(c_name, ',' ORDER BY c_custkey) FILTER (WHERE n <= 3) AS names FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n FROM customer) GROUP BY 1")
+def q_first_elements(spark, d):
+    """The first three elements of a selector; their number is the operator's own limit."""
+    return _tables_of(spark, d).select("c_nationkey", F.array_join(extract.first_values(F.col("html"), ["td > b"], 3), ",").alias("names"))
 
 
 @register("q_load_parse_errors", "SELECT event_id AS id FROM events WHERE event_type = 'view' AND user_id = (SELECT min(user_id) FROM events)")
