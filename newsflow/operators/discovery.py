@@ -29,8 +29,8 @@ def declared(found: DataFrame) -> DataFrame:
 
 
 def typical(domains: DataFrame, responses: DataFrame, paths: DataFrame) -> DataFrame:
-    """domain_url, typical_URL for every usual path that answered 200. paths: a short table of paths (path), the caller's."""
-    tried = domains.crossJoin(F.broadcast(paths.select("path"))).select("domain_url", F.concat(F.lit("https://"), "domain_url", "path").alias("url"))  # some dozen rows
+    """domain_url, typical_URL for every usual path that answered 200. paths: a short table of paths (path), the caller's; Spark sends it to the domains if its size allows that."""
+    tried = domains.crossJoin(paths.select("path")).select("domain_url", F.concat(F.lit("https://"), "domain_url", "path").alias("url"))
     return tried.join(responses.where("status = 200").select("url").distinct(), "url", "left_semi").select("domain_url", F.col("url").alias("typical_URL"))
 
 

@@ -96,12 +96,10 @@ def bot_rules(rules: DataFrame) -> dict[str, list[str]]:
     return out
 
 
-def paywall_rules(rules: DataFrame) -> dict[str, list[str]]:
-    """Markers from a table (domain, type: css or meta, marker), as selectors per domain (K18): a meta marker is a meta element with that content."""
-    out: dict[str, list[str]] = {}
-    for r in rules.orderBy("domain", "type", "marker").collect():
-        out.setdefault(r.domain, []).append(r.marker if r.type == "css" else f"meta[content='{r.marker}']")
-    return out
+def paywall_selectors(markers: DataFrame) -> DataFrame:
+    """(domain, selectors) from a table of markers (domain, type: css or meta, marker), a row per domain (K18): a meta marker is a meta element with that content."""
+    selector = F.when(F.col("type") == "css", F.col("marker")).otherwise(F.concat(F.lit("meta[content='"), "marker", F.lit("']")))
+    return markers.groupBy("domain").agg(F.sort_array(F.collect_set(selector)).alias("selectors"))
 
 
 def is_bot_page(root, rules: dict) -> bool:
@@ -138,26 +136,34 @@ def paragraphs(root, least: int = 20, but: tuple[str, ...] = ("^Anzeige$",)) ->
     return [t for t in search(root, ["p"]) if len(t) > least and not any(re.search(p, t) for p in but)]
 
 
-def extract(pages: DataFrame, html: str = "html", url: str = "url", rules: list[tuple] | None = None, paywall: dict[str, list[str]] | None = None, bot: dict | None = None) -> DataFrame:
-    """pages with a struct ``x``: parsed, bot, paywall_marker, title, the four fields and the paragraphs."""
-    rules, paywall, bot = rules or DEFAULT_RULES, paywall or {}, bot or DEFAULT_BOT
+def extract(pages: DataFrame, html: str = "html", url: str = "url", rules: list[tuple] | None = None, paywall: DataFrame | None = None, bot: dict | None = None) -> DataFrame:
+    """pages with a struct ``x``: parsed, bot, paywall_marker, title, the four fields and the paragraphs.
+
+    ``paywall``: markers per domain (domain, type, marker); they meet the pages by a join on the host, and
+    pages of domains that have none are tried by the usual ones.
+    """
+    rules, bot = rules or DEFAULT_RULES, bot or DEFAULT_BOT
 
-    def one(page: str | None, domain: str | None) -> tuple:
+    def one(page: str | None, domain: str | None, markers) -> tuple:
         root = parse(page)
         if root is None:
             return (False, False, None, None, None, None, None, None, [])
         own = [r for r in rules if r[0] in ("*", domain)]
         found = fields(root, own)
-        marker = any(select(root, s) for s in paywall.get(domain, DEFAULT_PAYWALL))
+        marker = any(select(root, s) for s in (DEFAULT_PAYWALL if markers is None else markers))
         return (True, is_bot_page(root, bot), marker, next(iter(search(root, ["title"])), None), *[found[f] for f in FIELDS], paragraphs(root))
 
     names = [part.split(" ")[0] for part in re.split(r", (?=\w+ )", EXTRACTED)]
 
     @pandas_udf(EXTRACTED)
-    def run(page: pd.Series, domain: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(p, d) for p, d in zip(page, domain, strict=True)], columns=names)
-
-    return pages.withColumn("x", run(F.col(html), host(F.col(url))))
+    def run(page: pd.Series, domain: pd.Series, markers: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([one(*row) for row in zip(page, domain, markers, strict=True)], columns=names)
+
+    if paywall is None:
+        return pages.withColumn("x", run(F.col(html), host(F.col(url)), F.lit(None).cast("array<string>")))
+    told = paywall_selectors(paywall).select(F.col("domain").alias("__domain"), F.col("selectors").alias("__selectors"))
+    named = pages.withColumn("__host", host(F.col(url))).join(told, F.col("__host") == F.col("__domain"), "left")
+    return named.withColumn("x", run(F.col(html), F.col("__host"), F.col("__selectors"))).drop("__host", "__domain", "__selectors")
 
 
 def paywall_decision(special: Column, has_paywall: Column, marker: Column) -> Column:

@@ -514,7 +514,7 @@ def q_page_rules(spark, d):
     pages = table(spark, d, "events").select("event_id", F.concat(F.lit("<html><body>"), body, F.lit("</body></html>")).alias("html"), F.lit("https://x.de/a").alias("url"))
     rules = [("x.de", "author", 1, "next", ["h3.by"], ["span"]), ("x.de", "date_time", 1, "data_layer", ["page.date"], [])]
     bot = extract.bot_rules(spark.createDataFrame([("phrases", "Verify you are human"), ("selectors", "#challenge"), ("scripts", "captcha.js")], "kind string, value string"))
-    paywall = extract.paywall_rules(spark.createDataFrame([("x.de", "meta", "locked-content"), ("x.de", "css", ".wall")], "domain string, type string, marker string"))
+    paywall = spark.createDataFrame([("x.de", "meta", "locked-content"), ("x.de", "css", ".wall")], "domain string, type string, marker string")
     return extract.extract(pages, rules=rules, paywall=paywall, bot=bot).select("event_id", "x.author", "x.date_time", "x.bot", F.col("x.paywall_marker").alias("marker"))
 
 

@@ -300,6 +300,17 @@ def q_stream_health(spark, d):
     return _streamed(spark, d, build, "update", ["domain"]).select("domain", "streak", "kills", "blocked")
 
 
+@register("q_stream_first_seen", "SELECT DISTINCT user_id FROM events")
+def q_stream_first_seen(spark, d):
+    """The first event of each user, state kept no longer than the watermark asks for: here one row per user."""
+    from newsflow.streaming.health import first_seen
+
+    def build(stream):
+        return first_seen(stream.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "event_id"), "user_id", late="4000 days")
+
+    return _streamed(spark, d, build, "append", ["user_id"]).select("user_id")
+
+
 @register("q_stream_counts", "SELECT date_trunc('day', ts) AS start, event_type AS analysis, count(*) AS n FROM events GROUP BY 1, 2")
 def q_stream_counts(spark, d):
     from newsflow.streaming.health import response_counts

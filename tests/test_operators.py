@@ -51,6 +51,14 @@ def test_paywall_length(spark):
     assert [r[0] for r in df.select(extract.paywall_by_length(F.col("t"))).collect()] == [False, True, True, False, False]
 
 
+def test_paywall_markers_of_a_domain(spark):
+    pages = spark.createDataFrame([(1, "https://www.a.de/x", "<div class='wall'>"), (2, "https://b.de/x", "<div class='wall'>"), (3, "https://b.de/y", "<meta content='locked'>"), (4, "https://c.de/", "<p class='paywall'>"), (5, "https://a.de/", "<p class='paywall'>"), (6, None, "<p data-paywall>")], "id int, url string, html string")
+    markers = spark.createDataFrame([("a.de", "css", ".wall"), ("a.de", "css", ".other"), ("b.de", "meta", "locked")], "domain string, type string, marker string")
+    got = {r.id: r.x.paywall_marker for r in extract.extract(pages, paywall=markers).collect()}
+    assert got == {1: True, 2: False, 3: True, 4: True, 5: False, 6: True}
+    assert {r.id: r.x.paywall_marker for r in extract.extract(pages).collect()} == {1: False, 2: False, 3: False, 4: True, 5: True, 6: True}
+
+
 def test_run_abort(spark):
     b, x = "date_before_range", "scraped"
     rows = [("g", i, s, False, None) for i, s in enumerate([b, b, x, b, b, b])] + [("g", 6, None, False, None), ("g", 7, None, True, "scraped"), ("g", 8, None, False, "xml_error"), ("h", 0, None, False, None), (None, 0, b, False, None), (None, 1, b, False, None), (None, 2, b, None, None)]
