@@ -284,11 +284,14 @@ def _streamed(spark, d, build, mode: str, keys: list[str]):
     return out.groupBy(*keys).agg(F.max_by(F.struct(*rest), "__epoch").alias("__r")).select(*keys, "__r.*")
 
 
-@register("q_stream_health", f"""WITH RECURSIVE e AS (SELECT user_id, r, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM ({_HARSH})),
+_HEALTH_SQL = f"""WITH RECURSIVE e AS (SELECT user_id, r, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM ({_HARSH})),
  f AS (SELECT user_id, 0::BIGINT AS n, 0::BIGINT AS streak, NULL::VARCHAR AS last, 0::BIGINT AS kills, 0::BIGINT AS blocked FROM (SELECT DISTINCT user_id FROM events)
  UNION ALL SELECT f.user_id, e.n, CASE WHEN kills >= 3 THEN streak WHEN r IS NULL THEN 0 WHEN streak < 3 AND r IS NOT DISTINCT FROM last THEN streak + 1 ELSE 1 END, CASE WHEN kills >= 3 THEN last ELSE r END, CASE WHEN kills >= 3 OR streak < 3 THEN kills ELSE kills + 1 END, CASE WHEN kills >= 3 THEN blocked + 1 ELSE blocked END
  FROM f JOIN e ON e.user_id = f.user_id AND e.n = f.n + 1)
- SELECT CAST(user_id AS VARCHAR) AS domain, streak, kills, blocked FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC) AS o FROM f) WHERE o = 1""")
+ SELECT CAST(user_id AS VARCHAR) AS domain, streak, kills, blocked FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY n DESC) AS o FROM f) WHERE o = 1"""
+
+
+@register("q_stream_health", _HEALTH_SQL)
 def q_stream_health(spark, d):
     from newsflow.streaming.health import domain_health
 
@@ -300,6 +303,25 @@ def q_stream_health(spark, d):
     return _streamed(spark, d, build, "update", ["domain"]).select("domain", "streak", "kills", "blocked")
 
 
+@register("q_stream_resume", _HEALTH_SQL)
+def q_stream_resume(spark, d):
+    """The first half of the events folded in a batch, the second on a stream that goes on from there; together the fold of all."""
+    from newsflow.streaming import state
+
+    def log(events):
+        hit = F.col("event_id") % 9 < 7
+        return events.select(F.col("user_id").cast("string").alias("domain"), "ts", "event_id", F.when(hit, "retry").otherwise("parse").alias("action"), F.lit("http_error_500").alias("reason"))
+
+    events = table(spark, d, "events")
+    half = events.agg(F.min(F.col("ts").cast("date")).alias("first"), F.max(F.col("ts").cast("date")).alias("last")).select(F.date_add("first", (F.date_diff("last", "first") / 2).cast("int")).alias("d")).first().d
+    late = F.col("ts").cast("date") > F.lit(half)
+    before = materialize(responses.domain_health(log(events.where(~late)), "domain", ["ts", "event_id"], "action", "reason", level=1), "health")
+    with state.state_on_disk(spark):
+        after = _streamed(spark, d, lambda stream: state.domain_health(log(stream.where(late)), 1, before), "update", ["domain"])
+    silent = before.join(after, "domain", "left_anti")
+    return after.select("domain", "streak", "kills", "blocked").unionByName(silent.select("domain", "streak", "kills", "blocked"))
+
+
 @register("q_stream_first_seen", "SELECT DISTINCT user_id FROM events")
 def q_stream_first_seen(spark, d):
     """The first event of each user, state kept no longer than the watermark asks for: here one row per user."""
