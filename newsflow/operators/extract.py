@@ -166,6 +166,14 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", rules: list[
     return named.withColumn("x", run(F.col(html), F.col("__host"), F.col("__selectors"))).drop("__host", "__domain", "__selectors")
 
 
+def source_title(html: Column) -> Column:
+    """The first title element as the source has it: only &lt; &gt; and &amp; are replaced, in that order, and blanks made one; blank or none: null. ``extract`` has the title as a browser shows it."""
+    x = F.regexp_extract(html, r"(?s)<title[^>]*>(.*?)</title>", 1)
+    for code, sign in (("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
+        x = F.replace(x, F.lit(code), F.lit(sign))
+    return F.nullif(F.regexp_replace(F.regexp_replace(x, r"[\t\n\f\r ]+", " "), r"^\p{Zs}+|\p{Zs}+\z", ""), F.lit(""))
+
+
 def paywall_decision(special: Column, has_paywall: Column, marker: Column) -> Column:
     """Three-valued paywall (K20): a special rule, then unknown domains stay null, then markers, else false."""
     return F.when(special.isNotNull(), special).when(has_paywall.isNull(), F.lit(None).cast("boolean")).when(has_paywall & marker, True).otherwise(False)

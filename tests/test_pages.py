@@ -4,6 +4,7 @@ import html as entities
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 
 from newsflow.functions import urls
@@ -57,6 +58,19 @@ def test_fields(spark, pages):
         assert abs((r.text_length or 0) - len("\n".join(body))) <= len(body) + 2, r.page_id
 
 
+def test_title_as_its_sql(spark, tmp_path):
+    """Entities that the SQL leaves, cut ones, blanks of several kinds, case, several titles and none."""
+    titles = ["a &quot;b&quot;", "cut &amp", "&amp;lt; &lt;b&gt;", " a\t\n b ", "\u00a0a\u00a0b\u3000", "\x0ba\x0b", "", "   ", "<b>x</b>", "$1 \\\\", "&#228;"]
+    rows = [(i, f"<html><title lang='de'>{t}</title><p>x</p><title>second</title>") for i, t in enumerate(titles)]
+    rows += [(90, None), (91, ""), (92, "<p>none"), (93, "<title>open"), (94, "<TITLE>A</TITLE>"), (95, "<!-- <title>c</title> --><title>d</title>"), (96, "<titles>e</title>")]
+    spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit("https://a.de/")).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    for path, d in ((f"{tmp_path}/pages.parquet/*.parquet", tmp_path), ("/root/testdata/sf0.1/pages.parquet", "/root/testdata/sf0.1")):
+        con.sql(f"CREATE OR REPLACE VIEW pages AS SELECT * FROM '{path}'")
+        want = dict(con.sql(catalog.oracle_sql()["q_html_title"]).fetchall())
+        assert {r.page_id: r.title for r in catalog.queries()["q_html_title"](spark, str(d)).collect()} == want
+
+
 def test_report(spark, pages):
     got = {r.domain: r for r in catalog.queries()["q_pages_report"](spark, DIR).collect()}
     dated = {r.page_id for r in catalog.queries()["q_html_fields"](spark, DIR).where("date_time is not null").collect()}
