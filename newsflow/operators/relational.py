@@ -7,6 +7,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+#: Bytes of rows that one task is to hold; how many of these a task gets does not depend on how well they are compressed.
+TASK_BYTES = 64 << 20
+_FIXED = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def tasks_for(df: DataFrame) -> int:
+    """The number of tasks whose rows take TASK_BYTES each when they are sorted, by one aggregation; of small tables as many as run at once, of a MB at least."""
+    wide = [F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0)) for f in df.schema.fields if not isinstance(f.dataType, _FIXED)]
+    rows, more = df.agg(F.count(F.lit(1)), F.sum(sum(wide, F.lit(0).cast("long")))).first()
+    size = rows * (40 + 8 * len(df.columns)) + (more or 0)
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-size // TASK_BYTES), min(parallel, -(-size // (1 << 20))))
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
@@ -29,11 +43,11 @@ def duplicate_groups(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(right, same).drop(*[f"__{i}" for i in range(len(keys))])
 
 
-def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """Numbers 1.. over all rows in the given order: ranges are sorted and numbered each on its own, and moved on by the rows of the ranges before. One number per range goes to the driver."""
+def numbered(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """Numbers 1.. over all rows in the given order: ranges of TASK_BYTES are sorted and numbered each on its own, and moved on by the rows of the ranges before. One number per range goes to the driver."""
     from newsflow.sources.tables import materialize
 
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    parts = df.repartitionByRange(tasks_for(df), *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
     kept = materialize(parts, "numbered").withColumn("__part", F.shiftright("__at", 33)).withColumn("__at", F.col("__at").bitwiseAND((1 << 33) - 1))
     total, starts = 0, []
     for part, n in sorted(tuple(r) for r in kept.groupBy("__part").agg(F.count(F.lit(1))).collect()):

@@ -13,6 +13,7 @@ from pyspark.sql.functions import pandas_udf
 
 from newsflow.functions.dates import iso_date
 from newsflow.functions.urls import pagination_key, pagination_number
+from newsflow.operators.relational import numbered, tasks_for
 
 #: Statuses that end a sitemap well or badly.
 DONE = ("excluded_by_string", "excluded_by_date", "scraped", "all_child_links_processed")
@@ -160,14 +161,37 @@ def roll_up(tree: DataFrame, root: str = "root_url") -> DataFrame:
     }).select(*tree.columns, "subsitemap_status", "subsitemap_progress")
 
 
+#: Rows of a group beyond which it is numbered by ranges and not in one task.
+LARGE_GROUP = 50_000
+
+
 def pagination_groups(df: DataFrame, url: str, parent: str | list[str], least: int = LEAST_GROUP) -> DataFrame:
-    """pagination_group and pagination_index of files name-<n>.xml of which one parent has at least ``least`` (L2). ``parent``: the columns that tell parents apart (the parent, and the root where it is given); a group's name is unique inside its parent only."""
+    """pagination_group and pagination_index of files name-<n>.xml of which one parent has at least ``least`` (L2). ``parent``: the columns that tell parents apart (the parent, and the root where it is given); a group's name is unique inside its parent only.
+
+    Groups are windows, dealt to as many tasks as their rows need. Those of more than LARGE_GROUP rows, of
+    which there are at most one for so many rows, are numbered by ranges together.
+    """
+    from newsflow.sources.tables import materialize
+
     by = [parent] if isinstance(parent, str) else parent
+    keys, order = [*by, "__k"], [F.col("__n").asc_nulls_last(), url]
     keyed = df.withColumn("__k", pagination_key(F.col(url))).withColumn("__n", pagination_number(F.col(url)))
-    size = F.count("__n").over(Window.partitionBy(*by, "__k"))
-    index = F.row_number().over(Window.partitionBy(*by, "__k").orderBy(F.col("__n").asc_nulls_last(), url))
-    grouped = F.col("__n").isNotNull() & (size >= least)
-    return keyed.withColumn("pagination_group", F.when(grouped, F.col("__k"))).withColumn("pagination_index", F.when(grouped, index.cast("long"))).drop("__k", "__n")
+    named = [F.col(k).alias(f"__{i}") for i, k in enumerate(keys)]
+    same = [F.col(k).eqNullSafe(F.col(f"__{i}")) for i, k in enumerate(keys)]
+    sizes = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), F.count("__n").alias("__size")).where(F.col("__rows") > LARGE_GROUP)
+    large = materialize(sizes.select(*named, "__size"), "large-groups")
+    some = large.limit(1).count() > 0
+    small = keyed.join(F.broadcast(large), same, "left_anti") if some else keyed
+    dealt = small.repartition(tasks_for(df.withColumn("__k", F.col(url)).withColumn("__n", F.lit(0))), *keys)  # a key is no longer than its URL
+    w = Window.partitionBy(*keys)
+    found = dealt.withColumn("__size", F.count("__n").over(w)).withColumn("__i", F.row_number().over(w.orderBy(*order)).cast("long"))
+    if some:
+        placed = numbered(keyed.join(F.broadcast(large), same).drop(*[f"__{i}" for i in range(len(keys))]), [*keys, *order], "__i")
+        first = placed.groupBy(*keys).agg((F.min("__i") - 1).alias("__before")).select(*named, "__before")
+        moved = placed.join(F.broadcast(first), same).withColumn("__i", F.col("__i") - F.col("__before"))
+        found = found.unionByName(moved.select(*found.columns))
+    grouped = F.col("__n").isNotNull() & (F.col("__size") >= least)
+    return found.withColumn("pagination_group", F.when(grouped, F.col("__k"))).withColumn("pagination_index", F.when(grouped, F.col("__i"))).drop("__k", "__n", "__size", "__i")
 
 
 #: Members of a group that an abort spares.

@@ -5,7 +5,7 @@ import gzip
 import pytest
 from pyspark.sql import functions as F
 
-from newsflow.operators import extract, lifecycle, reports, responses, sitemaps, workbench
+from newsflow.operators import extract, lifecycle, relational, reports, responses, sitemaps, workbench
 from newsflow.sources import html, tables
 
 
@@ -79,6 +79,30 @@ def test_groups_are_one_parents(spark):
     assert got == {"a": (None, "dissolved"), "b": (None, "dissolved"), "c": ("g", "valid_up"), "d": (None, None)}
 
 
+def test_large_groups_by_ranges(spark, monkeypatch):
+    """Groups beyond the limit, of null parents too, with repeated files and files without a number; more rows go to more tasks."""
+    rows = [(f"https://a.de/{name}-{i * 7 % 40}.xml", parent) for name in ("x", "y") for parent in ("p", "q", None) for i in range(60)]
+    rows += [(f"https://a.de/{name}.xml", parent) for name in ("x", "y") for parent in ("p", None)] + [(f"https://a.de/z-{i}.xml", "p") for i in range(6)] + [("https://a.de/only-1.xml", "p")]
+    df = spark.createDataFrame(rows, "url string, parent string")
+    want, members = {}, {}
+    for url, parent in rows:
+        name, _, number = url.removeprefix("https://a.de/").removesuffix(".xml").partition("-")
+        members.setdefault((parent, name), []).append((int(number) if number else 99, url))
+    for (parent, name), of in members.items():
+        numbers = [n for n, _ in of if n != 99]
+        for i, (n, url) in enumerate(sorted(of), 1):
+            want.setdefault((url, parent), []).append((f"{name}.xml", i) if len(numbers) >= 5 and n != 99 else (None, None))
+    for large in (10, 61, 1000):
+        monkeypatch.setattr(sitemaps, "LARGE_GROUP", large, raising=False)
+        found = sitemaps.pagination_groups(df, "url", "parent")
+        got: dict = {}
+        for r in found.collect():
+            got.setdefault((r.url, r.parent), []).append((r.pagination_group, r.pagination_index))
+        assert {k: sorted(v, key=str) for k, v in got.items()} == {k: sorted(v, key=str) for k, v in want.items()}
+    monkeypatch.setattr(relational, "TASK_BYTES", 4096)
+    assert sitemaps.pagination_groups(df, "url", "parent").rdd.getNumPartitions() >= 10
+
+
 def plain_roll_up(rows):
     """url, parent, status, tag -> status, progress of each, from the leaves up."""
     kids = {}
