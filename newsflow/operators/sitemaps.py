@@ -200,14 +200,21 @@ SPARED = ("response_error", "xml_error", "unsupported_root_tag")
 
 def run_abort(df: DataFrame, group: str | list[str], order: str, status: str = "pagination_group_status", before: str = "date_before_range", least: int = 3) -> DataFrame:
     """A group with ``least`` consecutive pages before the range is given up (G18): its members that are not processed and have not failed become processed, excluded_by_date and aborted (columns processed, processing_status and ``status``). ``group``: the columns that tell groups apart; rows without a group stay."""
-    by = [group] if isinstance(group, str) else group
-    w = Window.partitionBy(*by).orderBy(order)
+    by, tasks = [group] if isinstance(group, str) else group, tasks_for(df)
+    # rows without a group are no group: they are dealt by their order
+    apart = F.when(F.col(by[-1]).isNull(), F.pmod(F.xxhash64(order), F.lit(tasks)))
+    inside = Window.partitionBy(*by, "__apart")
+    w = inside.orderBy(order)
     hit = F.coalesce(F.col(status) == before, F.lit(False))
-    marked = df.withColumn("__h", hit.cast("int")).withColumn("__run", F.sum(1 - F.col("__h")).over(w))
-    longest = marked.withColumn("__len", F.sum("__h").over(Window.partitionBy(*by, "__run"))).withColumn("__most", F.max("__len").over(Window.partitionBy(*by)))
+    # hits up to a row less those before its run began, which is where the last page that is none lies: one order serves all windows; rows of one place belong together
+    marked = df.withColumn("__apart", apart).repartition(tasks, *by, "__apart").withColumn("__h", hit.cast("int"))
+    place = Window.partitionBy(*by, "__apart", order)
+    counted = marked.withColumn("__here", F.sum("__h").over(place)).withColumn("__other", F.min("__h").over(place) == 0).withColumn("__hits", F.sum("__h").over(w))
+    began = F.coalesce(F.max(F.when(F.col("__other"), F.col("__hits") - F.col("__here"))).over(w), F.lit(0))
+    longest = counted.withColumn("__run", F.col("__hits") - began).withColumn("__most", F.max("__run").over(inside))
     gone = (F.col("__most") >= least) & ~F.coalesce(F.col("processed"), F.lit(False)) & ~F.coalesce(F.col("processing_status").isin(*SPARED), F.lit(False)) & F.col(by[-1]).isNotNull()
     out = longest.withColumn("__gone", F.coalesce(gone, F.lit(False)))
-    return out.withColumns({"processed": F.col("processed") | F.col("__gone"), "processing_status": F.when(F.col("__gone"), "excluded_by_date").otherwise(F.col("processing_status")), status: F.when(F.col("__gone"), "aborted").otherwise(F.col(status))}).drop("__h", "__run", "__len", "__most", "__gone")
+    return out.withColumns({"processed": F.col("processed") | F.col("__gone"), "processing_status": F.when(F.col("__gone"), "excluded_by_date").otherwise(F.col("processing_status")), status: F.when(F.col("__gone"), "aborted").otherwise(F.col(status))}).drop("__apart", "__h", "__here", "__other", "__hits", "__run", "__most", "__gone")
 
 
 def master_status(tree: DataFrame, log: DataFrame, key: str = "root_url") -> DataFrame:

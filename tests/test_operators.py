@@ -1,6 +1,7 @@
 """State folds, routing, sitemaps, HTML, cleaning and the workbench on hand-made cases."""
 
 import gzip
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -68,6 +69,27 @@ def test_run_abort(spark):
     assert got["g", 7] == (True, "scraped", None) and got["g", 8] == (False, "xml_error", None) and got["h", 0] == (False, None, None) and got[None, 0] == (False, None, b)
 
 
+def test_run_abort_by_plain_runs(spark, monkeypatch):
+    """Random groups with rows of one place and rows without a group against plain runs; one task a few rows."""
+    dice = random.Random(5)
+    rows = [(s, g, dice.choice([*range(12), None]), dice.choice(["date_before_range"] * 3 + ["scraped", None]), dice.choice([True, False, None]), dice.choice(["xml_error", "scraped", None])) for s in range(3) for g in (*range(8), None) for _ in range(9)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, s int, g int, i int, pagination_group_status string, processed boolean, processing_status string")
+    want = {}
+    for key in {r[:2] for r in rows}:
+        run, longest, of = 0, 0, [(k, r) for k, r in enumerate(rows) if r[:2] == key]
+        for at in sorted({r[2] for _, r in of}, key=lambda x: -1 if x is None else x):
+            here = [r[3] == "date_before_range" for _, r in of if r[2] == at]
+            run = (run if all(here) else 0) + sum(here)
+            longest = max(longest, run)
+        for k, r in of:
+            gone = key[1] is not None and longest >= 3 and not r[4] and r[5] != "xml_error"
+            want[k] = (True, "excluded_by_date", "aborted") if gone else (r[4], r[5], r[3])
+    monkeypatch.setattr(relational, "TASK_BYTES", 1024, raising=False)
+    found = sitemaps.run_abort(df, ["s", "g"], "i")
+    assert {r.id: (r.processed, r.processing_status, r.pagination_group_status) for r in found.collect()} == want
+    assert found.rdd.getNumPartitions() >= 10
+
+
 def test_groups_are_one_parents(spark):
     rows = [(f"https://{s}.de/sitemap-{i}.xml", s, s) for s in "abcdef" for i in (1,)] + [(f"https://g.de/sitemap-{i}.xml", "g", "p") for i in range(9, 3, -1)] + [("https://g.de/sitemap.xml", "g", "p"), ("https://g.de/sitemap-1.xml", "g", "q")]
     df = spark.createDataFrame(rows, "url string, root string, parent string")
