@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from newsflow.operators import extract, lifecycle, relational, reports, responses, sitemaps, workbench
+from newsflow.operators import extract, lifecycle, relational, reports, responses, runlog, sitemaps, workbench
 from newsflow.sources import html, tables
 
 
@@ -101,6 +101,17 @@ def test_groups_are_one_parents(spark):
     assert got == {"a": (None, "dissolved"), "b": (None, "dissolved"), "c": ("g", "valid_up"), "d": (None, None)}
 
 
+def test_log_rows_of_wide_texts(spark, monkeypatch):
+    """Texts that are small when compressed are ranged by their bytes, and numbered on without a gap."""
+    monkeypatch.setattr(relational, "TASK_BYTES", 40_000, raising=False)
+    log = spark.createDataFrame([(7, "x")], "id long, body string")
+    new = spark.range(200).select((199 - F.col("id")).alias("ts"), F.repeat(F.lit("a "), 1000).alias("body"))
+    assert [r.id for r in runlog.log_rows(log, new, ["ts"], "id").orderBy("id").collect()] == list(range(8, 208))
+    found = relational.numbered(new, ["ts"], "n").withColumn("file", F.input_file_name())
+    assert all(r.n == r.ts + 1 for r in found.select("n", "ts").collect())
+    assert found.groupBy("file").count().agg(F.max("count")).first()[0] <= 60
+
+
 def test_large_groups_by_ranges(spark, monkeypatch):
     """Groups beyond the limit, of null parents too, with repeated files and files without a number; more rows go to more tasks."""
     rows = [(f"https://a.de/{name}-{i * 7 % 40}.xml", parent) for name in ("x", "y") for parent in ("p", "q", None) for i in range(60)]
