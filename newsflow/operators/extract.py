@@ -11,12 +11,13 @@ import json
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf, pandas_udf
 
 from newsflow.functions.urls import host
-from newsflow.sources.html import parse, search, select, tables
+from newsflow.sources.html import page_tables, parse, search, select
 
 FIELDS = ("date_time", "author", "headline", "text")
 #: Rules that hold for every domain, after its own: (field, priority, kind, selectors, attributes).
@@ -246,9 +247,11 @@ def first_values(html: Column, selectors: list[str], most: int) -> Column:
 
 
 def html_tables(html: Column) -> Column:
-    """array<array<array<string>>>: tables, rows, cells of a page (A5)."""
-    @pandas_udf("array<array<array<string>>>")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: tables(root) if (root := parse(p)) is not None else [])
+    """array<array<array<string>>>: tables, rows, cells of a page (A5). Rows are taken while a page is read, and each page's go to Arrow at once."""
+    kind = pa.list_(pa.list_(pa.list_(pa.string())))
+
+    @arrow_udf("array<array<array<string>>>")
+    def run(pages: pa.Array) -> pa.Array:
+        return pa.concat_arrays([pa.array([], kind), *(pa.array([page_tables(p.as_py())], kind) for p in pages)])
 
     return run(html)

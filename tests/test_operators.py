@@ -2,6 +2,7 @@
 
 import gzip
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,6 +113,20 @@ def test_log_rows_of_wide_texts(spark, monkeypatch):
     assert found.groupBy("file").count().agg(F.max("count")).first()[0] <= 60
 
 
+def test_tables_row_by_row():
+    """Random broken markup: rows taken while reading are those of the tree, nested tables too; the tree of a long page is never there."""
+    dice = random.Random(3)
+    parts = [f"<{s}{t}>" for t in ("table", "tr", "td", "th", "ul", "li", "p", "div", "b", "tbody") for s in ("", "", "/")] + ["<br>", "<img>", "<table/>", "<tr/>", "x ", "&amp;", "\n", "<!-- c -->", "<script>a<td></script>", "<![x"]
+    for n in range(3000):
+        page = "".join(dice.choices(parts, k=dice.randrange(1, 60)))
+        assert html.page_tables(page) == html.tables(html.parse(page) or html.Node("#root", {}, None)), (n, page)
+    page = "<p>a<table>" + "".join(f"<tr><td> {i} <td><b>name {i}</b>\n" for i in range(20_000)) + "</table>"
+    tracemalloc.start()
+    assert len(html.page_tables(page)[0]) == 20_000
+    assert tracemalloc.get_traced_memory()[1] < 12 * len(page)
+    tracemalloc.stop()
+
+
 def test_large_groups_by_ranges(spark, monkeypatch):
     """Groups beyond the limit, of null parents too, with repeated files and files without a number; more rows go to more tasks."""
     rows = [(f"https://a.de/{name}-{i * 7 % 40}.xml", parent) for name in ("x", "y") for parent in ("p", "q", None) for i in range(60)]
