@@ -10,11 +10,10 @@ from __future__ import annotations
 import json
 import re
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf, pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from newsflow.functions.urls import host
 from newsflow.sources.html import page_tables, parse, search, select
@@ -137,6 +136,21 @@ def paragraphs(root, least: int = 20, but: tuple[str, ...] = ("^Anzeige$",)) ->
     return [t for t in search(root, ["p"]) if len(t) > least and not any(re.search(p, t) for p in but)]
 
 
+#: Pages whose values are Python's at one time; the others of a batch are Arrow's, which is compact.
+SLICE = 100
+
+
+def _in_slices(one, kind: pa.DataType, *columns: pa.Array) -> pa.Array:
+    """one(value of each column) of every row, row by row, as an Arrow array of ``kind``."""
+    out, done = [], []
+    for row in zip(*columns, strict=True):
+        out.append(one(*(v.as_py() for v in row)))
+        if len(out) == SLICE:
+            done.append(pa.array(out, kind))
+            out = []
+    return pa.concat_arrays([*done, pa.array(out, kind)])
+
+
 def extract(pages: DataFrame, html: str = "html", url: str = "url", rules: list[tuple] | None = None, paywall: DataFrame | None = None, bot: dict | None = None) -> DataFrame:
     """pages with a struct ``x``: parsed, bot, paywall_marker, title, the four fields and the paragraphs.
 
@@ -152,13 +166,16 @@ def extract(pages: DataFrame, html: str = "html", url: str = "url", rules: list[
         own = [r for r in rules if r[0] in ("*", domain)]
         found = fields(root, own)
         marker = any(select(root, s) for s in (DEFAULT_PAYWALL if markers is None else markers))
-        return (True, is_bot_page(root, bot), marker, next(iter(search(root, ["title"])), None), *[found[f] for f in FIELDS], paragraphs(root))
+        out = (True, is_bot_page(root, bot), marker, next(iter(search(root, ["title"])), None), *[found[f] for f in FIELDS], paragraphs(root))
+        root.free()
+        return out
 
     names = [part.split(" ")[0] for part in re.split(r", (?=\w+ )", EXTRACTED)]
+    kind = pa.struct([(n, pa.bool_() if n in ("parsed", "bot", "paywall_marker") else pa.list_(pa.string()) if n == "paragraphs" else pa.string()) for n in names])
 
-    @pandas_udf(EXTRACTED)
-    def run(page: pd.Series, domain: pd.Series, markers: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([one(*row) for row in zip(page, domain, markers, strict=True)], columns=names)
+    @arrow_udf(EXTRACTED)
+    def run(page: pa.Array, domain: pa.Array, markers: pa.Array) -> pa.Array:
+        return _in_slices(lambda *row: dict(zip(names, one(*row), strict=True)), kind, page, domain, markers)
 
     if paywall is None:
         return pages.withColumn("x", run(F.col(html), host(F.col(url)), F.lit(None).cast("array<string>")))
@@ -214,11 +231,13 @@ def mine_markers(html: Column, keywords: tuple[str, ...] = KEYWORDS, scripts: tu
             if n.tag == "script" and scripts:
                 text = n.raw_text()
                 found |= {("script", p) for p in scripts if re.search(p, text)}
+        if root is not None:
+            root.free()
         return [{"type": t, "marker": m} for t, m in sorted(found)]
 
-    @pandas_udf("array<struct<type: string, marker: string>>")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(one)
+    @arrow_udf("array<struct<type: string, marker: string>>")
+    def run(pages: pa.Array) -> pa.Array:
+        return _in_slices(one, pa.list_(pa.struct([("type", pa.string()), ("marker", pa.string())])), pages)
 
     return run(html)
 
@@ -239,9 +258,16 @@ def resolve_paywall_rules(domains: DataFrame, mined: DataFrame, fixed: DataFrame
 
 def first_values(html: Column, selectors: list[str], most: int) -> Column:
     """array<string>: the texts of the first ``most`` elements that the selectors take."""
-    @pandas_udf("array<string>")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: search(root, selectors, most=most) if (root := parse(p)) is not None else [])
+    def one(page):
+        if (root := parse(page)) is None:
+            return []
+        out = search(root, selectors, most=most)
+        root.free()
+        return out
+
+    @arrow_udf("array<string>")
+    def run(pages: pa.Array) -> pa.Array:
+        return _in_slices(one, pa.list_(pa.string()), pages)
 
     return run(html)
 

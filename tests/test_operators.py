@@ -1,9 +1,11 @@
 """State folds, routing, sitemaps, HTML, cleaning and the workbench on hand-made cases."""
 
+import gc
 import gzip
 import random
 import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,30 @@ def test_log_rows_of_wide_texts(spark, monkeypatch):
     assert found.groupBy("file").count().agg(F.max("count")).first()[0] <= 60
 
 
+def test_pages_leave_nothing_behind():
+    """A batch's pages go one by one: without the collector no tree stays, and every slice's values come back in order."""
+    nodes = lambda: sum(isinstance(o, html.Node) for o in gc.get_objects())
+    pages = [f"<div id=a><p class=b>{i}<p>x</div>" if i % 9 else None for i in range(3 * extract.SLICE + 7)]
+    gc.collect()
+    gc.disable()
+    try:
+        had = nodes()
+
+        def one(page):
+            if (root := html.parse(page)) is None:
+                return []
+            out = html.search(root, ["#a > .b"])
+            root.free()
+            return out
+
+        got = extract._in_slices(one, pa.list_(pa.string()), pa.array(pages))
+        assert nodes() <= had + 2
+    finally:
+        gc.enable()
+    assert got.to_pylist() == [[str(i)] if i % 9 else [] for i in range(len(pages))]
+    assert extract._in_slices(one, pa.list_(pa.string()), pa.array([], pa.string())).to_pylist() == []
+
+
 def test_tables_row_by_row():
     """Random broken markup: rows taken while reading are those of the tree, nested tables too; the tree of a long page is never there."""
     dice = random.Random(3)
