@@ -44,11 +44,18 @@ def pending(links: DataFrame, flag: str = "parse_error", value: bool = True) ->
     return links.where(_flag(flag) == value).select("id", "domain", "url")
 
 
-def log_rows(log: DataFrame, new: DataFrame, order: list[str], id_col: str) -> DataFrame:
-    """Rows to append to a log (B11, B12): numbered on from its largest id in the given order, in its columns and types; blank texts and what is missing are null."""
+def _without_blanks(df: DataFrame) -> DataFrame:
+    return df.select(*[(F.when(F.trim(F.col(f.name)) != "", F.col(f.name)) if f.dataType.simpleString() == "string" else F.col(f.name)).alias(f.name) for f in df.schema.fields])
+
+
+def log_rows(log: DataFrame, new: DataFrame, order: list[str], id_col: str, texts: dict[str, Column] | None = None) -> DataFrame:
+    """Rows to append to a log (B11, B12): numbered on from its largest id in the given order, in its columns and types; blank texts and what is missing are null.
+
+    texts: long columns that are made from those of ``new`` once the rows are numbered, so that the sort moves none of them.
+    """
     last = log.agg(F.coalesce(F.max(id_col).cast("long"), F.lit(0)).alias("__last"))
-    clean = new.select(*[(F.when(F.trim(F.col(f.name)) != "", F.col(f.name)) if f.dataType.simpleString() == "string" else F.col(f.name)).alias(f.name) for f in new.schema.fields])
-    rows = numbered(clean.drop(id_col), order, "__n").crossJoin(F.broadcast(last))  # one row
+    rows = numbered(_without_blanks(new).drop(id_col), order, "__n")
+    rows = (_without_blanks(rows.withColumns(texts)) if texts else rows).crossJoin(F.broadcast(last))  # one row
     return aligned(rows.withColumn(id_col, F.col("__n") + F.col("__last")).drop("__n", "__last"), log)
 
 

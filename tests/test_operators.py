@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from newsflow.operators import extract, lifecycle, relational, reports, responses, runlog, sitemaps, workbench
+from newsflow.plans import run_queries
 from newsflow.sources import html, tables
 
 
@@ -153,6 +154,17 @@ def test_tables_row_by_row():
     tracemalloc.stop()
 
 
+def test_log_rows_move_no_long_texts(spark, monkeypatch):
+    """The bodies of the response log are made after the sort: what is numbered holds none. Blank ones are null."""
+    moved, tasks_for = [], relational.tasks_for
+    monkeypatch.setattr(relational, "tasks_for", lambda df: moved.append(df) or tasks_for(df))
+    found = run_queries.q_response_log(spark, "/root/testdata/sf0.001")
+    assert len(moved) == 1 and "body_snippet" not in moved[0].columns
+    assert found.agg(F.min(F.length("body_snippet"))).first()[0] == 2000
+    log, new = spark.createDataFrame([(7, "x")], "id long, body string"), spark.createDataFrame([(2, "b"), (1, " "), (3, None)], "ts long, word string")
+    assert sorted(map(tuple, runlog.log_rows(log, new, ["ts"], "id", {"body": F.repeat("word", 3)}).collect())) == [(8, None), (9, "bbb"), (10, None)]
+
+
 def test_large_groups_by_ranges(spark, monkeypatch):
     """Groups beyond the limit, of null parents too, with repeated files and files without a number; more rows go to more tasks."""
     rows = [(f"https://a.de/{name}-{i * 7 % 40}.xml", parent) for name in ("x", "y") for parent in ("p", "q", None) for i in range(60)]
