@@ -6,9 +6,10 @@
    do so too. Each shard of distinct pieces sends hashes of its pairs with their weights to buckets of
    the hash space, which answer with a bit each. A hash that two pairs share can only let more through.
 3. Each shard then emits its words, and its phrases all of whose pairs passed, as text, each once with
-   its weight. They are shuffled to buckets by a hash of the phrase; a bucket streams what it gets into a
-   DuckDB file of its task, which sums it within a memory limit, spilling to that task's own temporary
-   folder. The file goes when the task ends; a lost executor's bucket is counted again from the shuffle.
+   its weight. They are shuffled to buckets by a hash of the phrase, those of a shard, bucket and language in
+   one row; a bucket streams what it gets into a DuckDB table of its task, which sums it within a memory
+   limit, spilling to that task's own temporary folder. What spills goes when the task ends; a lost
+   executor's bucket is counted again from the shuffle.
 4. Parts are co-located by lookup requests: each candidate asks, for each cut, the rows of its two parts
    by a shuffle on (lang, phrase), and tells every phrase inside it its own count. Nothing is broadcast.
 
@@ -28,11 +29,13 @@ import tempfile
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.llm import exchange, storage
 from newsflow.llm.textbytes import Words, distinct_spans, gram_hashes, mix, release
+from newsflow.llm.textbytes import pieces as text_slices
 
 _U = np.uint64
 #: Words of the longest phrase; occurrences of a candidate; per cent of its count at which a longer one covers it; rows per language.
@@ -60,8 +63,10 @@ class _Shard:
         self.lang = np.repeat(langs.indices.to_numpy().astype(np.int64), self.words.counts)
         self.weight = np.repeat(table["times"].to_numpy(), self.words.counts)
         salt = np.array([int.from_bytes(x.encode()[:8].ljust(8, b"\0"), "little") ^ len(x) for x in self.langs], _U)
+        #: of the word and its language
+        self.hashes = mix(self.words.hashes ^ mix(salt)[self.lang])
         self.pair_at = self.words.gram_starts(2)[0]
-        self.pair_hashes = gram_hashes(mix(self.words.hashes ^ mix(salt)[self.lang]), 2)[self.pair_at]
+        self.pair_hashes = gram_hashes(self.hashes, 2)[self.pair_at]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct hashes of pairs, sorted, the weight of each, and which of them each pair has."""
@@ -91,10 +96,13 @@ def _frequent(table: pa.Table, least: int) -> pa.Table:
 
 PHRASE = "lang string, size int, phrase string, times long"
 ARROW_PHRASE = pa.schema([("lang", pa.string()), ("size", pa.int32()), ("phrase", pa.string()), ("times", pa.int64())])
+#: A shard's phrases of one language for one bucket, a line each (no piece holds a line end).
+PACKED = "bucket long, lang string, phrases string, times array<long>"
+ARROW_PACKED = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("phrases", pa.string()), ("times", pa.list_(pa.int64()))])
 
 
-def _phrases(table: pa.Table, told: pa.Table, buckets: int, most: int) -> pa.Table:
-    """Every word of a shard, and its phrases whose pairs all passed, each once per language with its weight."""
+def _phrases(table: pa.Table, told: pa.Table, buckets: int, most: int, parts: int) -> pa.Table:
+    """Every word of a shard, and its phrases whose pairs all passed, each once per language with its weight, for ``parts`` buckets of phrases."""
     shard = _Shard(table)
     words, hashes, _, of = shard.words, *shard.pairs()
     passed = np.zeros(len(words.starts), bool)  # the pair that starts at this word passed
@@ -108,27 +116,41 @@ def _phrases(table: pa.Table, told: pa.Table, buckets: int, most: int) -> pa.Tab
         if not len(at):
             break
         starts, ends = words.starts[at], words.ends[at + size - 1]
-        first, which = distinct_spans(words.flat, starts, ends)
+        _, which = distinct_spans(words.flat, starts, ends)
         key, place, back = np.unique(which * len(shard.langs) + shard.lang[at], return_index=True, return_inverse=True)
         times = np.bincount(back, shard.weight[at], len(key)).astype(np.int64)  # exact: a shard has less than 2**53 words
-        raw = words.flat
-        found = [raw[a:b].tobytes() for a, b in zip(starts[place].tolist(), ends[place].tolist(), strict=True)]
-        langs = pa.array(shard.langs, pa.string()).take(pa.array(shard.lang[at][place]))
-        out.append(pa.Table.from_arrays([langs, pa.array(np.full(len(key), size, np.int32)), pa.array(found, pa.binary()).cast(pa.string()), pa.array(times)], schema=ARROW_PHRASE))
-    return pa.concat_tables(out) if out else ARROW_PHRASE.empty_table()
+        home = exchange.bucket_of(gram_hashes(shard.hashes, size)[at[place]], parts).astype(np.int64)
+        out.append((home, shard.lang[at][place], starts[place], ends[place], times))
+    if not out:
+        return ARROW_PACKED.empty_table()
+    home, lang, starts, ends, times = map(np.concatenate, zip(*out, strict=True))
+    order = np.lexsort((lang, home))
+    home, lang, raw = home[order], lang[order], words.flat.tobytes()
+    found = [raw[a:b] for a, b in zip(starts[order].tolist(), ends[order].tolist(), strict=True)]
+    first = np.flatnonzero(np.concatenate(([True], (home[1:] != home[:-1]) | (lang[1:] != lang[:-1]))))
+    cuts = np.append(first, len(home))
+    lines = [b"\n".join(found[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    langs = pa.array(shard.langs, pa.string()).take(pa.array(lang[first]))
+    return pa.Table.from_arrays([pa.array(home[first]), langs, pa.array(lines, pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(times[order]))], schema=ARROW_PACKED)
+
+
+def _unpacked(batch: pa.RecordBatch) -> pa.Table:
+    """lang, phrase, times: a row for each line."""
+    lines = pc.split_pattern(batch["phrases"], "\n")
+    return pa.table({"lang": batch["lang"].take(pc.list_parent_indices(lines)), "phrase": lines.flatten(), "times": batch["times"].flatten()})
 
 
 def _counted(batches, least: int):
-    """One bucket: sums the weights of each phrase in a DuckDB file and yields those that reach ``least``."""
+    """One bucket: sums the weights of each phrase in DuckDB and yields those that reach ``least``."""
     with tempfile.TemporaryDirectory(prefix="phrases-") as folder:
-        con = duckdb.connect(os.path.join(folder, "bucket.duckdb"), config={"memory_limit": f"{DUCK_MB}MB", "threads": 1, "temp_directory": os.path.join(folder, "spill"), "preserve_insertion_order": False})
+        con = duckdb.connect(config={"memory_limit": f"{DUCK_MB}MB", "threads": 1, "temp_directory": os.path.join(folder, "spill"), "preserve_insertion_order": False})
         try:
-            con.execute("CREATE TABLE held (lang VARCHAR, size INTEGER, phrase VARCHAR, times BIGINT)")
-            for batch in batches:
-                if batch.num_rows:
-                    con.register("arrived", pa.Table.from_batches([batch]))
-                    con.execute("INSERT INTO held SELECT lang, size, phrase, times FROM arrived")
-            found = con.execute(f"SELECT lang, size, phrase, sum(times)::BIGINT AS times FROM held GROUP BY lang, size, phrase HAVING sum(times) >= {int(least)}")
+            con.execute("CREATE TABLE held (lang VARCHAR, phrase VARCHAR, times BIGINT)")
+            for batch in text_slices(batches, "phrases"):
+                con.register("arrived", _unpacked(batch))
+                con.execute("INSERT INTO held SELECT lang, phrase, times FROM arrived")
+            size = "len(phrase) - len(replace(phrase, ' ', '')) + 1"
+            found = con.execute(f"SELECT lang, ({size})::INTEGER AS size, phrase, sum(times)::BIGINT AS times FROM held GROUP BY lang, phrase HAVING sum(times) >= {int(least)}")
             while rows := found.fetchmany(50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), ARROW_PHRASE, strict=True)], schema=ARROW_PHRASE)
         finally:
@@ -146,10 +168,10 @@ def count_phrases(pieces: DataFrame, most: int = WORDS, least: int = LEAST) -> D
     dealt = held.withColumn("shard", exchange.shard_of(shards, "lang", "piece")).groupBy("shard")
     sent = dealt.applyInArrow(lambda key, table: _sent(key, table, buckets), exchange.MESSAGE)
     told = sent.groupBy("bucket").applyInArrow(lambda table: _frequent(table, least), exchange.MESSAGE)
-    found = dealt.cogroup(told.groupBy("shard")).applyInArrow(lambda table, answer: _phrases(table, answer, buckets, most) if table.num_rows else ARROW_PHRASE.empty_table(), PHRASE)
     parts = max(exchange.least_buckets(spark), -(-size // (20 * BUCKET_ROWS)))
-    counted = found.repartition(parts, "lang", "phrase").mapInArrow(lambda batches: _counted(batches, least), PHRASE)
-    return storage.materialize(counted, "phrases")
+    found = dealt.cogroup(told.groupBy("shard")).applyInArrow(lambda table, answer: _phrases(table, answer, buckets, most, parts) if table.num_rows else ARROW_PACKED.empty_table(), PACKED)
+    counted = found.repartitionById(parts, F.col("bucket").cast("int")).mapInArrow(lambda batches: _counted(batches, least), PHRASE)
+    return storage.materialize(counted, "phrases", free=True)
 
 
 def _big(x: str) -> Column:
@@ -177,7 +199,7 @@ def scored(counts: DataFrame, totals: DataFrame, covered: int = COVERED) -> Data
 
 def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", most: int = WORDS, least: int = LEAST, covered: int = COVERED, top: int = TOP) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's ``top`` phrases by score, count and bytes."""
-    pieces = storage.materialize(pieces_of(docs, text_col, lang_col), "pieces")
+    pieces = storage.materialize(pieces_of(docs, text_col, lang_col), "pieces", free=True)
     counts = count_phrases(pieces, most, least)
     words = F.length("piece") - F.length(F.replace("piece", F.lit(" "), F.lit(""))) + 1
     totals = pieces.groupBy("lang").agg(F.sum(F.col("times") * words).alias("n"))

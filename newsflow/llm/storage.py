@@ -23,14 +23,24 @@ def new_dir(spark: SparkSession, what: str) -> str:
     return f"{shared_dir(spark)}/newsflow-{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, path: str) -> DataFrame:
-    """df as a Parquet table: cuts the lineage, survives lost executors. zstd also shrinks packed numbers."""
-    df.write.option("compression", "zstd").parquet(path)
+#: Spark then drops the shuffle files of an action when it ends, not when the driver collects its garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, path: str, free: bool = False) -> DataFrame:
+    """df as a Parquet table: cuts the lineage, survives lost executors. zstd also shrinks packed numbers. free: the write's shuffle files go with it."""
+    conf = df.sparkSession.conf
+    before = conf.get(FREE_SHUFFLES)
+    conf.set(FREE_SHUFFLES, str(free or before == "true").lower())
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        conf.set(FREE_SHUFFLES, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialize(df: DataFrame, what: str) -> DataFrame:
-    return written(df, new_dir(df.sparkSession, what))
+def materialize(df: DataFrame, what: str, free: bool = False) -> DataFrame:
+    return written(df, new_dir(df.sparkSession, what), free)
 
 
 def remove(spark: SparkSession, path: str) -> None:

@@ -95,6 +95,41 @@ def test_scores_pass_64_bits(spark):
     assert found["a b c"] == (big // 2, big + 2, big - 1, 2_000_000 * (big // 2) // (2 * big + 1)) or found["a b c"][3] == 2_000_000 * (big // 2) // (2 * big)
 
 
+def test_phrases_are_sent_in_few_rows():
+    """A shard sends one row a bucket and language, which holds every phrase once; a bucket sums what several shards send it."""
+    rng = random.Random(5)
+    rows = Counter((rng.choice(["en", "dé"]), " ".join(rng.choices(["a", "b", "ç", "dd", "😀"], k=rng.randint(1, 12)))) for _ in range(400))
+    table = pa.table({"lang": [x for x, _ in rows], "piece": [p for _, p in rows], "times": list(rows.values())})
+    want = Counter()
+    for (lang, piece), times in rows.items():
+        words = piece.split()
+        for k in range(1, 5):
+            for i in range(len(words) - k + 1):
+                want[lang, k, " ".join(words[i : i + k])] += times
+    sent = collocations._phrases(table, collocations._frequent(collocations._sent((pa.scalar(0),), table, 1), 1), 1, 4, 3)
+    assert sent.num_rows <= 3 * 2 and sum(map(len, sent["times"].to_pylist())) == len(want)
+    found = Counter()
+    for bucket in range(3):
+        batches = sent.filter(pa.compute.equal(sent["bucket"], bucket)).to_batches()
+        for batch in collocations._counted(iter(batches * 2), 20):
+            found += Counter({(r["lang"], r["size"], r["phrase"]): r["times"] for r in batch.to_pylist()})
+    assert found == {x: 2 * n for x, n in want.items() if 2 * n >= 20}
+
+
+def test_writes_leave_no_shuffle_files(spark):
+    """Pieces and phrases are written with their shuffle files gone at once; the session's setting stays as it was."""
+    held = lambda: sum("shuffle_" in f for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n"))
+    docs, setting = spark.read.parquet(f"{DIR}/documents.parquet"), spark.conf.get(storage.FREE_SHUFFLES)
+    storage.materialize(docs.groupBy("doc_id").count(), "kept")
+    before = held()
+    assert before > 0
+    pieces = storage.materialize(collocations.pieces_of(docs), "pieces", free=True)
+    assert pieces.count() > 0 and spark.conf.get(storage.FREE_SHUFFLES) == setting
+    before = held()
+    storage.materialize(collocations.pieces_of(docs), "pieces", free=True)
+    assert held() <= before
+
+
 def test_phrases_of_nothing(spark):
     assert mined(spark, []) == []
     assert mined(spark, [(None, None, None, None, None)], least=1) == []
