@@ -2,8 +2,9 @@
 
 A text is one marked word after another: a run of spaces with the characters up to the next space,
 after one space is put before the text. No piece of the model has a space behind another character
-(``Model`` checks it), so a text's ids are those of its marked words. Each slice of texts encodes its
-distinct marked words once. They are sorted, which lays them out as a depth-first walk of their trie:
+(``Model`` checks it), so a text's ids are those of its marked words. Nor is anything merged across two
+characters that no piece has side by side (a letter and a full stop, say): marked words are cut there too,
+and most of what made them differ is gone. Each slice of texts encodes its distinct words once. They are sorted, which lays them out as a depth-first walk of their trie:
 the forward states of the characters that a word shares with the one before are kept, and only the
 rest is computed.
 
@@ -39,7 +40,7 @@ from newsflow.llm.textbytes import distinct_spans, gather, join_bytes, pieces, r
 
 MARK = "▁"
 #: Bytes of marked words and their ids that a worker keeps, with ENTRY_BYTES for each; pairs of pieces.
-CACHE_BYTES, ENTRY_BYTES, PAIRS = 24_000_000, 250, 150_000
+CACHE_BYTES, ENTRY_BYTES, PAIRS = 120_000_000, 250, 150_000
 _STATE: dict = {}
 
 
@@ -67,6 +68,12 @@ class Model:
             raise ValueError("a piece spans words; this model can't be encoded word by word")
         if " " not in self.pieces or any(c not in self.pieces for p in self.pieces for c in p):
             raise ValueError("a piece has a character that is no piece; this model is not of type BPE")
+        #: whether some piece has two bytes side by side
+        self.joined = np.zeros((256, 256), bool)
+        for p in self.pieces:
+            raw = np.frombuffer(p.encode(), np.uint8)
+            self.joined[raw[:-1], raw[1:]] = True
+        self.joined[:, 0x80:0xC0] = True  # within a character
         self.names = {i: p for p, (i, _) in self.pieces.items()}
         ending: dict[str, set[int]] = {}
         for p in self.pieces:
@@ -174,7 +181,7 @@ class Model:
         return True
 
     def encode_words(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of distinct words of one leading space each, by a depth-first walk of their trie."""
+        """Ids of distinct words of one leading space at most, by a depth-first walk of their trie."""
         out: dict[str, list[int]] = {}
         begin, state = [0], [-2]  # for each prefix of the walk's path: where its last piece begins, and the piece (-1: a character without one)
         last = ""
@@ -218,10 +225,11 @@ class Model:
         return out
 
     def _spelt(self, words: list[str]) -> list[bytes]:
-        """Ids (32-bit) of distinct marked words with any run of spaces before them."""
-        bodies = [" " + w.lstrip(" ") for w in words]
+        """Ids (32-bit) of distinct words with any run of spaces before them."""
+        bodies = [" " + w.lstrip(" ") if w.startswith("  ") else w for w in words]
         found, space = self.encode_words(list(set(bodies))), self.pieces[" "][0]
-        out = []
+        flat: list[int] = []
+        at = [0]
         for w, body in zip(words, bodies, strict=True):
             ids, more = found[body], len(w) - len(body)
             if more and not self.spaces_last:
@@ -229,8 +237,10 @@ class Model:
             elif more:
                 lone = ids[0] == space
                 ids = [*self.ids_of(self.plain(" " * (more + lone))), *ids[lone:]]
-            out.append(np.array(ids, "<i4").tobytes())
-        return out
+            flat += ids
+            at.append(len(flat))
+        raw = np.array(flat, "<i4").tobytes()
+        return [raw[4 * a : 4 * b] for a, b in zip(at[:-1], at[1:], strict=True)]
 
     def encode(self, column) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's begin."""
@@ -239,8 +249,7 @@ class Model:
         flat = np.insert(raw, offsets[:-1][full], 0x20)
         moved = offsets + np.concatenate(([0], np.cumsum(np.diff(offsets) > 0)))
         first = np.zeros(len(flat) + 1, bool)
-        space = flat == 0x20
-        first[1:-1] = space[1:] & ~space[:-1]
+        first[1:-1] = ~self.joined[flat[:-1], flat[1:]]
         first[moved] = True
         starts = np.flatnonzero(first[: len(flat)])
         ends = np.append(starts[1:], len(flat))[: len(starts)]

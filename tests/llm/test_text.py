@@ -3,6 +3,7 @@
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -290,6 +291,26 @@ def test_sentencepiece_cache_is_bounded(monkeypatch):
     assert not model.known
 
 
+def test_sentencepiece_walks_each_word_once(monkeypatch):
+    """Whatever signs and digits stand beside it, and however many words came between."""
+    import sentencepiece
+
+    path = catalog.tokenizer_file("piece_bpe_32k.model")
+    model, library = sentencepiece_viterbi.Model(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    walked, plain = [], model.encode_words
+    monkeypatch.setattr(model, "encode_words", lambda words: walked.extend(words) or plain(words))
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("abcdefghij"), 8)) for _ in range(30_000)]
+    signs = ["", ",", ".\n", "!!", "###", "7", " 12", "   3", "é.", "世,", ")", "\t"]
+    for begin in [*range(0, 30_000, 5000), 0]:
+        texts = [f"w {words[i]}{signs[(i + k) % len(signs)]} x  {words[i]}{signs[i % len(signs)]}" for i in range(begin, begin + 5000) for k in (0, 1)]
+        ids, cuts = model.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(cuts[:-1], cuts[1:], strict=True)] == library.encode(texts)
+    counts = Counter(walked)
+    assert max(counts[f" {w}"] for w in words) == 1
+    assert sum(map(len, walked)) < 14 * len(words)
+
+
 def test_words():
     texts = ["a b", None, "", " \t", "x y é\vz\x1cq", "b" * 5000]
     words = Words(pa.array(texts))
