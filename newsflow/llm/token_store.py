@@ -30,7 +30,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +52,7 @@ CACHE_BYTES, ENTRY_BYTES = 150_000_000, 250
 #: Words that are encoded in one text.
 TOGETHER = 100
 #: Bytes of text whose words are told apart at a time.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 8_000_000
 #: Ids that a part of the store holds on average, and documents of one node of its hash tree.
 PART_IDS, NODE_DOCS = 20_000_000, 10_000
 _STATE: dict = {}
@@ -66,6 +68,21 @@ def splits_on_space(path: str) -> bool:
     return not added and first.get("type") == "Split" and first.get("behavior") == "Removed" and bool(first.get("invert")) and str((first.get("pattern") or {}).get("Regex")).endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+#: Words that a tokenizers file as below takes as they are: small Latin letters, composed, of U+0000 to U+00FF.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
+
+def for_plain(spec: dict) -> dict | None:
+    """Of a file that splits on space, one that gives PLAIN words with single spaces between them the same ids
+    without normalising them or matching the pattern, which finds each of them whole. None: not told of this file."""
+    normal, steps = spec.get("normalizer") or {}, spec["pre_tokenizer"].get("pretokenizers") or [spec["pre_tokenizer"]]
+    keeps = all(n.get("type") in ("NFC", "Lowercase") or (n.get("type"), n.get("pattern"), n.get("content")) == ("Replace", {"Regex": r"\s+"}, " ") for n in normal.get("normalizers") or [normal] if n)
+    before = steps[0]["pattern"]["Regex"].removesuffix(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").split("|")
+    if not keeps or any(x and not re.fullmatch("'[a-z]+", x) for x in before) or any(t.get("type") != "ByteLevel" or t.get("use_regex", True) or t.get("add_prefix_space", True) for t in steps[1:]):
+        return None
+    return spec | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *steps[1:]]}}
+
+
 _SIGN = np.zeros(256, bool)
 _SIGN[[b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27]] = True
 _LETTER = np.zeros(256, bool)
@@ -104,7 +121,10 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
         self.held = 0
         # marks the ids that end a word, where the file has such; a run of letters is one word of it
-        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix") if self.by_word else None
+        spec = json.loads(self.tokenizer.to_str()) if self.by_word else {}
+        suffix = spec["model"].get("end_of_word_suffix") if self.by_word else None
+        bare = for_plain(spec) if suffix else None
+        self.bare = Tokenizer.from_str(json.dumps(bare)) if bare else None
         self.last = np.zeros(self.size, bool)
         if suffix:
             self.last[[i for x, i in self.tokenizer.get_vocab(with_added_tokens=False).items() if x.endswith(suffix)]] = True
@@ -116,18 +136,21 @@ class Encoder:
     def _call(self, texts: list[str]):
         return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
 
-    def _parted(self, names: list[str], sign: str, ends) -> list[bytes]:
+    def _parted(self, names: list[str], sign: str, ends, call) -> list[bytes]:
         """Ids of each word, TOGETHER words in one text: of its ids, ends gives where the words begin and end.
         Words of a text that does not come out as so many are encoded one by one."""
         out = []
         groups = [names[i : i + TOGETHER] for i in range(0, len(names), TOGETHER)]
-        for group, e in zip(groups, self._call([sign.join(g) for g in groups]), strict=True):
+        for group, e in zip(groups, call([sign.join(g) for g in groups]), strict=True):
             ids = np.array(e.ids, "<u4")
             first, end = ends(ids)
             raw = ids.tobytes()
             out += [raw[4 * a : 4 * b] for a, b in zip(first, end, strict=True)] if len(first) == len(group) else self._alone(group)
         return out
 
+    def _call_bare(self, texts: list[str]):
+        return self.bare.encode_batch_fast(texts, add_special_tokens=False)
+
     def _alone(self, names: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self._call(names)]
 
@@ -148,11 +171,14 @@ class Encoder:
         if apart:
             return self._alone(names)
         letters = np.fromiter(map(str.isalpha, names), bool, len(names)) & self.last.any()
+        plain = letters & np.fromiter((m is not None for m in map(PLAIN.fullmatch, names)), bool, len(names)) & (self.bare is not None)
         out = [b""] * len(names)
-        for some, sign, ends in ((letters, " ", self._at_ends), (~letters, self.fence and self.fence[1], self._at_fences)):
+        for some, sign, ends, call in ((plain, " ", self._at_ends, self._call_bare), (letters & ~plain, " ", self._at_ends, self._call), (~letters, self.fence and self.fence[1], self._at_fences, self._call)):
             at = np.flatnonzero(some).tolist()
             part = [names[i] for i in at]
-            for i, x in zip(at, self._alone(part) if sign is None else self._parted(part, sign, ends), strict=True):
+            if not part:
+                continue
+            for i, x in zip(at, self._alone(part) if sign is None else self._parted(part, sign, ends, call), strict=True):
                 out[i] = x
         return out
 
@@ -250,18 +276,16 @@ def _encode(batches, path: str, end_id: int, id_type):
 def _chunked(batches, encoder: Encoder, width: np.dtype, end_id: int):
     for batch in pieces(batches, "__text", BATCH_BYTES):
         ids, sums = with_end(*encoder.encode(batch.column("__text")), end_id)
-        raw = memoryview(ids.astype(width).tobytes())
-        flat, sizes, roots = [], [0], []
-        for a, b, ends in zip(sums[:-1].tolist(), sums[1:].tolist(), cuts(ids, sums), strict=True):
-            shas = []
-            for e in ends:
-                payload = bytes(raw[a * width.itemsize : e * width.itemsize])
-                shas.append(hashlib.sha256(payload).digest())
-                flat.append({"sha": shas[-1], "n": e - a, "after": b - e, "payload": payload})
-                a = e
-            sizes.append(len(flat))
-            roots.append(merkle(shas))
-        chunks = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, CHUNK))
+        raw, per_doc = ids.astype(width), cuts(ids, sums)
+        sizes = np.concatenate(([0], np.cumsum([len(x) for x in per_doc]))).astype(np.int64)
+        ends = np.fromiter(chain.from_iterable(per_doc), np.int64, sizes[-1])
+        edges, data = np.concatenate(([0], ends)) * width.itemsize, memoryview(raw).cast("B")
+        shas = [hashlib.sha256(data[a:b]).digest() for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        roots = [merkle(shas[a:b]) for a, b in zip(sizes[:-1].tolist(), sizes[1:].tolist(), strict=True)]
+        # the payloads lie one after another in the ids
+        payloads = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(raw)])
+        flat = [pa.array(shas, pa.binary()), pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(np.repeat(sums[1:], np.diff(sizes)) - ends, pa.int64()), payloads]
+        chunks = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.StructArray.from_arrays(flat, fields=list(CHUNK)))
         yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__tie"), pa.array(np.diff(sums), pa.int64()), chunks, pa.array(roots, pa.binary())], names=["__id", "__tie", "n_tokens", "chunks", "root"])
 
 
@@ -352,15 +376,30 @@ def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+#: At i, for each of a CRC's four bytes what it contributes after 2**i more bytes; as far as lengths needed it.
+_AFTER: list[np.ndarray] = []
+
+
+def _after(i: int) -> np.ndarray:
+    while len(_AFTER) <= i:
+        step = np.full(1, 1 << 23, np.uint32)  # x**8: one byte
+        for _ in range(len(_AFTER)):
+            step = _times(step, step)
+        each = np.arange(256, dtype=np.uint32) << 8 * np.arange(4, dtype=np.uint32)[:, None]
+        _AFTER.append(_times(np.repeat(step, each.size), each.ravel()).reshape(4, 256))
+    return _AFTER[i]
+
+
 def crc_shifted(crcs: np.ndarray, length: np.ndarray) -> np.ndarray:
     """What each CRC contributes to that of a text in which ``length`` more bytes follow; the whole is their XOR."""
     out, length = crcs.astype(np.uint32), length.astype(np.int64).copy()
-    step = np.full(1, 1 << 23, np.uint32)  # x**8: one byte
+    bit = 0
     while length.any():
         odd = np.flatnonzero(length & 1)
-        out[odd] = _times(np.repeat(step, len(odd)), out[odd])
-        step = _times(step, step)
+        part, table = out[odd], _after(bit)
+        out[odd] = table[0][part & np.uint32(255)] ^ table[1][(part >> np.uint32(8)) & np.uint32(255)] ^ table[2][(part >> np.uint32(16)) & np.uint32(255)] ^ table[3][part >> np.uint32(24)]
         length >>= 1
+        bit += 1
     return out
 
 
