@@ -24,7 +24,7 @@ DEFAULT_RULES = [
     ("*", "date_time", 10, "json_ld", ["datePublished"], []), ("*", "date_time", 20, "css", ["meta[property='article:published_time']", "meta[name=date]"], ["content"]), ("*", "date_time", 30, "css", ["time[datetime]"], ["datetime"]),
     ("*", "author", 10, "json_ld", ["author"], []), ("*", "author", 20, "css", ["meta[name=author]"], ["content"]), ("*", "author", 30, "css", ["[rel=author]", ".author"], []),
     ("*", "headline", 10, "json_ld", ["headline"], []), ("*", "headline", 20, "css", ["meta[property='og:title']"], ["content"]), ("*", "headline", 30, "css", ["h1"], []), ("*", "headline", 40, "css", ["title"], []),
-    ("*", "text", 10, "json_ld", ["articleBody"], []), ("*", "text", 20, "css", ["article p"], []), ("*", "text", 30, "css", ["main p", "body p"], []),
+    ("*", "text", 10, "json_ld", ["articleBody"], []), ("*", "text", 20, "css", ["article p"], []), ("*", "text", 30, "css", ["main p", "p"], []),
 ]
 DEFAULT_PAYWALL = [".paywall", "[class*=paywall]", "[data-paywall]"]
 #: What a challenge page shows: selectors, phrases in title or body (any case), patterns in scripts (exact case).
@@ -32,13 +32,18 @@ DEFAULT_BOT = {"selectors": ["#challenge-form", ".g-recaptcha", "[class*=captcha
 EXTRACTED = "parsed boolean, bot boolean, paywall_marker boolean, title string, date_time string, author string, headline string, text string, paragraphs array<string>"
 
 
+def _whole(digits: str) -> int | float:
+    """An int of JSON; one of more digits than an int takes is a float, so that its script is not lost."""
+    return int(digits) if len(digits) < 4000 else float(digits)
+
+
 def json_ld(root) -> list[dict]:
-    """All objects of a page's JSON-LD scripts, those of @graph too; broken scripts are passed over."""
+    """All objects of a page's JSON-LD scripts, those of @graph too; broken scripts, and such as are nested deeper than can be read, are passed over."""
     out: list[dict] = []
     for node in select(root, "script[type='application/ld+json']"):
         try:
-            stack = [json.loads(node.raw_text())]
-        except ValueError:
+            stack = [json.loads(node.raw_text(), parse_int=_whole)]
+        except (ValueError, RecursionError):
             continue
         while stack:
             x = stack.pop(0)
@@ -46,7 +51,7 @@ def json_ld(root) -> list[dict]:
                 stack += x
             elif isinstance(x, dict):
                 out.append(x)
-                stack += x["@graph"] if isinstance(x.get("@graph"), list) else []
+                stack += x["@graph"] if isinstance(x.get("@graph"), list) else [x.get("@graph")]
     return out
 
 

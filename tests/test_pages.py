@@ -8,7 +8,9 @@ import duckdb
 import pytest
 
 from newsflow.functions import urls
+from newsflow.operators import extract
 from newsflow.plans import catalog
+from newsflow.sources.html import parse
 from pyspark.sql import functions as F
 
 DIR = "/root/testdata/sf0.01"
@@ -93,3 +95,36 @@ def test_exclusive_markers(spark, pages):
     got = {(r.domain, r.type, r.marker) for r in catalog.queries()["q_exclusive_markers"](spark, DIR).collect()}
     added = {x for x in got if re.fullmatch(r"div\.paywall-\d|div\[data-plus\]", x[2])}
     assert added == want
+
+
+#: Marks in a page behind which nothing may get lost: declarations, comments, ends of scripts, references.
+MARKS = ["", "<![foo]>", "<![ CDATA[x]]>", "<![if x>", "<!-- x --!>", "<!-->", "<!--->", "<!-- x -- >", "<script>x</script y>", "<style>x</style/>", "<script>'</p></'</script\n>", f"<i title='&#{65:05000};'></i>", f"<i>&#{'9' * 5000};</i>"]
+
+
+def test_whole_pages(spark, tmp_path):
+    """Title, headline, text and lengths of every page, also behind marks that the parser raises at or sees no end of, and of paragraphs outside a body."""
+    page = "<title>The title</title><h1>Head &amp; line</h1><article><p>one</p>{}<p>two</p><!-- y --><script>x</script><style>x</style><![endif]><p>three</p></article>"
+    rows = [(i, page.format(m)) for i, m in enumerate(MARKS)] + [(90, None), (91, " "), (92, "<p>ä\U0001f600"), (93, "<body><p>a</body><p>b")]
+    spark.createDataFrame(rows, "page_id long, html string").withColumn("url", F.lit("https://a.de/")).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in catalog.queries()["q_html_fields"](spark, str(tmp_path)).collect()}
+    names = ("title", "headline", "text", "title_length", "headline_length", "text_length")
+    for i, mark in enumerate(MARKS):
+        assert [got[i][n] for n in names] == ["The title", "Head & line", "one\ntwo\nthree", 9, 11, 13], mark[:20]
+    assert [[got[i][n] for n in names] for i in (90, 91, 92, 93)] == [[None] * 6, [None] * 6, [None, None, "ä\U0001f600", None, None, 2], [None, None, "a\nb", None, None, 3]]
+
+
+def test_fields_are_whole(spark, pages):
+    got = catalog.queries()["q_html_fields"](spark, DIR).collect()
+    assert sorted(r.page_id for r in got) == sorted(pages)
+    for r in got:
+        title = re.search(r"(?is)<title\b[^>]*>(.*?)</title\s*>", bare(pages[r.page_id].html))
+        assert plain(r.title) == plain(text(title[1]))
+        assert (r.title_length, r.headline_length, r.text_length) == (len(r.title), len(r.headline), len(r.text))
+
+
+def test_json_ld_is_whole():
+    """One object under @graph, a number of many digits and a script that ends with the page; one nested too deep is passed over."""
+    script = "<script type='application/ld+json'>{}</script>".format
+    bodies = ['{"@graph": {"headline": "H"}}', f'{{"n": {"9" * 5000}, "headline": "H"}}', '{"headline": "</i>H"}']
+    got = [extract.fields(parse(p), extract.DEFAULT_RULES)["headline"] for p in (*map(script, bodies), script(bodies[0]).removesuffix("</script>"), script("[" * 100000 + "]" * 100000) + script(bodies[0]))]
+    assert got == ["H", "H", "</i>H", "H", "H"]
